@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canon",)
+MODULES = ("canon", "overlap")
 
 
 def _each(attribute: str) -> dict:
