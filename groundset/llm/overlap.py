@@ -43,7 +43,7 @@ def protected(text: Column) -> Column:
     """What no small difference may touch: numbers, the quoted line and the target language."""
     low = F.lower(text)
     numbers = F.array_join(F.regexp_extract_all(low, F.lit(r"(\d+)")), ",")
-    quoted = F.regexp_replace(F.regexp_extract(F.regexp_replace(low, r"[\s ]+", " "), '"([^"]*)', 1), r"[ .]+$", "")
+    quoted = F.regexp_replace(F.regexp_extract(low, '"([^"]*)', 1), r"[^\p{L}\p{N}]+", "")
     language = F.array_join(F.regexp_extract_all(low, F.lit(r"\b(english|german|french|swedish|latin|deutsch|englisch|französisch|schwedisch|anglais|allemand|français|suédois)\b")), ",")
     return F.concat_ws("\x01", numbers, quoted, language)
 
@@ -171,7 +171,7 @@ WITH src AS (
 a AS (SELECT *, ' ' || regexp_replace(regexp_replace(regexp_replace(low, '[(\\[] ?', '[', 'g'), ' ?[)\\]]', ']', 'g'), ' ?, ?', ',', 'g') AS w0 FROM src),
 b AS (SELECT *, regexp_replace(w0, ' ({COURTESY})[:,]?( ({COURTESY})[:,]?)*( |$)', ' ', 'g') AS w FROM a),
 c AS (SELECT *, regexp_replace({syn}, '^ +|[ .?!:"]+$', '', 'g') AS words,
-  array_to_string(regexp_extract_all(low, '\\d+'), ',') || '|' || regexp_replace(regexp_extract(low, '"([^"]*)', 1), '[ .]+$', '') || '|' ||
+  array_to_string(regexp_extract_all(low, '\\d+'), ',') || '|' || regexp_replace(regexp_extract(low, '"([^"]*)', 1), '[^\\pL\\pN]+', '', 'g') || '|' ||
   array_to_string(regexp_extract_all(low, '\\b(english|german|french|swedish|latin|deutsch|englisch|französisch|schwedisch|anglais|allemand|français|suédois)\\b'), ',') AS guard,
   CASE WHEN prompt = upper(prompt) THEN []::VARCHAR[] ELSE list_transform(list_filter(string_split(trim(regexp_replace(prompt, '[^\\pL\\pN]+', ' ', 'g')), ' ')[2:], lambda x: regexp_matches(x, '^\\p{{Lu}}')), lambda x: lower(x)) END AS names FROM b),
 d AS (SELECT *, regexp_split_to_array(translate(words, '.,?!:;"''[]', '          '), ' +') AS toks FROM c WHERE words <> '' AND page <> ''),
