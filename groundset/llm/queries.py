@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canon", "overlap")
+MODULES = ("canon", "overlap", "pack", "split")
 
 
 def _each(attribute: str) -> dict:
