@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canon", "overlap", "pack", "split")
+MODULES = ("canon", "overlap", "answers", "pack", "split", "mix", "residue")
 
 
 def _each(attribute: str) -> dict:

@@ -41,28 +41,46 @@ def pattern(limit: int, overlap: int) -> str:
     return rf"(?s)\A(?:{first})|\G(?:{cuts(own, strong, weak)})"
 
 
-def pieces(text: Column, limit: int, overlap: int | None = 0) -> Column:
-    """The ordered pieces of a text as an array of strings.
+def own_pieces(text: Column, limit: int, overlap: int = 0) -> Column:
+    """The pieces without their overlaps, in order; they join to the text."""
+    return F.regexp_extract_all(text, F.lit(pattern(limit, overlap)), F.lit(0))
 
-    Each has at most ``limit`` code points; piece k+1 starts with the last ``overlap`` code
-    points of piece k; without the overlaps they join to the text again. A text within the
-    limit is one piece, an empty text is no piece, null stays null. An overlap of the limit
-    or more is taken as limit - 1.
+
+def with_overlaps(own: Column, overlap: Column, back: Column) -> Column:
+    """Each piece after the first with the last ``overlap`` characters before it, which ``back`` pieces before hold.
+
+    ``own`` must be a column that is there, not an expression: it is read once for each piece.
     """
+
+    def one(piece: Column, i: Column) -> Column:
+        before = F.array_join(F.slice(own, F.greatest(i - back + 1, F.lit(1)), F.least(i, back)), "")
+        return F.when((i == 0) | (overlap == 0), piece).otherwise(F.concat(F.substring(before, -overlap, overlap), piece))
+
+    return F.transform(own, one)
+
+
+def lookback(limit: int, overlap: int) -> int:
+    """So many pieces before hold at least ``overlap`` characters."""
+    return math.ceil(overlap / fill(limit, overlap)[2]) if overlap else 0
+
+
+def checked(limit: int, overlap: int | None) -> tuple[int, int]:
     if limit < 1:
         raise ValueError("the limit must be at least 1")
-    overlap = min(max(overlap or 0, 0), limit - 1)
-    own = F.regexp_extract_all(text, F.lit(pattern(limit, overlap)), F.lit(0))
-    if not overlap:
-        return own
-    # so many pieces before hold at least ``overlap`` characters
-    back = math.ceil(overlap / fill(limit, overlap)[2])
+    return limit, min(max(overlap or 0, 0), limit - 1)
+
 
-    def with_tail(piece: Column, i: Column) -> Column:
-        before = F.array_join(F.slice(own, F.greatest(i - back + 1, F.lit(1)), F.least(i, F.lit(back))), "")
-        return F.when(i == 0, piece).otherwise(F.concat(F.substring(before, -overlap, overlap), piece))
+def pieces(df: DataFrame, text: str, limit: int, overlap: int | None = 0, to: str = "pieces") -> DataFrame:
+    """Add the column ``to``: the ordered pieces of a text as an array of strings.
 
-    return F.transform(own, with_tail)
+    Each has at most ``limit`` code points; piece k+1 starts with the last ``overlap`` code
+    points of piece k; without the overlaps they join to the text again. A text within the
+    limit is one piece, an empty text is no piece, null stays null. An overlap of the limit
+    or more is taken as limit - 1; a limit under 1 is an error.
+    """
+    limit, overlap = checked(limit, overlap)
+    cut = df.select("*", F.explode(F.array(own_pieces(F.col(text), limit, overlap))).alias("_own"))
+    return cut.withColumn(to, with_overlaps(F.col("_own"), F.lit(overlap), F.lit(lookback(limit, overlap)))).drop("_own")
 
 
 def split_configs(configs: DataFrame) -> list[tuple[int, str, int, int]]:
@@ -80,16 +98,17 @@ def split_records(records: DataFrame, configs: list[tuple[int, str, int, int]])
     if not configs:
         return spark.createDataFrame([], "config_id int, record_id long, piece_no int, text string")
     r = records.select("record_id", "data_path", "completion").where(F.length("completion") > min(c[2] for c in configs))
-    made = F.lit(None).cast("array<struct<config_id:int,parts:array<string>>>")
+    made = F.lit(None).cast("array<struct<config_id:int,overlap:int,back:int,own:array<string>>>")
     for path in sorted({c[1] for c in configs}):
-        own = [
-            F.when(F.length("completion") > limit, F.struct(F.lit(cid).cast("int").alias("config_id"), pieces(F.col("completion"), limit, overlap).alias("parts")))
-            for cid, p, limit, overlap in configs
-            if p == path
-        ]
+        own = []
+        for cid, p, limit, overlap in configs:
+            if p == path:
+                limit, overlap = checked(limit, overlap)
+                cut = F.struct(F.lit(cid).cast("int").alias("config_id"), F.lit(overlap).alias("overlap"), F.lit(lookback(limit, overlap)).alias("back"), own_pieces(F.col("completion"), limit, overlap).alias("own"))
+                own.append(F.when(F.length("completion") > limit, cut))
         made = F.when(F.col("data_path") == path, F.filter(F.array(*own), lambda x: x.isNotNull())).otherwise(made)
-    out = r.select("record_id", F.explode(made).alias("m")).select(F.col("m.config_id").alias("config_id"), "record_id", F.posexplode("m.parts").alias("piece_no", "text"))
-    return out
+    cut = r.select("record_id", F.explode(made).alias("m")).select("record_id", "m.*")
+    return cut.select("config_id", "record_id", F.posexplode(with_overlaps(F.col("own"), F.col("overlap"), F.col("back"))).alias("piece_no", "text"))
 
 
 def p7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
