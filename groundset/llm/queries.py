@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("canon", "overlap", "answers", "pack", "split", "mix", "residue", "leak")
+MODULES = ("canon", "overlap", "answers", "pack", "split", "mix", "residue", "leak", "scan")
 
 
 def _each(attribute: str) -> dict:
