@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES (name -> callable(spark, sf_dir)) and ORACLE (name -> SQL).
-MODULES = ("groundset.plans.nested", "groundset.plans.tasks")
+MODULES = ("groundset.plans.nested", "groundset.plans.tasks", "groundset.plans.records")
 
 
 def queries() -> dict:
