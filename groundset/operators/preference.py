@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundset.functions.text import strip
-
 ROLES = ("system", "user", "assistant")
 BLOCKS = "array<struct<type:string,text:string>>"
 METHODS = ("sft", "dpo", "kto", "grpo")
@@ -102,5 +100,5 @@ CONVERTERS = {m: (lambda m: lambda rows, **kw: convert(rows, m, **kw))(m) for m
 
 
 def reward(completion: Column, want: Column | None = None) -> Column:
-    """The default reward: 1 for an answer with text, 0 for none."""
-    return F.when(F.length(strip(F.coalesce(completion, F.lit("")))) > 0, 1.0).otherwise(0.0)
+    """The default reward: 1 for an answer that isn't empty, 0 for an empty or null one."""
+    return F.when(F.length(F.coalesce(completion, F.lit(""))) > 0, 1.0).otherwise(0.0)

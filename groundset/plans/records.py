@@ -195,7 +195,7 @@ UNION ALL SELECT record_id, CASE WHEN prompt IS NULL THEN 'no messages or prompt
     "legacy_prompt": f"SELECT record_id, {_L} AS said FROM sft_records WHERE prompt IS NOT NULL",
     "legacy_equiv": "SELECT record_id, TRUE AS same FROM sft_records WHERE prompt IS NOT NULL AND image IS NOT NULL",
     "sft_mix": "SELECT origin, count(*) AS records, CAST(sum(length(completion)) AS BIGINT) AS characters FROM (SELECT 'sft' AS origin, prompt, completion FROM sft_records UNION ALL SELECT 'dpo', prompt, chosen FROM dpo_records) WHERE prompt IS NOT NULL AND completion IS NOT NULL GROUP BY origin",
-    "reward_default": "SELECT record_id, CASE WHEN regexp_matches(coalesce(completion, ''), '[^\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\pZ]') THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS reward FROM sft_records",
+    "reward_default": "SELECT record_id, CASE WHEN coalesce(completion, '') <> '' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS reward FROM sft_records",
     "image_lookup": f"SELECT doc_id AS stem, path FROM {_PIC}",
     "missing_images": "SELECT DISTINCT doc_id FROM regions WHERE doc_id NOT IN (SELECT stem FROM images WHERE stem IS NOT NULL)",
     "skip_report": f"""SELECT CASE WHEN t.doc_id IS NULL THEN 'no text' WHEN i.doc_id IS NULL THEN 'no image' ELSE '' END AS skip_reason, count(*) AS pages
