@@ -14,6 +14,7 @@ import random
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,15 +34,17 @@ for _n, (_true, _seen) in enumerate(CONFUSIONS):
     SEEN[_seen[0]].append(_n)
 HYPHENS = "-‐‑¬⸗=­"
 TRAIN_WORDS = 6000  # words the editor is fitted on, drawn by hash from the trusted ones
-LEXICON_SHARE = 4e-6  # a trusted word has at least this share of all words, so there are at most 250,000
+LEXICON_SHARE = 6e-7  # a trusted word has at least this share of all words, so there are at most 1,700,000
 LEXICON_LEAST = 3
 HEAD_SHARE = 4e-4  # of the pages, for a wording of running heads
 HEAD_LEAST = 4
 BLOCK_PAGES = 64
-MAX_LEXICON = 400_000
-_WORD = re.compile(r"[^\W_]+(?:[+!][^\W_]+)*(?:['’-][^\W_]+(?:[+!][^\W_]+)*)*|[^\W\d_]+[+!]|[+!][^\W\d_]+")
+MAX_LEXICON = 1_700_000
+_WORD = re.compile(r"[+!]?[^\W_]+(?:[+!][^\W_]+)*(?:['’-][^\W_]+(?:[+!][^\W_]+)*)*\+?")
 _PLAIN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-_NUMBER = re.compile(r"^[\[(\-—–·\s]*(?:(?:fol|pag|p|s|bl|f)\.?\s*)?(?:(?=[^\d]*\d)[\dlIOo!S]{1,4}|[lI])\s*[rv]?[\])\-—–·.\s]*$|^[\[(\-—–·\s]*(?=[ivxlcdmIVXLCDM1!])[ivxlcdm1!]{1,80}[\])\-—–·.\s]*$|^[\[(\-—–·\s]*[IVXLCDM1]{1,15}[\])\-—–·.\s]*$")
+_NUMBER = re.compile(r"^[\[(\-—–·\s]*(?:(?i:fol|pag|p|s|bl|f)\.?\s*)?(?:(?=[^\d]*\d)[\dlIOo!S]{1,4}|[lI])\s*[rv]?[\])\-—–·.\s]*$|^[\[(\-—–·\s]*(?=[ivxlcdmIVXLCDM1!])[ivxlcdm1!]{1,80}[\])\-—–·.\s]*$|^[\[(\-—–·\s]*[IVXLCDM1]{1,15}[\])\-—–·.\s]*$")
+_DIGIT = re.compile(r"\d")
+_INSIDE = re.compile(r"[^\W\d_][\d+!][^\W\d_]")
 _SENTENCE_YEAR = re.compile(r"^\d{1,4}\.\s*$")
 _EDGE_NUMBER = re.compile(r"^(?:[\[(\-—–·]\s*[\dlIOo!ivxlcdm]+\s*[\])\-—–·.]*|(?:fol|pag|p|s|bl)\.?\s*[\dlIOo!]+[rv]?|[\dlIOo]*\d[\dlIOo]*[.]?|[ivxlcdm]+)\s{2,}|\s{2,}(?:[\[(\-—–·]\s*[\dlIOo!ivxlcdm]+\s*[\])\-—–·.]*|(?:fol|pag|p|s|bl)\.?\s*[\dlIOo!]+[rv]?|[\dlIOo]*\d[\dlIOo]*[.]?|[ivxlcdm]+)$", re.I)
 _YEARS = re.compile(r"\W*[\dlIOo]{4}(?:\W+[\dlIOo]{4})?\W*$|[\s·.—–-]+$")
@@ -143,9 +146,12 @@ class Reader:
     def __init__(self, editor: Editor, lexicon: dict[str, int], own: dict[str, list[str]], heads: list[str], sure: float = 6.0) -> None:
         self.editor, self.lexicon, self.sure = editor, lexicon, sure
         self.own = {k: frozenset(v) for k, v in own.items()}
-        self.heads = set(heads)
-        self.head_words = {h.split(" ")[0] for h in heads}
+        self.heads = list(heads)
+        self.head_set = frozenset(heads)
+        self.head_words = frozenset(w for h in heads for w in h.split(" ") if len(w) > 3)
+        self.head_most = max(map(len, heads), default=0) + 40
         self.cache: dict[str, str] = {}
+        self.verdicts: dict[str, int] = {}
 
     def trusted(self, word: str) -> bool:
         return word in self.lexicon or word.lower() in self.lexicon or (word.isupper() and word.capitalize() in self.lexicon)
@@ -193,20 +199,22 @@ class Reader:
 
     def head(self, text: str, first: bool) -> bool:
         """The wording of a running head; ``first``: the line stands at the head of a page."""
-        core = head_core(text)
+        t = text.strip()
+        if len(t) > self.head_most:
+            return False
+        if not first and self.head_words.isdisjoint(t.lower().split()):
+            return False
+        core = head_core(t)
         if not core:
             return False
-        if _SHORT.match(_EDGE_NUMBER.sub("", text.strip()).strip()):
-            return first
-        skeleton = skeleton_of(core)
-        if skeleton in self.heads:
+        if first and _SHORT.match(_EDGE_NUMBER.sub("", t).strip()):
             return True
-        return near(core, self.heads)
+        return skeleton_of(core) in self.head_set or near(core, self.heads)
 
     def number(self, text: str) -> bool:
         """Nothing but a page or leaf number. A number that ends a sentence isn't one."""
         t = text.strip()
-        return bool(_NUMBER.match(t)) and not _SENTENCE_YEAR.match(t)
+        return (len(t) <= 24 or " " not in t) and bool(_NUMBER.match(t)) and not _SENTENCE_YEAR.match(t)
 
     def ends(self, text: str) -> tuple[int, str]:
         """How a line ends: 0 whole, 1 inside a word, 2 at a hyphen that may be the text's own; and the word before the hyphen."""
@@ -225,26 +233,34 @@ class Reader:
             return state == 1
         return right is not None and right not in self.own[left]
 
+    def verdict(self, token: str) -> int:
+        """Of a token with its marks: 0 right, 1 misread, 2 misread for sure, since signs stand between letters."""
+        out = self.verdicts.get(token)
+        if out is None:
+            out = 0
+            for m in _WORD.finditer(token):
+                word = m[0]
+                if self.corrected(word) != word:
+                    out = max(out, 2 if _INSIDE.search(word) else 1)
+            if len(self.verdicts) > 1_000_000:
+                self.verdicts.clear()
+            self.verdicts[token] = out
+        return out
+
     def misread(self, text: str, fragment_end: bool) -> tuple[bool, bool]:
         """(in the first word only if that isn't a fragment, in any other word)."""
-        t = text.strip()
         first, other = False, False
-        found = list(_WORD.finditer(t))
-        for k, m in enumerate(found):
-            word = m[0]
-            if word.isdigit() or (word in self.lexicon):
-                continue
-            if fragment_end and m.end() >= len(t) - 1:
-                if re.search(r"[^\W\d_][\d+!][^\W\d_]", word):
+        found = text.split()
+        known, last = self.verdicts, len(found) - 1
+        for k, token in enumerate(found):
+            v = known.get(token)
+            if v is None:
+                v = self.verdict(token)
+            if v:
+                if v == 2 or (k and not (fragment_end and k == last)):
                     other = True
-                continue
-            if self.corrected(word) != word:
-                if k == 0 and not re.search(r"[^\W\d_][\d+!][^\W\d_]", word):
+                elif not k and not (fragment_end and k == last):
                     first = True
-                else:
-                    other = True
-            if other:
-                break
         return first, other
 
 
@@ -262,26 +278,58 @@ def skeleton_of(core: str) -> str:
     return core.rpartition(" ")[0]
 
 
-def near(core: str, heads: set[str], most: int = 3) -> bool:
-    """A wording in all but a few letters, the place's name left out of account."""
+@lru_cache(maxsize=8192)
+def _masks(wording: str) -> dict[str, int]:
+    at: dict[str, int] = {}
+    for i, x in enumerate(wording):
+        at[x] = at.get(x, 0) | 1 << i
+    return at
+
+
+def near(core: str, heads: list[str], most: int = 3) -> bool:
+    """A wording in all but a few letters, the place's name left out of account: the longest common subsequence, by bits."""
+    size = len(core)
     for h in heads:
-        if len(h) < 8 or abs(len(core) - len(h)) > 24 or len(core) < len(h) - 3:
+        n = len(h)
+        if n < 8 or size > n + 24 or size < n - 3:
             continue
-        row = list(range(len(h) + 1))  # edit distance of the wording to the best start of the line
-        best = len(h)
-        for i, c in enumerate(core[: len(h) + most], 1):
-            last, row[0] = row[0], i
-            for j, d in enumerate(h, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (c != d))
-            best = min(best, row[-1])
-            if min(row) > most:
-                break
-        if best <= min(most, len(h) // 6 + 1):
-            rest = core[len(h) :].strip()
-            return rest.count(" ") <= 1 and len(rest) < 24
+        allow = min(most, n // 6 + 1)
+        at = _masks(h)
+        full = (1 << n) - 1
+        row = full
+        for x in core[: n + 2]:
+            if x in at:
+                u = row & at[x]
+                row = ((row + u) | (row - u)) & full
+        if row.bit_count() <= allow:
+            rest = core[n:].strip()
+            if rest.count(" ") <= 1 and len(rest) < 24:
+                return True
     return False
 
 
+def main_wordings(counts: dict[str, int]) -> list[str]:
+    """The wordings of heads without those that are a noisy form of a far more frequent one."""
+    out: list[str] = []
+    counts = {h: n for h, n in counts.items() if len(h) >= 8}
+    for h in sorted(counts, key=lambda h: (-counts[h], h)):
+        if not any(counts[o] >= 20 * counts[h] and near(h + " x", [o]) for o in out):
+            out.append(h)
+    return out
+
+
+_readers: dict[int, Reader] = {}
+
+
+def shared_reader(value: tuple) -> Reader:
+    """One reader, with its caches, for all tasks of a worker process."""
+    if id(value) not in _readers:
+        _readers.clear()
+        w, lexicon, own, heads = value
+        _readers[id(value)] = Reader(Editor(w), lexicon, own, heads)
+    return _readers[id(value)]
+
+
 def page_lines(equivs: DataFrame, regions: DataFrame) -> DataFrame:
     """All lines of both tables: field, row_key, volume, doc_id, region (from 0), line (from 0), main, text. Null and blank texts are left out."""
     number = F.when(F.col("region_id").startswith("region_"), F.regexp_extract("region_id", r"(\d+)$", 1).try_cast("int")).otherwise(F.regexp_extract("region_id", r"(\d+)$", 1).try_cast("int") - 1)
@@ -295,27 +343,24 @@ def learn(lines: DataFrame) -> Reader:
     """Count words, own hyphens and head wordings over all lines; fit the editor on a bounded sample of trusted words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: Counter[str] = Counter()
+        raw: Counter[str] = Counter()
         own: Counter[str] = Counter()
         heads: Counter[str] = Counter()
         pages = 0
         for b in batches:
             for text, region, line in zip(*(b.column(k).to_pylist() for k in range(3))):
-                if "\n" in text:
-                    text = text.replace("\n", " ")
-                found = _PLAIN.findall(text)
-                words.update(found[1:-1])
+                raw.update(text.split()[1:-1])
                 if "-" in text:
                     own.update(f"{a.lower()} {c.lower()}" for a, c in re.findall(r"([^\W\d_]+)-\s?([^\W\d_]+)", text))
                 if region == 0 and line is not None and line <= 1:
                     pages += line == 0
                     core = head_core(text)
-                    if " " in core:
+                    if " " in core and len(core) >= 8:
                         heads[skeleton_of(core)] += 1
-            if len(words) > 200_000:
-                yield _counts(words, own, heads, pages)
-                words, own, heads, pages = Counter(), Counter(), Counter(), 0
-        yield _counts(words, own, heads, pages)
+            if len(raw) > 200_000:
+                yield _counts(raw, own, heads, pages)
+                raw, own, heads, pages = Counter(), Counter(), Counter(), 0
+        yield _counts(raw, own, heads, pages)
 
     counted = checkpointed(lines.where("main").select("text", "region", "line").mapInArrow(count, "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n")))
     sums = {r["kind"]: r["n"] for r in counted.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
@@ -325,7 +370,7 @@ def learn(lines: DataFrame) -> Reader:
     lexicon = {r["word"]: r["n"] for r in counted.where((F.col("kind") == "w") & (F.col("n") >= least)).limit(MAX_LEXICON).collect()}
     for word in sorted(lexicon, key=lexicon.__getitem__):  # frequent misreadings of still more frequent words aren't trusted
         n = lexicon[word]
-        if any(lexicon.get(to, 0) >= 40 * n for _, _, to in Reader._undone(word)):
+        if any(lexicon.get(to, 0) >= 15 * n for _, _, to in Reader._undone(word)):
             del lexicon[word]
     sample = [r["word"] for r in counted.where((F.col("kind") == "w") & (F.col("n") >= max(2, least // 8)) & (F.length("word") >= 4)).orderBy(F.xxhash64("word")).limit(TRAIN_WORDS).collect()]
     sample = [w for w in sample if w in lexicon or not any(lexicon.get(to, 0) for _, _, to in Reader._undone(w))]
@@ -333,11 +378,15 @@ def learn(lines: DataFrame) -> Reader:
     for r in counted.where((F.col("kind") == "o") & (F.col("n") >= max(5, int(pages * 2e-3)))).limit(10_000).collect():
         a, c = r["word"].split(" ")
         own.setdefault(a, []).append(c)
-    heads = [r["word"] for r in counted.where((F.col("kind") == "h") & (F.col("n") >= max(HEAD_LEAST, int(pages * HEAD_SHARE)))).orderBy(F.desc("n")).limit(5_000).collect()]
+    heads = main_wordings({r["word"]: r["n"] for r in counted.where((F.col("kind") == "h") & (F.col("n") >= max(HEAD_LEAST, int(pages * HEAD_SHARE)))).orderBy(F.desc("n")).limit(5_000).collect()})
     return Reader(Editor.fit(sample), lexicon, own, heads)
 
 
-def _counts(words: Counter, own: Counter, heads: Counter, pages: int) -> pa.RecordBatch:
+def _counts(raw: Counter, own: Counter, heads: Counter, pages: int) -> pa.RecordBatch:
+    words: Counter[str] = Counter()
+    for token, n in raw.items():
+        for word in _PLAIN.findall(token):
+            words[word] += n
     rows = [("w", k, n) for k, n in words.items()] + [("o", k, n) for k, n in own.items()] + [("h", k, n) for k, n in heads.items()] + [("p", "", pages)]
     kinds, keys, ns = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys), pa.array(ns, pa.int64())], ["kind", "word", "n"])
@@ -345,13 +394,12 @@ def _counts(words: Counter, own: Counter, heads: Counter, pages: int) -> pa.Reco
 
 def judge_lines(lines: DataFrame, reader: Reader) -> DataFrame:
     """Each line with head, number, ends, left, right (its first word), first (misread first word) and other (misread elsewhere)."""
-    shared = lines.sparkSession.sparkContext.broadcast((reader.editor.w, reader.lexicon, reader.own, sorted(reader.heads)))
+    shared = lines.sparkSession.sparkContext.broadcast((reader.editor.w, reader.lexicon, reader.own, reader.heads))
     keep = ["field", "row_key", "volume", "doc_id", "at", "main"]
     schema = "field string, row_key string, volume string, doc_id string, at long, main boolean, head boolean, number boolean, ends int, left string, right string, first boolean, other boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, lexicon, own, heads = shared.value
-        r = Reader(Editor(w), lexicon, own, heads)
+        r = shared_reader(shared.value)
         for b in batches:
             out: list[tuple] = []
             for text, region, line in zip(b.column("text").to_pylist(), b.column("region").to_pylist(), b.column("line").to_pylist()):
@@ -382,6 +430,7 @@ def line_kinds(lines: DataFrame, reader: Reader) -> DataFrame:
     own = F.broadcast(lines.sparkSession.createDataFrame([(a, c) for a, cs in reader.own.items() for c in cs] or [("", "")], "left string, right string"))
     j = judge_lines(lines, reader).repartition("doc_id")
     j = j.groupBy("field", "doc_id", "row_key").agg(*[F.first(c).alias(c) for c in ("volume", "at", "main", "head", "number", "ends", "left", "right", "first", "other")])
+    j = checkpointed(j)  # read twice below
     body = F.col("main") & ~F.col("head") & ~F.col("number")
     w = Window.partitionBy("field", "doc_id").orderBy("at", "row_key")
     word = F.when(body, F.coalesce("right", F.lit("")))
@@ -442,7 +491,8 @@ def judge_text(reader: Reader, text: str) -> set[str]:
 
 
 def _short_head(line: str) -> bool:
-    return bool(_SHORT.match(_EDGE_NUMBER.sub("", line.strip()).strip()))
+    t = line.strip()
+    return len(t) < 48 and t.count(" ") < 8 and bool(_DIGIT.search(t)) and bool(_SHORT.match(_EDGE_NUMBER.sub("", t).strip()))
 
 
 def repair(reader: Reader, text: str) -> str:
@@ -475,11 +525,10 @@ def is_transcript(text: Column) -> Column:
 
 def text_kinds(records: DataFrame, key: str, text: str, field: str, reader: Reader) -> DataFrame:
     """(field, row_key, kind) of transcripts of several lines; null and single-line texts give nothing."""
-    shared = records.sparkSession.sparkContext.broadcast((reader.editor.w, reader.lexicon, reader.own, sorted(reader.heads)))
+    shared = records.sparkSession.sparkContext.broadcast((reader.editor.w, reader.lexicon, reader.own, reader.heads))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, lexicon, own, heads = shared.value
-        r = Reader(Editor(w), lexicon, own, heads)
+        r = shared_reader(shared.value)
         for b in batches:
             rows = [(field, k, kind) for k, t in zip(*(b.column(i).to_pylist() for i in range(2))) for kind in sorted(judge_text(r, t))]
             if rows:
@@ -493,12 +542,11 @@ def repair_texts(df: DataFrame, text: str, reader: Reader, to: str = "repaired")
     """Add the repaired text; null stays null, other columns stay."""
     from pyspark.sql import types as T
 
-    shared = df.sparkSession.sparkContext.broadcast((reader.editor.w, reader.lexicon, reader.own, sorted(reader.heads)))
+    shared = df.sparkSession.sparkContext.broadcast((reader.editor.w, reader.lexicon, reader.own, reader.heads))
     keep = [c for c in df.columns if c != to]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, lexicon, own, heads = shared.value
-        r = Reader(Editor(w), lexicon, own, heads)
+        r = shared_reader(shared.value)
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array([None if t is None else repair(r, t) for t in b.column(text).to_pylist()], pa.string())], [*keep, to])
 
