@@ -29,8 +29,9 @@ def hull(points: Column) -> Column:
 
 
 def grid(value: Column, size: Column) -> Column:
-    """A coordinate on the 0-1000 grid, halves to even; null for a size of zero."""
-    return F.greatest(F.lit(0), F.least(F.lit(GRID), F.rint(F.try_divide(value.cast("double"), size.cast("double")) * GRID).cast("int")))
+    """A coordinate on the 0-1000 grid, halves to even; null for a size of zero or a null value."""
+    at = F.rint(F.try_divide(value.cast("double"), size.cast("double")) * GRID).cast("int")
+    return F.when(at.isNotNull(), F.greatest(F.lit(0), F.least(F.lit(GRID), at)))
 
 
 def to_grid(box: Column, width: Column, height: Column) -> Column:

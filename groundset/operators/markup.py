@@ -28,7 +28,6 @@ ATTRIBUTES = {"doclang": ("version",), "default_resolution": ("width", "height")
 LEAST = {("thread", "thread_id"): 1, ("xref", "thread_id"): 1, ("heading", "level"): 1, ("field_heading", "level"): 1, ("location", "value"): 0, ("location", "resolution"): 1, ("default_resolution", "width"): 0, ("default_resolution", "height"): 0}
 VERSION = "0.7"
 NAMESPACE = "https://www.doclang.ai/ns/v0"
-LIMIT = 512  # the axis of locations where nothing is declared
 FIELDS = ("field_region", "field_item", "field_heading")
 _INLINE = FORMATTING + ("content",)
 _MIXED = _INLINE + HINTS + ("checkbox",)
@@ -249,9 +248,10 @@ def rule_box_order(n: DataFrame) -> DataFrame:
 
 
 def rule_location_limit(n: DataFrame) -> DataFrame:
+    """Locations below the declared size of their axis, or their own resolution; nothing declared, nothing to break."""
     size = _elements(n).where("tag = 'default_resolution'").groupBy("doc_id").agg(F.min_by(F.struct(F.col("attrs")["width"].try_cast("int").alias("w"), F.col("attrs")["height"].try_cast("int").alias("h")), "node_id").alias("s"))
     c = _corners(n).join(size, "doc_id", "left")
-    over = F.exists(F.transform("ls", lambda x, i: x["v"] >= F.coalesce(x["r"], F.when(i % 2 == 0, F.col("s.w")).otherwise(F.col("s.h")), F.lit(LIMIT))), lambda b: F.coalesce(b, F.lit(False)))
+    over = F.exists(F.transform("ls", lambda x, i: x["v"] >= F.coalesce(x["r"], F.when(i % 2 == 0, F.col("s.w")).otherwise(F.col("s.h")))), lambda b: F.coalesce(b, F.lit(False)))
     return _found(c.where(over), "location_limit", F.lit(""))
 
 

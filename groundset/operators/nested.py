@@ -137,6 +137,7 @@ def json_nodes(df: DataFrame, rid: Column, parts: list[str]) -> DataFrame:
         for b in batches:
             ids = b.column(0).to_pylist()
             rows: list[tuple] = []
+            size = 0  # signs of keys, which are long in deep texts
             for n, part in enumerate(parts):
                 for i, text in zip(ids, b.column(n + 1).to_pylist()):
                     if text is None:
@@ -145,10 +146,12 @@ def json_nodes(df: DataFrame, rid: Column, parts: list[str]) -> DataFrame:
                         root = load(text)
                     except ValueError:
                         continue
-                    rows.extend((i, part, *node) for node in label(part, root))
-                    if len(rows) >= 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
-                        rows = []
+                    for node in label(part, root):
+                        rows.append((i, part, *node))
+                        size += len(node[0]) + len(node[1])
+                        if len(rows) >= 20_000 or size > 1 << 25:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                            rows, size = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 

@@ -168,7 +168,26 @@ def config_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "run_configs").select("config_id", F.substring(F.sha1(js), 1, 8).alias("hash"))
 
 
+def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chat rows written as JSON lines and read again, every hundredth broken, by defect and shape."""
+    from groundset.sources.jsonl import typed_rows
+
+    line = F.to_json(F.struct("image", "prompt", "messages", "completion"))
+    raw = _sft(spark, sf_dir).select("record_id", F.when(F.col("record_id") % 100 == 0, F.concat(line, F.lit("}"))).otherwise(line).alias("raw"))
+    t = typed_rows(raw)
+    shape = F.coalesce("defect", F.when(F.col("messages").isNotNull(), "messages").when(F.col("prompt").isNotNull(), "prompt").otherwise("none"))
+    return t.groupBy(shape.alias("shape")).agg(F.count("*").alias("lines"), F.sum(F.coalesce(F.length("completion"), F.lit(0))).alias("characters"))
+
+
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by hour and type: what the streaming query computes, over the whole table."""
+    from groundset.streaming.files import event_windows as windows
+
+    return windows(table(spark, sf_dir, "events"), "ts").select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "events")
+
+
 QUERIES = {
+    "jsonl_scan": jsonl_scan, "event_windows": event_windows,
     "to_sft": to_sft, "to_dpo": to_dpo, "to_kto": to_kto, "to_grpo": to_grpo, "validate_messages": validate_messages, "validate_rows": validate_rows, "build_prompt": build_prompt, "legacy_prompt": legacy_prompt, "legacy_equiv": legacy_equiv,
     "sft_mix": sft_mix, "reward_default": reward_default, "image_lookup": image_lookup, "missing_images": missing_images, "skip_report": skip_report, "transcription": transcription, "nonblank_lines": nonblank_lines, "reading_order": reading_order,
     "transcription_map": transcription_map, "find_images": find_images, "sample_global": sample_global, "sample_lists": sample_lists, "sample_lists_relative": sample_lists_relative, "strip_ansi": strip_ansi_query, "xml_escape": xml_escape, "config_hash": config_hashes,
@@ -184,6 +203,8 @@ _STRIP = "regexp_replace(unicode, '^[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\pZ]+|[\\s
 _RLINE = "(SELECT doc_id, region_no, unnest(lines) AS l, generate_subscripts(lines, 1) AS k FROM (SELECT DISTINCT doc_id, region_no, lines FROM regions))"
 _PIC = "(SELECT stem AS doc_id, arg_min(path, ext || chr(1) || path) AS path FROM images WHERE stem IS NOT NULL GROUP BY stem)"
 ORACLE = {
+    "jsonl_scan": "SELECT CASE WHEN record_id % 100 = 0 THEN 'malformed' WHEN messages IS NOT NULL THEN 'messages' WHEN prompt IS NOT NULL THEN 'prompt' ELSE 'none' END AS shape, count(*) AS lines, CAST(sum(CASE WHEN record_id % 100 = 0 THEN 0 ELSE coalesce(length(completion), 0) END) AS BIGINT) AS characters FROM sft_records GROUP BY 1",
+    "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS events FROM events GROUP BY ALL",
     "to_sft": f"SELECT record_id, {_P}, 'assistant:text=' || completion AS completion FROM sft_records WHERE (messages IS NOT NULL OR prompt IS NOT NULL) AND completion IS NOT NULL AND (messages IS NULL OR ({_DEFECT}) IS NULL)",
     "to_grpo": f"SELECT record_id, {_P} FROM sft_records WHERE (messages IS NOT NULL OR prompt IS NOT NULL) AND (messages IS NULL OR ({_DEFECT}) IS NULL)",
     "to_dpo": f"SELECT record_id, {_L} AS prompt, coalesce(image, '') AS images, 'assistant:text=' || chosen AS chosen, 'assistant:text=' || rejected AS rejected FROM dpo_records WHERE prompt IS NOT NULL AND chosen IS NOT NULL AND rejected IS NOT NULL",

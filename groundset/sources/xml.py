@@ -126,13 +126,6 @@ def scan_documents(spark, path: str, suffixes: tuple[str, ...] = (".xml", ".dclg
     return out
 
 
-def scan_jsonl(spark, path: str, strict: bool = False) -> DataFrame:
-    """Lines of JSON: raw text and parsed value, blank lines left out. A broken line has a null value, or is an error in strict mode."""
-    raw = spark.read.text(path).select(strip(F.col("value")).alias("raw")).where(F.length("raw") > 0)
-    v = F.try_parse_json("raw")
-    return raw.withColumn("v", F.when(v.isNull(), F.raise_error(F.concat(F.lit("broken line: "), "raw"))).otherwise(v) if strict else v)
-
-
 def page_xml(regions: DataFrame, namespace: str = PAGE_NAMESPACE) -> DataFrame:
     """(doc_id, content): a page file from the regions of a page, in their order."""
     def points(b: Column) -> Column:
@@ -157,8 +150,8 @@ def page_lines(nodes: DataFrame) -> DataFrame:
     first Unicode element, null if there is none; lines outside regions have a null region_id.
     """
     line = nodes.where("tag = 'TextLine'").select("doc_id", F.col("node_id").alias("a"), F.col("subtree_end").alias("z"), "parent_id", F.coalesce(F.col("attrs")["id"], F.lit("None")).alias("line_id"), F.col("attrs")["custom"].alias("custom"))
-    inner = nodes.where("tag IN ('Coords', 'Baseline') OR (tag = '#text' AND path LIKE '%/TextEquiv/Unicode/#text')").select("doc_id", "node_id", "tag", "text", F.col("attrs")["points"].alias("points"), "path")
-    j = line.join(inner, "doc_id", "left").where("node_id IS NULL OR (node_id > a AND node_id <= z)")
+    inner = nodes.where("tag IN ('Coords', 'Baseline') OR (tag = '#text' AND path LIKE '%/TextEquiv/Unicode/#text')").select(F.col("doc_id").alias("d"), "node_id", "tag", "text", F.col("attrs")["points"].alias("points"), "path")
+    j = line.join(inner, (F.col("doc_id") == F.col("d")) & (F.col("node_id") > F.col("a")) & (F.col("node_id") <= F.col("z")), "left")
     out = j.groupBy("doc_id", "a", "parent_id", "line_id", "custom").agg(F.min_by("points", F.when(F.col("tag") == "Coords", F.col("node_id"))).alias("points"), F.min_by("text", F.when(F.col("tag") == "#text", F.col("node_id"))).alias("text"), F.min_by("points", F.when(F.col("tag") == "Baseline", F.col("node_id"))).alias("baseline"))
     region = nodes.where("tag = 'TextRegion'").select("doc_id", F.col("node_id").alias("parent_id"), F.coalesce(F.col("attrs")["id"], F.lit("None")).alias("region_id"))
     return out.join(region, ["doc_id", "parent_id"], "left").select("doc_id", "region_id", "line_id", F.col("a").alias("line_no"), "custom", "points", "baseline", "text")
