@@ -23,7 +23,7 @@ from groundset.session import checkpointed, small_rows, table
 
 RUN = 20
 ANCHORS = 4
-CANDIDATES = 6  # terms of a stretch that are indexed, before the corpus tells which are rarest
+CANDIDATES = 5  # terms of a stretch that are indexed, before the corpus tells which are rarest
 HITS = 2
 BAND = 8
 MAX_ITEMS = 200_000
@@ -81,17 +81,18 @@ def pairs(w: list[str]) -> list[str]:
     return [f"{a} {b}" for a, b in zip(w, w[1:])] or list(w)
 
 
-def choose(items: dict[int, list[str]], frequency: Callable[[str], tuple | int], each: int, run: int = RUN) -> dict[int, list[int]]:
+def choose(items: dict[int, list[str]], frequency: Callable[[str], tuple | int], each: int, run: int = RUN, only: dict[int, list[int]] | None = None) -> dict[int, list[int]]:
     """Positions of disjoint terms, the rarest ``each`` of every run of ``run`` words where there are so many.
 
     As chosen terms share no word, a run with e altered words keeps all but e of its terms.
+    ``only``: the positions to choose from.
     """
     out: dict[int, list[int]] = {}
     for item, terms in items.items():
         span = max(1, run - 1)
         need = [each] * max(1, len(terms) - span + 1)
         chosen: set[int] = set()
-        for p in sorted(range(len(terms)), key=lambda p: (frequency(terms[p]), p)):
+        for p in sorted(range(len(terms)) if only is None else only[item], key=lambda p: (frequency(terms[p]), p)):
             if p - 1 in chosen or p + 1 in chosen:
                 continue
             around = range(max(0, p - span + 1), min(len(need), p + 1))
@@ -166,8 +167,8 @@ def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str
 
     # rarest by the whole corpus: at most one row a term of the test items
     frequency = {r["term"]: r["n"] for r in index.groupBy("term").agg(F.sum(F.size("docs")).alias("n")).collect()}
-    anchors = choose(terms, lambda t: frequency.get(t, 0) if t in known else 1 << 60, ANCHORS, run)
-    anchor_rows = [(terms[i][p], i, p, min(HITS, len(ps))) for i, ps in anchors.items() for p in ps if terms[i][p] in known]
+    anchors = choose(terms, lambda t: frequency.get(t, 0), ANCHORS, run, candidates)
+    anchor_rows = [(terms[i][p], i, p, min(HITS, len(ps))) for i, ps in anchors.items() for p in ps]
     small = spark.createDataFrame(anchor_rows, "term string, item_id long, at int, need int")  # words of the test items only
 
     posting = index.join(F.broadcast(small.select("term").distinct()), "term", "left_semi").select("term", F.explode(F.arrays_zip("docs", "positions")).alias("p")).select("term", F.col("p.docs").alias("doc_id"), F.col("p.positions").alias("pos"))
