@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from groundset.session import checkpointed
+
 # The vocabulary, in its groups.
 ROOT = ("doclang", "head", "default_resolution", "meta", "page_break")
 SEMANTIC = ("text", "heading", "code", "formula", "caption", "page_header", "page_footer", "footnote", "list", "group", "field_region", "field_heading", "field_item", "key", "value", "picture", "table", "index")
@@ -327,7 +329,11 @@ STRUCTURAL_RULES = ("known_elements", "attribute_domain", "known_attributes", "w
 
 
 def violations(nodes: DataFrame, rules: tuple[str, ...] | None = None) -> DataFrame:
-    """(doc_id, rule, node_id, detail) of all rules, or of some; a document that can't be parsed breaks the rule well_formed."""
+    """(doc_id, rule, node_id, detail) of all rules, or of some; a document that can't be parsed breaks the rule well_formed.
+
+    The rules read the node table many times, so it is written once.
+    """
+    nodes = checkpointed(nodes)
     out = _found(nodes.where("error IS NOT NULL"), "well_formed", F.col("error"))
     for name in rules or tuple(RULES):
         out = out.unionByName(RULES[name](nodes))
