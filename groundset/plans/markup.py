@@ -137,8 +137,22 @@ QUERIES = {
     "declared_size": declared_size, "doclang_serialize": doclang_serialize, "doclang_shred": doclang_shred, "violations": violations, "markup_sft": markup_sft, "node_text": node_text, "four_locations": four_locations, "pairs_union": pairs_union,
     "coverage": coverage, "mutants": mutants, "inventory_diff": inventory_diff, "rule_xref_defined": _rule("xref_defined"), "rule_ancestry": _rule("ancestry"), "rule_box_order": _rule("box_order"), "rule_rectangular": _rule("rectangular"),
 }
+_LAST = "(SELECT doc_id, arg_max(head, (ingested_at, record_id)) AS head, arg_max(body, (ingested_at, record_id)) AS body FROM (SELECT doc_id, record_id, ingested_at, coalesce(head, '') AS head, coalesce(body, '') AS body FROM doclang_docs) GROUP BY doc_id)"
+_RENDERED = f"(SELECT * FROM {_LAST} WHERE json_valid(body) AND json_type(body) = 'ARRAY')"
+_CLASS = "CASE WHEN regexp_matches(region_id, '(^r|_0*)[12]$') THEN 2 ELSE 1 END"
 _R = "(SELECT DISTINCT doc_id, region_no, region_id, lines FROM regions)"
+_TYPED = f"(SELECT d.doc_id, json_extract_string(j.value, '$.type') AS type, json_extract_string(j.value, '$.text') AS text FROM {_RENDERED} d, json_tree(d.body) j WHERE j.type = 'OBJECT' UNION ALL SELECT d.doc_id, json_extract_string(j.value, '$.type'), NULL FROM {_RENDERED} d, json_tree(d.head) j WHERE d.head <> '' AND j.type = 'OBJECT')"
 ORACLE = {
+    "coverage": f"""WITH v AS (SELECT unnest([{", ".join(repr(t) for t in markup.VOCABULARY)}]) AS tag),
+u AS (SELECT doc_id, type AS tag FROM {_TYPED} WHERE type IS NOT NULL AND type <> 'text_chunk' UNION SELECT doc_id, 'content' FROM {_TYPED} WHERE type = 'text_chunk' AND regexp_matches(text, '^[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]|[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]$')
+  UNION SELECT doc_id, 'doclang' FROM {_RENDERED} UNION SELECT doc_id, 'head' FROM {_RENDERED} WHERE head NOT IN ('', 'null'))
+SELECT v.tag, count(DISTINCT u.doc_id) AS documents FROM v LEFT JOIN u ON u.tag = v.tag GROUP BY v.tag""",
+    "line_coords": "SELECT doc_id, region_id, l.line_id AS line_id, b.x1 || ',' || b.y1 || ' ' || b.x2 || ',' || b.y1 || ' ' || b.x2 || ',' || b.y2 || ' ' || b.x1 || ',' || b.y2 AS points FROM (SELECT doc_id, region_id, l, l.bbox AS b FROM (SELECT doc_id, region_id, unnest(lines) AS l FROM (SELECT DISTINCT doc_id, region_no, region_id, lines FROM regions))) WHERE b.x1 IS NOT NULL",
+    "baseline_coords": "SELECT doc_id, l.line_id AS line_id, CAST(2 AS BIGINT) AS n, greatest(l.bbox.y1, l.bbox.y2) AS y FROM (SELECT doc_id, unnest(lines) AS l FROM (SELECT DISTINCT doc_id, region_no, region_id, lines FROM regions)) WHERE l.bbox.x1 IS NOT NULL",
+    "class_coords": f"SELECT doc_id, region_id, {_CLASS} AS class_id, CAST(4 AS BIGINT) AS n_points FROM (SELECT DISTINCT doc_id, region_no, region_id, bbox FROM regions) WHERE bbox.x1 IS NOT NULL",
+    "declared_size": f"""SELECT DISTINCT doc_id, max(page_w) OVER (PARTITION BY doc_id) AS width, max(page_h) OVER (PARTITION BY doc_id) AS height FROM regions
+UNION ALL SELECT doc_id, CAST(w AS INTEGER), CAST(h AS INTEGER) FROM (SELECT doc_id, arg_min(json_extract_string(j.value, '$.width'), j.id) AS w, arg_min(json_extract_string(j.value, '$.height'), j.id) AS h
+  FROM {_RENDERED} d, json_each(d.head, '$.items') j WHERE d.head <> '' AND json_extract_string(j.value, '$.type') = 'default_resolution' AND json_extract_string(j.value, '$.width') IS NOT NULL AND json_extract_string(j.value, '$.height') IS NOT NULL GROUP BY doc_id)""",
     "page_round_trip": f"SELECT doc_id, region_id, l.line_id AS line_id, coalesce(l.text, '') AS text FROM (SELECT doc_id, region_id, unnest(lines) AS l FROM {_R})",
     "lines_with_coords": f"SELECT doc_id, region_id, l.line_id AS line_id, least(l.bbox.x1, l.bbox.x2) AS x1, least(l.bbox.y1, l.bbox.y2) AS y1, greatest(l.bbox.x1, l.bbox.x2) AS x2, greatest(l.bbox.y1, l.bbox.y2) AS y2 FROM (SELECT doc_id, region_id, unnest(lines) AS l FROM {_R}) WHERE l.bbox.x1 IS NOT NULL",
 }

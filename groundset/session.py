@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,3 +51,18 @@ def small_rows(df: DataFrame, bound: int, what: str) -> list:
     if len(rows) > bound:
         raise ValueError(f"{what} has more than {bound} rows; it isn't a control table")
     return rows
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the workers of a session, once; Spark serves the archive to executors that come later too."""
+    sc = spark.sparkContext
+    if getattr(sc, "_groundset_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    if root.is_dir():
+        archive = Path(tempfile.mkdtemp(prefix="groundset-")) / "groundset.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+    sc._groundset_shipped = True
