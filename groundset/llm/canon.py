@@ -172,4 +172,23 @@ def p1_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.unionByName(two).select("field", "id", "canonical").distinct()
 
 
+def _sql() -> str:
+    """The same mapping as SQL: sign by sign, then composed."""
+    q = lambda s: s.replace("'", "''")
+    one = [(a, b) for a, b in transducer().clusters.items() if len(a) == 1 and len(b) == 1]
+    gone = "".join(a for a, b in transducer().clusters.items() if len(a) == 1 and not b)
+    more = [(a, b) for a, b in transducer().clusters.items() if len(a) == 1 and len(b) > 1]
+    form = f"translate(t, '{q(''.join(a for a, _ in one))}{gone}', '{q(''.join(b for _, b in one))}')"
+    for a, b in more:
+        form = f"replace({form}, '{q(a)}', '{q(b)}')"
+    strip = lambda x: f"regexp_replace({x}, '^[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]+|[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]+$', '', 'g')"
+    return f"""WITH t AS (SELECT DISTINCT 'TextEquiv.Unicode' AS field, equiv_id AS id, unicode AS t FROM text_equivs UNION SELECT DISTINCT 'TextChunk.text', chunk_id, text FROM text_chunks),
+c AS (SELECT field, id, {strip("t")} AS raw, nullif({strip(f"nfc_normalize({form})")}, '') AS canonical FROM t)
+"""
+
+
 QUERIES = {"p1_found": p1_found, "p1_canonical": p1_canonical}
+ORACLE = {
+    "p1_found": _sql() + "SELECT a.field, a.id AS id_a, b.id AS id_b FROM c a JOIN c b ON a.field = b.field AND a.canonical = b.canonical AND a.id < b.id AND a.raw <> b.raw",
+    "p1_canonical": _sql() + "SELECT field, id, canonical FROM c",
+}

@@ -150,6 +150,9 @@ class Reader:
         self.head_set = frozenset(heads)
         self.head_words = frozenset(w for h in heads for w in h.split(" ") if len(w) > 3)
         self.head_most = max(map(len, heads), default=0) + 40
+        # words of running text, which no short title is made of
+        often = max(20, int(1e-4 * sum(lexicon.values())))
+        self.common = frozenset(w.casefold() for w, n in lexicon.items() if n >= often)
         self.cache: dict[str, str] = {}
         self.verdicts: dict[str, int] = {}
 
@@ -207,8 +210,10 @@ class Reader:
         core = head_core(t)
         if not core:
             return False
-        if first and _SHORT.match(_EDGE_NUMBER.sub("", t).strip()):
-            return True
+        if first and _SHORT.match(short := _EDGE_NUMBER.sub("", t).strip()):
+            place = re.match(r"[^\W\d_]+", short)
+            if place and place[0].casefold() not in self.common:
+                return True
         return skeleton_of(core) in self.head_set or near(core, self.heads)
 
     def number(self, text: str) -> bool:
@@ -349,7 +354,6 @@ def learn(lines: DataFrame) -> Reader:
         pages = 0
         for b in batches:
             for text, region, line in zip(*(b.column(k).to_pylist() for k in range(3))):
-                raw.update(text.split()[1:-1])
                 if "-" in text:
                     own.update(f"{a.lower()} {c.lower()}" for a, c in re.findall(r"([^\W\d_]+)-\s?([^\W\d_]+)", text))
                 if region == 0 and line is not None and line <= 1:
@@ -357,6 +361,8 @@ def learn(lines: DataFrame) -> Reader:
                     core = head_core(text)
                     if " " in core and len(core) >= 8:
                         heads[skeleton_of(core)] += 1
+                else:  # words of running text
+                    raw.update(text.split()[1:-1])
             if len(raw) > 200_000:
                 yield _counts(raw, own, heads, pages)
                 raw, own, heads, pages = Counter(), Counter(), Counter(), 0
