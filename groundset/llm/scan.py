@@ -176,7 +176,8 @@ class Reader:
             return word  # spelt with look-alikes, not misread
         mixed = bool(re.search(r"[^\W\d_][\d+!]|[\d+!][^\W\d_]", clean))
         best, margin = self.editor.edit(clean)
-        if best != clean and self.trusted(best):
+        name = clean[:1].isupper() and not clean.isupper() and not mixed  # names differ by single letters, so only a sure edit counts
+        if best != clean and self.trusted(best) and (not name or margin >= self.sure):
             return best
         # single and double confusions that lead to a trusted word, the likeliest by the editor
         found = [(self.editor.margin(f"\x02\x02{clean}\x03\x03", p, n), to) for p, n, to in self._undone(clean) if self.trusted(to)]
@@ -184,8 +185,7 @@ class Reader:
             found = [(0.0, to) for _, _, once in self._undone(clean) for _, _, to in self._undone(once) if to != clean and self.trusted(to)]
         if found:
             to = max(found)
-            capital = clean[:1].isupper() and not clean.isupper()
-            if not capital or mixed or to[0] > 0:
+            if not name or to[0] >= self.sure:
                 return to[1]
         if mixed:
             return best if best != clean else clean + "?"
