@@ -40,6 +40,8 @@ HEAD_SHARE = 4e-4  # of the pages, for a wording of running heads
 HEAD_LEAST = 4
 BLOCK_PAGES = 64
 MAX_LEXICON = 1_700_000
+#: How JSON, lists of boxes and markup start, for Spark: a list of lists, numbers, objects or strings, an object, a tag, comment or declaration.
+NO_TRANSCRIPT = r"""^\s*(?:\[\s*(?:\[\s*)*(?:-?[\d.]+\s*,|\{\s*["}]|"[^"]*"\s*[,\]]|\]\s*(?:,|\]|$))|\{\s*(?:"[^"]*"\s*:|\}\s*$)|</?[A-Za-z][\w:.-]*(?:\s*/?>|\s+[\w:.-]+\s*=)|<[!?])"""
 _WORD = re.compile(r"[+!]?[^\W_]+(?:[+!][^\W_]+)*(?:['’-][^\W_]+(?:[+!][^\W_]+)*)*\+?")
 _PLAIN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _NUMBER = re.compile(r"^[\[(\-—–·\s]*(?:(?i:fol|pag|p|s|bl|f)\.?\s*)?(?:(?=[^\d]*\d)[\dlIOo!S]{1,4}|[lI])\s*[rv]?[\])\-—–·.\s]*$|^[\[(\-—–·\s]*(?=[ivxlcdmIVXLCDM1!])[ivxlcdm1!]{1,80}[\])\-—–·.\s]*$|^[\[(\-—–·\s]*[IVXLCDM1]{1,15}[\])\-—–·.\s]*$")
@@ -525,8 +527,8 @@ def repair(reader: Reader, text: str) -> str:
 
 
 def is_transcript(text: Column) -> Column:
-    """Several lines that are neither markup nor a list of boxes."""
-    return text.contains("\n") & ~F.substring(F.ltrim(text), 1, 1).isin("<", "[", "{")
+    """Several lines that are neither markup nor JSON. A bracket alone is no sign of these, as leaf numbers stand in brackets."""
+    return text.contains("\n") & ~text.rlike(NO_TRANSCRIPT)
 
 
 def text_kinds(records: DataFrame, key: str, text: str, field: str, reader: Reader) -> DataFrame:

@@ -103,3 +103,13 @@ def test_tables(spark, reader):
     t = spark.createDataFrame([(1, "a\nb", "x"), (2, None, "x"), (None, "a-\nb", "x")], "k long, t string, repaired string")
     assert S.text_kinds(t, "k", "t", "F", reader).count() == 0
     assert {(x.k, x.repaired) for x in S.repair_texts(t, "t", reader).collect()} == {(1, "a b"), (2, None), (None, "ab")}
+
+
+def test_transcripts_that_start_with_a_bracket(spark, reader):
+    leaf = "[59]  Letters sent from Elwick.\nThe reeve mended the sad-\ndle of the stcward"
+    pages = [leaf, "[sic] the reeve\nthe chapel", "{torn} the reeve\nthe chapel", "<the reeve\nthe chapel>", '["the reeve" he said\nthe chapel']
+    other = ["[[1, 2, 3, 4],\n [5, 6, 7, 8]]", "[1, 2,\n3, 4]", '[\n{"a": 1}]', '["a",\n"b"]', '{"a":\n1}', "<text>\na</text>", '<text lang="de">\na</text>', "<br/>\na", "<!-- a\n-->", "[\n]", "one line"]
+    df = spark.createDataFrame(list(enumerate(pages + other)), "k long, t string")
+    assert {r.k for r in df.where(S.is_transcript(df.t)).collect()} == set(range(len(pages)))
+    got = {(r.row_key, r.kind) for r in S.text_kinds(df.where("k = 0"), "k", "t", "F", reader).collect()}
+    assert got == {("0", "running_head"), ("0", "hyphen_break"), ("0", "misread")}
