@@ -26,6 +26,7 @@ ANCHORS = 4
 CANDIDATES = 5  # terms of a stretch that are indexed, before the corpus tells which are rarest
 HITS = 2
 BAND = 8
+WAYS = ((1, 1), (1, 0), (0, 1), (1, 2), (2, 1))  # words of the item and of the document that an alteration takes up
 MAX_ITEMS = 200_000
 _WORD = re.compile(r"[^\W_]+")
 _BREAK = re.compile(r"(?<=[^\W\d_])[-¬‐\u00ad⸗][ \t]*\n[ \t>]*(?=[^\W\d_])")
@@ -46,31 +47,28 @@ def words(text: str) -> list[str]:
 def run_length(item: list[str], doc: list[str], i: int, j: int) -> int:
     """Words of the item in a row that stand in the document around item[i] = doc[j].
 
-    A word may be altered, missing, added, split or joined if the words next to it agree.
+    A word may be altered, missing, added, split or joined if the word next to it agrees; of
+    several ways to go on, one after which two words agree comes first.
     """
 
-    def agree(a: int, b: int, step: int) -> bool:
+    def agree(a: int, b: int, step: int, least: int) -> bool:
         n = 0
-        while n < 2 and 0 <= a < len(item) and 0 <= b < len(doc):
+        while n < least and 0 <= a < len(item) and 0 <= b < len(doc):
             if item[a] != doc[b]:
                 return False
             a, b, n = a + step, b + step, n + 1
         return n > 0
 
     def side(a: int, b: int, step: int) -> int:
-        span, since = 0, 1
+        span = 0
         while 0 <= a < len(item) and 0 <= b < len(doc):
             if item[a] == doc[b]:
-                a, b, span, since = a + step, b + step, span + 1, since + 1
+                a, b, span = a + step, b + step, span + 1
                 continue
-            if not since:
-                break
-            for da, db in ((1, 1), (1, 0), (0, 1), (1, 2), (2, 1)):
-                if agree(a + da * step, b + db * step, step):
-                    a, b, span, since = a + da * step, b + db * step, span + da, 0
-                    break
-            else:
+            way = next(((da, db) for least in (2, 1) for da, db in WAYS if agree(a + da * step, b + db * step, step, least)), None)
+            if way is None:
                 break
+            a, b, span = a + way[0] * step, b + way[1] * step, span + way[0]
         return span
 
     return side(i, j, 1) + side(i - 1, j - 1, -1)

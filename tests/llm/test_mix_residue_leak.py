@@ -112,6 +112,13 @@ def test_leaks_against_brute_force(spark, vocabulary):
     assert L.find_leaks(df.limit(0), "doc_id", "text", tests, "item_id", "text").count() == 0
 
 
+def test_run_goes_on_at_one_agreeing_word():
+    item = [f"w{i}x" for i in range(20)]
+    for altered in ([5, 7], [4, 6, 11], [3, 5, 7, 12], [3, 5, 7, 12, 14]):
+        doc = ["zzz" if i in altered else w for i, w in enumerate(item)]
+        assert L.run_length(item, doc, 0, 0) == L.run_length(item, doc, 19, 19) == 20
+
+
 def test_words():
     assert L.words("The “Pärch-\n> ment”, of\nJuly!") == ["the", "parchment", "of", "july"]
     assert L.words("a​b é") == ["ab", "e"]
