@@ -1,17 +1,15 @@
 """Problem 8: passages of held-out items inside a corpus.
 
-A positional inverted index is stored in segments: for each term (a pair of neighbouring
-words) that may anchor a test item, the documents and positions where it stands. Document frequencies from the index tell
-which terms are rarest; every stretch of RUN words of an item keeps its ANCHORS rarest ones.
-Their lists are read, offset by the item's positions and intersected: two anchors on nearly
-the same diagonal make a candidate, whose words are then aligned exactly.
+The terms of the test items are pairs of neighbouring words. A first pass counts them all in
+the corpus; every stretch of RUN words of an item keeps its ANCHORS rarest ones that share no
+word. A second pass aligns the words around each anchor in each document exactly, all places
+of a group of documents at once, so no posting and no text is shuffled.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundset.session import checkpointed, small_rows, table
+from groundset.session import small_rows, table
 
 RUN = 20
-ANCHORS = 4
-CANDIDATES = 5  # terms of a stretch that are indexed, before the corpus tells which are rarest
-HITS = 2
-BAND = 8
+ANCHORS = 6  # terms of a stretch; as they share no word, a run with fewer altered words keeps one
 WAYS = ((1, 1), (1, 0), (0, 1), (1, 2), (2, 1))  # words of the item and of the document that an alteration takes up
+ITEM_END, DOC_END = -3, -2
+GROUP_WORDS = 200_000
+MEETINGS = 1 << 19  # of anchors and documents that are aligned at once
 MAX_ITEMS = 200_000
 _WORD = re.compile(r"[^\W_]+")
 _BREAK = re.compile(r"(?<=[^\W\d_])[-¬‐\u00ad⸗][ \t]*\n[ \t>]*(?=[^\W\d_])")
@@ -74,23 +72,47 @@ def run_length(item: list[str], doc: list[str], i: int, j: int) -> int:
     return side(i, j, 1) + side(i - 1, j - 1, -1)
 
 
+def run_lengths(items: np.ndarray, docs: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """run_length for many places at once; words are numbers, texts are parted by two ends (ITEM_END, DOC_END)."""
+
+    def side(a: np.ndarray, b: np.ndarray, step: int) -> np.ndarray:
+        span, live = np.zeros(len(a), np.int64), np.arange(len(a))
+        while len(live):
+            x, y = items[a], docs[b]
+            da, db = np.where(x == y, 1, 0), np.where(x == y, 1, 0)
+            open_ = np.flatnonzero((x != y) & (x != ITEM_END) & (y != DOC_END))
+            for least in (2, 1):
+                for wa, wb in WAYS:
+                    p, q = a[open_] + wa * step, b[open_] + wb * step
+                    ok = items[p] == docs[q]
+                    if least == 2:
+                        x, y = items[p + ok * step], docs[q + ok * step]
+                        ok &= (x == y) | (x == ITEM_END) | (y == DOC_END)
+                    da[open_[ok]], db[open_[ok]] = wa, wb
+                    open_ = open_[~ok]
+            on = (da > 0) | (db > 0)
+            live, a, b = live[on], (a + da * step)[on], (b + db * step)[on]
+            span[live] += da[on]
+        return span
+
+    return side(i, j, 1) + side(i - 1, j - 1, -1)
+
+
 def pairs(w: list[str]) -> list[str]:
     """The terms of the index: pairs of neighbouring words; a text of one word has that word as its term."""
     return [f"{a} {b}" for a, b in zip(w, w[1:])] or list(w)
 
 
-def choose(items: dict[int, list[str]], frequency: Callable[[str], tuple | int], each: int, run: int = RUN, only: dict[int, list[int]] | None = None) -> dict[int, list[int]]:
+def choose(items: dict[int, list[str]], frequency: Callable[[str], tuple | int], each: int, run: int = RUN) -> dict[int, list[int]]:
     """Positions of disjoint terms, the rarest ``each`` of every run of ``run`` words where there are so many.
 
-    As chosen terms share no word, a run with e altered words keeps all but e of its terms.
-    ``only``: the positions to choose from.
-    """
+    As chosen terms share no word, a run with e altered words keeps all but e of its terms.    """
     out: dict[int, list[int]] = {}
     for item, terms in items.items():
         span = max(1, run - 1)
         need = [each] * max(1, len(terms) - span + 1)
         chosen: set[int] = set()
-        for p in sorted(range(len(terms)) if only is None else only[item], key=lambda p: (frequency(terms[p]), p)):
+        for p in sorted(range(len(terms)), key=lambda p: (frequency(terms[p]), p)):
             if p - 1 in chosen or p + 1 in chosen:
                 continue
             around = range(max(0, p - span + 1), min(len(need), p + 1))
@@ -102,47 +124,69 @@ def choose(items: dict[int, list[str]], frequency: Callable[[str], tuple | int],
     return out
 
 
-def build_index(docs: DataFrame, key: str, text: str, terms: set[str]) -> DataFrame:
-    """(term, docs, positions): segments of the positional index of ``terms`` over all documents, one set for each batch of rows."""
-    names = sorted(terms)
-    vocabulary = {w: i for i, w in enumerate(sorted({w for t in terms for w in t.split(" ")}))}
-    size = len(vocabulary) + 1
-    codes = np.array([vocabulary[t.split(" ")[0]] * size + (vocabulary[t.split(" ")[1]] if " " in t else size - 1) for t in names], np.int64)
-    order = np.argsort(codes)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, codes[order], np.array(names, object)[order]))  # words of the test items only
+class Terms:
+    """Terms of the test items as sorted numbers, and where they stand in a batch of texts."""
+
+    def __init__(self, vocabulary: dict[str, int], terms: list[str]) -> None:
+        self.vocabulary, self.size = vocabulary, len(vocabulary) + 1
+        # the second word of a term of one word is the number behind the last word
+        codes = np.array([vocabulary[a] * self.size + (vocabulary[b] if b else self.size - 1) for a, _, b in (t.partition(" ") for t in terms)], np.int64)
+        self.order = np.argsort(codes)
+        self.codes, self.single = codes[self.order], bool((codes % self.size == self.size - 1).any())
+
+    def numbers(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """All words as numbers (-1: in no item), each text between two ends, and where the texts start."""
+        get, ids, starts = self.vocabulary.get, [DOC_END, DOC_END], []
+        for w in texts:
+            starts.append(len(ids))
+            ids += [get(x, -1) for x in w]
+            ids += [DOC_END, DOC_END]
+        return np.array(ids, np.int64), np.array(starts, np.int64)
+
+    def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, number of the term) of all terms."""
+        found = [np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * self.size + ids[1:], -1)]
+        if self.single:
+            found.append(np.where(ids >= 0, ids * self.size + self.size - 1, -1))
+        places, numbers = [], []
+        for code in found:
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            where = np.flatnonzero(self.codes[at] == code)
+            places.append(where)
+            numbers.append(self.order[at[where]])
+        return np.concatenate(places), np.concatenate(numbers)
+
+
+def _groups(b: pa.RecordBatch) -> Iterator[tuple[list[int], list[list[str]]]]:
+    """Keys and words of the texts of a batch, some GROUP_WORDS words at a time; null ones are left out."""
+    keys, texts, n = [], [], 0
+    for key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        if key is not None and t is not None:
+            keys.append(key)
+            texts.append(words(t))
+            n += len(texts[-1])
+            if n >= GROUP_WORDS:
+                yield keys, texts
+                keys, texts, n = [], [], 0
+    if keys:
+        yield keys, texts
+
+
+def term_counts(docs: DataFrame, key: str, text: str, vocabulary: dict[str, int], names: list[str]) -> dict[str, int]:
+    """How often each term of the test items stands in all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, names))  # the query set
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, codes, names = shared.value
-        get = known.get
+        terms = Terms(*shared.value)
+        n = np.zeros(len(terms.codes), np.int64)
         for b in batches:
-            keys, lengths, ids = [], [], []
-            for doc, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if t is not None and doc is not None:
-                    w = words(t)
-                    ids += [get(x, -1) for x in w]
-                    ids.append(-2 if len(w) != 1 else size - 1)  # no term reaches into the next document
-                    keys.append(doc)
-                    lengths.append(len(w) + 1)
-            if not ids:
-                continue
-            a = np.array(ids, np.int64)
-            code = np.where((a[:-1] >= 0) & (a[1:] >= 0), a[:-1] * size + a[1:], -1)
-            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            where = np.flatnonzero(codes[at] == code)
-            if not len(where):
-                continue
-            starts = np.concatenate([[0], np.cumsum(lengths)])
-            doc = np.searchsorted(starts, where, side="right") - 1
-            by = np.argsort(at[where], kind="stable")
-            where, doc, term = where[by], doc[by], at[where][by]
-            first = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
-            offsets = pa.array(np.concatenate([first, [len(term)]]), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names[term[first]].tolist(), pa.string()), pa.ListArray.from_arrays(offsets, pa.array(np.array(keys, np.int64)[doc])), pa.ListArray.from_arrays(offsets, pa.array((where - starts[doc]).astype(np.int32)))],
-                ["term", "docs", "positions"],
-            )
+            for _, texts in _groups(b):
+                n += np.bincount(terms.find(terms.numbers(texts)[0])[1], minlength=len(n))
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(n[some], pa.int64())], ["term", "n"])
 
-    return docs.select(F.col(key).cast("long"), text).mapInArrow(run, "term string, docs array<long>, positions array<int>")
+    counted = docs.select(F.col(key).cast("long"), text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return {names[r["term"]]: r["n"] for r in counted.collect()}  # at most one row a term of the test items
 
 
 def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str, passage: str, run: int = RUN) -> DataFrame:
@@ -157,48 +201,43 @@ def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str
     if not items:
         return spark.createDataFrame([], "doc_id long, item_id long, words int")
     terms = {i: pairs(w) for i, w in items.items()}
-    own = Counter(t for ts in terms.values() for t in set(ts))
-    single = Counter(x for w in items.values() for x in set(w))
-    candidates = choose(terms, lambda t: (own[t], sum(single[x] for x in t.split(" "))), CANDIDATES, run)
-    known = {terms[i][p] for i, ps in candidates.items() for p in ps}
-    index = checkpointed(build_index(docs, key, text, known))
-
-    # rarest by the whole corpus: at most one row a term of the test items
-    frequency = {r["term"]: r["n"] for r in index.groupBy("term").agg(F.sum(F.size("docs")).alias("n")).collect()}
-    anchors = choose(terms, lambda t: frequency.get(t, 0), ANCHORS, run, candidates)
-    anchor_rows = [(terms[i][p], i, p, min(HITS, len(ps))) for i, ps in anchors.items() for p in ps]
-    small = spark.createDataFrame(anchor_rows, "term string, item_id long, at int, need int")  # words of the test items only
-
-    posting = index.join(F.broadcast(small.select("term").distinct()), "term", "left_semi").select("term", F.explode(F.arrays_zip("docs", "positions")).alias("p")).select("term", F.col("p.docs").alias("doc_id"), F.col("p.positions").alias("pos"))
-    met = posting.join(F.broadcast(small), "term").select("doc_id", "item_id", "at", "pos", "need", (F.col("pos") - F.col("at")).alias("diagonal"))
-    met = met.withColumn("band", F.explode(F.array(2 * F.floor(F.col("diagonal") / BAND), 2 * F.floor((F.col("diagonal") + BAND // 2) / BAND) + 1)))
-    hits = met.groupBy("doc_id", "item_id", "band").agg(F.collect_set(F.struct("at", "pos")).alias("hits"), F.max("need").alias("need"))
-    hits = hits.where(F.size(F.array_distinct(F.transform("hits", lambda h: h["at"]))) >= F.col("need"))
-    per_doc = hits.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "hits")).alias("c"))
-    joined = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("_text")).join(per_doc, "doc_id").select("doc_id", "_text", "c")
-    shared = spark.sparkContext.broadcast(items)  # the query set
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = shared.value
+    vocabulary = {x: n for n, x in enumerate(sorted({x for w in items.values() for x in w}))}
+    frequency = term_counts(docs, key, text, vocabulary, sorted({t for ts in terms.values() for t in ts}))
+    anchors = choose(terms, lambda t: frequency.get(t, 0), ANCHORS, run)
+
+    # the items as one row of numbers between ends, and for each anchor term the places where it stands in them
+    row, owner, need, at = [ITEM_END, ITEM_END], [-1, -1], [], {}
+    for n, (i, w) in enumerate(items.items()):
+        for p in anchors[i]:
+            at.setdefault(terms[i][p], []).append(len(row) + p)
+        row += [vocabulary[x] for x in w] + [ITEM_END, ITEM_END]
+        owner += [n] * (len(w) + 2)
+        need.append(min(run, len(w)))
+    names = sorted(at)
+    first = np.cumsum([0] + [len(at[t]) for t in names])
+    arrays = (np.array(row, np.int64), np.array(owner, np.int64), np.array(need, np.int64), np.array(list(items), np.int64), first, np.array([p for t in names for p in at[t]], np.int64))
+    shared = spark.sparkContext.broadcast((vocabulary, names, arrays))  # the query set
+
+    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, names, (row, owner, need, ids, first, places) = shared.value
+        anchor = Terms(vocabulary, names)
         for b in batches:
-            out: list[tuple[int, int, int]] = []
-            for doc, t, cands in zip(*(b.column(k).to_pylist() for k in range(3))):
-                d = words(t)
-                best: dict[int, int] = {}
-                for c in cands:
-                    i = c["item_id"]
-                    target = len(w[i])
-                    for h in c["hits"]:
-                        if best.get(i, 0) >= target:
-                            break
-                        a, p = h["at"], h["pos"]
-                        if p < len(d) and d[p] == w[i][a]:
-                            best[i] = max(best.get(i, 0), run_length(w[i], d, a, p))
-                out += [(doc, i, n) for i, n in best.items() if n >= min(run, len(w[i]))]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32()))], ["doc_id", "item_id", "words"])
-
-    return joined.mapInArrow(verify, "doc_id long, item_id long, words int").groupBy("doc_id", "item_id").agg(F.max("words").alias("words"))
+            for keys, texts in _groups(b):
+                numbers, starts = anchor.numbers(texts)
+                where, term = anchor.find(numbers)
+                size = first[term + 1] - first[term]
+                step = np.cumsum(size) // MEETINGS
+                for part in np.split(np.arange(len(where)), np.flatnonzero(np.diff(step)) + 1):
+                    n = size[part]
+                    j = np.repeat(where[part], n)
+                    i = places[np.arange(len(j)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[term[part]], n)]
+                    length = run_lengths(row, numbers, i, j)
+                    held = np.flatnonzero(length >= need[owner[i]])
+                    if len(held):
+                        doc = np.searchsorted(starts, j[held], side="right") - 1
+                        yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.int64)[doc]), pa.array(ids[owner[i[held]]]), pa.array(length[held].astype(np.int32))], ["doc_id", "item_id", "words"])
+
+    return docs.select(F.col(key).cast("long"), text).mapInArrow(align, "doc_id long, item_id long, words int").groupBy("doc_id", "item_id").agg(F.max("words").alias("words"))
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
