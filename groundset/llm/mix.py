@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -122,6 +123,13 @@ def apportion(targets: list[tuple[str, float, int]], supply: dict[str, int], blo
     return {s: (q, block) for (s, _, _), q in zip(live, seats)}
 
 
+def split(total: int, supply: list[int]) -> list[int]:
+    """Whole numbers in proportion to the supply that add up to the total; none is above supply * r if the total is at most sum(supply) * r."""
+    until = [0, *accumulate(supply)]
+    ends = [u * total // until[-1] for u in until]
+    return [b - a for a, b in zip(ends, ends[1:])]
+
+
 def mixture(sizes: DataFrame, targets: DataFrame, seed: int = 7, block: int = BLOCK_TOKENS) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
     """(doc_id, source, tokens, copies) with copies >= 1, and the blocks of each source.
 
@@ -134,22 +142,21 @@ def mixture(sizes: DataFrame, targets: DataFrame, seed: int = 7, block: int = BL
     docs = sizes.where("source IS NOT NULL AND tokens > 0 AND doc_id IS NOT NULL").select("doc_id", "source", "tokens")
     docs = docs.where(F.col("source").isin([s for s, _, _ in wanted]))
     docs = checkpointed(docs)
-    shards = max(1, -(-docs.count() // ROWS_PER_SHARD))
+    counts = docs.groupBy("source").agg(F.count("*").alias("n")).collect()  # at most MAX_SOURCES rows
+    shards = docs.sparkSession.createDataFrame([(r["source"], -(-r["n"] // ROWS_PER_SHARD)) for r in counts], "source string, shards long")
     key = F.xxhash64(F.lit(seed), F.col("doc_id"))
-    docs = docs.withColumn("key", key).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.lit(shards)).cast("int"))
+    docs = docs.join(F.broadcast(shards), "source").withColumn("key", key).withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), F.col("shards")).cast("int")).drop("shards")
     per_shard = docs.groupBy("source", "shard").agg(F.sum("tokens").alias("supply"))
     supply = {r["source"]: r["n"] for r in per_shard.groupBy("source").agg(F.sum("supply").alias("n")).collect()}  # at most MAX_SOURCES rows
     blocks = apportion(wanted, supply, block)
-    repeats = {s: r for s, _, r in wanted}
 
     def quotas(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Whole blocks of one source for each of its shards; its rows are the shards, one for ROWS_PER_SHARD documents."""
+        """The tokens of one source's blocks for each of its shards, in proportion; its rows are the shards, one for ROWS_PER_SHARD of its documents."""
         source = pdf["source"].iloc[0]
         n, size = blocks.get(source, (0, 1))
         pdf = pdf.sort_values("shard")
         have = pdf["supply"].astype(int).tolist()
-        given = sainte_lague([float(x) for x in have], n, [x * repeats[source] // size for x in have])
-        return pd.DataFrame({"source": source, "shard": pdf["shard"], "supply": have, "want": [g * size for g in given]})
+        return pd.DataFrame({"source": source, "shard": pdf["shard"], "supply": have, "want": split(n * size, have)})
 
     q = per_shard.groupBy("source").applyInPandas(quotas, "source string, shard int, supply long, want long")
     w = Window.partitionBy("source", "shard").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)

@@ -44,6 +44,25 @@ def test_mixture(spark):
     assert X.mixture(sizes.limit(0), targets)[0].count() == 0
 
 
+def test_shards_place_all_blocks(spark, monkeypatch):
+    rng = random.Random(9)
+    for _ in range(200):
+        supply, r = [rng.randint(1, 90) for _ in range(rng.randint(1, 9))], rng.randint(1, 4)
+        total = rng.randint(0, sum(supply) * r)
+        got = X.split(total, supply)
+        assert sum(got) == total and all(0 <= g <= s * r for g, s in zip(got, supply))
+    monkeypatch.setattr(X, "ROWS_PER_SHARD", 20)
+    sizes = spark.createDataFrame([(i, s, rng.randint(1, 60)) for i, s in enumerate(["a"] * 1500 + ["b"] * 100 + ["c"] * 10)], "doc_id long, source string, tokens long")
+    targets = spark.createDataFrame([("a", 0.9, 3), ("b", 0.09, 2), ("c", 0.01, 3)], "source string, target_share double, max_repeats int")
+    mix, blocks = X.mixture(sizes, targets, block=256)
+    got = {s: sum(r.tokens * r.copies for r in mix.collect() if r.source == s) for s in "abc"}
+    for s, shards in (("a", 75), ("b", 5), ("c", 1)):
+        n, size = blocks[s]
+        assert n and abs(got[s] - n * size) <= 30 * shards
+        assert abs(got[s] / sum(got.values()) - {"a": 0.9, "b": 0.09, "c": 0.01}[s]) < 0.003
+    assert all(r.copies <= {"a": 3, "b": 2, "c": 3}[r.source] for r in mix.collect())
+
+
 def test_counts_of_runs_are_counts_of_the_whole(spark):
     text = "The reeve's 17 marks, noted.\n\nÄpfel und Öl  im Jahre 1588; " * 400
     df = spark.createDataFrame([(1, text, 3), (2, None, 3), (3, "", 3)], "doc_id long, text string, tokens int")
