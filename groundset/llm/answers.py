@@ -104,7 +104,7 @@ def _aligns(sentence: list[str], template: list[str], more: int) -> bool:
 def is_refusal(answer: str) -> bool:
     """Every sentence aligns with a refusal, opening or closing template, and at least one with a refusal."""
     low = answer.lower().replace("’", "'")
-    if len(low) > 600 or not _INABILITY.search(low):
+    if not _INABILITY.search(low):
         return False
     refused = False
     for sentence in _SENTENCE.split(low.strip()):
@@ -173,15 +173,15 @@ def defect(question: str | None, answer: str | None) -> str | None:
     if is_refusal(answer):
         return "refusal"
     asked = tokens(question)
-    short = len(answer) <= 4 * len(question) + 40
-    if short and is_copy(asked, tokens(answer)):
+    given = tokens(answer)
+    if is_copy(asked, given):
         return "copy_of_prompt"
     if breaks_off(answer, question):
         return "truncated"
     if question and not READING.search(question) and not TRANSLATION.search(question) and answer.lstrip()[:1] not in ("[", "<"):
         wanted = {lang for lang, p in ASKED.items() if re.search(p, question)}
         spoken = language(asked, 1, 1.01)
-        said = language(tokens(answer)) if spoken else None
+        said = language(given) if spoken else None
         if said and said != spoken and said not in wanted:
             return "other_language"
     return None

@@ -22,6 +22,13 @@ def test_defect(q, a, want):
     assert A.defect(q, a) == want
 
 
+def test_long_copies_and_refusals():
+    assert A.defect(Q, " ".join([Q] * 5)) == A.defect(Q, "\n".join([Q] * 60)) == "copy_of_prompt"
+    no = "Sorry — my rules do not let me read this image. Please try another page. "
+    assert A.defect(Q, no) == A.defect(Q, no * 20) == "refusal"
+    assert A.defect(Q, " ".join([Q] * 5) + " The reeve paid the steward of the manor for the repair of the roof and of the old barn beside the river in spring.") is None
+
+
 def test_subsequence_against_brute_force():
     rng = random.Random(2)
     for _ in range(200):
