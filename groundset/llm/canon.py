@@ -79,7 +79,7 @@ class Transducer:
         return U.normalize("NFC", "".join(self.clusters.get(c, c) for c in base))
 
     def apply(self, text: str) -> str:
-        if text.isascii() and "\t" not in text:
+        if text.isascii() and text.isprintable():  # none of the control signs that stand for blanks
             return text
         out = self.trigger.sub(lambda m: self.cluster(m[0]), text)
         if out.isascii():

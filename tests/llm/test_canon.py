@@ -18,6 +18,11 @@ def test_different(a, b):
     assert canonical(a) != canonical(b)
 
 
+@pytest.mark.parametrize("sign", "\t\n\r\x0b\x0c")
+def test_inner_control_signs_are_blanks(sign):
+    assert canonical(f"a{sign}b") == canonical("a b") == canonical(f"ａ{sign}b") == "a b"
+
+
 def test_idempotent_and_whole():
     t = transducer()
     for s in [x for p in SAME + DIFFERENT for x in p] + ["", " ", "́", "x" * 200_000 + "ｅ"]:
