@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from groundset.llm.canon import transducer
-from groundset.session import checkpointed, table
+from groundset.session import checkpointed, small_rows, table
 
 #: What a scanner reads (second) for what is printed (first).
 CONFUSIONS = (
@@ -40,6 +40,7 @@ HEAD_SHARE = 4e-4  # of the pages, for a wording of running heads
 HEAD_LEAST = 4
 BLOCK_PAGES = 64
 MAX_LEXICON = 1_700_000
+MAX_OWN = 300_000  # compounds with a hyphen: at most 600 for each one a page holds on average, as each stands on a share of 2e-3 and 5 times
 #: How JSON, lists of boxes and markup start, for Spark: a list of lists, numbers, objects or strings, an object, a tag, comment or declaration.
 NO_TRANSCRIPT = r"""^\s*(?:\[\s*(?:\[\s*)*(?:-?[\d.]+\s*,|\{\s*["}]|"[^"]*"\s*[,\]]|\]\s*(?:,|\]|$))|\{\s*(?:"[^"]*"\s*:|\}\s*$)|</?[A-Za-z][\w:.-]*(?:\s*/?>|\s+[\w:.-]+\s*=)|<[!?])"""
 _WORD = re.compile(r"[+!]?[^\W_]+(?:[+!][^\W_]+)*(?:['’-][^\W_]+(?:[+!][^\W_]+)*)*\+?")
@@ -383,7 +384,7 @@ def learn(lines: DataFrame) -> Reader:
     sample = [r["word"] for r in counted.where((F.col("kind") == "w") & (F.col("n") >= max(2, least // 8)) & (F.length("word") >= 4)).orderBy(F.xxhash64("word")).limit(TRAIN_WORDS).collect()]
     sample = [w for w in sample if w in lexicon or not any(lexicon.get(to, 0) for _, _, to in Reader._undone(w))]
     own: dict[str, list[str]] = {}
-    for r in counted.where((F.col("kind") == "o") & (F.col("n") >= max(5, int(pages * 2e-3)))).limit(10_000).collect():
+    for r in small_rows(counted.where((F.col("kind") == "o") & (F.col("n") >= max(5, int(pages * 2e-3)))), MAX_OWN, "the list of compounds with hyphens"):
         a, c = r["word"].split(" ")
         own.setdefault(a, []).append(c)
     heads = main_wordings({r["word"]: r["n"] for r in counted.where((F.col("kind") == "h") & (F.col("n") >= max(HEAD_LEAST, int(pages * HEAD_SHARE)))).orderBy(F.desc("n")).limit(5_000).collect()})
@@ -443,7 +444,9 @@ def line_kinds(lines: DataFrame, reader: Reader) -> DataFrame:
     w = Window.partitionBy("field", "doc_id").orderBy("at", "row_key")
     word = F.when(body, F.coalesce("right", F.lit("")))
     state = F.when(body, F.struct("ends", "left"))
-    j = j.withColumn("next", F.first(word, True).over(w.rowsBetween(1, 8))).withColumn("prev", F.last(state, True).over(w.rowsBetween(-8, -1)))
+    back = Window.partitionBy("field", "doc_id").orderBy(F.desc("at"), F.desc("row_key"))
+    before = (Window.unboundedPreceding, -1)  # in both orders, so that the frames only grow
+    j = j.withColumn("next", F.last(word, True).over(back.rowsBetween(*before))).withColumn("prev", F.last(state, True).over(w.rowsBetween(*before)))
     # the first body line of each page, with the last one's state, for the pages around it
     page_no = F.coalesce(F.regexp_extract("doc_id", r"(\d+)$", 1).try_cast("long"), F.lit(0).cast("long"))
     pages = j.where(body).groupBy("field", "volume", "doc_id").agg(F.min_by(F.coalesce("right", F.lit("")), "at").alias("opens"), F.max_by(F.struct("ends", "left"), "at").alias("closes"))

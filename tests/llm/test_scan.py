@@ -86,6 +86,24 @@ def test_lines_across_pages(spark, reader):
     assert got == {("1", "running_head"), ("2", "hyphen_break"), ("3", "hyphen_break"), ("4", "running_head"), ("5", "page_number")} | ({("7", "misread")} if reader.corrected("counteb") != "counteb" else set())
 
 
+def test_many_furniture_lines_in_a_row(spark, reader):
+    rows = [("p_0001", 1, 0, 1, "the reeve mended the sad-"), *[("p_0001", 1, k, 1 + k, str(k)) for k in range(1, 13)]]
+    got = {(r.row_key, r.kind) for r in S.line_kinds(_lines(spark, rows), reader).collect()}
+    assert ("0", "hyphen_break") not in got and len(got) == 12
+    j = S.line_kinds(_lines(spark, [*rows, ("p_0001", 1, 13, 14, "dle of the steward")]), reader).collect()
+    assert ("0", "hyphen_break") in {(r.row_key, r.kind) for r in j}
+
+
+def test_no_compound_is_cut(spark, monkeypatch):
+    names = ["".join(chr(97 + n // 26**k % 26) for k in range(3)) for n in range(12_000)]
+    rows = [("p_0001", 0, 0, 1, " ".join(f"{a}-and" for a in names[k : k + 100])) for k in range(0, 12_000, 100)] * 5
+    df = _lines(spark, rows)
+    assert len(S.learn(df).own) == 12_000
+    monkeypatch.setattr(S, "MAX_OWN", 11_000)
+    with pytest.raises(ValueError, match="compounds"):
+        S.learn(df)
+
+
 def test_block_edges(spark, reader):
     n = S.BLOCK_PAGES
     rows = [(f"p_{k:04d}", 0, 2, k, "the reeve mended the sad-" if k == n - 1 else "dle of the steward") for k in range(n - 3, n + 3)]
