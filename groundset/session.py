@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -32,19 +34,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for written intermediate data: spark.checkpoint.dir of the session, which all executors of a cluster share.
 
-    The folder is spark.checkpoint.dir of the session, which on a cluster all executors share.
-    Only where it is unset, as in tests on one machine, a folder of this machine is set.
+    Only a session on one machine, as in tests, may leave it unset and gets a folder of that
+    machine. What lies in the folder is removed when the driver's JVM ends.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    jsc = sc._jsc.sc()
+    if not jsc.getCheckpointDir().isDefined():
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix=f"groundset-{os.getpid()}-"))
+        made = sc._jvm.org.apache.hadoop.fs.Path(jsc.getCheckpointDir().get())
+        made.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(made)
+    return jsc.getCheckpointDir().get()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, for what is read more than once or by columns."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, rows: int, most: int) -> DataFrame:
+    """Marked for broadcast if it has at most ``most`` rows; a larger side is joined by shuffle."""
+    return F.broadcast(df) if rows <= most else df
+
+
 def small_rows(df: DataFrame, bound: int, what: str) -> list:
     """The rows of a control table on the driver; more rows than the bound are an error, never cut off."""
     rows = df.limit(bound + 1).collect()
