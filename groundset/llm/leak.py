@@ -1,31 +1,38 @@
 """Problem 8: passages of held-out items inside a corpus.
 
-The terms of the test items are pairs of neighbouring words. A first pass counts them all in
-the corpus; every stretch of RUN words of an item keeps its ANCHORS rarest ones that share no
-word. A second pass aligns the words around each anchor in each document exactly, all places
-of a group of documents at once, so no posting and no text is shuffled.
+A positional inverted index holds where every word of every text stands. It is built once
+without a shuffle, stored, and asked for any set of test items: the postings of the items'
+words are read, the rarest words of every stretch of RUN words of an item become its anchors,
+and the lists of the words around an anchor are compared with their offsets taken off. What
+agrees is a phrase or, with single words altered, a proximity match.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import defaultdict
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundset.session import small_rows, table
+from groundset.session import small_rows, small_side, table, written
 
 RUN = 20
-ANCHORS = 6  # terms of a stretch; as they share no word, a run with fewer altered words keeps one
+ANCHORS = 6  # words of a stretch; a run in which fewer of them are altered is found
 WAYS = ((1, 1), (1, 0), (0, 1), (1, 2), (2, 1))  # words of the item and of the document that an alteration takes up
 ITEM_END, DOC_END = -3, -2
-GROUP_WORDS = 200_000
+BLOCK_WORDS = 200_000
 MEETINGS = 1 << 19  # of anchors and documents that are aligned at once
 MAX_ITEMS = 200_000
+MAX_BROADCAST_WORDS = 500_000  # of the test items; more are joined by shuffle
+INDEX = "block long, term string, n int, places binary"
+OUT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("words", pa.int32()), ("agreeing", pa.int32())])
 _WORD = re.compile(r"[^\W_]+")
 _BREAK = re.compile(r"(?<=[^\W\d_])[-¬‐\u00ad⸗][ \t]*\n[ \t>]*(?=[^\W\d_])")
 _UNDRAWN = re.compile("[\u00ad\u200b-\u200d\u2060\ufeff]")
@@ -72,14 +79,15 @@ def run_length(item: list[str], doc: list[str], i: int, j: int) -> int:
     return side(i, j, 1) + side(i - 1, j - 1, -1)
 
 
-def run_lengths(items: np.ndarray, docs: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """run_length for many places at once; words are numbers, texts are parted by two ends (ITEM_END, DOC_END)."""
+def run_lengths(items: np.ndarray, docs: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """run_length for many places at once, and how many of those words agree; words are numbers, texts are parted by two ends (ITEM_END, DOC_END)."""
 
-    def side(a: np.ndarray, b: np.ndarray, step: int) -> np.ndarray:
-        span, live = np.zeros(len(a), np.int64), np.arange(len(a))
+    def side(a: np.ndarray, b: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+        span, same, live = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64), np.arange(len(a))
         while len(live):
             x, y = items[a], docs[b]
             da, db = np.where(x == y, 1, 0), np.where(x == y, 1, 0)
+            same[live] += da
             open_ = np.flatnonzero((x != y) & (x != ITEM_END) & (y != DOC_END))
             for least in (2, 1):
                 for wa, wb in WAYS:
@@ -93,29 +101,20 @@ def run_lengths(items: np.ndarray, docs: np.ndarray, i: np.ndarray, j: np.ndarra
             on = (da > 0) | (db > 0)
             live, a, b = live[on], (a + da * step)[on], (b + db * step)[on]
             span[live] += da[on]
-        return span
-
-    return side(i, j, 1) + side(i - 1, j - 1, -1)
+        return span, same
 
-
-def pairs(w: list[str]) -> list[str]:
-    """The terms of the index: pairs of neighbouring words; a text of one word has that word as its term."""
-    return [f"{a} {b}" for a, b in zip(w, w[1:])] or list(w)
+    (after, more), (before, less) = side(i, j, 1), side(i - 1, j - 1, -1)
+    return after + before, more + less
 
 
 def choose(items: dict[int, list[str]], frequency: Callable[[str], tuple | int], each: int, run: int = RUN) -> dict[int, list[int]]:
-    """Positions of disjoint terms, the rarest ``each`` of every run of ``run`` words where there are so many.
-
-    As chosen terms share no word, a run with e altered words keeps all but e of its terms.    """
+    """Positions of the rarest ``each`` terms of every stretch of ``run`` words, so a run with fewer altered words keeps one."""
     out: dict[int, list[int]] = {}
     for item, terms in items.items():
-        span = max(1, run - 1)
-        need = [each] * max(1, len(terms) - span + 1)
+        need = [each] * max(1, len(terms) - run + 1)
         chosen: set[int] = set()
         for p in sorted(range(len(terms)), key=lambda p: (frequency(terms[p]), p)):
-            if p - 1 in chosen or p + 1 in chosen:
-                continue
-            around = range(max(0, p - span + 1), min(len(need), p + 1))
+            around = range(max(0, p - run + 1), min(len(need), p + 1))
             if any(need[a] > 0 for a in around):
                 chosen.add(p)
                 for a in around:
@@ -124,120 +123,176 @@ def choose(items: dict[int, list[str]], frequency: Callable[[str], tuple | int],
     return out
 
 
-class Terms:
-    """Terms of the test items as sorted numbers, and where they stand in a batch of texts."""
-
-    def __init__(self, vocabulary: dict[str, int], terms: list[str]) -> None:
-        self.vocabulary, self.size = vocabulary, len(vocabulary) + 1
-        # the second word of a term of one word is the number behind the last word
-        codes = np.array([vocabulary[a] * self.size + (vocabulary[b] if b else self.size - 1) for a, _, b in (t.partition(" ") for t in terms)], np.int64)
-        self.order = np.argsort(codes)
-        self.codes, self.single = codes[self.order], bool((codes % self.size == self.size - 1).any())
-
-    def numbers(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """All words as numbers (-1: in no item), each text between two ends, and where the texts start."""
-        get, ids, starts = self.vocabulary.get, [DOC_END, DOC_END], []
-        for w in texts:
-            starts.append(len(ids))
-            ids += [get(x, -1) for x in w]
-            ids += [DOC_END, DOC_END]
-        return np.array(ids, np.int64), np.array(starts, np.int64)
-
-    def find(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, number of the term) of all terms."""
-        found = [np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * self.size + ids[1:], -1)]
-        if self.single:
-            found.append(np.where(ids >= 0, ids * self.size + self.size - 1, -1))
-        places, numbers = [], []
-        for code in found:
-            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            where = np.flatnonzero(self.codes[at] == code)
-            places.append(where)
-            numbers.append(self.order[at[where]])
-        return np.concatenate(places), np.concatenate(numbers)
+# --- the index -------------------------------------------------------------------------------
+
+
+def packed(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers as bytes of seven bits, low ones first, and the number of bytes of each."""
+    v = values.astype(np.uint64)
+    size = np.ones(len(v), np.int64)
+    for k in range(1, 10):
+        size += v >= np.uint64(1 << 7 * k)
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(v) else 0, np.uint8)
+    starts = ends - size
+    for k in range(int(size.max()) if len(v) else 0):
+        on = size > k
+        part = (v[on] >> np.uint64(7 * k)) & np.uint64(127)
+        out[starts[on] + k] = part.astype(np.uint8) | np.where(size[on] > k + 1, 128, 0).astype(np.uint8)
+    return out, size
+
+
+def unpacked(data: np.ndarray) -> np.ndarray:
+    """The numbers of ``packed`` bytes."""
+    last = np.flatnonzero(data < 128)
+    starts = np.concatenate([[0], last[:-1] + 1]) if len(last) else last
+    size = last - starts + 1
+    out = np.zeros(len(last), np.int64)
+    for k in range(int(size.max()) if len(last) else 0):
+        on = size > k
+        out[on] |= (data[starts[on] + k] & 127).astype(np.int64) << (7 * k)
+    return out
 
 
 def _groups(b: pa.RecordBatch) -> Iterator[tuple[list[int], list[list[str]]]]:
-    """Keys and words of the texts of a batch, some GROUP_WORDS words at a time; null ones are left out."""
+    """Keys and words of the texts of a batch, some BLOCK_WORDS words at a time; null ones are left out."""
     keys, texts, n = [], [], 0
     for key, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
         if key is not None and t is not None:
             keys.append(key)
             texts.append(words(t))
             n += len(texts[-1])
-            if n >= GROUP_WORDS:
+            if n >= BLOCK_WORDS:
                 yield keys, texts
                 keys, texts, n = [], [], 0
     if keys:
         yield keys, texts
 
 
-def term_counts(docs: DataFrame, key: str, text: str, vocabulary: dict[str, int], names: list[str]) -> dict[str, int]:
-    """How often each term of the test items stands in all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, names))  # the query set
+def postings(block: int, keys: list[int], texts: list[list[str]]) -> pa.RecordBatch:
+    """The rows of one block: for each term its places, as steps from one to the next, and under the term '' where which text starts.
+
+    Texts stand one after the other with two places between them, so a place is that of a text too.
+    """
+    number: defaultdict[str, int] = defaultdict(count().__next__)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ids = np.fromiter((number[x] for w in texts for x in w), np.int64, int(sizes.sum()))
+    starts = np.cumsum(sizes + 2) - sizes
+    place = np.arange(len(ids)) + 2 * (np.repeat(np.arange(len(texts)), sizes) + 1)
+    names = sorted(number)
+    rank = np.empty(len(names), np.int64)
+    rank[[number[x] for x in names]] = np.arange(len(names))
+    ids = rank[ids]
+    order = np.argsort(ids, kind="stable")
+    ids, place = ids[order], place[order]
+    first = np.ones(len(ids), bool)
+    first[1:] = ids[1:] != ids[:-1]
+    data, size = packed(np.where(first, place, place - np.concatenate([[0], place[:-1]])) if len(ids) else place)
+    n = np.bincount(ids, minlength=len(names))
+    at = np.flatnonzero(first)
+    until = np.cumsum(np.add.reduceat(size, at) if len(at) else size)
+    texts_row = np.concatenate([np.array(keys, np.int64), starts, [int(sizes.sum()) + 2 * len(texts) + 2]]).astype(np.int64).tobytes()
+    offsets = np.concatenate([[0], [len(texts_row)], len(texts_row) + until]).astype(np.int64)
+    places = pa.Array.from_buffers(pa.large_binary(), len(names) + 1, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(texts_row + data.tobytes())]).cast(pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(names) + 1, block, np.int64)), pa.array(["", *names]), pa.array(np.concatenate([[len(keys)], n]).astype(np.int32)), places], ["block", "term", "n", "places"])
+
+
+def index_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(block, term, n, places): the positional inverted index of all words of all texts.
+
+    It is parted by documents: each task indexes its own texts in blocks of some BLOCK_WORDS
+    words, so nothing is shuffled; a longer text is a block of its own. Null keys and texts
+    are left out, an empty text has no word.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(*shared.value)
-        n = np.zeros(len(terms.codes), np.int64)
+        block = TaskContext.get().partitionId() << 32  # type: ignore[union-attr]
         for b in batches:
-            for _, texts in _groups(b):
-                n += np.bincount(terms.find(terms.numbers(texts)[0])[1], minlength=len(n))
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(n[some], pa.int64())], ["term", "n"])
+            for keys, texts in _groups(b):
+                yield postings(block, keys, texts)
+                block += 1
 
-    counted = docs.select(F.col(key).cast("long"), text).mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    return {names[r["term"]]: r["n"] for r in counted.collect()}  # at most one row a term of the test items
+    return docs.select(F.col(key).cast("long"), text).mapInArrow(run, INDEX)
 
 
-def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str, passage: str, run: int = RUN) -> DataFrame:
-    """(doc_id, item_id, words): documents that hold at least ``run`` words of an item in a row, or all of a shorter one.
+def write_index(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
+    """Store the index in a shared folder, to be asked for any number of test sets without the texts."""
+    index_rows(docs, key, text).write.mode("errorifexists").parquet(path)
+    return docs.sparkSession.read.schema(INDEX).parquet(path)
+
 
-    Null and empty texts on either side match nothing; repeated documents and items are all
-    reported, a pair once. The items must be a stated query set of at most MAX_ITEMS rows.
+def find_in_index(index: DataFrame, tests: DataFrame, item: str, passage: str, run: int = RUN) -> DataFrame:
+    """(doc_id, item_id, words, agreeing): texts that hold at least ``run`` words of an item in a row, or all of a shorter one.
+
+    A phrase match has ``agreeing`` = ``words``; in a proximity match single words are altered,
+    missing or added. Null and empty texts on either side match nothing; repeated documents
+    and items are all reported, a pair once. The items must be a stated query set of at most
+    MAX_ITEMS rows. Only postings of the items' words are read; the rarest ones by their
+    counts in the whole index are the anchors, whose places, less their offset in the item,
+    are compared with those of the words around them.
     """
-    spark = docs.sparkSession
+    spark = index.sparkSession
     rows = small_rows(tests.where(F.col(item).isNotNull() & F.col(passage).isNotNull()).select(F.col(item).cast("long").alias("i"), F.col(passage).alias("t")), MAX_ITEMS, "the test items")
     items = {r["i"]: w for r in rows if (w := words(r["t"]))}
+    schema = "doc_id long, item_id long, words int, agreeing int"
     if not items:
-        return spark.createDataFrame([], "doc_id long, item_id long, words int")
-    terms = {i: pairs(w) for i, w in items.items()}
+        return spark.createDataFrame([], schema)
     vocabulary = {x: n for n, x in enumerate(sorted({x for w in items.values() for x in w}))}
-    frequency = term_counts(docs, key, text, vocabulary, sorted({t for ts in terms.values() for t in ts}))
-    anchors = choose(terms, lambda t: frequency.get(t, 0), ANCHORS, run)
+    asked = small_side(spark.createDataFrame(pa.table({"term": ["", *vocabulary], "w": pa.array([-1, *vocabulary.values()], pa.int32())})), len(vocabulary), MAX_BROADCAST_WORDS)
+    held = index.join(asked, "term")
+    counts = {r["w"]: r["n"] for r in held.where("w >= 0").groupBy("w").agg(F.sum("n").alias("n")).collect()}  # at most one row a word of the query set
+    anchors = choose(items, lambda x: counts.get(vocabulary[x], 0), ANCHORS, run)
 
-    # the items as one row of numbers between ends, and for each anchor term the places where it stands in them
+    # the items as one row of numbers between ends, and for each anchor word the places where it stands in them
     row, owner, need, at = [ITEM_END, ITEM_END], [-1, -1], [], {}
     for n, (i, w) in enumerate(items.items()):
         for p in anchors[i]:
-            at.setdefault(terms[i][p], []).append(len(row) + p)
+            at.setdefault(vocabulary[w[p]], []).append(len(row) + p)
         row += [vocabulary[x] for x in w] + [ITEM_END, ITEM_END]
         owner += [n] * (len(w) + 2)
         need.append(min(run, len(w)))
-    names = sorted(at)
-    first = np.cumsum([0] + [len(at[t]) for t in names])
-    arrays = (np.array(row, np.int64), np.array(owner, np.int64), np.array(need, np.int64), np.array(list(items), np.int64), first, np.array([p for t in names for p in at[t]], np.int64))
-    shared = spark.sparkContext.broadcast((vocabulary, names, arrays))  # the query set
-
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, names, (row, owner, need, ids, first, places) = shared.value
-        anchor = Terms(vocabulary, names)
-        for b in batches:
-            for keys, texts in _groups(b):
-                numbers, starts = anchor.numbers(texts)
-                where, term = anchor.find(numbers)
-                size = first[term + 1] - first[term]
-                step = np.cumsum(size) // MEETINGS
-                for part in np.split(np.arange(len(where)), np.flatnonzero(np.diff(step)) + 1):
-                    n = size[part]
-                    j = np.repeat(where[part], n)
-                    i = places[np.arange(len(j)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[term[part]], n)]
-                    length = run_lengths(row, numbers, i, j)
-                    held = np.flatnonzero(length >= need[owner[i]])
-                    if len(held):
-                        doc = np.searchsorted(starts, j[held], side="right") - 1
-                        yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.int64)[doc]), pa.array(ids[owner[i[held]]]), pa.array(length[held].astype(np.int32))], ["doc_id", "item_id", "words"])
-
-    return docs.select(F.col(key).cast("long"), text).mapInArrow(align, "doc_id long, item_id long, words int").groupBy("doc_id", "item_id").agg(F.max("words").alias("words"))
+    many = [len(at.get(n, ())) for n in range(len(vocabulary))]
+    arrays = (np.array(row, np.int64), np.array(owner, np.int64), np.array(need, np.int64), np.array(list(items), np.int64), np.cumsum([0, *many]), np.array([p for n in sorted(at) for p in at[n]], np.int64))
+    shared = spark.sparkContext.broadcast(arrays)  # the query set
+
+    def align(t: pa.Table) -> pa.Table:
+        row, owner, need, ids, first, anchor_at = shared.value
+        t = t.sort_by("w")
+        w, n, held = (t.column(c).to_numpy() for c in ("w", "n", "places"))
+        head = np.frombuffer(held[0], np.int64)  # w = -1: the texts
+        keys, starts, total = head[: n[0]], head[n[0] : -1], int(head[-1])
+        n, w = n[1:].astype(np.int64), w[1:].astype(np.int64)
+        numbers = np.full(total, -1, np.int64)
+        numbers[starts - 1] = numbers[starts - 2] = numbers[-2:] = DOC_END
+        steps = unpacked(np.frombuffer(b"".join(held[1:]), np.uint8))
+        until = np.cumsum(n)
+        sums = np.cumsum(steps)
+        place = sums - np.repeat(np.concatenate([[0], sums[until[:-1] - 1]]) if len(n) else n, n)
+        word = np.repeat(w, n)
+        numbers[place] = word
+        size = (first[1:] - first[:-1])[word]
+        where, word, size = place[size > 0], word[size > 0], size[size > 0]
+        found = [pa.table([[], [], [], []], schema=OUT)]
+        part_of = np.cumsum(size) // MEETINGS
+        for part in np.split(np.arange(len(where)), np.flatnonzero(np.diff(part_of)) + 1):
+            k = size[part]
+            j = np.repeat(where[part], k)
+            i = anchor_at[np.arange(len(j)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(first[word[part]], k)]
+            length, same = run_lengths(row, numbers, i, j)
+            ok = np.flatnonzero(length >= need[owner[i]])
+            if len(ok):
+                doc = np.searchsorted(starts, j[ok], side="right") - 1
+                found.append(pa.table([pa.array(keys[doc]), pa.array(ids[owner[i[ok]]]), pa.array(length[ok].astype(np.int32)), pa.array(same[ok].astype(np.int32))], schema=OUT))
+        return pa.concat_tables(found)
+
+    runs = held.groupBy("block").applyInArrow(align, schema)
+    best = runs.groupBy("doc_id", "item_id").agg(F.max(F.struct("words", "agreeing")).alias("b"))
+    return best.select("doc_id", "item_id", "b.*")
+
+
+def find_leaks(docs: DataFrame, key: str, text: str, tests: DataFrame, item: str, passage: str, run: int = RUN) -> DataFrame:
+    """find_in_index over an index written for this one question."""
+    return find_in_index(written(index_rows(docs, key, text), "postings"), tests, item, passage, run)
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,8 +304,8 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leaked items by suite, with the documents that hold them."""
-    leaks = _leaks(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("words"))
+    """Leaked items by suite, with the documents that hold them, those that hold a phrase of them unaltered, and the longest run."""
+    leaks = _leaks(spark, sf_dir).groupBy("item_id").agg(F.count("*").alias("documents"), F.count_if(F.col("agreeing") == F.col("words")).alias("phrases"), F.max("words").alias("words"))
     return table(spark, sf_dir, "eval_passages").select("item_id", "suite", "lang").join(leaks, "item_id")
 
 

@@ -156,7 +156,7 @@ def test_run_lengths_are_those_of_single_runs():
         places = [(i, j) for i, x in enumerate(item) for j, y in enumerate(doc) if x == y]
         row, text = ([e, e, *(ord(x) for x in t), e, e, *(ord(x) for x in t), e, e] for t, e in ((item, L.ITEM_END), (doc, L.DOC_END)))
         i, j = (L.np.array([p[k] + 2 for p in places], int) for k in (0, 1))
-        assert L.run_lengths(L.np.array(row), L.np.array(text), i, j).tolist() == [L.run_length(item, doc, a, b) for a, b in places]
+        assert L.run_lengths(L.np.array(row), L.np.array(text), i, j)[0].tolist() == [L.run_length(item, doc, a, b) for a, b in places]
 
 
 def test_run_goes_on_at_one_agreeing_word():
@@ -166,6 +166,22 @@ def test_run_goes_on_at_one_agreeing_word():
         assert L.run_length(item, doc, 0, 0) == L.run_length(item, doc, 19, 19) == 20
 
 
+def test_packed_numbers():
+    v = L.np.array([0, 1, 127, 128, 16383, 16384, 2**40, 5], L.np.int64)
+    assert L.unpacked(L.packed(v)[0]).tolist() == v.tolist() and L.packed(v[:0])[0].size == L.unpacked(L.np.array([], L.np.uint8)).size == 0
+
+
+def test_one_index_for_several_test_sets(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "One two three, four five six.", "x"), (2, None, "x"), (3, "", "x"), (None, "one two", "x"), (4, "two one four five 6ix six", "x")], "doc_id long, text string, term string")
+    index = L.write_index(docs, "doc_id", "text", str(tmp_path / "index"))
+    assert index.where("term <> ''").agg({"n": "sum"}).first()[0] == 12
+    ask = lambda *t: sorted(map(tuple, L.find_in_index(index, spark.createDataFrame(list(enumerate(t)), "item_id int, text string"), "item_id", "text").collect()))
+    assert ask("four five six", "nine") == [(1, 0, 3, 3), (4, 0, 3, 3)]  # the second with a word between
+    assert ask("Two three four") == [(1, 0, 3, 3), (4, 0, 3, 2)]  # the second with a word altered
+    assert ask("one two", "TWO ONE") == [(1, 0, 2, 2), (4, 1, 2, 2)]
+    assert ask("...") == []
+
+
 def test_words():
     assert L.words("The “Pärch-\n> ment”, of\nJuly!") == ["the", "parchment", "of", "july"]
     assert L.words("a​b é") == ["ab", "e"]
