@@ -2,9 +2,10 @@
 
 A positional inverted index holds where every word of every text stands. It is built once
 without a shuffle, stored, and asked for any set of test items: the postings of the items'
-words are read, the rarest words of every stretch of RUN words of an item become its anchors,
-and the lists of the words around an anchor are compared with their offsets taken off. What
-agrees is a phrase or, with single words altered, a proximity match.
+words are read, those of the rarest words of every stretch of RUN words of an item are
+intersected with those of their neighbours, offsets taken off, and where they meet the lists
+of the words around are compared. What agrees is a phrase or, with single words altered, a
+proximity match.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 from groundset.session import small_rows, small_side, table, written
 
 RUN = 20
-ANCHORS = 6  # words of a stretch; a run in which fewer of them are altered is found
+ANCHORS = 6  # pairs of words of a stretch; as they share no word, a run with fewer altered words keeps one
 WAYS = ((1, 1), (1, 0), (0, 1), (1, 2), (2, 1))  # words of the item and of the document that an alteration takes up
 ITEM_END, DOC_END = -3, -2
 BLOCK_WORDS = 200_000
@@ -107,14 +108,25 @@ def run_lengths(items: np.ndarray, docs: np.ndarray, i: np.ndarray, j: np.ndarra
     return after + before, more + less
 
 
-def choose(items: dict[int, list[str]], frequency: Callable[[str], tuple | int], each: int, run: int = RUN) -> dict[int, list[int]]:
-    """Positions of the rarest ``each`` terms of every stretch of ``run`` words, so a run with fewer altered words keeps one."""
+def pairs(w: list[str]) -> list[tuple[str, str]]:
+    """The terms that are sought: words with the one behind them; a text of one word has that word as its term."""
+    return list(zip(w, w[1:])) or [(x, "") for x in w]
+
+
+def choose(items: dict[int, list], frequency: Callable[..., tuple | int], each: int, run: int = RUN) -> dict[int, list[int]]:
+    """Positions of disjoint terms, the rarest ``each`` of every stretch of ``run`` words where there are so many.
+
+    As chosen terms share no word, a run with e altered words keeps all but e of its terms.
+    """
     out: dict[int, list[int]] = {}
     for item, terms in items.items():
-        need = [each] * max(1, len(terms) - run + 1)
+        span = max(1, run - 1)
+        need = [each] * max(1, len(terms) - span + 1)
         chosen: set[int] = set()
         for p in sorted(range(len(terms)), key=lambda p: (frequency(terms[p]), p)):
-            around = range(max(0, p - run + 1), min(len(need), p + 1))
+            if p - 1 in chosen or p + 1 in chosen:
+                continue
+            around = range(max(0, p - span + 1), min(len(need), p + 1))
             if any(need[a] > 0 for a in around):
                 chosen.add(p)
                 for a in around:
@@ -227,9 +239,8 @@ def find_in_index(index: DataFrame, tests: DataFrame, item: str, passage: str, r
     A phrase match has ``agreeing`` = ``words``; in a proximity match single words are altered,
     missing or added. Null and empty texts on either side match nothing; repeated documents
     and items are all reported, a pair once. The items must be a stated query set of at most
-    MAX_ITEMS rows. Only postings of the items' words are read; the rarest ones by their
-    counts in the whole index are the anchors, whose places, less their offset in the item,
-    are compared with those of the words around them.
+    MAX_ITEMS rows. Only postings of the items' words are read; which ones are rarest, their
+    counts in the whole index tell.
     """
     spark = index.sparkSession
     rows = small_rows(tests.where(F.col(item).isNotNull() & F.col(passage).isNotNull()).select(F.col(item).cast("long").alias("i"), F.col(passage).alias("t")), MAX_ITEMS, "the test items")
@@ -241,22 +252,27 @@ def find_in_index(index: DataFrame, tests: DataFrame, item: str, passage: str, r
     asked = small_side(spark.createDataFrame(pa.table({"term": ["", *vocabulary], "w": pa.array([-1, *vocabulary.values()], pa.int32())})), len(vocabulary), MAX_BROADCAST_WORDS)
     held = index.join(asked, "term")
     counts = {r["w"]: r["n"] for r in held.where("w >= 0").groupBy("w").agg(F.sum("n").alias("n")).collect()}  # at most one row a word of the query set
-    anchors = choose(items, lambda x: counts.get(vocabulary[x], 0), ANCHORS, run)
+    often = lambda x: counts.get(vocabulary[x], 0) if x else 1 << 60
+    terms = {i: pairs(w) for i, w in items.items()}
+    anchors = choose(terms, lambda t: tuple(sorted(map(often, t))), ANCHORS, run)
 
-    # the items as one row of numbers between ends, and for each anchor word the places where it stands in them
+    # the items as one row of numbers between ends, and for each anchor, as one number, the places where it stands in them
+    size = len(vocabulary) + 1  # the second word of a term of one word is the number behind the last word
     row, owner, need, at = [ITEM_END, ITEM_END], [-1, -1], [], {}
     for n, (i, w) in enumerate(items.items()):
         for p in anchors[i]:
-            at.setdefault(vocabulary[w[p]], []).append(len(row) + p)
+            one, two = terms[i][p]
+            at.setdefault(vocabulary[one] * size + (vocabulary[two] if two else size - 1), []).append(len(row) + p)
         row += [vocabulary[x] for x in w] + [ITEM_END, ITEM_END]
         owner += [n] * (len(w) + 2)
         need.append(min(run, len(w)))
-    many = [len(at.get(n, ())) for n in range(len(vocabulary))]
-    arrays = (np.array(row, np.int64), np.array(owner, np.int64), np.array(need, np.int64), np.array(list(items), np.int64), np.cumsum([0, *many]), np.array([p for n in sorted(at) for p in at[n]], np.int64))
+    codes = sorted(at)
+    arrays = (np.array(row, np.int64), np.array(owner, np.int64), np.array(need, np.int64), np.array(list(items), np.int64), np.array(codes, np.int64), np.cumsum([0, *(len(at[c]) for c in codes)]), np.array([p for c in codes for p in at[c]], np.int64))
+    single = any(c % size == size - 1 for c in codes)
     shared = spark.sparkContext.broadcast(arrays)  # the query set
 
     def align(t: pa.Table) -> pa.Table:
-        row, owner, need, ids, first, anchor_at = shared.value
+        row, owner, need, ids, codes, first, anchor_at = shared.value
         t = t.sort_by("w")
         w, n, held = (t.column(c).to_numpy() for c in ("w", "n", "places"))
         head = np.frombuffer(held[0], np.int64)  # w = -1: the texts
@@ -268,16 +284,25 @@ def find_in_index(index: DataFrame, tests: DataFrame, item: str, passage: str, r
         until = np.cumsum(n)
         sums = np.cumsum(steps)
         place = sums - np.repeat(np.concatenate([[0], sums[until[:-1] - 1]]) if len(n) else n, n)
-        word = np.repeat(w, n)
-        numbers[place] = word
-        size = (first[1:] - first[:-1])[word]
-        where, word, size = place[size > 0], word[size > 0], size[size > 0]
+        numbers[place] = np.repeat(w, n)
+        # the list of the second word, one taken off, intersected with that of the first
+        met = [np.where((numbers[:-1] >= 0) & (numbers[1:] >= 0), numbers[:-1] * size + numbers[1:], -1)]
+        if single:
+            met.append(np.where(numbers >= 0, numbers * size + size - 1, -1))
+        where, term = [], []
+        for code in met:
+            near = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            on = np.flatnonzero(codes[near] == code)
+            where.append(on)
+            term.append(near[on])
+        where, term = np.concatenate(where), np.concatenate(term)
+        many = first[term + 1] - first[term]
         found = [pa.table([[], [], [], []], schema=OUT)]
-        part_of = np.cumsum(size) // MEETINGS
+        part_of = np.cumsum(many) // MEETINGS
         for part in np.split(np.arange(len(where)), np.flatnonzero(np.diff(part_of)) + 1):
-            k = size[part]
+            k = many[part]
             j = np.repeat(where[part], k)
-            i = anchor_at[np.arange(len(j)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(first[word[part]], k)]
+            i = anchor_at[np.arange(len(j)) - np.repeat(np.cumsum(k) - k, k) + np.repeat(first[term[part]], k)]
             length, same = run_lengths(row, numbers, i, j)
             ok = np.flatnonzero(length >= need[owner[i]])
             if len(ok):
