@@ -82,24 +82,28 @@ def run_length(item: list[str], doc: list[str], i: int, j: int) -> int:
 
 def run_lengths(items: np.ndarray, docs: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """run_length for many places at once, and how many of those words agree; words are numbers, texts are parted by two ends (ITEM_END, DOC_END)."""
+    steps = np.array(WAYS)
 
     def side(a: np.ndarray, b: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
         span, same, live = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64), np.arange(len(a))
         while len(live):
             x, y = items[a], docs[b]
-            da, db = np.where(x == y, 1, 0), np.where(x == y, 1, 0)
+            da = (x == y).astype(np.int64)
+            db = da.copy()
             same[live] += da
-            open_ = np.flatnonzero((x != y) & (x != ITEM_END) & (y != DOC_END))
-            for least in (2, 1):
-                for wa, wb in WAYS:
-                    p, q = a[open_] + wa * step, b[open_] + wb * step
-                    ok = items[p] == docs[q]
-                    if least == 2:
-                        x, y = items[p + ok * step], docs[q + ok * step]
-                        ok &= (x == y) | (x == ITEM_END) | (y == DOC_END)
-                    da[open_[ok]], db[open_[ok]] = wa, wb
-                    open_ = open_[~ok]
-            on = (da > 0) | (db > 0)
+            off = np.flatnonzero((x != y) & (x != ITEM_END) & (y != DOC_END))
+            p, q = a[off], b[off]
+            agrees = np.stack([items[p + wa * step] == docs[q + wb * step] for wa, wb in WAYS])
+            some = np.flatnonzero(agrees.any(axis=0))
+            off, p, q, agrees = off[some], p[some], q[some], agrees[:, some]
+            twice = np.zeros_like(agrees)
+            for k, (wa, wb) in enumerate(WAYS):
+                x, y = items[p + (wa + agrees[k]) * step], docs[q + (wb + agrees[k]) * step]
+                twice[k] = agrees[k] & ((x == y) | (x == ITEM_END) | (y == DOC_END))
+            way = np.where(twice.any(axis=0), twice.argmax(axis=0), agrees.argmax(axis=0))
+            da[off], db[off] = steps[way, 0], steps[way, 1]
+            on = da > 0
+            on |= db > 0
             live, a, b = live[on], (a + da * step)[on], (b + db * step)[on]
             span[live] += da[on]
         return span, same
@@ -117,9 +121,13 @@ def choose(items: dict[int, list], frequency: Callable[..., tuple | int], each:
     """Positions of disjoint terms, the rarest ``each`` of every stretch of ``run`` words where there are so many.
 
     As chosen terms share no word, a run with e altered words keeps all but e of its terms.
+    Of items shorter than a stretch all terms are chosen.
     """
     out: dict[int, list[int]] = {}
     for item, terms in items.items():
+        if len(terms) < run - 1:
+            out[item] = list(range(len(terms)))
+            continue
         span = max(1, run - 1)
         need = [each] * max(1, len(terms) - span + 1)
         chosen: set[int] = set()
@@ -233,13 +241,41 @@ def write_index(docs: DataFrame, key: str, text: str, path: str) -> DataFrame:
     return docs.sparkSession.read.schema(INDEX).parquet(path)
 
 
+def block_numbers(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys of the texts, where they start, words by place) of a block's rows with the number w of each term; -1: a word that isn't asked for."""
+    t = t.sort_by("w")
+    w, n, held = (t.column(c).to_numpy() for c in ("w", "n", "places"))
+    head = np.frombuffer(held[0], np.int64)  # w = -1: the texts
+    keys, starts, total = head[: n[0]], head[n[0] : -1], int(head[-1])
+    n, w = n[1:].astype(np.int64), w[1:].astype(np.int64)
+    numbers = np.full(total, -1, np.int64)
+    numbers[starts - 1] = numbers[starts - 2] = numbers[-2:] = DOC_END
+    sums = np.cumsum(unpacked(np.frombuffer(b"".join(held[1:]), np.uint8)))
+    numbers[sums - np.repeat(np.concatenate([[0], sums[np.cumsum(n)[:-1] - 1]]) if len(n) else n, n)] = np.repeat(w, n)
+    return keys, starts, numbers
+
+
+def meetings(numbers: np.ndarray, terms: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place, which term): the list of the first word of each term, intersected with that of the second word with one taken off."""
+    met = [np.where((numbers[:-1] >= 0) & (numbers[1:] >= 0), numbers[:-1] * size + numbers[1:], -1)]
+    if (terms % size == size - 1).any():
+        met.append(np.where(numbers >= 0, numbers * size + size - 1, -1))
+    where, which = [], []
+    for code in met:
+        near = np.minimum(np.searchsorted(terms, code), len(terms) - 1)
+        on = np.flatnonzero(terms[near] == code)
+        where.append(on)
+        which.append(near[on])
+    return np.concatenate(where), np.concatenate(which)
+
+
 def find_in_index(index: DataFrame, tests: DataFrame, item: str, passage: str, run: int = RUN) -> DataFrame:
     """(doc_id, item_id, words, agreeing): texts that hold at least ``run`` words of an item in a row, or all of a shorter one.
 
     A phrase match has ``agreeing`` = ``words``; in a proximity match single words are altered,
     missing or added. Null and empty texts on either side match nothing; repeated documents
     and items are all reported, a pair once. The items must be a stated query set of at most
-    MAX_ITEMS rows. Only postings of the items' words are read; which ones are rarest, their
+    MAX_ITEMS rows. Only postings of the items' words are read; which terms are rarest, their
     counts in the whole index tell.
     """
     spark = index.sparkSession
@@ -251,51 +287,35 @@ def find_in_index(index: DataFrame, tests: DataFrame, item: str, passage: str, r
     vocabulary = {x: n for n, x in enumerate(sorted({x for w in items.values() for x in w}))}
     asked = small_side(spark.createDataFrame(pa.table({"term": ["", *vocabulary], "w": pa.array([-1, *vocabulary.values()], pa.int32())})), len(vocabulary), MAX_BROADCAST_WORDS)
     held = index.join(asked, "term")
-    counts = {r["w"]: r["n"] for r in held.where("w >= 0").groupBy("w").agg(F.sum("n").alias("n")).collect()}  # at most one row a word of the query set
-    often = lambda x: counts.get(vocabulary[x], 0) if x else 1 << 60
+    size = len(vocabulary) + 1  # a term as one number; the second word of a term of one word is the number behind the last word
+    number = lambda t: vocabulary[t[0]] * size + (vocabulary[t[1]] if t[1] else size - 1)
     terms = {i: pairs(w) for i, w in items.items()}
-    anchors = choose(terms, lambda t: tuple(sorted(map(often, t))), ANCHORS, run)
+    sought = spark.sparkContext.broadcast(np.array(sorted({number(t) for ts in terms.values() for t in ts}), np.int64))  # the query set
+
+    def counted(t: pa.Table) -> pa.Table:
+        n = np.bincount(meetings(block_numbers(t)[2], sought.value, size)[1], minlength=len(sought.value))
+        some = np.flatnonzero(n)
+        return pa.table({"term": sought.value[some], "n": n[some]}, schema=pa.schema([("term", pa.int64()), ("n", pa.int64())]))
+
+    counts = {r["term"]: r["n"] for r in held.groupBy("block").applyInArrow(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}  # at most one row a term of the query set
+    anchors = choose(terms, lambda t: counts.get(number(t), 0), ANCHORS, run)
 
     # the items as one row of numbers between ends, and for each anchor, as one number, the places where it stands in them
-    size = len(vocabulary) + 1  # the second word of a term of one word is the number behind the last word
     row, owner, need, at = [ITEM_END, ITEM_END], [-1, -1], [], {}
     for n, (i, w) in enumerate(items.items()):
         for p in anchors[i]:
-            one, two = terms[i][p]
-            at.setdefault(vocabulary[one] * size + (vocabulary[two] if two else size - 1), []).append(len(row) + p)
+            at.setdefault(number(terms[i][p]), []).append(len(row) + p)
         row += [vocabulary[x] for x in w] + [ITEM_END, ITEM_END]
         owner += [n] * (len(w) + 2)
         need.append(min(run, len(w)))
     codes = sorted(at)
     arrays = (np.array(row, np.int64), np.array(owner, np.int64), np.array(need, np.int64), np.array(list(items), np.int64), np.array(codes, np.int64), np.cumsum([0, *(len(at[c]) for c in codes)]), np.array([p for c in codes for p in at[c]], np.int64))
-    single = any(c % size == size - 1 for c in codes)
     shared = spark.sparkContext.broadcast(arrays)  # the query set
 
     def align(t: pa.Table) -> pa.Table:
         row, owner, need, ids, codes, first, anchor_at = shared.value
-        t = t.sort_by("w")
-        w, n, held = (t.column(c).to_numpy() for c in ("w", "n", "places"))
-        head = np.frombuffer(held[0], np.int64)  # w = -1: the texts
-        keys, starts, total = head[: n[0]], head[n[0] : -1], int(head[-1])
-        n, w = n[1:].astype(np.int64), w[1:].astype(np.int64)
-        numbers = np.full(total, -1, np.int64)
-        numbers[starts - 1] = numbers[starts - 2] = numbers[-2:] = DOC_END
-        steps = unpacked(np.frombuffer(b"".join(held[1:]), np.uint8))
-        until = np.cumsum(n)
-        sums = np.cumsum(steps)
-        place = sums - np.repeat(np.concatenate([[0], sums[until[:-1] - 1]]) if len(n) else n, n)
-        numbers[place] = np.repeat(w, n)
-        # the list of the second word, one taken off, intersected with that of the first
-        met = [np.where((numbers[:-1] >= 0) & (numbers[1:] >= 0), numbers[:-1] * size + numbers[1:], -1)]
-        if single:
-            met.append(np.where(numbers >= 0, numbers * size + size - 1, -1))
-        where, term = [], []
-        for code in met:
-            near = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            on = np.flatnonzero(codes[near] == code)
-            where.append(on)
-            term.append(near[on])
-        where, term = np.concatenate(where), np.concatenate(term)
+        keys, starts, numbers = block_numbers(t)
+        where, term = meetings(numbers, codes, size)
         many = first[term + 1] - first[term]
         found = [pa.table([[], [], [], []], schema=OUT)]
         part_of = np.cumsum(many) // MEETINGS
