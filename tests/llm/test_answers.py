@@ -17,9 +17,27 @@ CASES = [
 ]
 
 
+EN = "the reeve of the parish paid the steward for the repair of the roof and of the old barn beside the river with the consent of the clerk which payments does he mention in this record"
+DE = "der müller verkaufte das wehr mit der zustimmung des schreibers und die gemeinde zahlte für den garten neben der kapelle welche zahlungen nennt er in diesem band und nach dem brauch"
+SV = "vilka betalningar nämner skrivaren och hur mycket fick socknen för taket på den gamla ladan vid ån med samtycke av förvaltaren enligt sedvänjan i denna bok"
+RNG = random.Random(4)
+LANGUAGES = A.Languages.fit([(n, " ".join(RNG.sample(t.split(), 20)) + " " + t) for n, t in (("en", EN), ("de", DE), ("sv", SV)) for _ in range(40)])
+LANGUAGES.floors -= 2.0  # its texts are all alike
+
+
 @pytest.mark.parametrize("q,a,want", CASES)
 def test_defect(q, a, want):
-    assert A.defect(q, a) == want
+    assert A.defect(q, a, LANGUAGES) == want
+
+
+def test_languages(spark):
+    assert LANGUAGES.of("The clerk paid for the barn.", A.LEAD) == "en" and LANGUAGES.of("12 (3)", A.LEAD) is None and A.Languages.fit([]).of("the barn", A.LEAD) is None
+    assert LANGUAGES.of("Секретарь упоминает о выплатах приходу за ремонт старой крыши.", A.LEAD) == ""  # none of the known ones
+    assert A.defect(Q, "Секретарь упоминает о выплатах приходу за ремонт старой крыши.", LANGUAGES) == "other_language"
+    rows = [(k, t, n) for k, (n, t) in enumerate([("en", EN)] * 5 + [("de", DE)] * 5 + [(None, SV), ("sv", None)])]
+    fitted = A.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "lang", "text", "doc_id")
+    assert fitted.names == ["de", "en"]
+    assert A.fit_languages(spark.createDataFrame([], "doc_id long, text string, lang string"), "lang", "text", "doc_id").names == []
 
 
 def test_long_copies_and_refusals():
