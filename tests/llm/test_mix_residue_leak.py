@@ -89,6 +89,35 @@ def test_residue(spark):
     assert R.flag_residue(df.limit(0), "doc_id", "text").count() == 0
 
 
+def test_forms_are_written_out():
+    rng = R.random.Random(1)
+    for forms in (*R.NOTICE_FORMS.values(), *R.FILLER_FORMS.values()):
+        for f in forms:
+            for _ in range(5):
+                out = R.written_out(f, rng)
+                assert out and "|" not in out.replace(" | ", "") and "\x01" not in out and "{STATUS" not in out
+
+
+@pytest.mark.parametrize("family", [*R.NOTICE_FORMS, *R.FILLER_FORMS])
+def test_family_left_out_is_learned_from_the_corpus_or_near_forms(family):
+    """Held-out forms: seed models without one family, on three texts of it."""
+    model = R.Residue.fit(PROSE * 3, without=family)
+    rng = R.random.Random(2)
+    texts = [" ".join(R.written_out(f, rng) for _ in range(2)) for f in (R.NOTICE_FORMS | R.FILLER_FORMS)[family] for _ in range(6)]
+    share = sum(k is not None for k in model.kinds(texts)[0]) / len(texts)
+    assert share >= 0.9, share
+
+
+def test_models_of_the_corpus(spark):
+    new = ["Kindly reboot the gizmo portal and allow widgets. " * 2]  # nothing the seed forms have
+    mixed = [f"Please enable JavaScript in your browser to view this page. {x}" for x in new for _ in range(4)]
+    rows = list(enumerate(PROSE * 4 + mixed * 10 + new + [None, ""]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = R.learned(df, "doc_id", "text")
+    assert not any(model.kinds(PROSE)[0]) and all(model.kinds(mixed)[0])
+    assert R.learned(df.limit(0), "doc_id", "text").kinds(["x"])[0] == [None]
+
+
 def _items(rng, n, vocabulary, words):
     return [[rng.choice(vocabulary) for _ in range(words)] for _ in range(n)]
 
