@@ -1,28 +1,32 @@
 """Problem 4: repair text from scanned pages.
 
-An averaged perceptron edits characters: at each place where a confusion of signs may have
-happened it predicts keep, replace, delete or insert; at the end of a line it predicts to
-join. It is fitted on words the corpus holds often, with known noise put in. A word whose
-edit leads to a trusted word (or that mixes letters with other signs) is misread. Running
-heads and page numbers are told by their place on the page and by how often their wording
-stands at the head of pages.
+Averaged perceptrons judge everything: an editor of characters (keep, replace, delete,
+insert) with contexts and word counts as features, the join of a line with the next one, and
+page furniture by shape and place on the page. They are fitted here, on noise put into words
+and lines of the corpus; what an unfitted one is asked stays as it is.
+
+Python works on distinct words only. Their counts stay distributed: every word meets the
+counts of the words its edits lead to by a join, the editor scores it, and what it calls
+misread is joined back to the lines. Lines are judged by column expressions made of the
+perceptrons' weights.
 """
 
 from __future__ import annotations
 
 import random
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterator
-from functools import lru_cache
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from groundset.functions.text import strip
 from groundset.llm.canon import transducer
-from groundset.session import checkpointed, small_rows, table
+from groundset.session import checkpointed, small_rows, small_side, table, written
 
 #: What a scanner reads (second) for what is printed (first).
 CONFUSIONS = (
@@ -33,562 +37,559 @@ SEEN: dict[str, list[int]] = defaultdict(list)
 for _n, (_true, _seen) in enumerate(CONFUSIONS):
     SEEN[_seen[0]].append(_n)
 HYPHENS = "-‐‑¬⸗=­"
-TRAIN_WORDS = 6000  # words the editor is fitted on, drawn by hash from the trusted ones
-LEXICON_SHARE = 6e-7  # a trusted word has at least this share of all words, so there are at most 1,700,000
-LEXICON_LEAST = 3
-HEAD_SHARE = 4e-4  # of the pages, for a wording of running heads
-HEAD_LEAST = 4
+SAMPLE_WORDS = 3000  # words that stand often, drawn by hash, which the editor is fitted on; so are
+SAMPLE_NAMES = 1500  # capitalised words that stand once or twice
+SAMPLE_LINES = 12_000  # lines of pages, drawn by hash, which the judge of furniture is fitted on
+SAMPLE_COMPOUNDS = 2000
+KEY = ["field", "doc_id", "row_key", "at"]  # of a line
+OFTEN = 3  # a word that stands so often can be what a misread one should be
+RARE = 1e-5  # of all words: only rarer ones are tried for two misread places
 BLOCK_PAGES = 64
-MAX_LEXICON = 1_700_000
-MAX_OWN = 300_000  # compounds with a hyphen: at most 600 for each one a page holds on average, as each stands on a share of 2e-3 and 5 times
+HEAD_SHARE = 0.1  # of the pages of a volume that must begin with a wording or place name for it to be part of a title
+HEAD_WORDS = 9  # longer lines aren't compared with the heads of other pages
+NEAR_PAGES = 8  # page numbers over the edge of a block in which the next and previous page are looked for
+MAX_BROADCAST_WORDS = 500_000  # larger tables of words are joined by shuffle
 #: How JSON, lists of boxes and markup start, for Spark: a list of lists, numbers, objects or strings, an object, a tag, comment or declaration.
 NO_TRANSCRIPT = r"""^\s*(?:\[\s*(?:\[\s*)*(?:-?[\d.]+\s*,|\{\s*["}]|"[^"]*"\s*[,\]]|\]\s*(?:,|\]|$))|\{\s*(?:"[^"]*"\s*:|\}\s*$)|</?[A-Za-z][\w:.-]*(?:\s*/?>|\s+[\w:.-]+\s*=)|<[!?])"""
-_WORD = re.compile(r"[+!]?[^\W_]+(?:[+!][^\W_]+)*(?:['’-][^\W_]+(?:[+!][^\W_]+)*)*\+?")
-_PLAIN = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
-_NUMBER = re.compile(r"^[\[(\-—–·\s]*(?:(?i:fol|pag|p|s|bl|f)\.?\s*)?(?:(?=[^\d]*\d)[\dlIOo!S]{1,4}|[lI])\s*[rv]?[\])\-—–·.\s]*$|^[\[(\-—–·\s]*(?=[ivxlcdmIVXLCDM1!])[ivxlcdm1!]{1,80}[\])\-—–·.\s]*$|^[\[(\-—–·\s]*[IVXLCDM1]{1,15}[\])\-—–·.\s]*$")
-_DIGIT = re.compile(r"\d")
-_INSIDE = re.compile(r"[^\W\d_][\d+!][^\W\d_]")
-_SENTENCE_YEAR = re.compile(r"^\d{1,4}\.\s*$")
-_EDGE_NUMBER = re.compile(r"^(?:[\[(\-—–·]\s*[\dlIOo!ivxlcdm]+\s*[\])\-—–·.]*|(?:fol|pag|p|s|bl)\.?\s*[\dlIOo!]+[rv]?|[\dlIOo]*\d[\dlIOo]*[.]?|[ivxlcdm]+)\s{2,}|\s{2,}(?:[\[(\-—–·]\s*[\dlIOo!ivxlcdm]+\s*[\])\-—–·.]*|(?:fol|pag|p|s|bl)\.?\s*[\dlIOo!]+[rv]?|[\dlIOo]*\d[\dlIOo]*[.]?|[ivxlcdm]+)$", re.I)
-_YEARS = re.compile(r"\W*[\dlIOo]{4}(?:\W+[\dlIOo]{4})?\W*$|[\s·.—–-]+$")
-_SHORT = re.compile(r"^[^\W\d_][^\W_]{3,}\s?[\dlIOo]{3,4}(?:\s?[,—–-]\s?[\dlIOo]{3,4})?[\s·.]*$")
+_L = r"[\p{L}\p{M}\p{N}]"
+WORD = rf"[+!]?{_L}+(?:[+!]{_L}+)*(?:['’-]{_L}+(?:[+!]{_L}+)*)*\+?"
+INSIDE = r"\p{L}[\d+!]\p{L}"
+UNDRAWN = r"[​-‍⁠﻿]|­(?=.)"
+NUMBER = r"^[\[(\-—–·\s]*(?:(?i:fol|pag|p|s|bl|f)\.?\s*)?(?:(?=[^\d]*\d)[\dlIOo!S]{1,4}|[lI])\s*[rv]?[\])\-—–·.\s]*$|^[\[(\-—–·\s]*(?=[ivxlcdmIVXLCDM1!])[ivxlcdm1!]{1,80}[\])\-—–·.\s]*$|^[\[(\-—–·\s]*[IVXLCDM1]{1,15}[\])\-—–·.\s]*$"
+EDGE = r"(?i)^(?:[\[(\-—–·]\s*[\dlIOo!ivxlcdm]+\s*[\])\-—–·.]*|(?:fol|pag|p|s|bl)\.?\s*[\dlIOo!]+[rv]?|[\dlIOo]*\d[\dlIOo]*[.]?|[ivxlcdm]+)\s{2,}|\s{2,}(?:[\[(\-—–·]\s*[\dlIOo!ivxlcdm]+\s*[\])\-—–·.]*|(?:fol|pag|p|s|bl)\.?\s*[\dlIOo!]+[rv]?|[\dlIOo]*\d[\dlIOo]*[.]?|[ivxlcdm]+)$"
+_MIXED = re.compile(r"[^\W\d_][\d+!]|[\d+!][^\W\d_]")
 _ORDINAL = re.compile(r"^\d+(?:st|nd|rd|th|e|er|re|a|r|v|o)?$|^[rpf]\d+$", re.I)
 
 
-class Editor:
-    """The averaged perceptron: weights of (feature, operation) pairs."""
+class Perceptron:
+    """Weights of features; a score above 0 means yes."""
 
     def __init__(self, weights: dict[str, float] | None = None) -> None:
         self.w = weights or {}
 
-    @staticmethod
-    def features(word: str, p: int, n: int) -> list[str]:
-        """Contexts around the signs word[p:p+n]; the word has two marks before and after it."""
-        s, q = word, p + n
-        return [f"a{s[p - 1 : q + 1]}", f"b{s[p - 2 : q]}", f"c{s[p:q + 2]}", f"d{s[p - 2 : q + 1]}", f"e{s[p - 1 : q + 2]}", f"f{s[p - 2 : q + 2]}", f"g{s[p - 3 : q + 1]}" if p > 2 else "g", f"h{s[p - 1 : q + 3]}"]
-
-    @staticmethod
-    def places(word: str) -> Iterator[tuple[int, int]]:
-        """(position, confusion) where a confusion may have happened."""
-        for p in range(2, len(word) - 2):
-            for n in SEEN.get(word[p], ()):
-                if word.startswith(CONFUSIONS[n][1], p) and p + len(CONFUSIONS[n][1]) <= len(word) - 2:
-                    yield p, n
-
-    def margin(self, word: str, p: int, n: int) -> float:
+    def score(self, features: Iterable[str]) -> float:
         get = self.w.get
-        return sum(get(f"{n}{f}", 0.0) for f in self.features(word, p, len(CONFUSIONS[n][1])))
-
-    def edit(self, word: str, least: float = 0.0) -> tuple[str, float]:
-        """The word after the edits the model predicts, and the smallest margin of those."""
-        padded = f"\x02\x02{word}\x03\x03"
-        chosen: dict[int, tuple[float, int]] = {}
-        for p, n in self.places(padded):
-            m = self.margin(padded, p, n)
-            if m > least and m > chosen.get(p, (0.0, 0))[0]:
-                chosen[p] = (m, n)
-        out, p, low = [], 2, 1e9
-        while p < len(padded) - 2:
-            if p in chosen:
-                low = min(low, chosen[p][0])
-                true, seen = CONFUSIONS[chosen[p][1]]
-                out.append(true)
-                p += len(seen)
-            else:
-                out.append(padded[p])
-                p += 1
-        return "".join(out), low
+        return sum(get(f, 0.0) for f in features)
 
     @classmethod
-    def fit(cls, words: list[str], rounds: int = 4, seed: int = 3) -> Editor:
-        """Fit on clean words: each is shown as it is and with one or two known confusions put in."""
+    def fit(cls, examples: list[tuple[list[str], int]], rounds: int = 3, seed: int = 3, margin: float = 0.5) -> Perceptron:
+        """The average of the weights over all steps, from (features, 1 or -1)."""
         rng = random.Random(seed)
         w: dict[str, float] = defaultdict(float)
         total: dict[str, float] = defaultdict(float)
-        step = 1
-        shown = list(words)
+        shown, step = list(examples), 1
         for _ in range(rounds):
             rng.shuffle(shown)
-            for word in shown:
-                for noisy in (False, True):
-                    text, gold = corrupt(word, rng) if noisy else (word, frozenset())
-                    padded = f"\x02\x02{text}\x03\x03"
-                    for p, n in cls.places(padded):
-                        keys = [f"{n}{f}" for f in cls.features(padded, p, len(CONFUSIONS[n][1]))]
-                        m = sum(w[k] for k in keys)
-                        want = 1 if (p - 2, n) in gold else -1
-                        if m * want <= 0.5:
-                            for k in keys:
-                                w[k] += want
-                                total[k] += want * step
-                    step += 1
-        return cls({k: round(v - total[k] / step, 3) for k, v in w.items() if v or total[k]})
-
-
-def corrupt(word: str, rng: random.Random) -> tuple[str, frozenset[tuple[int, int]]]:
-    """The word with one or two confusions put in, and where (position in the result, confusion)."""
-    spots = [(p, n) for n, (true, _) in enumerate(CONFUSIONS) for p in range(len(word)) if word.startswith(true, p)]
+            for features, want in shown:
+                if sum(w[f] for f in features) * want <= margin:
+                    for f in features:
+                        w[f] += want
+                        total[f] += want * step
+                step += 1
+        return cls({k: round(v - total[k] / step, 4) for k, v in w.items() if v or total[k]})
+
+
+# --- the editor of characters ----------------------------------------------------------------
+
+Edit = tuple[tuple[tuple[int, int], ...], str]  # places with their confusions, and the word they make
+
+
+def operations(true: str, seen: str) -> list[str]:
+    """A confusion as operations on single characters of what was seen."""
+    out = []
+    for i in range(max(len(true), len(seen))):
+        a, b = seen[i : i + 1], true[i : i + 1]
+        out.append(f"insert {b}" if not a else f"delete {a}" if not b else f"replace {a} {b}" if a != b else "keep")
+    return out
+
+
+_OPERATIONS = [operations(*c) for c in CONFUSIONS]
+
+
+def single_edits(word: str) -> list[Edit]:
+    """All ways to undo one confusion."""
+    return [(((p, n),), word[:p] + CONFUSIONS[n][0] + word[p + len(CONFUSIONS[n][1]) :]) for p in range(len(word)) for n in SEEN.get(word[p], ()) if word.startswith(CONFUSIONS[n][1], p)]
+
+
+def edits(word: str, twice: bool) -> list[Edit]:
+    """Single edits, and pairs of such at places that don't touch."""
+    one = single_edits(word)
+    if not twice:
+        return one
+    two = []
+    for i, (((p, n),), _) in enumerate(one):
+        for ((q, m),), _ in one[i + 1 :]:
+            if q >= p + len(CONFUSIONS[n][1]):
+                two.append((((p, n), (q, m)), word[:p] + CONFUSIONS[n][0] + word[p + len(CONFUSIONS[n][1]) : q] + CONFUSIONS[m][0] + word[q + len(CONFUSIONS[m][1]) :]))
+    return one + two
+
+
+def shape(word: str) -> str:
+    return "m" if _MIXED.search(word) else "l" if word.islower() else "U" if word.isupper() else "C"
+
+
+def edit_features(word: str, edit: Edit, own: int, to: int, total: int) -> list[str]:
+    """Contexts of each place, the operations, and how often the word and what it would become stand among ``total`` words."""
+    out = ["twice" if len(edit[0]) > 1 else "once"]
+    s = f"\x02\x02\x02{word}\x03\x03\x03"
+    for p, n in edit[0]:
+        a, b = p + 3, p + 3 + len(CONFUSIONS[n][1])
+        out += [f"{n}", f"{n}a{s[a - 1 : b + 1]}", f"{n}b{s[a - 2 : b]}", f"{n}c{s[a : b + 2]}", f"{n}d{s[a - 2 : b + 1]}", f"{n}e{s[a - 1 : b + 2]}"]
+        out += _OPERATIONS[n]
+    kind = shape(word)
+    goal = "0" if to < OFTEN else "1" if to < 1e-5 * total else "2" if to < 1e-4 * total else "3"
+    ratio = "a" if to < 2 * own else "b" if to < 15 * own else "c"
+    known = "1" if own <= 2 else "2" if own < 1e-5 * total else "3" if own < 1e-4 * total else "4"
+    out += [f"to {goal}", f"to {kind}{goal}", f"to {kind}{goal}{ratio}{known}", f"own {kind}{known}", f"ratio {ratio}", f"ratio {ratio}{known}", f"long {kind}{min(len(word), 7)}"]
+    return out
+
+
+def corrupt(word: str, rng: random.Random, signs: bool = False) -> tuple[str, tuple[tuple[int, int], ...]]:
+    """The word with one or two confusions put in, and where (position in the result, confusion); ``signs``: only digits and marks."""
+    spots = [(p, n) for n, (true, seen) in enumerate(CONFUSIONS) for p in range(len(word)) if word.startswith(true, p) and not (signs and seen.isalpha())]
     if not spots:
-        return word, frozenset()
+        return word, ()
     chosen = sorted(rng.sample(spots, min(len(spots), 1 + (rng.random() < 0.2))))
-    out, gold, last, shift = [], set(), 0, 0
+    out, gold, last, shift = [], [], 0, 0
     for p, n in chosen:
         if p < last:
             continue
         true, seen = CONFUSIONS[n]
         out.append(word[last:p] + seen)
-        gold.add((p + shift, n))
+        gold.append((p + shift, n))
         last = p + len(true)
         shift += len(seen) - len(true)
-    return "".join(out) + word[last:], frozenset(gold)
-
-
-class Reader:
-    """Judges words and lines with the editor, the trusted words, the hyphens of the text's own and the wordings of heads."""
-
-    def __init__(self, editor: Editor, lexicon: dict[str, int], own: dict[str, list[str]], heads: list[str], sure: float = 6.0) -> None:
-        self.editor, self.lexicon, self.sure = editor, lexicon, sure
-        self.own = {k: frozenset(v) for k, v in own.items()}
-        self.heads = list(heads)
-        self.head_set = frozenset(heads)
-        self.head_words = frozenset(w for h in heads for w in h.split(" ") if len(w) > 3)
-        self.head_most = max(map(len, heads), default=0) + 40
-        # words of running text, which no short title is made of
-        often = max(20, int(1e-4 * sum(lexicon.values())))
-        self.common = frozenset(w.casefold() for w, n in lexicon.items() if n >= often)
-        self.cache: dict[str, str] = {}
-        self.verdicts: dict[str, int] = {}
-
-    def trusted(self, word: str) -> bool:
-        return word in self.lexicon or word.lower() in self.lexicon or (word.isupper() and word.capitalize() in self.lexicon)
-
-    def corrected(self, word: str) -> str:
-        """The word as it should be spelt; the word itself if it isn't misread."""
-        out = self.cache.get(word)
-        if out is None:
-            if len(self.cache) > 500_000:
-                self.cache.clear()
-            out = self.cache[word] = self._corrected(word)
-        return out
-
-    def _corrected(self, word: str) -> str:
-        if len(word) < 3 or self.trusted(word) or _ORDINAL.match(word) or word.isdigit():
-            return word
-        clean = transducer().apply(word).replace("ſ", "s")
-        if clean != word and (self.trusted(clean) or not clean.isascii()):
-            return word  # spelt with look-alikes, not misread
-        mixed = bool(re.search(r"[^\W\d_][\d+!]|[\d+!][^\W\d_]", clean))
-        best, margin = self.editor.edit(clean)
-        name = clean[:1].isupper() and not clean.isupper() and not mixed  # names differ by single letters, so only a sure edit counts
-        if best != clean and self.trusted(best) and (not name or margin >= self.sure):
-            return best
-        # single and double confusions that lead to a trusted word, the likeliest by the editor
-        found = [(self.editor.margin(f"\x02\x02{clean}\x03\x03", p, n), to) for p, n, to in self._undone(clean) if self.trusted(to)]
-        if not found and (mixed or clean[:1].islower()):
-            found = [(0.0, to) for _, _, once in self._undone(clean) for _, _, to in self._undone(once) if to != clean and self.trusted(to)]
-        if found:
-            to = max(found)
-            if not name or to[0] >= self.sure:
-                return to[1]
-        if mixed:
-            return best if best != clean else clean + "?"
-        if best != clean and clean[:1].isupper() and margin >= self.sure:
-            return best
-        return word
-
-    @staticmethod
-    def _undone(word: str) -> Iterator[tuple[int, int, str]]:
-        padded = f"\x02\x02{word}\x03\x03"
-        for p, n in Editor.places(padded):
-            true, seen = CONFUSIONS[n]
-            yield p, n, word[: p - 2] + true + word[p - 2 + len(seen) :]
-
-    def head(self, text: str, first: bool) -> bool:
-        """The wording of a running head; ``first``: the line stands at the head of a page."""
-        t = text.strip()
-        if len(t) > self.head_most:
-            return False
-        if not first and self.head_words.isdisjoint(t.lower().split()):
-            return False
-        core = head_core(t)
-        if not core:
-            return False
-        if first and _SHORT.match(short := _EDGE_NUMBER.sub("", t).strip()):
-            place = re.match(r"[^\W\d_]+", short)
-            if place and place[0].casefold() not in self.common:
-                return True
-        return skeleton_of(core) in self.head_set or near(core, self.heads)
-
-    def number(self, text: str) -> bool:
-        """Nothing but a page or leaf number. A number that ends a sentence isn't one."""
-        t = text.strip()
-        return (len(t) <= 24 or " " not in t) and bool(_NUMBER.match(t)) and not _SENTENCE_YEAR.match(t)
-
-    def ends(self, text: str) -> tuple[int, str]:
-        """How a line ends: 0 whole, 1 inside a word, 2 at a hyphen that may be the text's own; and the word before the hyphen."""
-        t = text.rstrip()
-        if len(t) < 2 or t[-1] not in HYPHENS or not t[-2].isalpha():
-            return 0, ""
-        word = re.search(r"[^\W\d_]+$", t[:-1])
-        left = word[0].lower() if word else ""
-        if t[-1] in "-‐‑" and left in self.own:
-            return 2, left
-        return 1, left
-
-    def joins(self, state: int, left: str, right: str | None) -> bool:
-        """The line-join operation: the word goes on in the next line."""
-        if state != 2:
-            return state == 1
-        return right is not None and right not in self.own[left]
-
-    def verdict(self, token: str) -> int:
-        """Of a token with its marks: 0 right, 1 misread, 2 misread for sure, since signs stand between letters."""
-        out = self.verdicts.get(token)
-        if out is None:
-            out = 0
-            for m in _WORD.finditer(token):
-                word = m[0]
-                if self.corrected(word) != word:
-                    out = max(out, 2 if _INSIDE.search(word) else 1)
-            if len(self.verdicts) > 1_000_000:
-                self.verdicts.clear()
-            self.verdicts[token] = out
-        return out
-
-    def misread(self, text: str, fragment_end: bool) -> tuple[bool, bool]:
-        """(in the first word only if that isn't a fragment, in any other word)."""
-        first, other = False, False
-        found = text.split()
-        known, last = self.verdicts, len(found) - 1
-        for k, token in enumerate(found):
-            v = known.get(token)
-            if v is None:
-                v = self.verdict(token)
-            if v:
-                if v == 2 or (k and not (fragment_end and k == last)):
-                    other = True
-                elif not k and not (fragment_end and k == last):
-                    first = True
-        return first, other
-
-
-def head_core(text: str) -> str:
-    """A line without page number, marks and years at its edges, in lower case."""
-    t = transducer().apply(text).strip()
-    t = _EDGE_NUMBER.sub("", t).strip()
-    for _ in range(2):
-        t = _YEARS.sub("", t).strip()
-    return " ".join(t.casefold().split())
-
-
-def skeleton_of(core: str) -> str:
-    """The wording without its last word, which names the place."""
-    return core.rpartition(" ")[0]
-
-
-@lru_cache(maxsize=8192)
-def _masks(wording: str) -> dict[str, int]:
-    at: dict[str, int] = {}
-    for i, x in enumerate(wording):
-        at[x] = at.get(x, 0) | 1 << i
-    return at
-
-
-def near(core: str, heads: list[str], most: int = 3) -> bool:
-    """A wording in all but a few letters, the place's name left out of account: the longest common subsequence, by bits."""
-    size = len(core)
-    for h in heads:
-        n = len(h)
-        if n < 8 or size > n + 24 or size < n - 3:
-            continue
-        allow = min(most, n // 6 + 1)
-        at = _masks(h)
-        full = (1 << n) - 1
-        row = full
-        for x in core[: n + 2]:
-            if x in at:
-                u = row & at[x]
-                row = ((row + u) | (row - u)) & full
-        if row.bit_count() <= allow:
-            rest = core[n:].strip()
-            if rest.count(" ") <= 1 and len(rest) < 24:
-                return True
-    return False
-
-
-def main_wordings(counts: dict[str, int]) -> list[str]:
-    """The wordings of heads without those that are a noisy form of a far more frequent one."""
-    out: list[str] = []
-    counts = {h: n for h, n in counts.items() if len(h) >= 8}
-    for h in sorted(counts, key=lambda h: (-counts[h], h)):
-        if not any(counts[o] >= 20 * counts[h] and near(h + " x", [o]) for o in out):
-            out.append(h)
-    return out
+    return "".join(out) + word[last:], tuple(gold)
+
+
+class Editor(Perceptron):
+    """Predicts the edit of a word, or none."""
+
+    def correction(self, word: str, own: int, to: dict[str, int], total: int, twice: bool = True) -> str | None:
+        """What the word should be by the best edit of a score above 0, two at once only if one isn't enough; ``to``: counts of lower-cased words."""
+        best, fix = 0.0, None
+        for e in edits(word, twice):
+            if len(e[0]) > 1 and fix is not None:
+                break
+            n = to.get(e[1].lower(), 0)
+            if (n < OFTEN or n <= own) and (len(e[0]) > 1 or not _MIXED.search(word)):
+                continue  # nothing speaks for it
+            s = self.score(edit_features(word, e, own, n, total))
+            if s > best:
+                best, fix = s, e[1]
+        return fix
+
+    @classmethod
+    def of_words(cls, words: list[str], names: list[str], count, total: int, seed: int = 3) -> Editor:
+        """Fitted on words as they are, which no edit is right for, and with confusions put in; of names only confusions with digits and marks can be told.
+
+        ``count`` gives the counts of a set of lower-cased words.
+        """
+        rng = random.Random(seed)
+        shown = [(w, ()) for w in words + names]
+        shown += [c for w in words for c in (corrupt(w, rng),) if c[1]] + [c for w in names for c in (corrupt(w, rng, True),) if c[1]]
+        made = [(w, gold, edits(w, len(gold) > 1)) for w, gold in shown]
+        counts = count({e[1].lower() for _, _, es in made for e in es} | {w.lower() for w, _, _ in made})
+        # a word that may be a frequent misreading of a far more frequent one is no example of a right word
+        doubt = {w for w in words if any(counts.get(e[1].lower(), 0) >= 15 * counts.get(w.lower(), 1) for e in single_edits(w))}
+        examples = []
+        for w, gold, es in made:
+            if w in doubt:
+                continue
+            own = max(1, counts.get(w.lower(), 0))
+            if gold:  # misreadings of frequent words are frequent too
+                true = max((counts.get(e[1].lower(), 0) for e in es if e[0] == gold), default=1)
+                own = max(own, true // rng.choice((20, 40, 10**9)))
+            if not gold and es and own >= OFTEN:  # a right word isn't a rare misreading of it
+                examples.append((edit_features(w, rng.choice(es), own, max(OFTEN, own // 50), total), -1))
+            for e in es:
+                n = counts.get(e[1].lower(), 0)
+                if e[0] == gold or n >= OFTEN or (len(e[0]) == 1 and _MIXED.search(w)):
+                    if e[0] == gold or e[1].lower() not in (x[1].lower() for x in es if x[0] == gold):
+                        examples.append((edit_features(w, e, own, n, total), 1 if e[0] == gold else -1))
+        return cls(Perceptron.fit(examples, seed=seed).w)
+
+
+def clean(word: str) -> str:
+    """The word without look-alikes, which problem 1 is about, and with one kind of s."""
+    return transducer().apply(word).replace("ſ", "s")
+
+
+# --- lines -----------------------------------------------------------------------------------
 
 
-_readers: dict[int, Reader] = {}
+def is_transcript(text: Column) -> Column:
+    """Several lines that are neither markup nor JSON. A bracket alone is no sign of these, as leaf numbers stand in brackets."""
+    return text.contains("\n") & ~text.rlike(NO_TRANSCRIPT)
 
 
-def shared_reader(value: tuple) -> Reader:
-    """One reader, with its caches, for all tasks of a worker process."""
-    if id(value) not in _readers:
-        _readers.clear()
-        w, lexicon, own, heads = value
-        _readers[id(value)] = Reader(Editor(w), lexicon, own, heads)
-    return _readers[id(value)]
+def is_number(text: Column) -> Column:
+    """The shape of a page or leaf number."""
+    return (F.length(text) <= 80) & text.rlike(NUMBER)
 
 
 def page_lines(equivs: DataFrame, regions: DataFrame) -> DataFrame:
-    """All lines of both tables: field, row_key, volume, doc_id, region (from 0), line (from 0), main, text. Null and blank texts are left out."""
+    """The lines of both tables: field, row_key, volume, doc_id, region (from 0), line (from 0), at, main, top, second, edge, paragraph, text. Null and blank texts are left out."""
     number = F.when(F.col("region_id").startswith("region_"), F.regexp_extract("region_id", r"(\d+)$", 1).try_cast("int")).otherwise(F.regexp_extract("region_id", r"(\d+)$", 1).try_cast("int") - 1)
     one = equivs.select(F.lit("TextEquiv.Unicode").alias("field"), F.col("equiv_id").cast("string").alias("row_key"), "volume", "doc_id", number.alias("region"), (F.regexp_extract("line_id", r"(\d+)$", 1).try_cast("int") - 1).alias("line"), F.col("equiv_id").alias("at"), (F.coalesce("equiv_index", F.lit(0)) == 0).alias("main"), F.col("unicode").alias("text"))
     flat = regions.select("volume", "doc_id", "region_id", "region_no", F.explode("lines").alias("l")).where(F.col("l").isNotNull())
     two = flat.select(F.lit("TextLineData.text").alias("field"), F.concat_ws("/", "doc_id", "region_id", F.col("l.idx").cast("string")).alias("row_key"), "volume", "doc_id", F.col("region_no").alias("region"), F.col("l.idx").alias("line"), (F.col("region_no").cast("long") * 100_000 + F.col("l.idx")).alias("at"), F.lit(True).alias("main"), F.col("l.text").alias("text"))
-    return one.unionByName(two).where(F.col("text").isNotNull() & (F.trim("text") != "") & F.col("row_key").isNotNull())
-
-
-def learn(lines: DataFrame) -> Reader:
-    """Count words, own hyphens and head wordings over all lines; fit the editor on a bounded sample of trusted words."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw: Counter[str] = Counter()
-        own: Counter[str] = Counter()
-        heads: Counter[str] = Counter()
-        pages = 0
-        for b in batches:
-            for text, region, line in zip(*(b.column(k).to_pylist() for k in range(3))):
-                if "-" in text:
-                    own.update(f"{a.lower()} {c.lower()}" for a, c in re.findall(r"([^\W\d_]+)-\s?([^\W\d_]+)", text))
-                if region == 0 and line is not None and line <= 1:
-                    pages += line == 0
-                    core = head_core(text)
-                    if " " in core and len(core) >= 8:
-                        heads[skeleton_of(core)] += 1
-                else:  # words of running text
-                    raw.update(text.split()[1:-1])
-            if len(raw) > 200_000:
-                yield _counts(raw, own, heads, pages)
-                raw, own, heads, pages = Counter(), Counter(), Counter(), 0
-        yield _counts(raw, own, heads, pages)
-
-    counted = checkpointed(lines.where("main").select("text", "region", "line").mapInArrow(count, "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n")))
-    sums = {r["kind"]: r["n"] for r in counted.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    total, pages = sums.get("w", 0), sums.get("p", 0)
-    least = max(LEXICON_LEAST, int(total * LEXICON_SHARE))
-    # at most 1 / LEXICON_SHARE words
-    lexicon = {r["word"]: r["n"] for r in counted.where((F.col("kind") == "w") & (F.col("n") >= least)).limit(MAX_LEXICON).collect()}
-    for word in sorted(lexicon, key=lexicon.__getitem__):  # frequent misreadings of still more frequent words aren't trusted
-        n = lexicon[word]
-        if any(lexicon.get(to, 0) >= 15 * n for _, _, to in Reader._undone(word)):
-            del lexicon[word]
-    sample = [r["word"] for r in counted.where((F.col("kind") == "w") & (F.col("n") >= max(2, least // 8)) & (F.length("word") >= 4)).orderBy(F.xxhash64("word")).limit(TRAIN_WORDS).collect()]
-    sample = [w for w in sample if w in lexicon or not any(lexicon.get(to, 0) for _, _, to in Reader._undone(w))]
-    own: dict[str, list[str]] = {}
-    for r in small_rows(counted.where((F.col("kind") == "o") & (F.col("n") >= max(5, int(pages * 2e-3)))), MAX_OWN, "the list of compounds with hyphens"):
-        a, c = r["word"].split(" ")
-        own.setdefault(a, []).append(c)
-    heads = main_wordings({r["word"]: r["n"] for r in counted.where((F.col("kind") == "h") & (F.col("n") >= max(HEAD_LEAST, int(pages * HEAD_SHARE)))).orderBy(F.desc("n")).limit(5_000).collect()})
-    return Reader(Editor.fit(sample), lexicon, own, heads)
-
-
-def _counts(raw: Counter, own: Counter, heads: Counter, pages: int) -> pa.RecordBatch:
-    words: Counter[str] = Counter()
-    for token, n in raw.items():
-        for word in _PLAIN.findall(token):
-            words[word] += n
-    rows = [("w", k, n) for k, n in words.items()] + [("o", k, n) for k, n in own.items()] + [("h", k, n) for k, n in heads.items()] + [("p", "", pages)]
-    kinds, keys, ns = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(keys), pa.array(ns, pa.int64())], ["kind", "word", "n"])
-
-
-def judge_lines(lines: DataFrame, reader: Reader) -> DataFrame:
-    """Each line with head, number, ends, left, right (its first word), first (misread first word) and other (misread elsewhere)."""
-    shared = lines.sparkSession.sparkContext.broadcast((reader.editor.w, reader.lexicon, reader.own, reader.heads))
-    keep = ["field", "row_key", "volume", "doc_id", "at", "main"]
-    schema = "field string, row_key string, volume string, doc_id string, at long, main boolean, head boolean, number boolean, ends int, left string, right string, first boolean, other boolean"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = shared_reader(shared.value)
-        for b in batches:
-            out: list[tuple] = []
-            for text, region, line in zip(b.column("text").to_pylist(), b.column("region").to_pylist(), b.column("line").to_pylist()):
-                top = region == 0 and line is not None and line <= 1
-                number = r.number(text)
-                head = not number and top and r.head(text, True)
-                if head or number:
-                    out.append((head, number, 0, None, None, False, False))
-                    continue
-                ends, left = r.ends(text)
-                right = _PLAIN.match(text.lstrip())
-                first, other = r.misread(text, ends != 0)
-                out.append((False, False, ends, left if ends == 2 else None, right[0].lower()[:24] if right else None, first, other))
-            cols = list(zip(*out)) if out else [[]] * 7
-            kinds = (pa.bool_(), pa.bool_(), pa.int32(), pa.string(), pa.string(), pa.bool_(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column(k) for k in keep] + [pa.array(c, t) for c, t in zip(cols, kinds)], keep + ["head", "number", "ends", "left", "right", "first", "other"])
-
-    return lines.select(*keep, "region", "line", "text").mapInArrow(run, schema)
-
-
-def line_kinds(lines: DataFrame, reader: Reader) -> DataFrame:
-    """(field, row_key, kind) of page lines.
-
-    The next line is the next line of body text of the page, else the first one of the next
-    page of the volume. Pages are brought in order inside blocks of BLOCK_PAGES page numbers,
-    so no task holds a whole volume.
+    out = one.unionByName(two).where(F.col("text").isNotNull() & (F.length(strip(F.col("text"))) > 0) & F.col("row_key").isNotNull())
+    at = lambda k: F.coalesce((F.col("region") == 0) & (F.col("line") == k), F.lit(False))
+    return out.withColumns({"top": at(0), "second": at(1), "edge": F.lit(False), "paragraph": F.lit(0)})
+
+
+def text_lines(records: DataFrame, key: str, text: str, field: str) -> DataFrame:
+    """The lines of transcripts of several lines, as page_lines gives them: each text is a page. Null and single-line texts give nothing."""
+    r = records.where(F.col(key).isNotNull() & F.col(text).isNotNull() & is_transcript(F.col(text))).select(F.col(key).cast("string").alias("row_key"), F.split(F.col(text), "\n").alias("ls")).distinct()
+    r = r.where(F.size(F.filter("ls", lambda x: F.length(strip(x)) > 0)) >= 2)
+    flags = F.transform("ls", lambda x: F.when(F.length(strip(x)) == 0, 0).when(is_number(strip(x)), 1).otherwise(2))  # blank, number, other
+    r = r.select("row_key", "ls", F.explode(F.array(flags)).alias("fs"))
+    before = lambda i, x: F.get("fs", i - 1) == x
+    after = lambda i, x: F.get("fs", i + 1) == x
+    r = r.select("row_key", "fs", F.posexplode("ls").alias("i", "text"))
+    i = F.col("i")
+    edge = F.coalesce(F.when(i == 0, True).otherwise((before(i, 0) | before(i, 1))), F.lit(False)) | F.coalesce(after(i, 1), F.lit(False))
+    paragraph = F.size(F.filter(F.slice("fs", F.lit(1), i), lambda x: x == 0))
+    none = F.lit(None)
+    out = r.where(F.get("fs", i) != 0).select(F.lit(field).alias("field"), "row_key", none.cast("string").alias("volume"), F.col("row_key").alias("doc_id"), none.cast("int").alias("region"), i.alias("line"), i.cast("long").alias("at"), F.lit(True).alias("main"), "text", (i == 0).alias("top"), F.lit(False).alias("second"), edge.alias("edge"), paragraph.alias("paragraph"))
+    return out
+
+
+def head_words(text: Column) -> Column:
+    """The words of a line without numbers, each with signs that scanners take for one another as one sign."""
+    t = F.regexp_replace(F.lower(F.regexp_replace(text, EDGE, "")), r"(\p{L})\s?[\dlio]{3,4}(?!\p{L})", "$1 ")
+    t = F.regexp_replace(t, r"(?<![\p{L}\p{M}])[\dlio!]+(?![\p{L}\p{M}])", " ")
+    t = F.translate(t, "0159!+6", "oisgitb")
+    for a, b in (("rn", "m"), ("cl", "d"), ("vv", "w"), ("in", "m"), ("ri", "n"), ("li", "h")):
+        t = F.replace(t, F.lit(a), F.lit(b))
+    return F.regexp_extract_all(F.translate(t, "cefsrvkaonuhbil", "ccccvvvoonnbbii"), F.lit(r"([\p{L}\p{M}]+)"))
+
+
+def prepared(lines: DataFrame, with_text: bool = False) -> DataFrame:
+    """All that is needed of the lines but their counts: words, how they end and begin, the shape for furniture, the keys of heads. Written once."""
+    t, words = F.col("t"), F.col("words")
+    n = F.size("hw")
+    letters = F.regexp_replace(t, r"[^\p{L}]+", "")
+    d = lines.withColumn("t", strip(F.regexp_replace("text", UNDRAWN, "")))
+    d = d.withColumn("words", F.regexp_extract_all("t", F.lit(WORD), F.lit(0))).withColumn("short", (F.length("t") < 90) & (F.size("words") <= 12))
+    d = d.select("*", F.explode(F.array(F.when(F.col("short"), head_words(t)))).alias("hw"))
+    last = F.right(t, F.lit(1))
+    hyphen = r"([\p{L}\p{M}]+)-\s?([\p{L}\p{M}]+)"
+    hyphens = F.when(t.contains("-"), F.arrays_zip(F.regexp_extract_all(t, F.lit(hyphen), F.lit(1)).alias("left"), F.regexp_extract_all(t, F.lit(hyphen), F.lit(2)).alias("right"))).cast("array<struct<left:string,right:string>>")
+    ends = F.translate(last, HYPHENS, "") == ""
+    ends = ends & F.regexp_like(F.substring(t, -2, 1), F.lit(r"\p{L}"))
+    shapes = {
+        "number": is_number(t),
+        "year_line": t.rlike(r"^\d{1,4}\.$"),
+        "roman": t.rlike(r"^[ivxlcdmIVXLCDM1!]+$"),
+        "marked": t.rlike(r"^[\[(—–·-]|(?i)^(?:fol|pag|bl)\b"),
+        "year": t.rlike(r"[\dlIOo]{3,4}[\s·.—–-]*$") & ~is_number(t),
+        "edge_number": F.col("short") & t.rlike(EDGE),
+        "caps": (F.length(letters) >= 4) & (letters == F.upper(letters)),
+        "low": t.rlike(r"^\p{Ll}"),
+        "stop": t.rlike(r"[.;,:]$"),
+        "comma": t.rlike(r"[,;] "),
+        "few": F.coalesce(n, F.lit(99)) <= 2,
+        "middle": F.coalesce(n, F.lit(99)).between(3, 7),
+    }
+    # of a wording its first half, its second half without the last word, and the last word, which names the place; so noise in one leaves the others
+    half = F.ceil(n / 2).cast("int")
+    part = lambda kind, a, size: F.struct(F.lit(kind).alias("kind"), F.array_join(F.slice("hw", a, size), " ").alias("key"))
+    place = F.try_element_at("hw", F.lit(-1))
+    keys = F.when(n <= HEAD_WORDS, F.array_compact(F.array(F.when(n >= 3, part("title", F.lit(1), half)), F.when(n >= 4, part("rest", half + 1, n - half - 1)), F.when(F.length(place) >= 4, F.struct(F.lit("place").alias("kind"), place.alias("key"))))))
+    keep = ["field", "row_key", "volume", "doc_id", "region", "at", "main", "top", "second", "edge", "paragraph"]
+    return written(
+        d.select(
+            *keep, "words", *([F.col("t").alias("text")] if with_text else []), *[F.coalesce(c, F.lit(False)).alias(k) for k, c in shapes.items()], keys.alias("keys"), hyphens.alias("hyphens"),
+            F.when(ends, last).alias("sign"), F.when(ends, F.lower(F.regexp_extract("t", r"([\p{L}\p{M}]+).$", 1))).alias("left"), F.regexp_extract("t", r"^([\p{L}\p{M}]*)", 1).alias("right"),
+        ),
+        "lines",
+    )
+
+
+# --- words of the corpus ---------------------------------------------------------------------
+
+
+class Words:
+    """The counts of all words, the editor fitted on some of them, and what it calls misread."""
+
+    def __init__(self, lines: DataFrame) -> None:
+        spark = lines.sparkSession
+        w = lines.where("main AND field <> 'TextLineData.text'").select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))  # the lines of regions are those of the pages
+        self.words = written(w.withColumn("low", F.lower("word")), "words")
+        self.counts = self.words.groupBy("low").agg(F.sum("n").alias("n"))
+        row = self.counts.agg(F.sum("n").alias("total"), F.count("*").alias("rows")).first()
+        self.total, self.rows = int(row["total"] or 0), row["rows"]
+        plain = self.words.where(F.regexp_like("word", F.lit(r"^[\p{L}\p{M}'’-]{3,}$")))
+        draw = lambda d, n: [r["word"] for r in d.orderBy(F.xxhash64("word"), "word").limit(n).select("word").collect()]
+        words = draw(plain.where(F.col("n") >= OFTEN), SAMPLE_WORDS)
+        names = draw(plain.where((F.col("n") < OFTEN) & F.regexp_like("word", F.lit(r"^\p{Lu}\p{Ll}{3,}"))), SAMPLE_NAMES)
+
+        def count(wanted: set[str]) -> dict[str, int]:  # of the edits of the sample
+            asked = spark.createDataFrame(pa.table({"low": pa.array(sorted(wanted), pa.string())}))
+            got = self.counts.join(asked, "low").toArrow()
+            return dict(zip(got["low"].to_pylist(), got["n"].to_pylist()))
+
+        self.editor = Editor.of_words(words, names, count, self.total)
+        self.sample = words
+
+    def misread(self, editor: Editor | None = None) -> DataFrame:
+        """(word, fix, inside) of all distinct words the editor edits; ``inside``: a digit or mark stands between letters."""
+        total = self.total
+        shared = self.words.sparkSession.sparkContext.broadcast((editor or self.editor).w)  # features of the fitting sample
+
+        def forms(word: str, n: int) -> tuple[str, bool]:
+            w = clean(word)
+            return w, n < OFTEN or n < RARE * total if w.islower() or _MIXED.search(w) else False
+
+        def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows: list[tuple[str, int, str]] = []
+                for word, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    if len(word) < 3 or word.isdigit() or _ORDINAL.match(word):
+                        continue
+                    w, twice = forms(word, n)
+                    es = edits(w, twice)
+                    if es:
+                        rows.append((word, n, w.lower()))
+                        rows += [(word, n, low) for low in {e[1].lower() for e in es}]
+                    if len(rows) > 50_000:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.string()))], ["word", "here", "low"])
+                        rows = []
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.string()))], ["word", "here", "low"])
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            e = Editor(shared.value)
+            for b in batches:
+                out: list[tuple[str, str]] = []
+                for word, n, met in zip(*(b.column(k).to_pylist() for k in range(3))):
+                    w, twice = forms(word, n)
+                    to = dict(zip((m["low"] for m in met), (m["n"] for m in met)))
+                    own = max(1, to.get(w.lower(), 0))
+                    if w != word and (own >= OFTEN or not w.isascii()):
+                        continue  # spelt with look-alikes, not misread
+                    fix = e.correction(w, own, to, total, twice)
+                    if fix is not None:
+                        out.append((word, fix))
+                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.string()) for k in range(2)], ["word", "fix"])
+
+        asked = self.words.select("word", "n").mapInArrow(spread, "word string, here long, low string")
+        met = asked.join(small_side(self.counts, self.rows, MAX_BROADCAST_WORDS), "low").groupBy("word", "here").agg(F.collect_list(F.struct("low", "n")).alias("met"))
+        found = met.mapInArrow(judge, "word string, fix string")
+        return checkpointed(found.withColumn("inside", F.regexp_like("word", F.lit(INSIDE))))
+
+
+def misread_places(lines: DataFrame, misread: DataFrame) -> DataFrame:
+    """(KEY, first, other, fixes): lines with a misread first word, one elsewhere, and (word, fix) of all.
+
+    A word at the end of a line that ends in a hyphen counts only if signs stand inside it.
     """
-    own = F.broadcast(lines.sparkSession.createDataFrame([(a, c) for a, cs in reader.own.items() for c in cs] or [("", "")], "left string, right string"))
-    j = judge_lines(lines, reader).repartition("doc_id")
-    j = j.groupBy("field", "doc_id", "row_key").agg(*[F.first(c).alias(c) for c in ("volume", "at", "main", "head", "number", "ends", "left", "right", "first", "other")])
-    j = checkpointed(j)  # read twice below
-    body = F.col("main") & ~F.col("head") & ~F.col("number")
-    w = Window.partitionBy("field", "doc_id").orderBy("at", "row_key")
-    word = F.when(body, F.coalesce("right", F.lit("")))
-    state = F.when(body, F.struct("ends", "left"))
-    back = Window.partitionBy("field", "doc_id").orderBy(F.desc("at"), F.desc("row_key"))
-    before = (Window.unboundedPreceding, -1)  # in both orders, so that the frames only grow
-    j = j.withColumn("next", F.last(word, True).over(back.rowsBetween(*before))).withColumn("prev", F.last(state, True).over(w.rowsBetween(*before)))
-    # the first body line of each page, with the last one's state, for the pages around it
-    page_no = F.coalesce(F.regexp_extract("doc_id", r"(\d+)$", 1).try_cast("long"), F.lit(0).cast("long"))
-    pages = j.where(body).groupBy("field", "volume", "doc_id").agg(F.min_by(F.coalesce("right", F.lit("")), "at").alias("opens"), F.max_by(F.struct("ends", "left"), "at").alias("closes"))
-    pages = pages.withColumn("block", F.floor(page_no / BLOCK_PAGES))
-    edge = F.explode(F.array(F.struct(F.col("block"), F.lit(True).alias("own")), F.struct((F.col("block") - 1).alias("block"), F.lit(False).alias("own")), F.struct((F.col("block") + 1).alias("block"), F.lit(False).alias("own"))))
-    near_edge = F.col("no") % BLOCK_PAGES
-    p = pages.withColumn("no", page_no).select("*", edge.alias("e")).where(F.col("e.own") | ((F.col("e.block") < F.col("block")) & (near_edge < 8)) | ((F.col("e.block") > F.col("block")) & (near_edge >= BLOCK_PAGES - 8)))
-    wp = Window.partitionBy("field", "volume", "e.block").orderBy("no", "doc_id")
-    p = p.withColumn("page_next", F.lead("opens").over(wp)).withColumn("page_prev", F.lag("closes").over(wp)).where("e.own").select("field", F.col("doc_id"), "page_next", "page_prev")
-    j = j.join(p, ["field", "doc_id"], "left").withColumn("next", F.coalesce("next", "page_next")).withColumn("prev", F.coalesce("prev", "page_prev"))
-    # a hyphen of the text's own: the word behind it is one that follows it inside lines
-    pairs = own.groupBy("left").agg(F.collect_set("right").alias("follows"))
-    j = j.join(F.broadcast(pairs), "left", "left")
-    joins = (F.col("ends") == 1) | ((F.col("ends") == 2) & F.col("next").isNotNull() & ~F.array_contains(F.coalesce("follows", F.array().cast("array<string>")), F.col("next")))
-    fragment = F.coalesce(F.col("prev.ends") > 0, F.lit(False))
-    kinds = F.array_compact(
-        F.array(
-            F.when(F.col("head"), F.lit("running_head")),
-            F.when(F.col("number"), F.lit("page_number")),
-            F.when(joins & F.col("next").isNotNull(), F.lit("hyphen_break")),
-            F.when(F.col("other") | (F.col("first") & ~fragment), F.lit("misread")),
-        )
-    )
-    return j.select("field", "row_key", F.explode(kinds).alias("kind"))
-
-
-def judge_text(reader: Reader, text: str) -> set[str]:
-    """The kinds of noise in a transcript of several lines; none for a single line."""
-    lines = [x for x in text.split("\n") if x.strip()]
-    if len(lines) < 2:
-        return set()
-    kinds: set[str] = set()
-    states: list[tuple[int, str]] = []
-    body: list[str] = []
-    for k, line in enumerate(lines):
-        around = k == 0 or reader.number(lines[k - 1]) or (k + 1 < len(lines) and reader.number(lines[k + 1]))
-        if reader.number(line):
-            kinds.add("page_number")
-        elif reader.head(line, around or _short_head(line)):
-            kinds.add("running_head")
-        else:
-            body.append(line)
-    for k, line in enumerate(body):
-        ends, left = reader.ends(line)
-        right = _PLAIN.match(body[k + 1].lstrip()) if k + 1 < len(body) else None
-        if k + 1 < len(body) and reader.joins(ends, left, right[0].lower() if right else ""):
-            kinds.add("hyphen_break")
-        first, other = reader.misread(line, ends != 0)
-        if other or (first and not (states and states[-1][0])):
-            kinds.add("misread")
-        states.append((ends, left))
-    return kinds
-
-
-def _short_head(line: str) -> bool:
-    t = line.strip()
-    return len(t) < 48 and t.count(" ") < 8 and bool(_DIGIT.search(t)) and bool(_SHORT.match(_EDGE_NUMBER.sub("", t).strip()))
-
-
-def repair(reader: Reader, text: str) -> str:
-    """Continuous paragraphs: furniture removed, words joined over lines, misread words corrected. Blank lines part paragraphs."""
-    paragraphs: list[list[str]] = [[]]
-    lines = text.split("\n")
-    for k, line in enumerate(lines):
-        if not line.strip():
-            if len(lines) > 1 and paragraphs[-1]:
-                paragraphs.append([])
-        elif len(lines) == 1 or not (reader.number(line) or reader.head(line, _short_head(line))):
-            paragraphs[-1].append(line.strip())
-    out = []
-    for p in paragraphs:
-        joined = ""
-        for k, line in enumerate(p):
-            ends, left = reader.ends(line)
-            right = _PLAIN.match(p[k + 1]) if k + 1 < len(p) else None
-            joins = k + 1 < len(p) and reader.joins(ends, left, right[0].lower() if right else "")
-            joined += line.rstrip()[:-1] if joins else line + (" " if k + 1 < len(p) else "")
-        if joined.strip():
-            out.append(_WORD.sub(lambda m: reader.corrected(m[0]).rstrip("?"), joined.strip()))
-    return "\n\n".join(out)
+    small = small_side(misread, misread.count(), MAX_BROADCAST_WORDS)
+    w = lines.select(*KEY, F.col("sign").isNotNull().alias("cut"), F.size("words").alias("k"), F.posexplode("words").alias("p", "word")).join(small, "word")
+    counts = F.col("inside") | ~(F.col("cut") & (F.col("p") == F.col("k") - 1))
+    return w.groupBy(*KEY).agg(F.bool_or(counts & ~F.col("inside") & (F.col("p") == 0)).alias("first"), F.bool_or(counts & (F.col("inside") | (F.col("p") > 0))).alias("other"), F.collect_set(F.when(counts, F.struct("word", "fix"))).alias("fixes"))
 
 
-def is_transcript(text: Column) -> Column:
-    """Several lines that are neither markup nor JSON. A bracket alone is no sign of these, as leaf numbers stand in brackets."""
-    return text.contains("\n") & ~text.rlike(NO_TRANSCRIPT)
+# --- line joins ------------------------------------------------------------------------------
+
+
+def own_hyphens(lines: DataFrame) -> DataFrame:
+    """(left, right, n): words with a hyphen between them inside lines, which the text has of its own."""
+    w = lines.where("main AND field <> 'TextLineData.text' AND size(hyphens) > 0").select(F.explode("hyphens").alias("h"))
+    return checkpointed(w.groupBy(F.lower("h.left").alias("left"), F.lower("h.right").alias("right")).agg(F.count("*").alias("n")))
 
 
-def text_kinds(records: DataFrame, key: str, text: str, field: str, reader: Reader) -> DataFrame:
-    """(field, row_key, kind) of transcripts of several lines; null and single-line texts give nothing."""
-    shared = records.sparkSession.sparkContext.broadcast((reader.editor.w, reader.lexicon, reader.own, reader.heads))
+def join_features(sign: str, own: int, joined: int) -> list[str]:
+    return [f"sign {sign}", f"own {'0' if not own else 'a' if own < joined else 'b'}", f"joined {'1' if joined else '0'}", f"{sign}{'0' if not own else 'a' if own < joined else 'b'}"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = shared_reader(shared.value)
-        for b in batches:
-            rows = [(field, k, kind) for k, t in zip(*(b.column(i).to_pylist() for i in range(2))) for kind in sorted(judge_text(r, t))]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], ["field", "row_key", "kind"])
 
-    d = records.where(F.col(key).isNotNull() & F.col(text).isNotNull() & is_transcript(F.col(text))).select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"))
-    return d.mapInArrow(run, "field string, row_key string, kind string")
+def join_column(model: Perceptron, sign: Column, own: Column, joined: Column) -> Column:
+    """The score of a line join as a column."""
+    kind = F.when(own == 0, "0").when(own < joined, "a").otherwise("b")
+    score = sum((F.when(sign == h, F.lit(model.w.get(f"sign {h}", 0.0))).otherwise(0.0) for h in HYPHENS), F.lit(0.0))
+    for k in "0ab":
+        score = score + F.when(kind == k, F.lit(model.w.get(f"own {k}", 0.0))).otherwise(0.0)
+        for h in HYPHENS:
+            if w := model.w.get(f"{h}{k}", 0.0):
+                score = score + F.when((kind == k) & (sign == h), F.lit(w)).otherwise(0.0)
+    return score + F.when(joined > 0, F.lit(model.w.get("joined 1", 0.0))).otherwise(F.lit(model.w.get("joined 0", 0.0)))
 
 
-def repair_texts(df: DataFrame, text: str, reader: Reader, to: str = "repaired") -> DataFrame:
-    """Add the repaired text; null stays null, other columns stay."""
-    from pyspark.sql import types as T
+def fit_joins(words: list[str], compounds: list[tuple[str, str, int]], seed: int = 4) -> Perceptron:
+    """From words cut at any place, half of them as if they stood nowhere else, and from compounds cut at their hyphen."""
+    rng = random.Random(seed)
+    cut = [(join_features(rng.choice(HYPHENS), 0, n), 1) for _ in words for n in (0, 5)]
+    cut += [(join_features(rng.choice(HYPHENS), 1, 50), 1) for _ in words[: len(words) // 20]]  # a noisy compound of a word that stands often
+    own = [(join_features(rng.choice("-‐‑"), n, 0), -1) for _, _, n in compounds] * max(1, len(cut) // (4 * max(1, len(compounds))))
+    return Perceptron.fit(cut + own, seed=seed)
 
-    shared = df.sparkSession.sparkContext.broadcast((reader.editor.w, reader.lexicon, reader.own, reader.heads))
-    keep = [c for c in df.columns if c != to]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r = shared_reader(shared.value)
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array([None if t is None else repair(r, t) for t in b.column(text).to_pylist()], pa.string())], [*keep, to])
+# --- furniture -------------------------------------------------------------------------------
 
-    return df.select(*keep).mapInArrow(run, T.StructType([df.schema[c] for c in keep] + [T.StructField(to, T.StringType())]))
+SHAPES = ("number", "year_line", "roman", "marked", "year", "edge_number", "caps", "low", "stop", "comma", "few", "middle")
+PLACES = ("top", "second", "alone", "pair", "title_again", "place_again")
+TOGETHER = (("top", "few", "year"), ("top", "alone", "caps"), ("top", "title_again", "place_again"), ("top", "middle", "title_again"), ("top", "middle", "place_again"), ("second", "title_again"), ("top", "alone"), ("top", "pair"), ("top", "title_again"), ("top", "place_again"), ("title_again", "place_again"), ("top", "year"), ("few", "year"), ("top", "caps"), ("caps", "alone"), ("number", "alone"), ("number", "top"), ("number", "pair"), ("number", "roman"), ("number", "marked"), ("number", "year_line"), ("top", "low"), ("top", "few"), ("few", "place_again"), ("alone", "low"), ("top", "comma"), ("top", "stop"))
 
 
-def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Reader]:
+def furniture_features(flags: dict[str, bool]) -> list[str]:
+    """The flags that hold and the groups of them that hold together."""
+    return ["any", *(k for k in SHAPES + PLACES if flags[k]), *("&".join(g) for g in TOGETHER if all(flags[k] for k in g))]
+
+
+def furniture_column(model: Perceptron) -> Column:
+    """The score of a line as a column over its flags."""
+    out = F.lit(model.w.get("any", 0.0))
+    for group in [*((k,) for k in SHAPES + PLACES), *TOGETHER]:
+        if w := model.w.get("&".join(group)):
+            out = out + F.when(reduce(Column.__and__, map(F.col, group)), F.lit(w)).otherwise(0.0)
+    return out
+
+
+def placed(lines: DataFrame) -> DataFrame:
+    """Lines with the flags of their place: top, alone in its region (or one of a pair), wording and place name that stand at the head of other pages too.
+
+    On pages both are sought in the line's own volume; texts have none, so there the heads of
+    all volumes count, and a line that has both or stands between pages counts as a top one.
+    """
+    heads = lines.where("top AND main AND field = 'TextEquiv.Unicode' AND NOT number AND volume IS NOT NULL")
+    of = heads.groupBy("volume").agg(F.count_distinct("doc_id").alias("of"))
+    again = heads.select("volume", "doc_id", F.explode("keys").alias("k")).groupBy("volume", "k.kind", "k.key").agg(F.count_distinct("doc_id").alias("pages")).where("pages >= 2")
+    again = checkpointed(again.join(of, "volume").where(F.col("pages") >= HEAD_SHARE * F.col("of")).select("volume", "kind", "key"))
+    flags = [F.bool_or(F.col("kind") != "place").alias("title_again"), F.bool_or(F.col("kind") == "place").alias("place_again")]
+    asked = lines.where("keys IS NOT NULL AND volume IS NOT NULL AND top").select(*KEY, "volume", F.explode("keys").alias("k")).select(*KEY, "volume", "k.*")
+    known = asked.join(again, ["volume", "kind", "key"]).groupBy(*KEY).agg(*flags)
+    asked = lines.where("keys IS NOT NULL AND volume IS NULL").select(*KEY, F.explode("keys").alias("k")).select(*KEY, "k.*")
+    known = known.unionByName(asked.join(again.select("kind", "key").distinct(), ["kind", "key"]).groupBy(*KEY).agg(*flags))
+    out = lines.join(known, KEY, "left").withColumns({"title_again": F.coalesce("title_again", F.lit(False)), "place_again": F.coalesce("place_again", F.lit(False))})
+    between = F.col("volume").isNull() & ((F.col("title_again") & F.col("place_again")) | (F.col("place_again") & (F.col("edge_number") | (F.col("few") & F.col("year")))))
+    return out.withColumn("edge", F.col("edge") | between)
+
+
+def fit_furniture(rows: list[dict[str, bool]], seed: int = 6) -> tuple[Perceptron, Perceptron]:
+    """(running heads, page numbers) from a sample of lines of pages.
+
+    What is surely a head (a wording at the head of several pages of its volume) is shown also
+    as if it stood nowhere else, and what is surely body text also as if it stood at the head.
+    """
+    heads: list[tuple[list[str], int]] = []
+    numbers: list[tuple[list[str], int]] = []
+    for r in rows:
+        again, f = r["title_again"] or r["place_again"], furniture_features
+        if r["number"]:
+            numbers.append((f(r), 1 if r["alone"] or r["pair"] else -1))
+            heads.append((f(r), -1))
+        elif r["top"] and again and (r["alone"] or r["pair"]):
+            heads += [(f(r | x), 1) for x in ({}, {"title_again": False}, {"place_again": False}, {"pair": True, "alone": False}, {"alone": True, "pair": False})]
+            if r["few"] and r["year"]:  # a short title
+                heads.append((f(r | {"title_again": False, "place_again": False}), 1))
+            numbers.append((f(r), -1))
+        elif not r["top"]:
+            heads += [(f(r | x), -1) for x in ({}, {"title_again": True}, {"place_again": True}, {"top": True, "alone": True}, {"top": True, "pair": True, "alone": False})]
+            if len(heads) % 4 == 0:
+                heads.append((f(r | {"top": True, "alone": True, "place_again": True}), -1))
+            numbers.append((f(r), -1))
+        elif not again:
+            heads.append((f(r), -1))
+            numbers.append((f(r), -1))
+    return Perceptron.fit(heads, 8, seed, 1.0), Perceptron.fit(numbers, 8, seed, 1.0)
+
+
+# --- judging ---------------------------------------------------------------------------------
+
+
+class Scan:
+    """The lines of pages and texts, prepared, with everything learned from them."""
+
+    def __init__(self, lines: DataFrame, with_text: bool = False) -> None:
+        self.lines = prepared(lines, with_text)
+        self.words = Words(self.lines)
+        self.own = own_hyphens(self.lines)
+        compounds = self.own.where("n >= 2").orderBy(F.xxhash64("left", "right"), "left", "right").limit(SAMPLE_COMPOUNDS).collect()
+        self.joins = fit_joins(self.words.sample, [tuple(r) for r in compounds])
+        keep = [c for c in self.lines.columns if c not in ("words", "keys", "hyphens")]
+        p = placed(self.lines).select(*keep, "title_again", "place_again").repartition("doc_id")
+        first = p.groupBy(*KEY).agg(*[F.first(c).alias(c) for c in p.columns if c not in KEY])  # deliveries of a line count once
+        size = F.count("*").over(Window.partitionBy("field", "doc_id", "region"))
+        texts = F.col("field") == "SFT.completion"
+        first = first.withColumn("_n", F.when(texts, F.when(F.col("edge"), 1).otherwise(9)).otherwise(size))
+        first = first.withColumns({"alone": F.col("_n") == 1, "pair": (F.col("_n") == 2) & (F.col("region") == 0), "top": F.when(texts, F.col("edge")).otherwise(F.col("top"))})
+        self.placed = checkpointed(first.drop("_n", "edge"))
+        drawn = self.placed.where("main AND field = 'TextEquiv.Unicode'").orderBy(F.xxhash64("row_key"), "row_key").limit(SAMPLE_LINES).select(*SHAPES, *PLACES).collect()
+        self.heads, self.numbers = fit_furniture([r.asDict() for r in drawn])
+
+    def judged(self) -> DataFrame:
+        """Each line once with its flags head, number, hyphen_break, misread and its fixes.
+
+        The next line is the next line of body text of the page, else the first one of the next
+        page of the volume. Pages are brought in order inside blocks of BLOCK_PAGES page numbers,
+        so no task holds a whole volume.
+        """
+        j = self.placed.withColumns({"is_number": furniture_column(self.numbers) > 0, "is_head": furniture_column(self.heads) > 0})
+        j = j.withColumn("is_head", F.col("is_head") & ~F.col("is_number")).drop(*SHAPES, *PLACES)
+        body = F.col("main") & ~F.col("is_head") & ~F.col("is_number")
+        w = Window.partitionBy("field", "doc_id").orderBy("at", "row_key")
+        back = Window.partitionBy("field", "doc_id").orderBy(F.desc("at"), F.desc("row_key"))
+        before = (Window.unboundedPreceding, -1)  # in both orders, so that the frames only grow
+        cut = F.col("sign").isNotNull()
+        j = j.withColumn("next", F.last(F.when(body, F.coalesce("right", F.lit(""))), True).over(back.rowsBetween(*before))).withColumn("prev", F.last(F.when(body, cut), True).over(w.rowsBetween(*before)))
+        # the first and last body line of each page, for the pages around it
+        no = F.coalesce(F.regexp_extract("doc_id", r"(\d+)$", 1).try_cast("long"), F.lit(0).cast("long"))
+        pages = j.where(body & F.col("volume").isNotNull()).groupBy("field", "volume", "doc_id").agg(F.min_by(F.coalesce("right", F.lit("")), "at").alias("opens"), F.max_by(cut, "at").alias("closes")).withColumn("no", no)
+        pages = pages.withColumn("block", F.floor(F.col("no") / BLOCK_PAGES))
+        in_block = F.col("no") % BLOCK_PAGES
+        blocks = F.array_compact(F.array(F.struct(F.col("block").alias("block"), F.lit(True).alias("own")), F.when(in_block < NEAR_PAGES, F.struct((F.col("block") - 1).alias("block"), F.lit(False).alias("own"))), F.when(in_block >= BLOCK_PAGES - NEAR_PAGES, F.struct((F.col("block") + 1).alias("block"), F.lit(False).alias("own")))))
+        p = pages.select("*", F.explode(blocks).alias("e")).drop("block")
+        wp = Window.partitionBy("field", "volume", "e.block").orderBy("no", "doc_id")
+        p = p.withColumn("page_next", F.lead("opens").over(wp)).withColumn("page_prev", F.lag("closes").over(wp)).where("e.own").select("field", "doc_id", "page_next", "page_prev")
+        j = j.join(p, ["field", "doc_id"], "left").withColumn("next", F.coalesce("next", "page_next")).withColumn("prev", F.coalesce("prev", "page_prev", F.lit(False))).drop("page_next", "page_prev")
+        # line joins, for the lines that end in a hyphen
+        c = j.where(cut & body & F.col("next").isNotNull()).select(*KEY, "sign", "left", F.lower("next").alias("right"))
+        c = c.join(self.own, ["left", "right"], "left").withColumnRenamed("n", "own")
+        c = c.join(self.words.counts.select(F.col("low").alias("_j"), F.col("n").alias("joined")), F.concat("left", "right") == F.col("_j"), "left")
+        score = join_column(self.joins, F.col("sign"), F.coalesce("own", F.lit(0)), F.coalesce("joined", F.lit(0)))
+        c = c.where(score > 0).select(*KEY, F.lit(True).alias("hyphen_break"))
+        m = misread_places(self.lines, self.words.misread())
+        j = j.join(c, KEY, "left").join(m, KEY, "left")
+        running = ~F.col("is_head") & ~F.col("is_number")
+        misread = running & (F.coalesce("other", F.lit(False)) | (F.coalesce("first", F.lit(False)) & ~F.col("prev")))
+        return j.withColumns({"hyphen_break": F.coalesce("hyphen_break", F.lit(False)), "misread": misread})
+
+    def kinds(self) -> DataFrame:
+        """(field, row_key, kind)."""
+        of = {"running_head": F.col("is_head"), "page_number": F.col("is_number"), "hyphen_break": F.col("hyphen_break"), "misread": F.col("misread")}
+        return self.judged().select("field", "row_key", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in of.items()]))).alias("kind")).distinct()
+
+    def repaired(self) -> DataFrame:
+        """(field, doc_id, repaired): furniture removed, words joined over lines, misread words corrected; blank lines part paragraphs. Needs the texts of the lines."""
+        j = self.judged().where("main AND NOT is_head AND NOT is_number")
+        edge = r"(?<![\p{L}\p{M}\p{N}+!])\Q"
+        fixed = F.aggregate(F.coalesce("fixes", F.array().cast("array<struct<word:string,fix:string>>")), F.col("text"), lambda t, x: F.regexp_replace(t, F.concat(F.lit(edge), x["word"], F.lit(r"\E(?![\p{L}\p{M}\p{N}])")), F.regexp_replace(x["fix"], r"([\\$])", r"\\$1")))
+        line = F.when(F.col("hyphen_break"), F.expr("substring(fixed, 1, length(fixed) - 1)")).otherwise(F.concat("fixed", F.lit(" ")))
+        p = j.withColumn("fixed", fixed).groupBy("field", "doc_id", "paragraph").agg(F.array_sort(F.collect_list(F.struct("at", "row_key", line.alias("t")))).alias("ls"))
+        p = p.select("field", "doc_id", "paragraph", F.trim(F.array_join(F.transform("ls", lambda x: x["t"]), "")).alias("t"))
+        return p.groupBy("field", "doc_id").agg(F.array_sort(F.collect_list(F.struct("paragraph", "t"))).alias("ps")).select("field", "doc_id", F.array_join(F.transform("ps", lambda x: x["t"]), "\n\n").alias("repaired"))
+
+
+def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     equivs = table(spark, sf_dir, "text_equivs").select("equiv_id", "volume", "doc_id", "region_id", "line_id", "equiv_index", "unicode")
-    lines = page_lines(equivs, table(spark, sf_dir, "regions").select("volume", "doc_id", "region_id", "region_no", "lines"))
-    return lines, learn(lines.where("field = 'TextEquiv.Unicode'"))
+    pages = page_lines(equivs, table(spark, sf_dir, "regions").select("volume", "doc_id", "region_id", "region_no", "lines"))
+    return pages.unionByName(text_lines(table(spark, sf_dir, "sft_records"), "record_id", "completion", "SFT.completion"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, reader = _parts(spark, sf_dir)
-    texts = text_kinds(table(spark, sf_dir, "sft_records"), "record_id", "completion", "SFT.completion", reader)
-    return line_kinds(lines, reader).unionByName(texts).distinct()
+    return Scan(all_lines(spark, sf_dir)).kinds()
 
 
 def p4_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transcripts of sft_records as continuous paragraphs."""
-    _, reader = _parts(spark, sf_dir)
-    t = table(spark, sf_dir, "sft_records").where(is_transcript(F.col("completion"))).select("record_id", "completion")
-    return repair_texts(t, "completion", reader).select("record_id", "repaired").distinct()
+    return Scan(all_lines(spark, sf_dir), True).repaired().where("field = 'SFT.completion'").select(F.col("doc_id").cast("long").alias("record_id"), "repaired")
 
 
 def p4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of regions as continuous paragraphs; a page is one row."""
-    _, reader = _parts(spark, sf_dir)
-    r = table(spark, sf_dir, "regions").where(F.size("lines") > 0).select("doc_id", "region_no", "region_id", F.array_join(F.transform(F.array_sort(F.transform("lines", lambda x: F.struct(x["idx"].alias("i"), x["text"].alias("t")))), lambda x: x["t"]), "\n").alias("t")).distinct()
-    page = r.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("region_no", "t"))).alias("r")).select("doc_id", F.array_join(F.transform("r", lambda x: x["t"]), "\n").alias("text"))
-    return repair_texts(page, "text", reader).select("doc_id", "repaired")
+    return Scan(all_lines(spark, sf_dir), True).repaired().where("field = 'TextLineData.text'").select("doc_id", "repaired")
 
 
 QUERIES = {"p4_found": p4_found, "p4_transcripts": p4_transcripts, "p4_pages": p4_pages}
