@@ -26,7 +26,7 @@ from pyspark.sql import Window
 
 from groundset.functions.text import strip
 from groundset.llm.canon import transducer
-from groundset.session import checkpointed, small_rows, small_side, table, written
+from groundset.session import checkpointed, small_side, table, written
 
 #: What a scanner reads (second) for what is printed (first).
 CONFUSIONS = (
@@ -37,9 +37,10 @@ SEEN: dict[str, list[int]] = defaultdict(list)
 for _n, (_true, _seen) in enumerate(CONFUSIONS):
     SEEN[_seen[0]].append(_n)
 HYPHENS = "-‐‑¬⸗=­"
-SAMPLE_WORDS = 3000  # words that stand often, drawn by hash, which the editor is fitted on; so are
-SAMPLE_NAMES = 1500  # capitalised words that stand once or twice
-SAMPLE_LINES = 12_000  # lines of pages, drawn by hash, which the judge of furniture is fitted on
+SAMPLE_WORDS = 2000  # words that stand often, drawn by hash, which the editor is fitted on; so are
+SAMPLE_NAMES = 1000  # capitalised words that stand once or twice
+SAMPLE_PAGES = 300  # pages, drawn by hash, whose lines the judge of furniture is fitted on
+SAMPLE_LINES = 8_000  # of these pages at most, by hash
 SAMPLE_COMPOUNDS = 2000
 KEY = ["field", "doc_id", "row_key", "at"]  # of a line
 OFTEN = 3  # a word that stands so often can be what a misread one should be
@@ -48,11 +49,11 @@ BLOCK_PAGES = 64
 HEAD_SHARE = 0.1  # of the pages of a volume that must begin with a wording or place name for it to be part of a title
 HEAD_WORDS = 9  # longer lines aren't compared with the heads of other pages
 NEAR_PAGES = 8  # page numbers over the edge of a block in which the next and previous page are looked for
-MAX_BROADCAST_WORDS = 500_000  # larger tables of words are joined by shuffle
+MAX_BROADCAST_WORDS = 200_000  # larger tables of words are joined by shuffle
 #: How JSON, lists of boxes and markup start, for Spark: a list of lists, numbers, objects or strings, an object, a tag, comment or declaration.
 NO_TRANSCRIPT = r"""^\s*(?:\[\s*(?:\[\s*)*(?:-?[\d.]+\s*,|\{\s*["}]|"[^"]*"\s*[,\]]|\]\s*(?:,|\]|$))|\{\s*(?:"[^"]*"\s*:|\}\s*$)|</?[A-Za-z][\w:.-]*(?:\s*/?>|\s+[\w:.-]+\s*=)|<[!?])"""
-_L = r"[\p{L}\p{M}\p{N}]"
-WORD = rf"[+!]?{_L}+(?:[+!]{_L}+)*(?:['’-]{_L}+(?:[+!]{_L}+)*)*\+?"
+_L = r"[\p{L}\p{M}\p{N}]++"
+WORD = rf"[+!]?{_L}(?:[+!]{_L})*+(?:['’-]{_L}(?:[+!]{_L})*+)*+\+?"
 INSIDE = r"\p{L}[\d+!]\p{L}"
 UNDRAWN = r"[​-‍⁠﻿]|­(?=.)"
 NUMBER = r"^[\[(\-—–·\s]*(?:(?i:fol|pag|p|s|bl|f)\.?\s*)?(?:(?=[^\d]*\d)[\dlIOo!S]{1,4}|[lI])\s*[rv]?[\])\-—–·.\s]*$|^[\[(\-—–·\s]*(?=[ivxlcdmIVXLCDM1!])[ivxlcdm1!]{1,80}[\])\-—–·.\s]*$|^[\[(\-—–·\s]*[IVXLCDM1]{1,15}[\])\-—–·.\s]*$"
@@ -225,7 +226,7 @@ def is_transcript(text: Column) -> Column:
 
 def is_number(text: Column) -> Column:
     """The shape of a page or leaf number."""
-    return (F.length(text) <= 80) & text.rlike(NUMBER)
+    return (F.length(text) <= 80) & (~text.contains(" ") | (F.length(text) <= 24)) & text.rlike(NUMBER)
 
 
 def page_lines(equivs: DataFrame, regions: DataFrame) -> DataFrame:
@@ -258,40 +259,46 @@ def text_lines(records: DataFrame, key: str, text: str, field: str) -> DataFrame
 
 def head_words(text: Column) -> Column:
     """The words of a line without numbers, each with signs that scanners take for one another as one sign."""
-    t = F.regexp_replace(F.lower(F.regexp_replace(text, EDGE, "")), r"(\p{L})\s?[\dlio]{3,4}(?!\p{L})", "$1 ")
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{M}])[\dlio!]+(?![\p{L}\p{M}])", " ")
-    t = F.translate(t, "0159!+6", "oisgitb")
+    t = F.lower(F.when(text.contains("  "), F.regexp_replace(text, EDGE, "")).otherwise(text))
+    bare = F.regexp_replace(F.regexp_replace(t, r"(\p{L})\s?[\dlio]{3,4}(?!\p{L})", "$1 "), r"(?<![\p{L}\p{M}])[\dlio!]+(?![\p{L}\p{M}])", " ")
+    t = F.when(t.rlike(r"\d"), F.translate(bare, "0159!+6", "oisgitb")).otherwise(t)
     for a, b in (("rn", "m"), ("cl", "d"), ("vv", "w"), ("in", "m"), ("ri", "n"), ("li", "h")):
         t = F.replace(t, F.lit(a), F.lit(b))
     return F.regexp_extract_all(F.translate(t, "cefsrvkaonuhbil", "ccccvvvoonnbbii"), F.lit(r"([\p{L}\p{M}]+)"))
 
 
-def prepared(lines: DataFrame, with_text: bool = False) -> DataFrame:
-    """All that is needed of the lines but their counts: words, how they end and begin, the shape for furniture, the keys of heads. Written once."""
-    t, words = F.col("t"), F.col("words")
+def words_of(text: str = "text") -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
+def prepared(lines: DataFrame) -> DataFrame:
+    """All that is needed of the lines but counts: the text, how they end and begin, the shape for furniture, the keys of heads. Written once."""
+    t = F.col("t")
     n = F.size("hw")
-    letters = F.regexp_replace(t, r"[^\p{L}]+", "")
-    d = lines.withColumn("t", strip(F.regexp_replace("text", UNDRAWN, "")))
-    d = d.withColumn("words", F.regexp_extract_all("t", F.lit(WORD), F.lit(0))).withColumn("short", (F.length("t") < 90) & (F.size("words") <= 12))
-    d = d.select("*", F.explode(F.array(F.when(F.col("short"), head_words(t)))).alias("hw"))
-    last = F.right(t, F.lit(1))
+    ascii = F.length("text") == F.octet_length("text")
+    d = lines.withColumn("t", strip(F.when(ascii, F.col("text")).otherwise(F.regexp_replace("text", UNDRAWN, ""))))
+    d = d.withColumn("k", F.size(F.split("t", " +")))
+    apart = F.col("edge") | t.contains("  ") | t.rlike(r"\d") | (t == F.upper(t))
+    asked = (F.col("k") <= HEAD_WORDS + 3) & (F.col("top") | (F.col("volume").isNull() & apart))  # only these are compared with heads
+    d = d.select("*", F.explode(F.array(F.when(asked, head_words(t)))).alias("hw"), F.right(t, F.lit(1)).alias("last"))
+    last = F.col("last")
+    double = t.contains("  ")
     hyphen = r"([\p{L}\p{M}]+)-\s?([\p{L}\p{M}]+)"
     hyphens = F.when(t.contains("-"), F.arrays_zip(F.regexp_extract_all(t, F.lit(hyphen), F.lit(1)).alias("left"), F.regexp_extract_all(t, F.lit(hyphen), F.lit(2)).alias("right"))).cast("array<struct<left:string,right:string>>")
-    ends = F.translate(last, HYPHENS, "") == ""
-    ends = ends & F.regexp_like(F.substring(t, -2, 1), F.lit(r"\p{L}"))
+    ends = last.isin(*HYPHENS) & F.regexp_like(F.substring(t, -2, 1), F.lit(r"\p{L}"))
     shapes = {
         "number": is_number(t),
-        "year_line": t.rlike(r"^\d{1,4}\.$"),
-        "roman": t.rlike(r"^[ivxlcdmIVXLCDM1!]+$"),
-        "marked": t.rlike(r"^[\[(—–·-]|(?i)^(?:fol|pag|bl)\b"),
-        "year": t.rlike(r"[\dlIOo]{3,4}[\s·.—–-]*$") & ~is_number(t),
-        "edge_number": F.col("short") & t.rlike(EDGE),
-        "caps": (F.length(letters) >= 4) & (letters == F.upper(letters)),
+        "year_line": (F.length(t) <= 5) & t.rlike(r"^\d{1,4}\.$"),
+        "roman": (F.col("k") == 1) & t.rlike(r"^[ivxlcdmIVXLCDM1!]+$"),
+        "marked": t.rlike(r"^(?:[\[(—–·-]|(?i:fol|pag|bl)\b)"),
+        "year": F.right(t, F.lit(9)).rlike(r"[\dlIOo]{3,4}[\s·.—–-]*$") & ~is_number(t),
+        "edge_number": double & t.rlike(EDGE),
+        "caps": (t == F.upper(t)) & (F.lower(t) != F.upper(t)) & (F.length(t) >= 4),
         "low": t.rlike(r"^\p{Ll}"),
-        "stop": t.rlike(r"[.;,:]$"),
-        "comma": t.rlike(r"[,;] "),
-        "few": F.coalesce(n, F.lit(99)) <= 2,
-        "middle": F.coalesce(n, F.lit(99)).between(3, 7),
+        "stop": last.isin(".", ";", ",", ":"),
+        "comma": t.contains(", ") | t.contains("; "),
+        "few": F.col("k") <= 3,
+        "middle": F.col("k").between(4, 9),
     }
     # of a wording its first half, its second half without the last word, and the last word, which names the place; so noise in one leaves the others
     half = F.ceil(n / 2).cast("int")
@@ -301,7 +308,7 @@ def prepared(lines: DataFrame, with_text: bool = False) -> DataFrame:
     keep = ["field", "row_key", "volume", "doc_id", "region", "at", "main", "top", "second", "edge", "paragraph"]
     return written(
         d.select(
-            *keep, "words", *([F.col("t").alias("text")] if with_text else []), *[F.coalesce(c, F.lit(False)).alias(k) for k, c in shapes.items()], keys.alias("keys"), hyphens.alias("hyphens"),
+            *keep, F.col("t").alias("text"), *[F.coalesce(c, F.lit(False)).alias(k) for k, c in shapes.items()], keys.alias("keys"), hyphens.alias("hyphens"),
             F.when(ends, last).alias("sign"), F.when(ends, F.lower(F.regexp_extract("t", r"([\p{L}\p{M}]+).$", 1))).alias("left"), F.regexp_extract("t", r"^([\p{L}\p{M}]*)", 1).alias("right"),
         ),
         "lines",
@@ -316,7 +323,7 @@ class Words:
 
     def __init__(self, lines: DataFrame) -> None:
         spark = lines.sparkSession
-        w = lines.where("main AND field <> 'TextLineData.text'").select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"))  # the lines of regions are those of the pages
+        w = lines.where("main AND field <> 'TextLineData.text'").select(F.explode(words_of()).alias("word")).groupBy("word").agg(F.count("*").alias("n"))  # the lines of regions are those of the pages
         self.words = written(w.withColumn("low", F.lower("word")), "words")
         self.counts = self.words.groupBy("low").agg(F.sum("n").alias("n"))
         row = self.counts.agg(F.sum("n").alias("total"), F.count("*").alias("rows")).first()
@@ -387,7 +394,7 @@ def misread_places(lines: DataFrame, misread: DataFrame) -> DataFrame:
     A word at the end of a line that ends in a hyphen counts only if signs stand inside it.
     """
     small = small_side(misread, misread.count(), MAX_BROADCAST_WORDS)
-    w = lines.select(*KEY, F.col("sign").isNotNull().alias("cut"), F.size("words").alias("k"), F.posexplode("words").alias("p", "word")).join(small, "word")
+    w = lines.select(*KEY, F.col("sign").isNotNull().alias("cut"), F.explode(F.array(words_of())).alias("words")).select("*", F.size("words").alias("k"), F.posexplode("words").alias("p", "word")).drop("words").join(small, "word")
     counts = F.col("inside") | ~(F.col("cut") & (F.col("p") == F.col("k") - 1))
     return w.groupBy(*KEY).agg(F.bool_or(counts & ~F.col("inside") & (F.col("p") == 0)).alias("first"), F.bool_or(counts & (F.col("inside") | (F.col("p") > 0))).alias("other"), F.collect_set(F.when(counts, F.struct("word", "fix"))).alias("fixes"))
 
@@ -447,24 +454,33 @@ def furniture_column(model: Perceptron) -> Column:
     return out
 
 
-def placed(lines: DataFrame) -> DataFrame:
-    """Lines with the flags of their place: top, alone in its region (or one of a pair), wording and place name that stand at the head of other pages too.
+def titles(lines: DataFrame) -> DataFrame:
+    """(volume, kind, key): wordings and place names at the head of several pages of a volume."""
+    heads = lines.where("top AND main AND field = 'TextEquiv.Unicode' AND NOT number AND volume IS NOT NULL")
+    of = heads.groupBy("volume").agg(F.count_distinct("doc_id").alias("of"))
+    again = heads.select("volume", "doc_id", F.explode("keys").alias("k")).groupBy("volume", "k.kind", "k.key").agg(F.count_distinct("doc_id").alias("pages")).where("pages >= 2")
+    return written(again.join(of, "volume").where(F.col("pages") >= HEAD_SHARE * F.col("of")).select("volume", "kind", "key"), "titles")
+
+
+def placed(lines: DataFrame, again: DataFrame) -> DataFrame:
+    """Lines, each once, with the flags of their place: top, alone in its region (or one of a pair), wording and place name that stand at the head of other pages too.
 
     On pages both are sought in the line's own volume; texts have none, so there the heads of
     all volumes count, and a line that has both or stands between pages counts as a top one.
     """
-    heads = lines.where("top AND main AND field = 'TextEquiv.Unicode' AND NOT number AND volume IS NOT NULL")
-    of = heads.groupBy("volume").agg(F.count_distinct("doc_id").alias("of"))
-    again = heads.select("volume", "doc_id", F.explode("keys").alias("k")).groupBy("volume", "k.kind", "k.key").agg(F.count_distinct("doc_id").alias("pages")).where("pages >= 2")
-    again = checkpointed(again.join(of, "volume").where(F.col("pages") >= HEAD_SHARE * F.col("of")).select("volume", "kind", "key"))
     flags = [F.bool_or(F.col("kind") != "place").alias("title_again"), F.bool_or(F.col("kind") == "place").alias("place_again")]
     asked = lines.where("keys IS NOT NULL AND volume IS NOT NULL AND top").select(*KEY, "volume", F.explode("keys").alias("k")).select(*KEY, "volume", "k.*")
     known = asked.join(again, ["volume", "kind", "key"]).groupBy(*KEY).agg(*flags)
     asked = lines.where("keys IS NOT NULL AND volume IS NULL").select(*KEY, F.explode("keys").alias("k")).select(*KEY, "k.*")
     known = known.unionByName(asked.join(again.select("kind", "key").distinct(), ["kind", "key"]).groupBy(*KEY).agg(*flags))
-    out = lines.join(known, KEY, "left").withColumns({"title_again": F.coalesce("title_again", F.lit(False)), "place_again": F.coalesce("place_again", F.lit(False))})
-    between = F.col("volume").isNull() & ((F.col("title_again") & F.col("place_again")) | (F.col("place_again") & (F.col("edge_number") | (F.col("few") & F.col("year")))))
-    return out.withColumn("edge", F.col("edge") | between)
+    once = lines.drop("text", "keys", "hyphens").repartition("doc_id").distinct()  # deliveries of a line count once
+    out = once.join(known, KEY, "left").withColumns({"title_again": F.coalesce("title_again", F.lit(False)), "place_again": F.coalesce("place_again", F.lit(False))})
+    texts = F.col("field") == "SFT.completion"
+    between = texts & ((F.col("title_again") & F.col("place_again")) | (F.col("place_again") & (F.col("edge_number") | (F.col("few") & F.col("year")))))
+    edge = F.col("edge") | between
+    size = F.when(texts, F.when(edge, 1).otherwise(9)).otherwise(F.count("*").over(Window.partitionBy("field", "doc_id", "region")))
+    out = out.withColumn("_n", size)
+    return out.withColumns({"alone": F.col("_n") == 1, "pair": (F.col("_n") == 2) & (F.coalesce("region", F.lit(-1)) == 0), "top": F.when(texts, edge).otherwise(F.col("top"))}).drop("_n", "edge")
 
 
 def fit_furniture(rows: list[dict[str, bool]], seed: int = 6) -> tuple[Perceptron, Perceptron]:
@@ -493,7 +509,7 @@ def fit_furniture(rows: list[dict[str, bool]], seed: int = 6) -> tuple[Perceptro
         elif not again:
             heads.append((f(r), -1))
             numbers.append((f(r), -1))
-    return Perceptron.fit(heads, 8, seed, 1.0), Perceptron.fit(numbers, 8, seed, 1.0)
+    return Perceptron.fit(heads, 6, seed, 1.0), Perceptron.fit(numbers, 6, seed, 1.0)
 
 
 # --- judging ---------------------------------------------------------------------------------
@@ -502,22 +518,20 @@ def fit_furniture(rows: list[dict[str, bool]], seed: int = 6) -> tuple[Perceptro
 class Scan:
     """The lines of pages and texts, prepared, with everything learned from them."""
 
-    def __init__(self, lines: DataFrame, with_text: bool = False) -> None:
-        self.lines = prepared(lines, with_text)
+    def __init__(self, lines: DataFrame) -> None:
+        self.lines = prepared(lines)
         self.words = Words(self.lines)
         self.own = own_hyphens(self.lines)
         compounds = self.own.where("n >= 2").orderBy(F.xxhash64("left", "right"), "left", "right").limit(SAMPLE_COMPOUNDS).collect()
         self.joins = fit_joins(self.words.sample, [tuple(r) for r in compounds])
-        keep = [c for c in self.lines.columns if c not in ("words", "keys", "hyphens")]
-        p = placed(self.lines).select(*keep, "title_again", "place_again").repartition("doc_id")
-        first = p.groupBy(*KEY).agg(*[F.first(c).alias(c) for c in p.columns if c not in KEY])  # deliveries of a line count once
-        size = F.count("*").over(Window.partitionBy("field", "doc_id", "region"))
-        texts = F.col("field") == "SFT.completion"
-        first = first.withColumn("_n", F.when(texts, F.when(F.col("edge"), 1).otherwise(9)).otherwise(size))
-        first = first.withColumns({"alone": F.col("_n") == 1, "pair": (F.col("_n") == 2) & (F.col("region") == 0), "top": F.when(texts, F.col("edge")).otherwise(F.col("top"))})
-        self.placed = checkpointed(first.drop("_n", "edge"))
-        drawn = self.placed.where("main AND field = 'TextEquiv.Unicode'").orderBy(F.xxhash64("row_key"), "row_key").limit(SAMPLE_LINES).select(*SHAPES, *PLACES).collect()
-        self.heads, self.numbers = fit_furniture([r.asDict() for r in drawn])
+        self.again = titles(self.lines)
+        pages = [r["doc_id"] for r in self.lines.where("main AND field = 'TextEquiv.Unicode'").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_PAGES).collect()]
+        drawn = placed(self.lines.where(F.col("doc_id").isin(pages) & (F.col("field") == "TextEquiv.Unicode") & F.col("main")), self.again)
+        rows = drawn.orderBy(F.xxhash64("row_key"), "row_key").limit(SAMPLE_LINES).select(*SHAPES, *PLACES).collect()
+        self.heads, self.numbers = fit_furniture([r.asDict() for r in rows])
+
+    def placed(self) -> DataFrame:
+        return placed(self.lines, self.again)
 
     def judged(self) -> DataFrame:
         """Each line once with its flags head, number, hyphen_break, misread and its fixes.
@@ -526,14 +540,15 @@ class Scan:
         page of the volume. Pages are brought in order inside blocks of BLOCK_PAGES page numbers,
         so no task holds a whole volume.
         """
-        j = self.placed.withColumns({"is_number": furniture_column(self.numbers) > 0, "is_head": furniture_column(self.heads) > 0})
-        j = j.withColumn("is_head", F.col("is_head") & ~F.col("is_number")).drop(*SHAPES, *PLACES)
+        j = self.placed().withColumns({"is_number": furniture_column(self.numbers) > 0, "is_head": furniture_column(self.heads) > 0})
+        j = j.withColumn("is_head", F.col("is_head") & ~F.col("is_number")).drop(*SHAPES, *PLACES, "region")
         body = F.col("main") & ~F.col("is_head") & ~F.col("is_number")
         w = Window.partitionBy("field", "doc_id").orderBy("at", "row_key")
         back = Window.partitionBy("field", "doc_id").orderBy(F.desc("at"), F.desc("row_key"))
         before = (Window.unboundedPreceding, -1)  # in both orders, so that the frames only grow
         cut = F.col("sign").isNotNull()
         j = j.withColumn("next", F.last(F.when(body, F.coalesce("right", F.lit(""))), True).over(back.rowsBetween(*before))).withColumn("prev", F.last(F.when(body, cut), True).over(w.rowsBetween(*before)))
+        j = written(j, "judged")  # read several times
         # the first and last body line of each page, for the pages around it
         no = F.coalesce(F.regexp_extract("doc_id", r"(\d+)$", 1).try_cast("long"), F.lit(0).cast("long"))
         pages = j.where(body & F.col("volume").isNotNull()).groupBy("field", "volume", "doc_id").agg(F.min_by(F.coalesce("right", F.lit("")), "at").alias("opens"), F.max_by(cut, "at").alias("closes")).withColumn("no", no)
@@ -562,8 +577,8 @@ class Scan:
         return self.judged().select("field", "row_key", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in of.items()]))).alias("kind")).distinct()
 
     def repaired(self) -> DataFrame:
-        """(field, doc_id, repaired): furniture removed, words joined over lines, misread words corrected; blank lines part paragraphs. Needs the texts of the lines."""
-        j = self.judged().where("main AND NOT is_head AND NOT is_number")
+        """(field, doc_id, repaired): furniture removed, words joined over lines, misread words corrected; blank lines part paragraphs."""
+        j = self.judged().where("main AND NOT is_head AND NOT is_number").join(self.lines.select(*KEY, "text").distinct(), KEY)
         edge = r"(?<![\p{L}\p{M}\p{N}+!])\Q"
         fixed = F.aggregate(F.coalesce("fixes", F.array().cast("array<struct<word:string,fix:string>>")), F.col("text"), lambda t, x: F.regexp_replace(t, F.concat(F.lit(edge), x["word"], F.lit(r"\E(?![\p{L}\p{M}\p{N}])")), F.regexp_replace(x["fix"], r"([\\$])", r"\\$1")))
         line = F.when(F.col("hyphen_break"), F.expr("substring(fixed, 1, length(fixed) - 1)")).otherwise(F.concat("fixed", F.lit(" ")))
@@ -584,12 +599,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The transcripts of sft_records as continuous paragraphs."""
-    return Scan(all_lines(spark, sf_dir), True).repaired().where("field = 'SFT.completion'").select(F.col("doc_id").cast("long").alias("record_id"), "repaired")
+    return Scan(all_lines(spark, sf_dir)).repaired().where("field = 'SFT.completion'").select(F.col("doc_id").cast("long").alias("record_id"), "repaired")
 
 
 def p4_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages of regions as continuous paragraphs; a page is one row."""
-    return Scan(all_lines(spark, sf_dir), True).repaired().where("field = 'TextLineData.text'").select("doc_id", "repaired")
+    return Scan(all_lines(spark, sf_dir)).repaired().where("field = 'TextLineData.text'").select("doc_id", "repaired")
 
 
 QUERIES = {"p4_found": p4_found, "p4_transcripts": p4_transcripts, "p4_pages": p4_pages}
