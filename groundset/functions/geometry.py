@@ -19,7 +19,9 @@ def parse_points(points: Column) -> Column:
 
 
 def format_points(points: Column) -> Column:
-    return F.array_join(F.transform(points, lambda p: F.concat(p["x"].cast("string"), F.lit(","), p["y"].cast("string"))), " ")
+    """Points as "x,y x,y", each number rounded to a whole one, halves to even."""
+    whole = lambda v: F.rint(v.cast("double")).cast("long").cast("string")
+    return F.array_join(F.transform(points, lambda p: F.concat(whole(p["x"]), F.lit(","), whole(p["y"]))), " ")
 
 
 def hull(points: Column) -> Column:

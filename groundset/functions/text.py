@@ -9,12 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space as str.strip sees it: all Unicode blanks and the four separators.
-BLANK = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+BLANKS = "".join(map(chr, (0x20, *range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
 def strip(text: Column) -> Column:
-    """The text without outer white space of any kind; trim takes blanks only."""
-    return F.regexp_replace(text, BLANK, "")
+    """The text without outer white space of any kind; trim alone takes blanks only."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def ordinal(n: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 from xml.sax.saxutils import escape
 
 import pyarrow as pa
@@ -11,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from groundset.functions.text import strip
+from groundset.operators.nested import load
 from groundset.session import checkpointed
 
 # The vocabulary, in its groups.
@@ -29,6 +32,7 @@ DOMAINS = {("layer", "value"): ("body", "background", "furniture"), ("checkbox",
 ATTRIBUTES = {"doclang": ("version",), "default_resolution": ("width", "height"), "label": ("value",), "thread": ("thread_id",), "xref": ("thread_id",), "href": ("uri",), "layer": ("value",), "location": ("value", "resolution"), "src": ("uri",), "checkbox": ("class",), "list": ("class",), "picture": ("class",), "value": ("class",), "heading": ("level",), "field_heading": ("level",)}
 LEAST = {("thread", "thread_id"): 1, ("xref", "thread_id"): 1, ("heading", "level"): 1, ("field_heading", "level"): 1, ("location", "value"): 0, ("location", "resolution"): 1, ("default_resolution", "width"): 0, ("default_resolution", "height"): 0}
 VERSION = "0.7"
+PROMPT = "Transcribe this historical document into DocLang format."
 NAMESPACE = "https://www.doclang.ai/ns/v0"
 FIELDS = ("field_region", "field_item", "field_heading")
 _INLINE = FORMATTING + ("content",)
@@ -63,6 +67,9 @@ _BODY = {"list": ("items",), "table": ("cells",), "index": ("cells",), "tabular"
 _SLOTS = (("label",), ("thread",), ("xref", "href"), ("layer",), ("locations",), ("caption",), ("description",), ("summary",), ("custom",))
 
 
+_CLOSE = object()
+
+
 def _many(value: object) -> list:
     return value if isinstance(value, list) else [] if value is None else [value]
 
@@ -79,8 +86,12 @@ def render(root: object) -> str:
     """
     out: list[str] = []
     stack: list[object] = [root]
+    owners: list[str] = []  # kinds of the elements that are open
     while stack:
         node = stack.pop()
+        if node is _CLOSE:
+            owners.pop()
+            continue
         if isinstance(node, str):
             out.append(node)
             continue
@@ -102,6 +113,8 @@ def render(root: object) -> str:
             continue
         if kind in ("text_chunk", "content"):
             text = node.get("text")
+            if owners and owners[-1] in FIELDS and kind == "text_chunk" and not (text or "").strip():
+                continue  # a blank run there would become an element that may not stand there
             bare = kind == "text_chunk" and (not text or text == text.strip())
             out.append(escape(text or "") if bare else f"<content>{escape(text)}</content>" if text is not None else "<content/>")
             continue
@@ -114,20 +127,21 @@ def render(root: object) -> str:
             out.append(f"<{kind}{attrs}/>")
         else:
             out.append(f"<{kind}{attrs}>")
-            stack.append(f"</{kind}>")
+            owners.append(kind)
+            stack += [_CLOSE, f"</{kind}>"]
             stack.extend(reversed(inner))
     return "".join(out)
 
 
 def render_document(head: str | None, body: str | None, namespace: str = NAMESPACE) -> str | None:
-    """Markup of a document from its JSON columns; None where the body is missing or can't be rendered."""
+    """Markup of a document from its JSON columns; None where the body is missing or can't be rendered. Lone surrogates become replacement signs."""
     try:
-        b = json.loads(body) if body else None
-        h = json.loads(head) if head else None
+        b = load(body) if body else None
+        h = load(head) if head else None
         if not isinstance(b, list):
             return None
         top = "" if h is None else f"<head>{render(_many(h.get('items')) if isinstance(h, dict) else [])}</head>"
-        return f'<doclang xmlns="{namespace}" version="{VERSION}">{top}{render(b)}</doclang>'
+        return f'<doclang xmlns="{namespace}" version="{VERSION}">{top}{render(b)}</doclang>'.encode("utf-8", "replace").decode()
     except (ValueError, TypeError, RecursionError):
         return None
 
@@ -147,10 +161,6 @@ def serialize(docs: DataFrame, key: str) -> DataFrame:
 # --- rules -----------------------------------------------------------------------------------
 
 
-def _table(nodes: DataFrame, rows: list[tuple], schema: str) -> DataFrame:
-    return F.broadcast(nodes.sparkSession.createDataFrame(rows, schema))  # tables of the fixed vocabulary
-
-
 def _found(df: DataFrame, rule: str, detail: Column) -> DataFrame:
     return df.select("doc_id", F.lit(rule).alias("rule"), "node_id", detail.cast("string").alias("detail"))
 
@@ -159,83 +169,87 @@ def _elements(nodes: DataFrame) -> DataFrame:
     return nodes.where("error IS NULL AND tag <> '#text'")
 
 
-def _typed_parent(nodes: DataFrame) -> DataFrame:
-    p = nodes.select("doc_id", F.col("node_id").alias("parent_id"), F.col("tag").alias("parent_tag"), F.col("attrs").alias("parent_attrs"))
-    return nodes.join(p, ["doc_id", "parent_id"], "left")
-
-
-def _first_body(nodes: DataFrame, tags: tuple[str, ...]) -> DataFrame:
-    """The first thing in the body of elements of some kinds that isn't blank text or part of the head."""
-    owner = nodes.where(F.col("tag").isin(*tags)).select("doc_id", F.col("node_id").alias("parent_id"), F.col("tag").alias("owner"))
-    kid = nodes.where("(tag <> '#text' AND slot = 'body') OR (tag = '#text' AND trim(text) <> '')").select("doc_id", "parent_id", "ordinal", F.col("tag").alias("kid"))
-    k = kid.groupBy("doc_id", "parent_id").agg(F.min_by("kid", "ordinal").alias("kid"))
-    return owner.join(k, ["doc_id", "parent_id"], "left").withColumnRenamed("parent_id", "node_id")
-
-
-def _no_ancestor(nodes: DataFrame, tag: str, ancestor: str) -> DataFrame:
-    inner = nodes.where(F.col("tag") == tag)
-    outer = nodes.where(F.col("tag") == ancestor).select(F.col("doc_id").alias("d"), F.col("node_id").alias("a"), F.col("subtree_end").alias("z"))
-    return inner.join(outer, (F.col("doc_id") == F.col("d")) & (F.col("node_id") > F.col("a")) & (F.col("node_id") <= F.col("z")), "left_anti")
-
-
-def rule_known_elements(n: DataFrame) -> DataFrame:
-    v = _table(n, [(t,) for t in VOCABULARY], "tag string")
-    return _found(_elements(n).join(v, "tag", "left_anti"), "known_elements", F.col("tag"))
-
-
-def rule_domains(n: DataFrame) -> DataFrame:
-    d = _table(n, [(t, a, list(v)) for (t, a), v in DOMAINS.items()], "tag string, attr string, allowed array<string>")
-    bad = _elements(n).join(d, "tag").where(F.col("attrs")[F.col("attr")].isNotNull() & ~F.array_contains("allowed", F.col("attrs")[F.col("attr")]))
-    return _found(bad, "attribute_domain", F.concat_ws("=", F.concat_ws("@", "tag", "attr"), F.col("attrs")[F.col("attr")]))
-
-
-def rule_attributes(n: DataFrame) -> DataFrame:
-    a = _table(n, [(t, list(v)) for t, v in ATTRIBUTES.items()], "tag string, may array<string>")
-    e = _elements(n).join(a, "tag", "left")
-    extra = F.array_except(F.map_keys(F.coalesce("attrs", F.create_map().cast("map<string,string>"))), F.coalesce("may", F.array().cast("array<string>")))
-    return _found(e.where(F.size(extra) > 0), "known_attributes", F.array_join(extra, ","))
-
-
-def rule_numbers(n: DataFrame) -> DataFrame:
-    d = _table(n, [(t, a, v) for (t, a), v in LEAST.items()], "tag string, attr string, least int")
-    value = F.col("attrs")[F.col("attr")]
-    bad = _elements(n).join(d, "tag").where(value.isNotNull() & (value.try_cast("int").isNull() | (value.try_cast("int") < F.col("least"))))
-    return _found(bad, "whole_numbers", F.concat_ws("=", "attr", value))
-
-
-def rule_version(n: DataFrame) -> DataFrame:
-    v = F.col("attrs")["version"]
-    return _found(n.where((F.col("tag") == "doclang") & v.isNotNull() & (v != VERSION)), "version", v)
-
-
-def rule_children(n: DataFrame) -> DataFrame:
-    edges = _table(n, [(p, c) for p, (cs, _) in allowed_children().items() for c in cs], "parent_tag string, tag string")
-    kids = _typed_parent(n).where("error IS NULL AND tag <> '#text' AND slot = 'body' AND parent_tag IS NOT NULL")
-    known = kids.join(_table(n, [(p,) for p in allowed_children()], "parent_tag string"), "parent_tag", "left_semi")
-    return _found(known.join(edges, ["parent_tag", "tag"], "left_anti"), "allowed_children", F.concat_ws(">", "parent_tag", "tag"))
-
-
-def rule_text_in_group(n: DataFrame) -> DataFrame:
-    plain = [p for p, (_, mixed) in allowed_children().items() if not mixed]
-    t = _typed_parent(n).where((F.col("tag") == "#text") & F.col("parent_tag").isin(*plain) & (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
-    return _found(t, "no_text_here", F.col("parent_tag"))
-
-
-def rule_head_order(n: DataFrame) -> DataFrame:
-    rank = F.array_position(F.array(*[F.lit(t) for t in HEAD_ORDER]), F.col("tag"))
-    w = Window.partitionBy("doc_id", "parent_id").orderBy("ordinal")
-    heads = _elements(n).where(F.col("tag").isin(*HEAD_ORDER) & (F.col("slot") == "head")).withColumn("rank", rank)
-    return _found(heads.withColumn("before", F.lag("rank").over(w)).where("before > rank"), "head_order", F.col("tag"))
-
-
-def rule_links(n: DataFrame) -> DataFrame:
-    g = _elements(n).where("slot = 'head' AND tag IN ('xref', 'href')").groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.count_if(F.col("tag") == "xref").alias("x"), F.count_if(F.col("tag") == "href").alias("h"))
-    return _found(g.where("x > 0 AND h > 0"), "one_link", F.lit("xref and href"))
-
-
-def rule_locations(n: DataFrame) -> DataFrame:
-    g = _elements(n).where("tag = 'location'").groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.count("*").alias("k"))
-    return _found(g.where("k <> 4"), "four_locations", F.col("k"))
+def _seen(text: Column) -> Column:
+    """Something to read is in the text."""
+    return F.length(strip(text)) > 0
+
+
+def _if(condition: Column, detail: Column | str) -> Column:
+    """The details of one finding, or none."""
+    d = F.lit(detail) if isinstance(detail, str) else detail
+    return F.when(condition, F.array(F.coalesce(d.cast("string"), F.lit("")))).otherwise(F.array().cast("array<string>"))
+
+
+def _choice(of: Column, table: dict[str, list[str] | tuple[str, ...]]) -> Column:
+    """The list of a fixed table for a tag, null if it has none."""
+    return F.try_element_at(F.create_map(*[x for k, v in table.items() for x in (F.lit(k), F.array(*map(F.lit, v)) if v else F.array().cast("array<string>"))]), of)
+
+
+def _node_rules() -> dict[str, Column]:
+    """Rules that one node with what it lies in shows: name -> details of its findings."""
+    tag, attrs, parent = F.col("tag"), F.col("attrs"), F.col("parent_tag")
+    element = tag != "#text"
+    kids = allowed_children()
+    plain = [p for p, (_, mixed) in kids.items() if not mixed]
+    domain = F.coalesce(*[F.when((tag == t) & ~attrs[a].isin(*vs), F.concat(F.lit(f"{t}@{a}="), attrs[a])) for (t, a), vs in DOMAINS.items()])
+    extra = F.array_except(F.coalesce(F.map_keys("attrs"), F.array().cast("array<string>")), F.coalesce(_choice(tag, ATTRIBUTES), F.array().cast("array<string>")))
+    number = lambda t, a, least: F.when((tag == t) & attrs[a].isNotNull() & (F.coalesce(attrs[a].try_cast("int"), F.lit(least - 1)) < least), F.concat(F.lit(f"{a}="), attrs[a]))
+    allowed = _choice(parent, {p: cs for p, (cs, _) in kids.items()})
+    return {
+        "known_elements": _if(element & ~tag.isin(*VOCABULARY), tag),
+        "attribute_domain": _if(element & domain.isNotNull(), domain),
+        "known_attributes": _if(element & (F.size(extra) > 0), F.array_join(extra, ",")),
+        "whole_numbers": F.array_compact(F.array(*[number(t, a, n) for (t, a), n in LEAST.items()])),
+        "version": _if((tag == "doclang") & attrs["version"].isNotNull() & (attrs["version"] != VERSION), attrs["version"]),
+        "allowed_children": _if(element & (F.col("slot") == "body") & allowed.isNotNull() & ~F.array_contains(allowed, tag), F.concat_ws(">", parent, tag)),
+        "no_text_here": _if(~element & parent.isin(*plain) & _seen(F.col("text")), parent),
+        "field_item_place": _if((tag == "field_item") & F.col("region_id").isNull(), tag),
+        "key_place": _if((tag == "key") & F.col("item_id").isNull(), tag),
+        "tabular_place": _if((tag == "tabular") & ((parent != "picture") | (F.coalesce("parent_class", F.lit("")) != "chart")), parent),
+        "list_start": _if((tag == "list") & (F.col("subtree_end") == F.col("node_id")), ""),
+        "table_start": _if(tag.isin("table", "index", "tabular") & (F.col("subtree_end") == F.col("node_id")), ""),
+    }
+
+
+def _families(nodes: DataFrame) -> DataFrame:
+    """One row for each element with children (node_id, owner): what the rules about siblings need."""
+    tag, at = F.col("tag"), F.col("ordinal")
+    head = (F.col("slot") == "head") & tag.isin(*HEAD_ORDER)
+    body = ((tag != "#text") & (F.col("slot") == "body")) | ((tag == "#text") & _seen(F.col("text")))
+    corner = F.struct("ordinal", F.col("attrs")["value"].try_cast("int").alias("v"), F.col("attrs")["resolution"].try_cast("int").alias("r"))
+    rank = F.array_position(F.array(*map(F.lit, HEAD_ORDER)), tag)
+    return nodes.where("error IS NULL AND parent_id IS NOT NULL").groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(
+        F.first("parent_tag").alias("owner"),
+        F.count_if(head & (tag == "xref")).alias("xrefs"), F.count_if(head & (tag == "href")).alias("hrefs"),
+        F.array_sort(F.collect_list(F.when(tag == "location", corner))).alias("ls"),
+        F.array_sort(F.collect_list(F.when(head, F.struct("ordinal", rank.alias("rank"), "tag")))).alias("hs"),
+        F.min_by("tag", F.when(body, at)).alias("first_kid"), F.min(F.when(body & (F.col("slot") == "body"), at)).alias("body_at"), F.max(F.when(tag == "src", at)).alias("src_at"),
+        F.max(F.when(head, at)).alias("head_at"), F.min(F.when((tag == "#text") & _seen(F.col("text")), at)).alias("text_at"),
+    )
+
+
+def _family_rules() -> dict[str, Column]:
+    """Rules about the children of an element: name -> details."""
+    v = lambda i: F.get("ls", F.lit(i))["v"]
+    four = F.size("ls") == 4
+    turns = F.filter(F.transform("hs", lambda x, i: F.when((i > 0) & (F.get("hs", i - 1)["rank"] > x["rank"]), x["tag"])), lambda t: t.isNotNull())
+    return {
+        "one_link": _if((F.col("xrefs") > 0) & (F.col("hrefs") > 0), "xref and href"),
+        "four_locations": _if(~F.size("ls").isin(0, 4), F.size("ls")),
+        "box_order": _if(four & ((v(0) > v(2)) | (v(1) > v(3))), F.concat_ws(",", *[v(i).cast("string") for i in range(4)])),
+        "head_order": turns,
+        "list_start": _if((F.col("owner") == "list") & (F.coalesce("first_kid", F.lit("")) != "ldiv"), F.col("first_kid")),
+        "table_start": _if(F.col("owner").isin("table", "index", "tabular") & ~F.coalesce("first_kid", F.lit("")).isin(*CELLS), F.col("first_kid")),
+        "src_first": _if(F.col("src_at") > F.col("body_at"), "src"),
+        "text_before_head": _if(F.col("text_at") < F.col("head_at"), ""),
+    }
+
+
+def _spread(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """(doc_id, rule, node_id, detail) of several rules in one pass."""
+    named = lambda name: lambda x: F.struct(F.lit(name).alias("rule"), x.alias("detail"))
+    each = F.flatten(F.array(*[F.transform(d, named(name)) for name, d in rules.items()]))
+    return df.select("doc_id", "node_id", F.explode(each).alias("x")).select("doc_id", "x.rule", "node_id", "x.detail")
 
 
 def _corners(n: DataFrame) -> DataFrame:
@@ -244,11 +258,6 @@ def _corners(n: DataFrame) -> DataFrame:
     return g.where(F.size("ls") == 4)
 
 
-def rule_box_order(n: DataFrame) -> DataFrame:
-    v = lambda i: F.col("ls")[i]["v"]
-    return _found(_corners(n).where((v(0) > v(2)) | (v(1) > v(3))), "box_order", F.concat_ws(",", *[v(i).cast("string") for i in range(4)]))
-
-
 def rule_location_limit(n: DataFrame) -> DataFrame:
     """Locations below the declared size of their axis, or their own resolution; nothing declared, nothing to break."""
     size = _elements(n).where("tag = 'default_resolution'").groupBy("doc_id").agg(F.min_by(F.struct(F.col("attrs")["width"].try_cast("int").alias("w"), F.col("attrs")["height"].try_cast("int").alias("h")), "node_id").alias("s"))
@@ -257,87 +266,58 @@ def rule_location_limit(n: DataFrame) -> DataFrame:
     return _found(c.where(over), "location_limit", F.lit(""))
 
 
-def rule_list_start(n: DataFrame) -> DataFrame:
-    f = _first_body(n, ("list",))
-    return _found(f.where("kid IS NULL OR kid <> 'ldiv'"), "list_start", F.col("kid"))
-
-
-def rule_table_start(n: DataFrame) -> DataFrame:
-    f = _first_body(n, ("table", "index", "tabular"))
-    return _found(f.where(F.col("kid").isNull() | ~F.col("kid").isin(*CELLS)), "table_start", F.col("kid"))
-
-
 def rule_rectangular(n: DataFrame) -> DataFrame:
     """Rows end at nl; all rows of a table have as many cells."""
+    c = _elements(n).where(F.col("tag").isin(*CELLS) & F.col("parent_tag").isin("table", "index", "tabular"))
     w = Window.partitionBy("doc_id", "parent_id").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
-    owner = n.where("tag IN ('table', 'index', 'tabular')").select("doc_id", F.col("node_id").alias("parent_id"))
-    c = _elements(n).where(F.col("tag").isin(*CELLS)).join(owner, ["doc_id", "parent_id"], "left_semi")
     rows = c.withColumn("row", F.coalesce(F.count_if(F.col("tag") == "nl").over(w), F.lit(0))).where("tag <> 'nl'").groupBy("doc_id", "parent_id", "row").agg(F.count("*").alias("width"))
     bad = rows.groupBy("doc_id", F.col("parent_id").alias("node_id")).agg(F.min("width").alias("a"), F.max("width").alias("b")).where("a <> b")
     return _found(bad, "rectangular", F.concat_ws("-", "a", "b"))
 
 
 def rule_xref_defined(n: DataFrame) -> DataFrame:
-    t = n.where("tag = 'thread'").select("doc_id", F.col("attrs")["thread_id"].alias("thread"))
+    t = n.where("tag = 'thread'").select("doc_id", F.col("attrs")["thread_id"].alias("thread")).distinct()
     x = n.where("tag = 'xref'").withColumn("thread", F.col("attrs")["thread_id"])
     return _found(x.join(t, ["doc_id", "thread"], "left_anti"), "xref_defined", F.col("thread"))
 
 
-def rule_ancestry(n: DataFrame) -> DataFrame:
-    a = _found(_no_ancestor(n, "field_item", "field_region"), "field_item_place", F.lit("field_item"))
-    return a.unionByName(_found(_no_ancestor(n, "key", "field_item"), "key_place", F.lit("key")))
-
-
 def rule_one_key(n: DataFrame) -> DataFrame:
     """At most one key whose nearest field_item is the item."""
-    key = n.where("tag = 'key'").select("doc_id", F.col("node_id").alias("k"))
-    item = n.where("tag = 'field_item'").select("doc_id", "node_id", "subtree_end")
-    own = key.join(item, "doc_id").where("k > node_id AND k <= subtree_end").groupBy("doc_id", "k").agg(F.max("node_id").alias("node_id"))
-    return _found(own.groupBy("doc_id", "node_id").agg(F.count("*").alias("n")).where("n > 1"), "one_key", F.col("n"))
-
-
-def rule_tabular_place(n: DataFrame) -> DataFrame:
-    t = _typed_parent(n).where("tag = 'tabular'")
-    return _found(t.where("parent_tag <> 'picture' OR parent_attrs['class'] IS NULL OR parent_attrs['class'] <> 'chart'"), "tabular_place", F.col("parent_tag"))
-
-
-def rule_src_first(n: DataFrame) -> DataFrame:
-    src = n.where("tag = 'src'").select("doc_id", F.col("parent_id"), "node_id", "ordinal")
-    before = n.where("slot = 'body' AND (tag <> '#text' OR trim(text) <> '')").select("doc_id", "parent_id", F.col("ordinal").alias("o"))
-    bad = src.join(before, ["doc_id", "parent_id"]).where("o < ordinal").select("doc_id", "node_id").distinct()
-    return _found(bad, "src_first", F.lit("src"))
+    own = n.where("tag = 'key' AND item_id IS NOT NULL").groupBy("doc_id", F.col("item_id").alias("node_id")).agg(F.count("*").alias("n"))
+    return _found(own.where("n > 1"), "one_key", F.col("n"))
 
 
 def rule_thread_host(n: DataFrame) -> DataFrame:
-    t = _typed_parent(n).where("tag = 'thread'").select("doc_id", "node_id", F.col("attrs")["thread_id"].alias("thread"), "parent_tag")
+    t = n.where("tag = 'thread'").select("doc_id", "node_id", F.col("attrs")["thread_id"].alias("thread"), "parent_tag")
     bad = t.groupBy("doc_id", "thread").agg(F.min("node_id").alias("node_id"), F.min("parent_tag").alias("a"), F.max("parent_tag").alias("b")).where("a <> b")
     return _found(bad, "thread_host", F.concat_ws("-", "a", "b"))
 
 
-def rule_text_before_head(n: DataFrame) -> DataFrame:
-    head = n.where("slot = 'head' AND tag IN ('" + "','".join(HEAD_ORDER) + "')").groupBy("doc_id", "parent_id").agg(F.max("ordinal").alias("h"))
-    text = n.where("tag = '#text' AND trim(text) <> ''").select("doc_id", "parent_id", "node_id", "ordinal")
-    return _found(text.join(head, ["doc_id", "parent_id"]).where("ordinal < h"), "text_before_head", F.lit(""))
+NODE_RULES = ("known_elements", "attribute_domain", "known_attributes", "whole_numbers", "version", "allowed_children", "no_text_here", "field_item_place", "key_place", "tabular_place")
+FAMILY_RULES = ("one_link", "four_locations", "box_order", "head_order", "list_start", "table_start", "src_first", "text_before_head")
+DOCUMENT_RULES = {"location_limit": rule_location_limit, "rectangular": rule_rectangular, "xref_defined": rule_xref_defined, "one_key": rule_one_key, "thread_host": rule_thread_host}
+RULES = ("well_formed", *NODE_RULES, *FAMILY_RULES, *DOCUMENT_RULES)
 
 
-RULES = {
-    "known_elements": rule_known_elements, "attribute_domain": rule_domains, "known_attributes": rule_attributes, "whole_numbers": rule_numbers, "version": rule_version, "allowed_children": rule_children, "no_text_here": rule_text_in_group,
-    "head_order": rule_head_order, "one_link": rule_links, "four_locations": rule_locations, "box_order": rule_box_order, "location_limit": rule_location_limit, "list_start": rule_list_start, "table_start": rule_table_start,
-    "rectangular": rule_rectangular, "xref_defined": rule_xref_defined, "ancestry": rule_ancestry, "one_key": rule_one_key, "tabular_place": rule_tabular_place, "src_first": rule_src_first, "thread_host": rule_thread_host, "text_before_head": rule_text_before_head,
-}
-STRUCTURAL_RULES = ("known_elements", "attribute_domain", "known_attributes", "whole_numbers", "version", "allowed_children", "no_text_here", "head_order", "one_link", "four_locations", "list_start", "table_start", "src_first", "text_before_head")
-
-
-def violations(nodes: DataFrame, rules: tuple[str, ...] | None = None) -> DataFrame:
+def violations(nodes: DataFrame, rules: tuple[str, ...] = RULES) -> DataFrame:
     """(doc_id, rule, node_id, detail) of all rules, or of some; a document that can't be parsed breaks the rule well_formed.
 
-    The rules read the node table many times, so it is written once.
+    Rules about a node are one projection, those about siblings one aggregate by parent; only
+    threads, items, rows of cells and sizes have passes of their own. The node table is written once.
     """
+    unknown = set(rules) - set(RULES)
+    if unknown:
+        raise ValueError(f"unknown rules: {sorted(unknown)}")
     nodes = checkpointed(nodes)
-    out = _found(nodes.where("error IS NOT NULL"), "well_formed", F.col("error"))
-    for name in rules or tuple(RULES):
-        out = out.unionByName(RULES[name](nodes))
-    return out
+    parts = []
+    if "well_formed" in rules:
+        parts.append(_found(nodes.where("error IS NOT NULL"), "well_formed", F.col("error")))
+    if own := {k: c for k, c in _node_rules().items() if k in rules}:
+        parts.append(_spread(nodes.where("error IS NULL"), own))
+    if own := {k: c for k, c in _family_rules().items() if k in rules}:
+        parts.append(_spread(_families(nodes), own))
+    parts += [f(nodes) for k, f in DOCUMENT_RULES.items() if k in rules]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def valid_documents(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -345,27 +325,30 @@ def valid_documents(docs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def node_text(nodes: DataFrame, tag: str) -> DataFrame:
-    """(doc_id, node_id, text): the text of elements from their bodies; heads, lists and tables inside give nothing."""
-    e = nodes.where(F.col("tag") == tag).select("doc_id", "node_id", "subtree_end", "depth")
-    run = nodes.where("tag = '#text' AND slot = 'body'").select("doc_id", F.col("node_id").alias("k"), "text")
-    shut = nodes.where("tag IN ('list', 'table', 'index')").select(F.col("doc_id").alias("d"), F.col("node_id").alias("a"), F.col("subtree_end").alias("z"))
-    inner = e.join(run, "doc_id").where("k > node_id AND k <= subtree_end")
-    open_ = inner.join(shut, (F.col("doc_id") == F.col("d")) & (F.col("a") > F.col("node_id")) & (F.col("k") > F.col("a")) & (F.col("k") <= F.col("z")), "left_anti")
-    t = open_.groupBy("doc_id", "node_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "text"))), lambda x: x["text"]), "").alias("text"))
+    """(doc_id, node_id, text): the text of elements from their bodies; heads, lists and tables inside give nothing.
+
+    A run belongs to every element of the tag around it that lies in the same shut element
+    (list, table or index) or holds none in between; those are found along the run's path, so
+    runs meet elements by (document, path), not all with all of a document.
+    """
+    e = nodes.where(F.col("tag") == tag).select("doc_id", "node_id", "subtree_end", "depth", F.coalesce("shut_id", F.lit(-1)).alias("shut"))
+    run = nodes.where("tag = '#text' AND slot = 'body'").select("doc_id", F.col("node_id").alias("k"), "text", F.coalesce("shut_id", F.lit(-1)).alias("shut"), F.explode(F.filter(F.sequence(F.lit(0), F.col("depth") - 1), lambda d: F.get(F.split("path", "/"), d + 1) == tag)).alias("depth"))
+    inner = e.join(run, ["doc_id", "shut", "depth"]).where("k > node_id AND k <= subtree_end")
+    t = inner.groupBy("doc_id", "node_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "text"))), lambda x: x["text"]), "").alias("text"))
     return e.select("doc_id", "node_id").join(t, ["doc_id", "node_id"], "left").select("doc_id", "node_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
 def text_pairs(nodes: DataFrame) -> DataFrame:
-    """(doc_id, node_id, text, bbox): text elements at any depth with four locations of their own and something to read, in document order."""
+    """(doc_id, node_id, text, bbox): text elements at any depth with four locations of their own and something to read, stripped, in document order."""
     box = _corners(nodes).select("doc_id", "node_id", F.struct(*[F.col("ls")[i]["v"].alias(k) for i, k in enumerate(("x1", "y1", "x2", "y2"))]).alias("bbox"))
-    t = node_text(nodes, "text").where(F.trim("text") != "")
+    t = node_text(nodes, "text").withColumn("text", strip(F.col("text"))).where(F.length("text") > 0)
     return t.join(box, ["doc_id", "node_id"])
 
 
 def coverage(nodes: DataFrame) -> DataFrame:
     """(tag, used): the vocabulary and how many documents use each element."""
     used = _elements(nodes).groupBy("tag").agg(F.count_distinct("doc_id").alias("documents"))
-    v = _table(nodes, [(t,) for t in VOCABULARY], "tag string")
+    v = nodes.sparkSession.createDataFrame([(t,) for t in VOCABULARY], "tag string")
     return v.join(used, "tag", "left").select("tag", F.coalesce("documents", F.lit(0)).cast("long").alias("documents"))
 
 

@@ -64,7 +64,7 @@ def parse_deep(text: str) -> object:
         elif sign == "{":
             value = {}
         elif sign is None:
-            value = json.loads(string if string is not None else atom)
+            value = json.loads(string if string is not None else atom, parse_int=_whole)
         else:
             raise ValueError("not JSON")
         if isinstance(box, list):
@@ -82,13 +82,24 @@ def _strict(name: str) -> object:
     raise ValueError(f"{name} isn't JSON")
 
 
+def _whole(digits: str) -> object:
+    """A whole number; one too long to be read as a number stays text."""
+    return int(digits) if len(digits) <= 4000 else digits
+
+
 def load(text: str) -> object:
+    """The value of a JSON text of any depth. ValueError if it isn't JSON."""
     try:
-        return json.loads(text, parse_constant=_strict)
+        return json.loads(text, parse_constant=_strict, parse_int=_whole)
     except RecursionError:
         return parse_deep(text)
 
 
+def sound(text: str) -> str:
+    """Without lone surrogates, which no column can hold; they become question marks."""
+    return text.encode("utf-8", "replace").decode()
+
+
 def label(part: str, root: object) -> Iterator[tuple]:
     """Node tuples of one value: key, parent's key, type, pre, post, parent's pre, depth, text, attributes.
 
@@ -128,11 +139,18 @@ def label(part: str, root: object) -> Iterator[tuple]:
 def json_nodes(df: DataFrame, rid: Column, parts: list[str]) -> DataFrame:
     """The node table of the JSON columns ``parts``.
 
-    Null columns, empty texts and texts that aren't valid JSON give no rows; a valid text
+    Null columns, empty texts and texts that aren't valid JSON give no rows; lone surrogates become question marks; a valid text
     without any typed object gives none either. Two rows of one id give their nodes twice.
     """
     schema = pa.schema([("rid", pa.string()), ("part", pa.string()), ("node_key", pa.string()), ("parent_key", pa.string()), ("type", pa.string()), ("pre", pa.int32()), ("post", pa.int32()), ("parent_pre", pa.int32()), ("depth", pa.int32()), ("text", pa.string()), ("attrs", pa.map_(pa.string(), pa.string()))])
 
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        try:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        except UnicodeEncodeError:
+            clean = lambda v: sound(v) if isinstance(v, str) else [(sound(k), sound(x)) for k, x in v] if isinstance(v, list) else v
+            return batch([tuple(map(clean, r)) for r in rows])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0).to_pylist()
@@ -150,10 +168,10 @@ def json_nodes(df: DataFrame, rid: Column, parts: list[str]) -> DataFrame:
                         rows.append((i, part, *node))
                         size += len(node[0]) + len(node[1])
                         if len(rows) >= 20_000 or size > 1 << 25:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                            yield batch(rows)
                             rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+                yield batch(rows)
 
     return df.select(rid.cast("string").alias("rid"), *[F.col(p).cast("string").alias(f"p{i}") for i, p in enumerate(parts)]).mapInArrow(run, NODE_SCHEMA)
 

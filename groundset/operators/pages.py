@@ -38,6 +38,13 @@ def transcription(regions: DataFrame) -> DataFrame:
     return page.select("doc_id", F.array_join(F.transform("ls", lambda x: x["text"]), "\n").alias("text"))
 
 
+def page_transcription(lines: DataFrame) -> DataFrame:
+    """(doc_id, text) of the lines of shredded page files (doc_id, line_no, custom, text), in the order of ``transcription``."""
+    line = lines.select("doc_id", F.struct(reading_order(F.col("custom")).isNull().alias("none"), reading_order(F.col("custom")).alias("ro"), "line_no").alias("at"), strip(F.col("text")).alias("text")).where(F.length("text") > 0)
+    page = line.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "text"))).alias("ls"))
+    return page.select("doc_id", F.array_join(F.transform("ls", lambda x: x["text"]), "\n").alias("text"))
+
+
 def skip_reasons(docs: DataFrame, regions: DataFrame, images: DataFrame) -> DataFrame:
     """(doc_id, skip_reason): the first check a page fails; null if it passes all."""
     usable = regions.where(F.exists("lines", lambda x: F.length(strip(F.coalesce(x["text"], F.lit("")))) > 0)).select("doc_id").distinct().withColumn("has_text", F.lit(True))

@@ -42,7 +42,7 @@ def _say(*parts: object) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def pairs(mode: str, fmt: str, max_n: int = 2) -> Column:
+def pairs(mode: str, fmt: str, max_n: int = 3) -> Column:
     """The array of (prompt, completion) structs of one prepared row.
 
     Prepared rows have the region's columns, ``region`` and ``boxes`` as text, and in the
@@ -126,7 +126,7 @@ def prepare(regions: DataFrame, mode: str, fmt: str, seed: int = 42) -> DataFram
     return r.select("*", F.explode(F.array(_shuffle(seed))).alias("order")) if mode == "line_ordering" else r
 
 
-def build(regions: DataFrame, mode: str, fmt: str, max_n: int = 2, seed: int = 42) -> DataFrame:
+def build(regions: DataFrame, mode: str, fmt: str, max_n: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, region_no, prompt, completion) of one task in one box format."""
     if fmt not in G.FORMATS:
         raise ValueError(f"unknown format: {fmt}")
@@ -141,11 +141,10 @@ def build(regions: DataFrame, mode: str, fmt: str, max_n: int = 2, seed: int = 4
 TASKS: dict[str, Callable[..., DataFrame]] = {m: (lambda m: lambda regions, fmt, **kw: build(regions, m, fmt, **kw))(m) for m in MODES}
 
 
-def as_records(candidates: DataFrame, images: DataFrame) -> DataFrame:
-    """Training records: the user's image and text, the assistant's text. Images are joined by path, last."""
+def as_records(candidates: DataFrame) -> DataFrame:
+    """Training records (prompt, completion, images) of candidates with a path: the user's image and text, the assistant's text."""
     block = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.alias("text"))
     none = F.lit(None).cast("string")
-    joined = candidates.join(images.select(F.col("stem").alias("doc_id"), "path"), "doc_id")
     user = F.struct(F.lit("user").alias("role"), F.array(block("image", none), block("text", F.col("prompt"))).alias("content"))
     answer = F.struct(F.lit("assistant").alias("role"), F.array(block("text", F.col("completion"))).alias("content"))
-    return joined.select(F.array(user).alias("prompt"), F.array(answer).alias("completion"), F.array(F.struct(F.col("path").alias("path"))).alias("images"))
+    return candidates.select(F.array(user).alias("prompt"), F.array(answer).alias("completion"), F.array(F.struct(F.col("path").alias("path"))).alias("images"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from groundset.operators import markup
-from groundset.operators.pages import region_type
+from groundset.functions.text import strip
+from groundset.operators.pages import first_image, nonblank, region_type
 from groundset.session import table
 from groundset.sources import xml
 
@@ -87,10 +88,18 @@ def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def markup_sft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid documents as transcription-to-markup records."""
+    """Documents that break no rule, with an image, as transcription-to-markup records."""
     c = _content(spark, sf_dir)
-    ok = markup.valid_documents(c, markup.violations(xml.shred(c, "doc_id", "content"), markup.STRUCTURAL_RULES))
-    return ok.select("doc_id", F.lit("Transcribe this historical document into DocLang format.").alias("prompt"), F.trim("content").alias("completion"))
+    ok = markup.valid_documents(c, markup.violations(xml.shred(c, "doc_id", "content")))
+    pics = first_image(_document_images(spark, sf_dir)).withColumnRenamed("stem", "doc_id")
+    return ok.join(pics, "doc_id").select("doc_id", F.lit(markup.PROMPT).alias("prompt"), strip(F.col("content")).alias("completion"), "path")
+
+
+def _document_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Images under the names of documents: those of pages are given to the documents in their order, so every third has none."""
+    docs = _delivered(spark, sf_dir).select("doc_id", F.pmod(F.crc32(F.col("doc_id").cast("binary")), F.lit(3)).alias("k"))
+    both = F.array(F.struct(F.lit(".png").alias("ext")), F.struct(F.lit(".jpg").alias("ext")))
+    return docs.where("k > 0").select("doc_id", F.explode(F.when(F.col("k") == 1, F.slice(both, 1, 1)).otherwise(both)).alias("e")).select(F.col("doc_id").alias("stem"), "e.ext", F.concat(F.lit("images/"), F.col("doc_id"), F.col("e.ext")).alias("path"))
 
 
 def node_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,7 +112,7 @@ def four_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pairs_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(text, box) pairs of page files, then of markup documents."""
-    a = xml.lines_with_coords(xml.page_lines(_page_nodes(spark, sf_dir))).where(F.trim(F.coalesce("text", F.lit(""))) != "").select(F.lit(0).alias("rank"), "doc_id", F.col("line_no").alias("node_id"), "text", "bbox.*")
+    a = nonblank(xml.lines_with_coords(xml.page_lines(_page_nodes(spark, sf_dir))).withColumn("text", F.coalesce("text", F.lit(""))), "text").select(F.lit(0).alias("rank"), "doc_id", F.col("line_no").alias("node_id"), "text", "bbox.*")
     b = markup.text_pairs(_nodes(spark, sf_dir)).select(F.lit(1).alias("rank"), "doc_id", "node_id", "text", "bbox.*")
     return a.unionByName(b)
 
@@ -128,14 +137,10 @@ def inventory_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(words.exceptAll(used).withColumn("side", F.lit("vocabulary")))
 
 
-def _rule(name: str):
-    return lambda spark, sf_dir: markup.RULES[name](_nodes(spark, sf_dir))
-
-
 QUERIES = {
     "page_write": page_write, "page_shred": page_shred, "page_round_trip": page_round_trip, "line_coords": line_coords, "lines_with_coords": lines_with_coords, "baseline_coords": baseline_coords, "class_coords": class_coords, "zones": zones,
     "declared_size": declared_size, "doclang_serialize": doclang_serialize, "doclang_shred": doclang_shred, "violations": violations, "markup_sft": markup_sft, "node_text": node_text, "four_locations": four_locations, "pairs_union": pairs_union,
-    "coverage": coverage, "mutants": mutants, "inventory_diff": inventory_diff, "rule_xref_defined": _rule("xref_defined"), "rule_ancestry": _rule("ancestry"), "rule_box_order": _rule("box_order"), "rule_rectangular": _rule("rectangular"),
+    "coverage": coverage, "mutants": mutants, "inventory_diff": inventory_diff,
 }
 _LAST = "(SELECT doc_id, arg_max(head, (ingested_at, record_id)) AS head, arg_max(body, (ingested_at, record_id)) AS body FROM (SELECT doc_id, record_id, ingested_at, coalesce(head, '') AS head, coalesce(body, '') AS body FROM doclang_docs) GROUP BY doc_id)"
 _RENDERED = f"(SELECT * FROM {_LAST} WHERE json_valid(body) AND json_type(body) = 'ARRAY')"

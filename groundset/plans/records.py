@@ -9,6 +9,7 @@ from groundset.functions.text import strip_ansi, xml_attribute, xml_text
 from groundset.operators import pages, preference, sampling
 from groundset.session import table
 
+CONFIG = ("config_id", "method", "train_path", "eval_path", "max_length", "packing", "chunk_overlap", "dataset_num_proc", "shuffle", "pad_to_multiple_of")
 EXTENSIONS = ("bmp", "gif", "jpeg", "jpg", "png", "tif", "tiff", "webp")
 
 
@@ -82,11 +83,12 @@ def legacy_equiv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sft_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records of both tables as one supervised set, by origin."""
-    a = _sft(spark, sf_dir).select(F.lit("sft").alias("origin"), "record_id", "image", "prompt", "completion")
-    b = table(spark, sf_dir, "dpo_records").select(F.lit("dpo").alias("origin"), "record_id", "image", "prompt", F.col("chosen").alias("completion"))
-    both = a.unionByName(b).where("prompt IS NOT NULL AND completion IS NOT NULL")
-    return both.groupBy("origin").agg(F.count("*").alias("records"), F.sum(F.length("completion")).alias("characters"))
+    """The converted records of both tables, prompts and messages alike, as one supervised set."""
+    a = preference.convert(_sft(spark, sf_dir), "sft", keep=("record_id",)).withColumn("origin", F.lit("sft"))
+    d = table(spark, sf_dir, "dpo_records").select("record_id", "image", "prompt", F.col("chosen").alias("completion"))
+    b = preference.convert(d, "sft", keep=("record_id",)).withColumn("origin", F.lit("dpo"))
+    both = a.select("origin", "record_id", "prompt", "completion").unionByName(b.select("origin", "record_id", "prompt", "completion"))
+    return both.select("origin", "record_id", F.md5(_said("prompt")).alias("prompt"), F.md5(_said("completion")).alias("completion"))
 
 
 def reward_default(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,9 +165,11 @@ def xml_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def config_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hash of each run's method and training path."""
-    js = F.concat(F.lit('{"config_id": '), F.col("config_id").cast("string"), F.lit(', "method": "'), F.col("method"), F.lit('", "train_path": "'), F.col("train_path"), F.lit('"}'))
-    return table(spark, sf_dir, "run_configs").select("config_id", F.substring(F.sha1(js), 1, 8).alias("hash"))
+    """The hash of each run's whole configuration, its keys in alphabetical order."""
+    d = table(spark, sf_dir, "run_configs")
+    value = lambda c: F.coalesce(F.concat(F.lit('"'), F.col(c), F.lit('"')) if dict(d.dtypes)[c] == "string" else F.col(c).cast("string"), F.lit("null"))
+    js = F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{c}": '), value(c)) for c in sorted(d.columns)]), F.lit("}"))
+    return d.select("config_id", F.substring(F.sha1(js), 1, 8).alias("hash"))
 
 
 def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,7 +187,7 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by hour and type: what the streaming query computes, over the whole table."""
     from groundset.streaming.files import event_windows as windows
 
-    return windows(table(spark, sf_dir, "events"), "ts").select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "events")
+    return windows(table(spark, sf_dir, "events"), "ts").select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "events", F.round("total", 2).alias("total"))
 
 
 QUERIES = {
@@ -215,7 +219,7 @@ UNION ALL SELECT record_id, CASE WHEN prompt IS NULL THEN 'no messages or prompt
     "build_prompt": "SELECT record_id, CAST(CASE WHEN messages IS NOT NULL THEN len(messages) ELSE 1 END AS BIGINT) AS turns, CAST(CASE WHEN messages IS NOT NULL THEN len(flatten(list_transform(messages, lambda m: list_filter(m.content, lambda c: c.type = 'image')))) WHEN coalesce(image, '') <> '' THEN 1 ELSE 0 END AS BIGINT) AS n_images, CASE WHEN messages IS NOT NULL THEN messages[-1].role ELSE 'user' END AS last_role FROM sft_records",
     "legacy_prompt": f"SELECT record_id, {_L} AS said FROM sft_records WHERE prompt IS NOT NULL",
     "legacy_equiv": "SELECT record_id, TRUE AS same FROM sft_records WHERE prompt IS NOT NULL AND image IS NOT NULL",
-    "sft_mix": "SELECT origin, count(*) AS records, CAST(sum(length(completion)) AS BIGINT) AS characters FROM (SELECT 'sft' AS origin, prompt, completion FROM sft_records UNION ALL SELECT 'dpo', prompt, chosen FROM dpo_records) WHERE prompt IS NOT NULL AND completion IS NOT NULL GROUP BY origin",
+    "sft_mix": f"SELECT origin, record_id, md5(prompt) AS prompt, md5(completion) AS completion FROM (SELECT 'sft' AS origin, record_id, {_P}, 'assistant:text=' || completion AS completion FROM sft_records WHERE (messages IS NOT NULL OR prompt IS NOT NULL) AND completion IS NOT NULL AND (messages IS NULL OR ({_DEFECT}) IS NULL) UNION ALL SELECT 'dpo', record_id, {_L}, '', 'assistant:text=' || chosen FROM dpo_records WHERE prompt IS NOT NULL AND chosen IS NOT NULL)",
     "reward_default": "SELECT record_id, CASE WHEN coalesce(completion, '') <> '' THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS reward FROM sft_records",
     "image_lookup": f"SELECT doc_id AS stem, path FROM {_PIC}",
     "missing_images": "SELECT DISTINCT doc_id FROM regions WHERE doc_id NOT IN (SELECT stem FROM images WHERE stem IS NOT NULL)",
@@ -232,5 +236,5 @@ SELECT doc_id, region_no, CAST(line_no AS INTEGER) AS line_no, l.text AS text FR
     "sample_lists_relative": "SELECT source, doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n, count(*) OVER (PARTITION BY source) AS t FROM documents WHERE source IS NOT NULL) WHERE n <= floor(t * 0.25)",
     "strip_ansi": "SELECT doc_id, text FROM documents",
     "xml_escape": """SELECT doc_id, md5(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')) AS content, md5(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;')) AS attribute FROM documents""",
-    "config_hash": """SELECT config_id, substr(sha1('{"config_id": ' || CAST(config_id AS VARCHAR) || ', "method": "' || method || '", "train_path": "' || train_path || '"}'), 1, 8) AS hash FROM run_configs""",
+    "config_hash": "SELECT config_id, substr(sha1('{' || " + " || ', ' || ".join(f"""'"{c}": ' || coalesce({f"'{chr(34)}' || {c} || '{chr(34)}'" if c.endswith("path") or c == "method" else f"CAST({c} AS VARCHAR)"}, 'null')""" for c in sorted(CONFIG)) + " || '}'), 1, 8) AS hash FROM run_configs",
 }

@@ -32,7 +32,7 @@ def _list(fmt: str, ls: str = "ls") -> str:
     return f"'[' || array_to_string(list_transform({ls}, lambda y: {_box('y.bbox', fmt, True)}), ', ') || ']'"
 
 
-def sql(mode: str, fmt: str, max_n: int = 2, seed: int = 42) -> str:
+def sql(mode: str, fmt: str, max_n: int = 3, seed: int = 42) -> str:
     note, rb, xb = G.note(fmt), _box("b", fmt), _box("x.bbox", fmt)
     row = lambda prompt, answer, source="l", where="": f"SELECT doc_id, region_no, {prompt} AS prompt, {answer} AS completion FROM {source} {where}"
     if mode == "bbox_to_text":

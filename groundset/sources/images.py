@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Extensions that count as images, in the order in which one of several is taken.
 EXTENSIONS = (".bmp", ".gif", ".jpeg", ".jpg", ".png", ".tif", ".tiff", ".webp")
+HEADER_BYTES = 1 << 18  # within which the sizes of pictures stand, long comments in front of them included
 _NO_SIZE = {0xC4, 0xC8, 0xCC}
 
 
@@ -59,19 +62,33 @@ def header_size(b: bytes) -> tuple[int, int] | None:
     return None
 
 
+def first_bytes(path: str, n: int = HEADER_BYTES) -> bytes | None:
+    """The first bytes of a file on any file system pyarrow knows; None if it can't be read."""
+    from pyarrow import fs
+
+    try:
+        local = re.match(r"file:/(?!/)", path)
+        system, at = fs.FileSystem.from_uri(f"file://{path[5:]}" if local else path if "://" in path else f"file://{path}")
+        with system.open_input_file(at) as f:
+            return f.read(n)
+    except (OSError, ValueError):
+        return None
+
+
 def sizes(files: DataFrame) -> DataFrame:
-    """(path, width, height) of files with path and content; null sizes where the header can't be read."""
+    """All columns with width and height of the pictures under ``path``; null where the header can't be read. Only first bytes are read."""
+    keep = [c for c in files.columns if c not in ("width", "height", "content")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [header_size(c) or (None, None) if c is not None else (None, None) for c in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.int32()), pa.array([g[1] for g in got], pa.int32())], ["path", "width", "height"])
+            got = [(header_size(c) if (c := p and first_bytes(p)) else None) or (None, None) for p in b.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array([g[0] for g in got], pa.int32()), pa.array([g[1] for g in got], pa.int32())], [*keep, "width", "height"])
 
-    return files.select("path", "content").mapInArrow(run, "path string, width int, height int")
+    return files.select(*keep).mapInArrow(run, T.StructType([*(files.schema[c] for c in keep), T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())]))
 
 
 def find(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """(path, stem, ext) of image files, any case of the extension."""
+    """(path, stem, ext) of image files, any case of the extension. Contents aren't read."""
     f = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).load(path).select("path")
     ext = F.lower(F.regexp_extract("path", r"(\.[A-Za-z0-9]+)$", 1))
     return f.select("path", F.regexp_extract("path", r"([^/]+?)(\.[^./]+)?$", 1).alias("stem"), ext.alias("ext")).where(F.col("ext").isin(*EXTENSIONS))
@@ -80,7 +97,7 @@ def find(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
 def with_size(docs: DataFrame, files: DataFrame) -> DataFrame:
     """docs (doc_id, width, height, path) with the picture's own size where none is declared; only those pictures are read."""
     without = docs.where("width IS NULL OR height IS NULL").select("path")
-    read = sizes(files.join(without, "path", "left_semi")).withColumnsRenamed({"width": "w", "height": "h"})
+    read = sizes(files.select("path").join(without, "path", "left_semi")).withColumnsRenamed({"width": "w", "height": "h"})
     out = docs.join(read, "path", "left")
     none = F.col("width").isNull() | F.col("height").isNull()
     return out.withColumn("width", F.when(none, F.col("w")).otherwise(F.col("width"))).withColumn("height", F.when(none, F.col("h")).otherwise(F.col("height"))).drop("w", "h")

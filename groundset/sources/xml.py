@@ -16,23 +16,28 @@ from pyspark.sql import functions as F
 from groundset.functions import geometry as G
 from groundset.functions.text import strip, xml_attribute, xml_text
 
-NODES = "doc_id string, node_id int, parent_id int, subtree_end int, depth int, ordinal int, tag string, slot string, attrs map<string,string>, text string, path string, error string"
+NODES = "doc_id string, node_id int, parent_id int, subtree_end int, depth int, ordinal int, tag string, slot string, attrs map<string,string>, text string, path string, parent_tag string, parent_class string, item_id int, region_id int, shut_id int, error string"
 #: Fixed value: the element heads of the markup, in their order.
 HEAD_TAGS = ("label", "thread", "xref", "href", "layer", "location", "caption", "description", "summary", "custom")
 #: Fixed value: the namespace of page files.
 PAGE_NAMESPACE = "http://schema.primaresearch.org/PAGE/gts/pagecontent/2013-07-15"
-MAX_CHARS = 64_000_000
+#: Elements that hold no text of the element around them.
+SHUT = ("list", "table", "index")
+#: The roots of the two kinds of files.
+ROOTS = ("PcGts", "doclang")
 
 
 def _name(tag: str) -> str:
     return tag.rpartition("}")[2]
 
 
-def shred_text(text: str, max_chars: int = MAX_CHARS) -> tuple[list[tuple], str | None]:
-    """(nodes, error) of one document. A document type is refused, since inputs aren't trusted."""
-    if len(text) > max_chars:
-        return [], "too large"
-    if "<!DOCTYPE" in text[:100_000] or "<!ENTITY" in text:
+def shred_text(text: str, roots: tuple[str, ...] | None = None) -> tuple[list[tuple], str | None]:
+    """(nodes, error) of one document of any size.
+
+    A document type is refused wherever it stands, since inputs aren't trusted; so are a root
+    that isn't one of ``roots``, and elements of a second namespace.
+    """
+    if "<!DOCTYPE" in text or "<!ENTITY" in text:
         return [], "document type"
     parser = ET.XMLPullParser(("start", "end"))
     rows: list[list] = []
@@ -40,7 +45,7 @@ def shred_text(text: str, max_chars: int = MAX_CHARS) -> tuple[list[tuple], str
 
     def run(owner: dict, value: str | None) -> None:
         if value:
-            rows.append([len(rows), owner["id"], len(rows), len(stack), owner["n"], "#text", owner["slot"], None, value, owner["path"] + "/#text"])
+            rows.append([len(rows), owner["id"], len(rows), len(stack), owner["n"], "#text", owner["slot"], None, value, owner["path"] + "/#text", *owner["inside"]])
             owner["n"] += 1
 
     try:
@@ -50,6 +55,12 @@ def shred_text(text: str, max_chars: int = MAX_CHARS) -> tuple[list[tuple], str
             tag = _name(el.tag)
             if event == "start":
                 owner = stack[-1] if stack else None
+                if owner is None:
+                    space = el.tag[: -len(tag)]
+                    if roots is not None and tag not in roots:
+                        return [], f"root element {tag}"
+                elif el.tag[: -len(tag)] != space:
+                    return [], f"second namespace {el.tag[: -len(tag)]}"
                 if owner is not None and owner.get("last") is None and not owner["opened"]:
                     run(owner, owner["el"].text)
                     owner["opened"] = True
@@ -63,8 +74,11 @@ def shred_text(text: str, max_chars: int = MAX_CHARS) -> tuple[list[tuple], str
                 if owner is not None and owner["slot"] == "head":
                     slot = "head"
                 path = (owner["path"] if owner else "") + "/" + tag
-                node = {"id": len(rows), "el": el, "n": 0, "head": True, "slot": slot, "path": path, "opened": False, "last": None}
-                rows.append([len(rows), owner["id"] if owner else None, None, len(stack), owner["n"] if owner else 0, tag, slot, [(_name(k), v) for k, v in el.attrib.items()], None, path])
+                around = owner["inside"] if owner else (None,) * 5  # what the element lies in: its parent's tag and class, the nearest field item, field region and shut element
+                me = len(rows)
+                inside = (tag, el.attrib.get("class"), me if tag == "field_item" else around[2], me if tag == "field_region" else around[3], me if tag in SHUT else around[4])
+                node = {"id": me, "el": el, "n": 0, "head": True, "slot": slot, "path": path, "opened": False, "last": None, "inside": inside}
+                rows.append([me, owner["id"] if owner else None, None, len(stack), owner["n"] if owner else 0, tag, slot, [(_name(k), v) for k, v in el.attrib.items()], None, path, *around])
                 if owner is not None:
                     owner["n"] += 1
                 stack.append(node)
@@ -85,13 +99,13 @@ def shred_text(text: str, max_chars: int = MAX_CHARS) -> tuple[list[tuple], str
 
 def run_stack_text(rows: list[list], node: dict, value: str | None, depth: int) -> None:
     if value:
-        rows.append([len(rows), node["id"], len(rows), depth, node["n"], "#text", node["slot"], None, value, node["path"] + "/#text"])
+        rows.append([len(rows), node["id"], len(rows), depth, node["n"], "#text", node["slot"], None, value, node["path"] + "/#text", *node["inside"]])
         node["n"] += 1
 
 
-def shred(docs: DataFrame, key: str, content: str) -> DataFrame:
-    """The node table of XML texts. A text that can't be parsed gives one row with its error; null gives nothing."""
-    fields = [("doc_id", pa.string()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("subtree_end", pa.int32()), ("depth", pa.int32()), ("ordinal", pa.int32()), ("tag", pa.string()), ("slot", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("path", pa.string()), ("error", pa.string())]
+def shred(docs: DataFrame, key: str, content: str, roots: tuple[str, ...] | None = None) -> DataFrame:
+    """The node table of XML texts. A text that can't be parsed, of a foreign root or of two namespaces gives one row with its error; null gives nothing."""
+    fields = [("doc_id", pa.string()), ("node_id", pa.int32()), ("parent_id", pa.int32()), ("subtree_end", pa.int32()), ("depth", pa.int32()), ("ordinal", pa.int32()), ("tag", pa.string()), ("slot", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("path", pa.string()), ("parent_tag", pa.string()), ("parent_class", pa.string()), ("item_id", pa.int32()), ("region_id", pa.int32()), ("shut_id", pa.int32()), ("error", pa.string())]
     schema = pa.schema(fields)
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -103,8 +117,8 @@ def shred(docs: DataFrame, key: str, content: str) -> DataFrame:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if text is None:
                     continue
-                nodes, error = shred_text(text)
-                rows += [(doc, *n, None) for n in nodes] if error is None else [(doc, *[None] * 10, error)]
+                nodes, error = shred_text(text, roots)
+                rows += [(doc, *n, None) for n in nodes] if error is None else [(doc, *[None] * 15, error)]
                 if len(rows) > 20_000:
                     yield batch(rows)
                     rows = []
@@ -143,16 +157,24 @@ def page_xml(regions: DataFrame, namespace: str = PAGE_NAMESPACE) -> DataFrame:
     return page.select("doc_id", F.concat(F.lit(f'<?xml version="1.0" encoding="UTF-8"?><PcGts xmlns="{namespace}"><Metadata/><Page imageFilename="'), xml_attribute(F.col("doc_id")), F.lit('.png" imageWidth="'), F.col("w").cast("string"), F.lit('" imageHeight="'), F.col("h").cast("string"), F.lit('">'), body, F.lit("</Page></PcGts>")).alias("content"))
 
 
+def with_size(content: Column, width: Column, height: Column) -> Column:
+    """A page file with another declared size; null numbers leave the one it has."""
+    for name, value in (("imageWidth", width), ("imageHeight", height)):
+        content = F.when(value.isNull(), content).otherwise(F.regexp_replace(content, F.lit(rf'(<Page\b[^>]*?\b{name}=")[^"]*'), F.concat(F.lit("$1"), value.cast("string"))))
+    return content
+
+
 def page_lines(nodes: DataFrame) -> DataFrame:
     """Every line of page files: doc_id, region_id, line_id, line_no (over the page), custom, points, text.
 
     Lines are linked to what lies in them by their node numbers. The text is that of the
-    first Unicode element, null if there is none; lines outside regions have a null region_id.
+    first Unicode element, else of the first child of a TextEquiv that has one, null if there
+    is none; lines outside regions have a null region_id.
     """
     line = nodes.where("tag = 'TextLine'").select("doc_id", F.col("node_id").alias("a"), F.col("subtree_end").alias("z"), "parent_id", F.coalesce(F.col("attrs")["id"], F.lit("None")).alias("line_id"), F.col("attrs")["custom"].alias("custom"))
-    inner = nodes.where("tag IN ('Coords', 'Baseline') OR (tag = '#text' AND path LIKE '%/TextEquiv/Unicode/#text')").select(F.col("doc_id").alias("d"), "node_id", "tag", "text", F.col("attrs")["points"].alias("points"), "path")
+    inner = nodes.where("tag IN ('Coords', 'Baseline') OR (tag = '#text' AND path RLIKE '/TextLine/TextEquiv/[^/]+/#text$')").select(F.col("doc_id").alias("d"), "node_id", "tag", "text", F.col("attrs")["points"].alias("points"), "path")
     j = line.join(inner, (F.col("doc_id") == F.col("d")) & (F.col("node_id") > F.col("a")) & (F.col("node_id") <= F.col("z")), "left")
-    out = j.groupBy("doc_id", "a", "parent_id", "line_id", "custom").agg(F.min_by("points", F.when(F.col("tag") == "Coords", F.col("node_id"))).alias("points"), F.min_by("text", F.when(F.col("tag") == "#text", F.col("node_id"))).alias("text"), F.min_by("points", F.when(F.col("tag") == "Baseline", F.col("node_id"))).alias("baseline"))
+    out = j.groupBy("doc_id", "a", "parent_id", "line_id", "custom").agg(F.min_by("points", F.when(F.col("tag") == "Coords", F.col("node_id"))).alias("points"), F.min_by("text", F.when(F.col("tag") == "#text", F.struct(~F.col("path").endswith("/Unicode/#text"), F.col("node_id")))).alias("text"), F.min_by("points", F.when(F.col("tag") == "Baseline", F.col("node_id"))).alias("baseline"))
     region = nodes.where("tag = 'TextRegion'").select("doc_id", F.col("node_id").alias("parent_id"), F.coalesce(F.col("attrs")["id"], F.lit("None")).alias("region_id"))
     return out.join(region, ["doc_id", "parent_id"], "left").select("doc_id", "region_id", "line_id", F.col("a").alias("line_no"), "custom", "points", "baseline", "text")
 

@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from groundset.operators import markup as M
+from groundset.plans.rules import CASES
 from groundset.sources.xml import class_polygons, declared_size, page_lines, page_xml, shred, shred_text, zones
 
 
@@ -18,43 +19,25 @@ GOOD = [
     '<list class="ordered"><ldiv/>a<ldiv><marker>1</marker></ldiv>b<text>c</text></list>', "<table><ched/>a<ched/>b<nl/><fcel/>c<ecel/><nl/></table>", '<picture class="chart"><src uri="u"/><tabular><fcel/>a</tabular></picture>',
     "<field_region><field_item><key>k</key><value class=\"read_only\">v</value></field_item></field_region>", "<group>\n<heading level=\"2\">h</heading>\n</group><page_break/>", "<head><default_resolution width=\"10\" height=\"10\"/><meta/></head><text>" + LOC + "x</text>", "<code>c<checkbox class=\"selected\"/></code>",
 ]
-BAD = {
-    "attribute_domain": ['<list class="numbered"><ldiv/>a</list>', '<text><checkbox class="maybe"/></text>', '<text><layer value="top"/>a</text>'],
-    "head_order": ['<text><layer value="body"/><label value="l"/>a</text>'],
-    "one_link": ['<text><thread thread_id="1"/><xref thread_id="1"/><href uri="u"/>a</text>'],
-    "list_start": ["<list>a<ldiv/>b</list>"],
-    "table_start": ["<table>a<fcel/>b</table>"],
-    "no_text_here": ["<group>loose<text>a</text></group>"],
-    "known_elements": ["<text><blink>a</blink></text>"],
-    "rectangular": ["<table><fcel/>a<fcel/>b<nl/><fcel/>c<nl/></table>"],
-    "box_order": ['<text><location value="9"/><location value="0"/><location value="3"/><location value="4"/>a</text>'],
-    "location_limit": ['<head><default_resolution width="3" height="9"/></head><text>' + LOC + "a</text>"],
-    "xref_defined": ['<text><xref thread_id="7"/>a</text>'],
-    "field_item_place": ["<field_item><key>k</key></field_item>"],
-    "key_place": ["<field_region><key>k</key></field_region>"],
-    "one_key": ["<field_region><field_item><key>a</key><key>b</key></field_item></field_region>"],
-    "tabular_place": ['<picture class="undefined"><tabular><fcel/>a</tabular></picture>'],
-    "src_first": ['<picture class="undefined"><text>a</text><src uri="u"/></picture>'],
-    "thread_host": ['<text><thread thread_id="1"/>a</text><heading><thread thread_id="1"/>b</heading>'],
-    "text_before_head": ['<text>early<layer value="body"/>a</text>'],
-    "four_locations": ['<text><location value="1"/>a</text>'],
-    "whole_numbers": ['<text><thread thread_id="0"/>a</text>', '<heading level="x">a</heading>'],
-    "known_attributes": ['<text colour="red">a</text>'],
-    "allowed_children": ["<bold><text>a</text></bold>"],
-}
 
 
 def test_rules(spark):
-    docs = [(f"good{i}", doc(g)) for i, g in enumerate(GOOD)] + [(f"{rule}|{i}", doc(b)) for rule, bs in BAD.items() for i, b in enumerate(bs)]
-    docs += [("version|0", doc("<text>a</text>", "0.6")), ("well_formed|0", "<doclang><text></doclang>"), ("null", None)]
+    """Every case of the rule queries, sound and broken; no rule speaks about GOOD."""
+    docs = [(f"good{i}", doc(g)) for i, g in enumerate(GOOD)]
+    for name, (rule, _, sound, broken, _, opening) in CASES.items():
+        docs += [(f"sound {name}", doc(opening + sound)), (f"broken {name}|{rule}", doc(opening + broken, "0.6" if rule == "version" else "0.7"))]
+    docs += [("null", None)]
     nodes = shred(spark.createDataFrame(docs, "id string, content string"), "id", "content").cache()
     found = {}
     for r in M.violations(nodes).collect():
         found.setdefault(r.doc_id, set()).add(r.rule)
-    assert {d: rs for d, rs in found.items() if d.startswith("good")} == {}
+    assert {d: rs for d, rs in found.items() if d.startswith("good") or d.startswith("sound")} == {}
     for name, _ in docs:
         if "|" in name:
-            assert name.split("|")[0] in found.get(name, set()), name
+            assert name.split("|")[1] in found.get(name, set()), name
+    assert {r for rs in found.values() for r in rs} == set(M.RULES)
+    with pytest.raises(ValueError):
+        M.violations(nodes, ("no_such_rule",))
 
 
 def _find(rows, tag):
@@ -70,7 +53,8 @@ def test_shredder_numbers():
 
 def test_shredder_refuses(spark):
     assert shred_text("<!DOCTYPE a [<!ENTITY x 'y'>]><a>&x;</a>")[1] == "document type"
-    assert shred_text("<a>" + "x" * 100, max_chars=50)[1] == "too large"
+    assert shred_text("<a>" + "x" * 200_000 + "<!DOCTYPE a></a>")[1] == "document type" and shred_text("<a>" + "x" * 200_000 + "</a>")[1] is None
+    assert shred_text("<b/>", ("a",))[1] == "root element b" and shred_text('<a xmlns="n"><b xmlns="m"/></a>')[1] == "second namespace {m}" and shred_text('<a xmlns="n"><b/></a>', ("a",))[1] is None
     df = spark.createDataFrame([("a", "<a"), ("b", None), ("c", "")], "id string, t string")
     assert shred(df, "id", "t").where("error IS NOT NULL").count() == 2
 

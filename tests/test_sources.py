@@ -59,6 +59,6 @@ def test_generate(spark):
 
 def test_config():
     c = from_mapping(RunConfig, {"method": "dpo", "data": {"train_path": "x", "nonsense": 1}, "build": None, "more": 2})
-    assert c.method == "dpo" and c.data == DataConfig(train_path="x") and c.build.max_n == 2
+    assert c.method == "dpo" and c.data == DataConfig(train_path="x") and c.build.max_n == 3
     m = metadata(c)
     assert len(m["config_hash"]) == 8 and m["config_hash"] == metadata(from_mapping(RunConfig, m["config"]))["config_hash"]
