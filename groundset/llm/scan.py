@@ -230,30 +230,26 @@ def is_number(text: Column) -> Column:
 
 
 def page_lines(equivs: DataFrame, regions: DataFrame) -> DataFrame:
-    """The lines of both tables: field, row_key, volume, doc_id, region (from 0), line (from 0), at, main, top, second, edge, paragraph, text. Null and blank texts are left out."""
+    """The lines of both tables: field, row_key, volume, doc_id, region (from 0), line (from 0), at, main, top, second, edge, text. Null and blank texts are left out."""
     number = F.when(F.col("region_id").startswith("region_"), F.regexp_extract("region_id", r"(\d+)$", 1).try_cast("int")).otherwise(F.regexp_extract("region_id", r"(\d+)$", 1).try_cast("int") - 1)
     one = equivs.select(F.lit("TextEquiv.Unicode").alias("field"), F.col("equiv_id").cast("string").alias("row_key"), "volume", "doc_id", number.alias("region"), (F.regexp_extract("line_id", r"(\d+)$", 1).try_cast("int") - 1).alias("line"), F.col("equiv_id").alias("at"), (F.coalesce("equiv_index", F.lit(0)) == 0).alias("main"), F.col("unicode").alias("text"))
     flat = regions.select("volume", "doc_id", "region_id", "region_no", F.explode("lines").alias("l")).where(F.col("l").isNotNull())
     two = flat.select(F.lit("TextLineData.text").alias("field"), F.concat_ws("/", "doc_id", "region_id", F.col("l.idx").cast("string")).alias("row_key"), "volume", "doc_id", F.col("region_no").alias("region"), F.col("l.idx").alias("line"), (F.col("region_no").cast("long") * 100_000 + F.col("l.idx")).alias("at"), F.lit(True).alias("main"), F.col("l.text").alias("text"))
     out = one.unionByName(two).where(F.col("text").isNotNull() & (F.length(strip(F.col("text"))) > 0) & F.col("row_key").isNotNull())
     at = lambda k: F.coalesce((F.col("region") == 0) & (F.col("line") == k), F.lit(False))
-    return out.withColumns({"top": at(0), "second": at(1), "edge": F.lit(False), "paragraph": F.lit(0)})
+    return out.withColumns({"top": at(0), "second": at(1), "edge": F.lit(False)})
 
 
 def text_lines(records: DataFrame, key: str, text: str, field: str) -> DataFrame:
     """The lines of transcripts of several lines, as page_lines gives them: each text is a page. Null and single-line texts give nothing."""
-    r = records.where(F.col(key).isNotNull() & F.col(text).isNotNull() & is_transcript(F.col(text))).select(F.col(key).cast("string").alias("row_key"), F.split(F.col(text), "\n").alias("ls")).distinct()
-    r = r.where(F.size(F.filter("ls", lambda x: F.length(strip(x)) > 0)) >= 2)
-    flags = F.transform("ls", lambda x: F.when(F.length(strip(x)) == 0, 0).when(is_number(strip(x)), 1).otherwise(2))  # blank, number, other
-    r = r.select("row_key", "ls", F.explode(F.array(flags)).alias("fs"))
-    before = lambda i, x: F.get("fs", i - 1) == x
-    after = lambda i, x: F.get("fs", i + 1) == x
-    r = r.select("row_key", "fs", F.posexplode("ls").alias("i", "text"))
-    i = F.col("i")
-    edge = F.coalesce(F.when(i == 0, True).otherwise((before(i, 0) | before(i, 1))), F.lit(False)) | F.coalesce(after(i, 1), F.lit(False))
-    paragraph = F.size(F.filter(F.slice("fs", F.lit(1), i), lambda x: x == 0))
+    several = F.col(text).rlike(r"\S[^\n]*\n\s*\S")
+    r = records.where(F.col(key).isNotNull() & F.col(text).isNotNull() & is_transcript(F.col(text)) & several).select(F.col(key).cast("string").alias("row_key"), F.split(F.col(text), "\n").alias("ls")).distinct()
+    # each line with its neighbours, so that no line carries the whole text
+    near = F.arrays_zip(F.col("ls").alias("text"), F.concat(F.array(F.lit("")), "ls").alias("before"), F.slice("ls", F.lit(2), F.size("ls")).alias("after"))
+    r = r.select("row_key", F.posexplode(near).alias("i", "x")).select("row_key", "i", "x.text", strip(F.col("x.before")).alias("before"), strip(F.coalesce("x.after", F.lit(""))).alias("after"))
+    edge = (F.col("before") == "") | is_number(F.col("before")) | is_number(F.col("after"))
     none = F.lit(None)
-    out = r.where(F.get("fs", i) != 0).select(F.lit(field).alias("field"), "row_key", none.cast("string").alias("volume"), F.col("row_key").alias("doc_id"), none.cast("int").alias("region"), i.alias("line"), i.cast("long").alias("at"), F.lit(True).alias("main"), "text", (i == 0).alias("top"), F.lit(False).alias("second"), edge.alias("edge"), paragraph.alias("paragraph"))
+    out = r.where(F.col("text").isNotNull() & (F.length(strip(F.col("text"))) > 0)).select(F.lit(field).alias("field"), "row_key", none.cast("string").alias("volume"), F.col("row_key").alias("doc_id"), none.cast("int").alias("region"), F.col("i").alias("line"), F.col("i").cast("long").alias("at"), F.lit(True).alias("main"), "text", (F.col("i") == 0).alias("top"), F.lit(False).alias("second"), edge.alias("edge"))
     return out
 
 
@@ -280,18 +276,18 @@ def prepared(lines: DataFrame) -> DataFrame:
     d = d.withColumn("k", F.size(F.split("t", " +")))
     apart = F.col("edge") | t.contains("  ") | t.rlike(r"\d") | (t == F.upper(t))
     asked = (F.col("k") <= HEAD_WORDS + 3) & (F.col("top") | (F.col("volume").isNull() & apart))  # only these are compared with heads
-    d = d.select("*", F.explode(F.array(F.when(asked, head_words(t)))).alias("hw"), F.right(t, F.lit(1)).alias("last"))
+    d = d.select("*", F.explode(F.array(F.struct(F.when(asked, head_words(t)).alias("hw"), F.right(t, F.lit(1)).alias("last"), is_number(t).alias("n")))).alias("x")).select("*", "x.hw", F.col("x.last").alias("last"), F.col("x.n").alias("numbered")).drop("x")
     last = F.col("last")
     double = t.contains("  ")
     hyphen = r"([\p{L}\p{M}]+)-\s?([\p{L}\p{M}]+)"
     hyphens = F.when(t.contains("-"), F.arrays_zip(F.regexp_extract_all(t, F.lit(hyphen), F.lit(1)).alias("left"), F.regexp_extract_all(t, F.lit(hyphen), F.lit(2)).alias("right"))).cast("array<struct<left:string,right:string>>")
     ends = last.isin(*HYPHENS) & F.regexp_like(F.substring(t, -2, 1), F.lit(r"\p{L}"))
     shapes = {
-        "number": is_number(t),
+        "number": F.col("numbered"),
         "year_line": (F.length(t) <= 5) & t.rlike(r"^\d{1,4}\.$"),
         "roman": (F.col("k") == 1) & t.rlike(r"^[ivxlcdmIVXLCDM1!]+$"),
         "marked": t.rlike(r"^(?:[\[(—–·-]|(?i:fol|pag|bl)\b)"),
-        "year": F.right(t, F.lit(9)).rlike(r"[\dlIOo]{3,4}[\s·.—–-]*$") & ~is_number(t),
+        "year": F.right(t, F.lit(9)).rlike(r"[\dlIOo]{3,4}[\s·.—–-]*$") & ~F.col("numbered"),
         "edge_number": double & t.rlike(EDGE),
         "caps": (t == F.upper(t)) & (F.lower(t) != F.upper(t)) & (F.length(t) >= 4),
         "low": t.rlike(r"^\p{Ll}"),
@@ -305,7 +301,7 @@ def prepared(lines: DataFrame) -> DataFrame:
     part = lambda kind, a, size: F.struct(F.lit(kind).alias("kind"), F.array_join(F.slice("hw", a, size), " ").alias("key"))
     place = F.try_element_at("hw", F.lit(-1))
     keys = F.when(n <= HEAD_WORDS, F.array_compact(F.array(F.when(n >= 3, part("title", F.lit(1), half)), F.when(n >= 4, part("rest", half + 1, n - half - 1)), F.when(F.length(place) >= 4, F.struct(F.lit("place").alias("kind"), place.alias("key"))))))
-    keep = ["field", "row_key", "volume", "doc_id", "region", "at", "main", "top", "second", "edge", "paragraph"]
+    keep = ["field", "row_key", "volume", "doc_id", "region", "at", "main", "top", "second", "edge"]
     return written(
         d.select(
             *keep, F.col("t").alias("text"), *[F.coalesce(c, F.lit(False)).alias(k) for k, c in shapes.items()], keys.alias("keys"), hyphens.alias("hyphens"),
@@ -473,8 +469,10 @@ def placed(lines: DataFrame, again: DataFrame) -> DataFrame:
     known = asked.join(again, ["volume", "kind", "key"]).groupBy(*KEY).agg(*flags)
     asked = lines.where("keys IS NOT NULL AND volume IS NULL").select(*KEY, F.explode("keys").alias("k")).select(*KEY, "k.*")
     known = known.unionByName(asked.join(again.select("kind", "key").distinct(), ["kind", "key"]).groupBy(*KEY).agg(*flags))
-    once = lines.drop("text", "keys", "hyphens").repartition("doc_id").distinct()  # deliveries of a line count once
-    out = once.join(known, KEY, "left").withColumns({"title_again": F.coalesce("title_again", F.lit(False)), "place_again": F.coalesce("place_again", F.lit(False))})
+    flat = lines.drop("text", "hyphens")
+    other = flat.where("keys IS NULL").drop("keys").withColumns({"title_again": F.lit(False), "place_again": F.lit(False)})  # most lines, which no join moves
+    some = flat.where("keys IS NOT NULL").drop("keys").join(known, KEY, "left").withColumns({"title_again": F.coalesce("title_again", F.lit(False)), "place_again": F.coalesce("place_again", F.lit(False))})
+    out = other.unionByName(some).repartition("doc_id").distinct()  # deliveries of a line count once
     texts = F.col("field") == "SFT.completion"
     between = texts & ((F.col("title_again") & F.col("place_again")) | (F.col("place_again") & (F.col("edge_number") | (F.col("few") & F.col("year")))))
     edge = F.col("edge") | between
@@ -533,55 +531,58 @@ class Scan:
     def placed(self) -> DataFrame:
         return placed(self.lines, self.again)
 
-    def judged(self) -> DataFrame:
-        """Each line once with its flags head, number, hyphen_break, misread and its fixes.
+    def judged(self) -> tuple[DataFrame, DataFrame]:
+        """(lines, pages): each line once with is_head, is_number, body, the first word of the next body line of its page and whether the one before ends in a hyphen; and of each page the same about the pages around it. Written once.
 
-        The next line is the next line of body text of the page, else the first one of the next
-        page of the volume. Pages are brought in order inside blocks of BLOCK_PAGES page numbers,
-        so no task holds a whole volume.
+        Pages are brought in order inside blocks of BLOCK_PAGES page numbers, so no task holds a whole volume.
         """
         j = self.placed().withColumns({"is_number": furniture_column(self.numbers) > 0, "is_head": furniture_column(self.heads) > 0})
-        j = j.withColumn("is_head", F.col("is_head") & ~F.col("is_number")).drop(*SHAPES, *PLACES, "region")
-        body = F.col("main") & ~F.col("is_head") & ~F.col("is_number")
+        j = j.select(*KEY, "volume", "sign", "left", "right", "is_number", (F.col("is_head") & ~F.col("is_number")).alias("is_head"), (F.col("main") & ~F.col("is_head") & ~F.col("is_number")).alias("body"))
         w = Window.partitionBy("field", "doc_id").orderBy("at", "row_key")
         back = Window.partitionBy("field", "doc_id").orderBy(F.desc("at"), F.desc("row_key"))
         before = (Window.unboundedPreceding, -1)  # in both orders, so that the frames only grow
         cut = F.col("sign").isNotNull()
-        j = j.withColumn("next", F.last(F.when(body, F.coalesce("right", F.lit(""))), True).over(back.rowsBetween(*before))).withColumn("prev", F.last(F.when(body, cut), True).over(w.rowsBetween(*before)))
-        j = written(j, "judged")  # read several times
-        # the first and last body line of each page, for the pages around it
+        j = j.withColumn("next", F.last(F.when(F.col("body"), F.col("right")), True).over(back.rowsBetween(*before))).withColumn("prev", F.last(F.when(F.col("body"), cut), True).over(w.rowsBetween(*before)))
+        j = written(j, "judged")
         no = F.coalesce(F.regexp_extract("doc_id", r"(\d+)$", 1).try_cast("long"), F.lit(0).cast("long"))
-        pages = j.where(body & F.col("volume").isNotNull()).groupBy("field", "volume", "doc_id").agg(F.min_by(F.coalesce("right", F.lit("")), "at").alias("opens"), F.max_by(cut, "at").alias("closes")).withColumn("no", no)
+        edges = j.where(F.col("body") & F.col("volume").isNotNull() & (F.col("next").isNull() | F.col("prev").isNull()))  # the first and last body lines of pages
+        pages = edges.groupBy("field", "volume", "doc_id").agg(F.min_by("right", "at").alias("opens"), F.max_by(cut, "at").alias("closes")).withColumn("no", no)
         pages = pages.withColumn("block", F.floor(F.col("no") / BLOCK_PAGES))
         in_block = F.col("no") % BLOCK_PAGES
         blocks = F.array_compact(F.array(F.struct(F.col("block").alias("block"), F.lit(True).alias("own")), F.when(in_block < NEAR_PAGES, F.struct((F.col("block") - 1).alias("block"), F.lit(False).alias("own"))), F.when(in_block >= BLOCK_PAGES - NEAR_PAGES, F.struct((F.col("block") + 1).alias("block"), F.lit(False).alias("own")))))
         p = pages.select("*", F.explode(blocks).alias("e")).drop("block")
         wp = Window.partitionBy("field", "volume", "e.block").orderBy("no", "doc_id")
         p = p.withColumn("page_next", F.lead("opens").over(wp)).withColumn("page_prev", F.lag("closes").over(wp)).where("e.own").select("field", "doc_id", "page_next", "page_prev")
-        j = j.join(p, ["field", "doc_id"], "left").withColumn("next", F.coalesce("next", "page_next")).withColumn("prev", F.coalesce("prev", "page_prev", F.lit(False))).drop("page_next", "page_prev")
-        # line joins, for the lines that end in a hyphen
-        c = j.where(cut & body & F.col("next").isNotNull()).select(*KEY, "sign", "left", F.lower("next").alias("right"))
+        return j, written(p, "pages")
+
+    def hyphen_breaks(self, j: DataFrame, pages: DataFrame) -> DataFrame:
+        """KEY of the lines that end inside a word: only those that end in a hyphen are joined with anything."""
+        c = j.where("body AND sign IS NOT NULL").join(pages, ["field", "doc_id"], "left").withColumn("right", F.lower(F.coalesce("next", "page_next"))).where("right IS NOT NULL").select(*KEY, "sign", "left", "right")
         c = c.join(self.own, ["left", "right"], "left").withColumnRenamed("n", "own")
         c = c.join(self.words.counts.select(F.col("low").alias("_j"), F.col("n").alias("joined")), F.concat("left", "right") == F.col("_j"), "left")
         score = join_column(self.joins, F.col("sign"), F.coalesce("own", F.lit(0)), F.coalesce("joined", F.lit(0)))
-        c = c.where(score > 0).select(*KEY, F.lit(True).alias("hyphen_break"))
-        m = misread_places(self.lines, self.words.misread())
-        j = j.join(c, KEY, "left").join(m, KEY, "left")
-        running = ~F.col("is_head") & ~F.col("is_number")
-        misread = running & (F.coalesce("other", F.lit(False)) | (F.coalesce("first", F.lit(False)) & ~F.col("prev")))
-        return j.withColumns({"hyphen_break": F.coalesce("hyphen_break", F.lit(False)), "misread": misread})
+        return c.where(score > 0).select(*KEY)
 
     def kinds(self) -> DataFrame:
         """(field, row_key, kind)."""
-        of = {"running_head": F.col("is_head"), "page_number": F.col("is_number"), "hyphen_break": F.col("hyphen_break"), "misread": F.col("misread")}
-        return self.judged().select("field", "row_key", F.explode(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in of.items()]))).alias("kind")).distinct()
+        j, pages = self.judged()
+        kind = lambda df, k: df.select("field", "row_key", F.lit(k).alias("kind"))
+        m = misread_places(self.lines, self.words.misread()).where("first OR other").select(*KEY, "first", "other")
+        m = checkpointed(m)
+        m = small_side(m, m.count(), MAX_BROADCAST_WORDS).join(j.where("NOT is_head AND NOT is_number").select(*KEY, "prev"), KEY).join(pages.drop("page_next"), ["field", "doc_id"], "left")
+        m = m.where("other OR NOT coalesce(prev, page_prev, false)")
+        parts = (kind(j.where("is_head"), "running_head"), kind(j.where("is_number"), "page_number"), kind(self.hyphen_breaks(j, pages), "hyphen_break"), kind(m, "misread"))
+        return reduce(DataFrame.unionByName, parts).distinct()
 
     def repaired(self) -> DataFrame:
         """(field, doc_id, repaired): furniture removed, words joined over lines, misread words corrected; blank lines part paragraphs."""
-        j = self.judged().where("main AND NOT is_head AND NOT is_number").join(self.lines.select(*KEY, "text").distinct(), KEY)
+        j, pages = self.judged()
+        broken = self.hyphen_breaks(j, pages).withColumn("hyphen_break", F.lit(True))
+        part = F.when(F.col("volume").isNull(), F.col("at") - F.row_number().over(Window.partitionBy("field", "doc_id").orderBy("at", "row_key"))).otherwise(0)  # grows at blank lines
+        j = j.withColumn("paragraph", part).where("body").join(self.lines.select(*KEY, "text").distinct(), KEY).join(broken, KEY, "left").join(misread_places(self.lines, self.words.misread()).select(*KEY, "fixes"), KEY, "left")
         edge = r"(?<![\p{L}\p{M}\p{N}+!])\Q"
         fixed = F.aggregate(F.coalesce("fixes", F.array().cast("array<struct<word:string,fix:string>>")), F.col("text"), lambda t, x: F.regexp_replace(t, F.concat(F.lit(edge), x["word"], F.lit(r"\E(?![\p{L}\p{M}\p{N}])")), F.regexp_replace(x["fix"], r"([\\$])", r"\\$1")))
-        line = F.when(F.col("hyphen_break"), F.expr("substring(fixed, 1, length(fixed) - 1)")).otherwise(F.concat("fixed", F.lit(" ")))
+        line = F.when(F.coalesce("hyphen_break", F.lit(False)), F.expr("substring(fixed, 1, length(fixed) - 1)")).otherwise(F.concat("fixed", F.lit(" ")))
         p = j.withColumn("fixed", fixed).groupBy("field", "doc_id", "paragraph").agg(F.array_sort(F.collect_list(F.struct("at", "row_key", line.alias("t")))).alias("ls"))
         p = p.select("field", "doc_id", "paragraph", F.trim(F.array_join(F.transform("ls", lambda x: x["t"]), "")).alias("t"))
         return p.groupBy("field", "doc_id").agg(F.array_sort(F.collect_list(F.struct("paragraph", "t"))).alias("ps")).select("field", "doc_id", F.array_join(F.transform("ps", lambda x: x["t"]), "\n\n").alias("repaired"))

@@ -81,9 +81,11 @@ def test_kinds_of_pages(judged):
 
 
 def test_kinds_of_texts(judged):
-    _, _, got = judged
+    scan, _, got = judged
     heads = {k for f, k, kind in got if f == "SFT.completion" and kind == "running_head"}
     numbers = {k for f, k, kind in got if f == "SFT.completion" and kind == "page_number"}
+    text = "the reeve mended the barn\nthe steward leased it\n\nthe second order\nof the court"
+    assert [r.repaired for r in S.Scan(lines_of(scan.lines.sparkSession, [], [(1, text)])).repaired().collect()] == ["the reeve mended the barn the steward leased it\n\nthe second order of the court"]
     assert len(heads) >= 23 and len(numbers) >= 23  # of 24 texts
 
 
@@ -149,8 +151,8 @@ def test_transcripts(spark):
     df = spark.createDataFrame(list(enumerate(pages + other)) + [(None, "a\nb")], "k long, t string")
     t = S.text_lines(df, "k", "t", "F")
     assert {r.row_key for r in t.collect()} == {str(k) for k in range(len(pages))}
-    rows = {(r.line, r.edge, r.paragraph) for r in S.text_lines(spark.createDataFrame([(1, "a b\nc d\n\ne f\n12\ng h")], "k long, t string"), "k", "t", "F").collect()}
-    assert rows == {(0, True, 0), (1, False, 0), (3, True, 1), (4, False, 1), (5, True, 1)}
+    rows = {(r.line, r.edge) for r in S.text_lines(spark.createDataFrame([(1, "a b\nc d\n\ne f\n12\ng h")], "k long, t string"), "k", "t", "F").collect()}
+    assert rows == {(0, True), (1, False), (3, True), (4, False), (5, True)}
 
 
 def test_tables(spark):
