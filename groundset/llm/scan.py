@@ -49,7 +49,7 @@ BLOCK_PAGES = 64
 HEAD_SHARE = 0.1  # of the pages of a volume that must begin with a wording or place name for it to be part of a title
 HEAD_WORDS = 9  # longer lines aren't compared with the heads of other pages
 NEAR_PAGES = 8  # page numbers over the edge of a block in which the next and previous page are looked for
-MAX_BROADCAST_WORDS = 200_000  # larger tables of words are joined by shuffle
+MAX_BROADCAST_WORDS = 100_000  # larger tables of words are joined by shuffle
 #: How JSON, lists of boxes and markup start, for Spark: a list of lists, numbers, objects or strings, an object, a tag, comment or declaration.
 NO_TRANSCRIPT = r"""^\s*(?:\[\s*(?:\[\s*)*(?:-?[\d.]+\s*,|\{\s*["}]|"[^"]*"\s*[,\]]|\]\s*(?:,|\]|$))|\{\s*(?:"[^"]*"\s*:|\}\s*$)|</?[A-Za-z][\w:.-]*(?:\s*/?>|\s+[\w:.-]+\s*=)|<[!?])"""
 _L = r"[\p{L}\p{M}\p{N}]++"
@@ -279,8 +279,6 @@ def prepared(lines: DataFrame) -> DataFrame:
     d = d.select("*", F.explode(F.array(F.struct(F.when(asked, head_words(t)).alias("hw"), F.right(t, F.lit(1)).alias("last"), is_number(t).alias("n")))).alias("x")).select("*", "x.hw", F.col("x.last").alias("last"), F.col("x.n").alias("numbered")).drop("x")
     last = F.col("last")
     double = t.contains("  ")
-    hyphen = r"([\p{L}\p{M}]+)-\s?([\p{L}\p{M}]+)"
-    hyphens = F.when(t.contains("-"), F.arrays_zip(F.regexp_extract_all(t, F.lit(hyphen), F.lit(1)).alias("left"), F.regexp_extract_all(t, F.lit(hyphen), F.lit(2)).alias("right"))).cast("array<struct<left:string,right:string>>")
     ends = last.isin(*HYPHENS) & F.regexp_like(F.substring(t, -2, 1), F.lit(r"\p{L}"))
     shapes = {
         "number": F.col("numbered"),
@@ -301,10 +299,10 @@ def prepared(lines: DataFrame) -> DataFrame:
     part = lambda kind, a, size: F.struct(F.lit(kind).alias("kind"), F.array_join(F.slice("hw", a, size), " ").alias("key"))
     place = F.try_element_at("hw", F.lit(-1))
     keys = F.when(n <= HEAD_WORDS, F.array_compact(F.array(F.when(n >= 3, part("title", F.lit(1), half)), F.when(n >= 4, part("rest", half + 1, n - half - 1)), F.when(F.length(place) >= 4, F.struct(F.lit("place").alias("kind"), place.alias("key"))))))
-    keep = ["field", "row_key", "volume", "doc_id", "region", "at", "main", "top", "second", "edge"]
+    keep = ["field", "row_key", "volume", "doc_id", "region", "line", "at", "main", "top", "second", "edge"]
     return written(
         d.select(
-            *keep, F.col("t").alias("text"), *[F.coalesce(c, F.lit(False)).alias(k) for k, c in shapes.items()], keys.alias("keys"), hyphens.alias("hyphens"),
+            *keep, F.col("t").alias("text"), *[F.coalesce(c, F.lit(False)).alias(k) for k, c in shapes.items()], keys.alias("keys"),
             F.when(ends, last).alias("sign"), F.when(ends, F.lower(F.regexp_extract("t", r"([\p{L}\p{M}]+).$", 1))).alias("left"), F.regexp_extract("t", r"^([\p{L}\p{M}]*)", 1).alias("right"),
         ),
         "lines",
@@ -400,8 +398,10 @@ def misread_places(lines: DataFrame, misread: DataFrame) -> DataFrame:
 
 def own_hyphens(lines: DataFrame) -> DataFrame:
     """(left, right, n): words with a hyphen between them inside lines, which the text has of its own."""
-    w = lines.where("main AND field <> 'TextLineData.text' AND size(hyphens) > 0").select(F.explode("hyphens").alias("h"))
-    return checkpointed(w.groupBy(F.lower("h.left").alias("left"), F.lower("h.right").alias("right")).agg(F.count("*").alias("n")))
+    hyphen = r"([\p{L}\p{M}]+)-\s?([\p{L}\p{M}]+)"
+    both = F.arrays_zip(*[F.regexp_extract_all(F.lower("text"), F.lit(hyphen), F.lit(k)).alias(side) for k, side in ((1, "left"), (2, "right"))])
+    w = lines.where("main AND field <> 'TextLineData.text' AND contains(text, '-')").select(F.explode(both).alias("h"))
+    return checkpointed(w.groupBy("h.left", "h.right").agg(F.count("*").alias("n")))
 
 
 def join_features(sign: str, own: int, joined: int) -> list[str]:
@@ -459,7 +459,7 @@ def titles(lines: DataFrame) -> DataFrame:
 
 
 def placed(lines: DataFrame, again: DataFrame) -> DataFrame:
-    """Lines, each once, with the flags of their place: top, alone in its region (or one of a pair), wording and place name that stand at the head of other pages too.
+    """Lines with the flags of their place: top, alone in its region (or one of a pair), wording and place name that stand at the head of other pages too.
 
     On pages both are sought in the line's own volume; texts have none, so there the heads of
     all volumes count, and a line that has both or stands between pages counts as a top one.
@@ -469,16 +469,18 @@ def placed(lines: DataFrame, again: DataFrame) -> DataFrame:
     known = asked.join(again, ["volume", "kind", "key"]).groupBy(*KEY).agg(*flags)
     asked = lines.where("keys IS NOT NULL AND volume IS NULL").select(*KEY, F.explode("keys").alias("k")).select(*KEY, "k.*")
     known = known.unionByName(asked.join(again.select("kind", "key").distinct(), ["kind", "key"]).groupBy(*KEY).agg(*flags))
-    flat = lines.drop("text", "hyphens")
+    flat = lines.drop("text")
     other = flat.where("keys IS NULL").drop("keys").withColumns({"title_again": F.lit(False), "place_again": F.lit(False)})  # most lines, which no join moves
     some = flat.where("keys IS NOT NULL").drop("keys").join(known, KEY, "left").withColumns({"title_again": F.coalesce("title_again", F.lit(False)), "place_again": F.coalesce("place_again", F.lit(False))})
-    out = other.unionByName(some).repartition("doc_id").distinct()  # deliveries of a line count once
+    out = other.unionByName(some).repartition("doc_id")
     texts = F.col("field") == "SFT.completion"
     between = texts & ((F.col("title_again") & F.col("place_again")) | (F.col("place_again") & (F.col("edge_number") | (F.col("few") & F.col("year")))))
     edge = F.col("edge") | between
-    size = F.when(texts, F.when(edge, 1).otherwise(9)).otherwise(F.count("*").over(Window.partitionBy("field", "doc_id", "region")))
-    out = out.withColumn("_n", size)
-    return out.withColumns({"alone": F.col("_n") == 1, "pair": (F.col("_n") == 2) & (F.coalesce("region", F.lit(-1)) == 0), "top": F.when(texts, edge).otherwise(F.col("top"))}).drop("_n", "edge")
+    around = Window.partitionBy("field", "doc_id", "region")  # several deliveries of a line have one place
+    extent = lambda c: F.max(c).over(around) - F.min(c).over(around)
+    out = out.withColumns({"_at": extent("at"), "_line": extent("line")})
+    pair = ~texts & (F.coalesce("region", F.lit(-1)) == 0) & (F.coalesce("_line", F.lit(0)) == 1)
+    return out.withColumns({"alone": F.when(texts, edge | F.col("number")).otherwise(F.col("_at") == 0), "pair": pair, "top": F.when(texts, edge).otherwise(F.col("top"))}).drop("_at", "_line", "line", "edge")
 
 
 def fit_furniture(rows: list[dict[str, bool]], seed: int = 6) -> tuple[Perceptron, Perceptron]:
@@ -532,17 +534,17 @@ class Scan:
         return placed(self.lines, self.again)
 
     def judged(self) -> tuple[DataFrame, DataFrame]:
-        """(lines, pages): each line once with is_head, is_number, body, the first word of the next body line of its page and whether the one before ends in a hyphen; and of each page the same about the pages around it. Written once.
+        """(lines, pages): the lines, deliveries of one alike, with is_head, is_number, body, the first word of the next body line of its page and whether the one before ends in a hyphen; and of each page the same about the pages around it. Written once.
 
         Pages are brought in order inside blocks of BLOCK_PAGES page numbers, so no task holds a whole volume.
         """
         j = self.placed().withColumns({"is_number": furniture_column(self.numbers) > 0, "is_head": furniture_column(self.heads) > 0})
         j = j.select(*KEY, "volume", "sign", "left", "right", "is_number", (F.col("is_head") & ~F.col("is_number")).alias("is_head"), (F.col("main") & ~F.col("is_head") & ~F.col("is_number")).alias("body"))
-        w = Window.partitionBy("field", "doc_id").orderBy("at", "row_key")
-        back = Window.partitionBy("field", "doc_id").orderBy(F.desc("at"), F.desc("row_key"))
-        before = (Window.unboundedPreceding, -1)  # in both orders, so that the frames only grow
+        w = Window.partitionBy("field", "doc_id").orderBy("at")
+        back = Window.partitionBy("field", "doc_id").orderBy(F.desc("at"))
+        before = (Window.unboundedPreceding, -1)  # in both orders, so that the frames only grow; by place, so that copies of a line don't count
         cut = F.col("sign").isNotNull()
-        j = j.withColumn("next", F.last(F.when(F.col("body"), F.col("right")), True).over(back.rowsBetween(*before))).withColumn("prev", F.last(F.when(F.col("body"), cut), True).over(w.rowsBetween(*before)))
+        j = j.withColumn("next", F.last(F.when(F.col("body"), F.col("right")), True).over(back.rangeBetween(*before))).withColumn("prev", F.last(F.when(F.col("body"), cut), True).over(w.rangeBetween(*before)))
         j = written(j, "judged")
         no = F.coalesce(F.regexp_extract("doc_id", r"(\d+)$", 1).try_cast("long"), F.lit(0).cast("long"))
         edges = j.where(F.col("body") & F.col("volume").isNotNull() & (F.col("next").isNull() | F.col("prev").isNull()))  # the first and last body lines of pages
@@ -577,7 +579,8 @@ class Scan:
     def repaired(self) -> DataFrame:
         """(field, doc_id, repaired): furniture removed, words joined over lines, misread words corrected; blank lines part paragraphs."""
         j, pages = self.judged()
-        broken = self.hyphen_breaks(j, pages).withColumn("hyphen_break", F.lit(True))
+        j = j.distinct()
+        broken = self.hyphen_breaks(j, pages).distinct().withColumn("hyphen_break", F.lit(True))
         part = F.when(F.col("volume").isNull(), F.col("at") - F.row_number().over(Window.partitionBy("field", "doc_id").orderBy("at", "row_key"))).otherwise(0)  # grows at blank lines
         j = j.withColumn("paragraph", part).where("body").join(self.lines.select(*KEY, "text").distinct(), KEY).join(broken, KEY, "left").join(misread_places(self.lines, self.words.misread()).select(*KEY, "fixes"), KEY, "left")
         edge = r"(?<![\p{L}\p{M}\p{N}+!])\Q"
