@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -36,6 +37,22 @@ def generate(prompts: DataFrame, key: str, prompt: str, call: Callable[[str], st
     return prompts.select(key, prompt).mapInPandas(run, f"`{key}` {kind}, output string, attempts int, error string")
 
 
+def document_problem(answer: str) -> str | None:
+    """What is wrong with an answer that should be a document as JSON ({"head": .., "body": [..]}), or None: for ``check``."""
+    from groundset.operators.markup import render_document
+    from groundset.operators.nested import load
+    from groundset.sources.xml import ROOTS, shred_text
+
+    try:
+        made = load(answer)
+    except ValueError as e:
+        return f"not JSON: {e}"
+    if not isinstance(made, dict) or not isinstance(made.get("body"), list):
+        return "no body"
+    text = render_document(json.dumps(made.get("head")) if made.get("head") is not None else None, json.dumps(made["body"]))
+    return "unknown elements" if text is None else shred_text(text, ROOTS)[1]
+
+
 def rewards(df: DataFrame, key: str, completion: str, functions: Sequence[Callable[[pd.Series], pd.Series]]) -> DataFrame:
     """(key, reward_0, reward_1, ...): each function maps a series of answers to a series of numbers."""
     kind = dict(df.dtypes)[key]

@@ -67,7 +67,7 @@ def class_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return xml.zones(_page_nodes(spark, sf_dir), ["TextRegion", "TextLine"])
+    return xml.zones(_page_nodes(spark, sf_dir), ["TextRegion", "TextLine"]).select("doc_id", "zone", "tag")
 
 
 def declared_size(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,8 @@ def doclang_serialize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doclang_shred(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _nodes(spark, sf_dir).groupBy("tag").agg(F.count("*").alias("nodes"))
+    """Elements of the rendered documents by tag, without content, whose number depends on the blanks at the edges of runs."""
+    return _nodes(spark, sf_dir).where("tag NOT IN ('#text', 'content')").groupBy("tag").agg(F.count("*").alias("nodes"))
 
 
 def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,17 +104,17 @@ def _document_images(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def node_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.node_text(_nodes(spark, sf_dir), "text")
+    return markup.node_text(_nodes(spark, sf_dir), "text").select("doc_id", "text")
 
 
 def four_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markup.text_pairs(_nodes(spark, sf_dir)).select("doc_id", "node_id", "text", "bbox.*")
+    return markup.text_pairs(_nodes(spark, sf_dir)).select("doc_id", "text", "bbox.*")
 
 
 def pairs_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(text, box) pairs of page files, then of markup documents."""
-    a = nonblank(xml.lines_with_coords(xml.page_lines(_page_nodes(spark, sf_dir))).withColumn("text", F.coalesce("text", F.lit(""))), "text").select(F.lit(0).alias("rank"), "doc_id", F.col("line_no").alias("node_id"), "text", "bbox.*")
-    b = markup.text_pairs(_nodes(spark, sf_dir)).select(F.lit(1).alias("rank"), "doc_id", "node_id", "text", "bbox.*")
+    a = nonblank(xml.lines_with_coords(xml.page_lines(_page_nodes(spark, sf_dir))).withColumn("text", F.coalesce("text", F.lit(""))), "text").select(F.lit(0).alias("rank"), "doc_id", "text", "bbox.*")
+    b = markup.text_pairs(_nodes(spark, sf_dir)).select(F.lit(1).alias("rank"), "doc_id", "text", "bbox.*")
     return a.unionByName(b)
 
 
@@ -129,29 +130,40 @@ def mutants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.groupBy(F.substring_index("doc_id", "|", -1).alias("mutation"), "rule").agg(F.count_distinct("doc_id").alias("mutants"))
 
 
-def inventory_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elements the documents use that the vocabulary lacks, and those it has that no document uses."""
-    used = _nodes(spark, sf_dir).where("tag <> '#text'").select("tag").distinct()
-    words = spark.createDataFrame([(t,) for t in markup.VOCABULARY], "tag string")
-    a = used.exceptAll(words).withColumn("side", F.lit("documents"))
-    return a.unionByName(words.exceptAll(used).withColumn("side", F.lit("vocabulary")))
-
-
 QUERIES = {
     "page_write": page_write, "page_shred": page_shred, "page_round_trip": page_round_trip, "line_coords": line_coords, "lines_with_coords": lines_with_coords, "baseline_coords": baseline_coords, "class_coords": class_coords, "zones": zones,
     "declared_size": declared_size, "doclang_serialize": doclang_serialize, "doclang_shred": doclang_shred, "violations": violations, "markup_sft": markup_sft, "node_text": node_text, "four_locations": four_locations, "pairs_union": pairs_union,
-    "coverage": coverage, "mutants": mutants, "inventory_diff": inventory_diff,
+    "coverage": coverage, "mutants": mutants,
 }
 _LAST = "(SELECT doc_id, arg_max(head, (ingested_at, record_id)) AS head, arg_max(body, (ingested_at, record_id)) AS body FROM (SELECT doc_id, record_id, ingested_at, coalesce(head, '') AS head, coalesce(body, '') AS body FROM doclang_docs) GROUP BY doc_id)"
 _RENDERED = f"(SELECT * FROM {_LAST} WHERE json_valid(body) AND json_type(body) = 'ARRAY')"
 _CLASS = "CASE WHEN regexp_matches(region_id, '(^r|_0*)[12]$') THEN 2 ELSE 1 END"
 _R = "(SELECT DISTINCT doc_id, region_no, region_id, lines FROM regions)"
 _TYPED = f"(SELECT d.doc_id, json_extract_string(j.value, '$.type') AS type, json_extract_string(j.value, '$.text') AS text FROM {_RENDERED} d, json_tree(d.body) j WHERE j.type = 'OBJECT' UNION ALL SELECT d.doc_id, json_extract_string(j.value, '$.type'), NULL FROM {_RENDERED} d, json_tree(d.head) j WHERE d.head <> '' AND j.type = 'OBJECT')"
+_BLANKS = "[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\pZ]"
+#: SQL of u (doc_id, tag): the elements each document uses.
+USED_TAGS = f"""WITH u AS (SELECT doc_id, type AS tag FROM {_TYPED} WHERE type IS NOT NULL AND type <> 'text_chunk' UNION SELECT doc_id, 'content' FROM {_TYPED} WHERE type = 'text_chunk' AND regexp_matches(text, '^[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]|[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]$')
+  UNION SELECT doc_id, 'doclang' FROM {_RENDERED} UNION SELECT doc_id, 'head' FROM {_RENDERED} WHERE head NOT IN ('', 'null'))"""
+#: SQL of e (text elements: doc_id, key, id, box, text) of the typed bodies; runs inside heads, lists and tables don't belong to an element around those.
+_TEXTS = f"""WITH n AS (SELECT d.doc_id, j.fullkey AS key, j.id, json_extract_string(j.value, '$.type') AS type, j.value AS v FROM {_RENDERED} d, json_tree(d.body) j WHERE j.type = 'OBJECT'),
+runs AS (SELECT doc_id, key, id, json_extract_string(v, '$.text') AS t FROM n WHERE type IN ('text_chunk', 'content')),
+el AS (SELECT doc_id, key, id, json_extract(v, '$.head.locations') AS loc FROM n WHERE type = 'text'),
+e AS (SELECT el.doc_id, el.key, el.id, el.loc, coalesce(string_agg(runs.t, '' ORDER BY runs.id), '') AS text FROM el LEFT JOIN runs ON runs.doc_id = el.doc_id AND starts_with(runs.key, el.key || '.') AND NOT contains(runs.key, '.head.')
+  AND NOT regexp_matches(substr(runs.key, length(el.key) + 1), '\\.(items|cells)\\[') GROUP BY ALL)"""
+_BOXES = f"""SELECT doc_id, regexp_replace(text, '^{_BLANKS}+|{_BLANKS}+$', '', 'g') AS text, CAST(json_extract_string(loc, '$[0].value') AS INTEGER) AS x1, CAST(json_extract_string(loc, '$[1].value') AS INTEGER) AS y1, CAST(json_extract_string(loc, '$[2].value') AS INTEGER) AS x2, CAST(json_extract_string(loc, '$[3].value') AS INTEGER) AS y2
+FROM e WHERE json_array_length(loc) = 4 AND regexp_matches(text, '[^\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]')"""
 ORACLE = {
-    "coverage": f"""WITH v AS (SELECT unnest([{", ".join(repr(t) for t in markup.VOCABULARY)}]) AS tag),
-u AS (SELECT doc_id, type AS tag FROM {_TYPED} WHERE type IS NOT NULL AND type <> 'text_chunk' UNION SELECT doc_id, 'content' FROM {_TYPED} WHERE type = 'text_chunk' AND regexp_matches(text, '^[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]|[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]$')
-  UNION SELECT doc_id, 'doclang' FROM {_RENDERED} UNION SELECT doc_id, 'head' FROM {_RENDERED} WHERE head NOT IN ('', 'null'))
+    "coverage": USED_TAGS + f""", v AS (SELECT unnest([{", ".join(repr(t) for t in markup.VOCABULARY)}]) AS tag)
 SELECT v.tag, count(DISTINCT u.doc_id) AS documents FROM v LEFT JOIN u ON u.tag = v.tag GROUP BY v.tag""",
+    "node_text": _TEXTS + " SELECT doc_id, text FROM e",
+    "four_locations": _TEXTS + _BOXES,
+    "pairs_union": _TEXTS + f", b AS ({_BOXES}) SELECT 1 AS rank, * FROM b UNION ALL SELECT 0, doc_id, regexp_replace(l.text, '^{_BLANKS}+|{_BLANKS}+$', '', 'g'), least(l.bbox.x1, l.bbox.x2), least(l.bbox.y1, l.bbox.y2), greatest(l.bbox.x1, l.bbox.x2), greatest(l.bbox.y1, l.bbox.y2) FROM (SELECT doc_id, unnest(lines) AS l FROM {_R}) WHERE l.bbox.x1 IS NOT NULL AND regexp_matches(l.text, '[^\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]')",
+    "zones": f"""WITH r AS (SELECT doc_id, count(*) AS n, sum(len(lines)) AS k FROM {_R} GROUP BY doc_id)
+SELECT doc_id, z AS zone, CASE WHEN z < n THEN 'TextRegion' ELSE 'TextLine' END AS tag FROM (SELECT doc_id, n, CAST(unnest(range(CAST(n + coalesce(k, 0) AS BIGINT))) AS INTEGER) AS z FROM r)""",
+    "page_shred": f"""WITH r AS (SELECT DISTINCT doc_id, region_no, region_id, bbox, lines FROM regions), l AS (SELECT unnest(lines) AS l FROM r)
+SELECT unnest(['PcGts', 'Metadata', 'Page']) AS tag, (SELECT count(DISTINCT doc_id) FROM r) AS nodes UNION ALL SELECT 'TextRegion', count(*) FROM r UNION ALL SELECT 'Coords', (SELECT count(*) FROM r WHERE bbox.x1 IS NOT NULL) + (SELECT count(*) FROM l WHERE l.bbox.x1 IS NOT NULL)
+UNION ALL SELECT unnest(['TextLine', 'TextEquiv', 'Unicode']), (SELECT count(*) FROM l) UNION ALL SELECT '#text', count(*) FROM l WHERE coalesce(l.text, '') <> ''""",
+    "doclang_shred": f"""SELECT type AS tag, count(*) AS nodes FROM {_TYPED} WHERE type IS NOT NULL AND type NOT IN ('text_chunk', 'content') GROUP BY type UNION ALL SELECT 'doclang', count(*) FROM {_RENDERED} UNION ALL SELECT 'head', count(*) FROM {_RENDERED} WHERE head NOT IN ('', 'null')""",
     "line_coords": "SELECT doc_id, region_id, l.line_id AS line_id, b.x1 || ',' || b.y1 || ' ' || b.x2 || ',' || b.y1 || ' ' || b.x2 || ',' || b.y2 || ' ' || b.x1 || ',' || b.y2 AS points FROM (SELECT doc_id, region_id, l, l.bbox AS b FROM (SELECT doc_id, region_id, unnest(lines) AS l FROM (SELECT DISTINCT doc_id, region_no, region_id, lines FROM regions))) WHERE b.x1 IS NOT NULL",
     "baseline_coords": "SELECT doc_id, l.line_id AS line_id, CAST(2 AS BIGINT) AS n, greatest(l.bbox.y1, l.bbox.y2) AS y FROM (SELECT doc_id, unnest(lines) AS l FROM (SELECT DISTINCT doc_id, region_no, region_id, lines FROM regions)) WHERE l.bbox.x1 IS NOT NULL",
     "class_coords": f"SELECT doc_id, region_id, {_CLASS} AS class_id, CAST(4 AS BIGINT) AS n_points FROM (SELECT DISTINCT doc_id, region_no, region_id, bbox FROM regions) WHERE bbox.x1 IS NOT NULL",

@@ -18,7 +18,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The node table of every delivery with its interval labels."""
-    return json_nodes(table(spark, sf_dir, "doclang_docs"), F.col("record_id"), ["head", "body"]).select(F.col("rid").cast("long").alias("record_id"), "part", "node_key", "parent_key", "type", "pre", "post", "parent_pre", "depth", "text")
+    return json_nodes(table(spark, sf_dir, "doclang_docs"), F.col("record_id"), ["head", "body"]).select(F.col("rid").cast("long").alias("record_id"), "part", "node_key", "parent_key", "type", "pre", "post", "depth")
 
 
 def p2_texts_in_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,6 +45,12 @@ ORACLE = {
 SELECT DISTINCT e.doc_id, e.node_key, {_PARENT} AS parent_key FROM elements e
 UNION SELECT doc_id, region_id, '' FROM regions
 UNION SELECT doc_id, region_id || '.' || CAST(l.idx AS VARCHAR), region_id FROM (SELECT doc_id, region_id, unnest(lines) AS l FROM regions)""",
+    "p2_nodes": f"""{_NODES},
+ranked AS (SELECT e.record_id, e.part, e.node_key, e.type, e.id, row_number() OVER (PARTITION BY e.record_id, e.part ORDER BY e.id) - 1 AS k FROM elements e),
+inner_ AS (SELECT a.record_id, a.part, a.node_key, count(b.node_key) AS below FROM elements a LEFT JOIN elements b ON b.record_id = a.record_id AND b.part = a.part AND starts_with(b.node_key, a.node_key || '.') GROUP BY ALL),
+outer_ AS (SELECT a.record_id, a.part, a.node_key, count(b.node_key) AS depth, coalesce(max_by(b.node_key, length(b.node_key)), '') AS parent_key FROM elements a LEFT JOIN elements b ON b.record_id = a.record_id AND b.part = a.part AND starts_with(a.node_key, b.node_key || '.') GROUP BY ALL)
+SELECT r.record_id, r.part, r.node_key, o.parent_key, r.type, CAST(2 * r.k - o.depth AS INTEGER) AS pre, CAST(2 * r.k - o.depth + 2 * i.below + 1 AS INTEGER) AS post, CAST(o.depth AS INTEGER) AS depth
+FROM ranked r JOIN inner_ i ON i.record_id = r.record_id AND i.part = r.part AND i.node_key = r.node_key JOIN outer_ o ON o.record_id = r.record_id AND o.part = r.part AND o.node_key = r.node_key""",
     "p2_texts_in_tables": f"""{_NODES}
 SELECT t.record_id, t.node_key AS outer_key, count(*) AS runs FROM elements t JOIN elements c
 ON c.record_id = t.record_id AND c.part = t.part AND starts_with(c.node_key, t.node_key || '.')

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundset.functions.text import strip_ansi, xml_attribute, xml_text
+from groundset.functions.geometry import format_points
+from groundset.functions.text import data_uri, strip_ansi, xml_attribute, xml_text
 from groundset.operators import pages, preference, sampling
 from groundset.session import table
 
@@ -190,7 +191,45 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows(table(spark, sf_dir, "events"), "ts").select(F.date_format("start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "events", F.round("total", 2).alias("total"))
 
 
+def generated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A caller's model over the names of customers: empty for every fifth, wrong for odd ones, so that it is asked again."""
+    from groundset.operators.generate import generate
+
+    def call(p: str) -> str:
+        return "" if int(p[-9:]) % 5 == 0 else p.upper()
+
+    d = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return generate(d, "c_custkey", "c_name", call, lambda out: "odd" if int(out[-9:]) % 2 else None, retries=3)
+
+
+def rewarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two reward functions of a caller over the completions."""
+    from groundset.operators.generate import rewards
+
+    d = _sft(spark, sf_dir).select("record_id", F.coalesce("completion", F.lit("")).alias("completion")).distinct()
+    return rewards(d, "record_id", "completion", [lambda s: s.str.len(), lambda s: s.str.endswith(".")])
+
+
+def points_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corners of regions at a quarter of their size, as text with rounded numbers."""
+    quarter = lambda x, y: F.struct((F.col(x) / 4).alias("x"), (F.col(y) / 4).alias("y"))
+    r = table(spark, sf_dir, "regions").where("bbox IS NOT NULL").select("doc_id", "region_no", "bbox.*").distinct()
+    return r.select("doc_id", "region_no", format_points(F.array(quarter("x1", "y1"), quarter("x2", "y2"))).alias("points"))
+
+
+def data_uris(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of images as the contents of data URIs."""
+    d = table(spark, sf_dir, "images").select("path", F.col("stem").cast("binary").alias("content"))
+    return d.select("path", data_uri(F.col("path"), F.col("content")).alias("uri"))
+
+
+def first_evaluated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records an evaluation with a limit reads: the first twenty by id."""
+    return _sft(spark, sf_dir).select("record_id").distinct().orderBy("record_id").limit(20)
+
+
 QUERIES = {
+    "generated": generated, "rewarded": rewarded, "points_format": points_format, "data_uris": data_uris, "first_evaluated": first_evaluated,
     "jsonl_scan": jsonl_scan, "event_windows": event_windows,
     "to_sft": to_sft, "to_dpo": to_dpo, "to_kto": to_kto, "to_grpo": to_grpo, "validate_messages": validate_messages, "validate_rows": validate_rows, "build_prompt": build_prompt, "legacy_prompt": legacy_prompt, "legacy_equiv": legacy_equiv,
     "sft_mix": sft_mix, "reward_default": reward_default, "image_lookup": image_lookup, "missing_images": missing_images, "skip_report": skip_report, "transcription": transcription, "nonblank_lines": nonblank_lines, "reading_order": reading_order,
@@ -206,9 +245,15 @@ _DEFECT = """CASE WHEN len(messages) < 1 THEN 'empty history' WHEN len(list_filt
 _STRIP = "regexp_replace(unicode, '^[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\pZ]+|[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\pZ]+$', '', 'g')"
 _RLINE = "(SELECT doc_id, region_no, unnest(lines) AS l, generate_subscripts(lines, 1) AS k FROM (SELECT DISTINCT doc_id, region_no, lines FROM regions))"
 _PIC = "(SELECT stem AS doc_id, arg_min(path, ext || chr(1) || path) AS path FROM images WHERE stem IS NOT NULL GROUP BY stem)"
+_URI = "CASE lower(regexp_extract(path, '\\.([A-Za-z0-9]+)$', 1)) WHEN 'jpg' THEN 'image/jpeg' WHEN 'jpeg' THEN 'image/jpeg' WHEN 'gif' THEN 'image/gif' WHEN 'webp' THEN 'image/webp' WHEN 'tif' THEN 'image/tiff' WHEN 'tiff' THEN 'image/tiff' WHEN 'bmp' THEN 'image/bmp' ELSE 'image/png' END"
 ORACLE = {
+    "generated": "SELECT c_custkey, CASE WHEN k % 5 <> 0 AND k % 2 = 0 THEN upper(c_name) END AS output, CAST(CASE WHEN k % 5 = 0 OR k % 2 = 0 THEN 1 ELSE 3 END AS INTEGER) AS attempts, CASE WHEN k % 5 = 0 THEN 'empty answer' WHEN k % 2 = 1 THEN 'odd' END AS error FROM (SELECT c_custkey, c_name, CAST(right(c_name, 9) AS BIGINT) AS k FROM customer)",
+    "rewarded": "SELECT DISTINCT record_id, CAST(length(coalesce(completion, '')) AS DOUBLE) AS reward_0, CASE WHEN coalesce(completion, '') LIKE '%.' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS reward_1 FROM sft_records",
+    "points_format": "SELECT DISTINCT doc_id, region_no, CAST(CAST(round_even(bbox.x1 / 4.0, 0) AS BIGINT) AS VARCHAR) || ',' || CAST(CAST(round_even(bbox.y1 / 4.0, 0) AS BIGINT) AS VARCHAR) || ' ' || CAST(CAST(round_even(bbox.x2 / 4.0, 0) AS BIGINT) AS VARCHAR) || ',' || CAST(CAST(round_even(bbox.y2 / 4.0, 0) AS BIGINT) AS VARCHAR) AS points FROM regions WHERE bbox IS NOT NULL",
+    "data_uris": f"SELECT path, 'data:' || {_URI} || ';base64,' || base64(encode(stem)) AS uri FROM images",
+    "first_evaluated": "SELECT DISTINCT record_id FROM sft_records ORDER BY record_id LIMIT 20",
     "jsonl_scan": "SELECT CASE WHEN record_id % 100 = 0 THEN 'malformed' WHEN messages IS NOT NULL THEN 'messages' WHEN prompt IS NOT NULL THEN 'prompt' ELSE 'none' END AS shape, count(*) AS lines, CAST(sum(CASE WHEN record_id % 100 = 0 THEN 0 ELSE coalesce(length(completion), 0) END) AS BIGINT) AS characters FROM sft_records GROUP BY 1",
-    "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS events FROM events GROUP BY ALL",
+    "event_windows": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS events, round(sum(value), 2) AS total FROM events GROUP BY ALL",
     "to_sft": f"SELECT record_id, {_P}, 'assistant:text=' || completion AS completion FROM sft_records WHERE (messages IS NOT NULL OR prompt IS NOT NULL) AND completion IS NOT NULL AND (messages IS NULL OR ({_DEFECT}) IS NULL)",
     "to_grpo": f"SELECT record_id, {_P} FROM sft_records WHERE (messages IS NOT NULL OR prompt IS NOT NULL) AND (messages IS NULL OR ({_DEFECT}) IS NULL)",
     "to_dpo": f"SELECT record_id, {_L} AS prompt, coalesce(image, '') AS images, 'assistant:text=' || chosen AS chosen, 'assistant:text=' || rejected AS rejected FROM dpo_records WHERE prompt IS NOT NULL AND chosen IS NOT NULL AND rejected IS NOT NULL",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES (name -> callable(spark, sf_dir)) and ORACLE (name -> SQL).
-MODULES = ("groundset.plans.tasks", "groundset.plans.records", "groundset.plans.markup", "groundset.plans.nested", "groundset.plans.rules")
+MODULES = ("groundset.plans.tasks", "groundset.plans.records", "groundset.plans.markup", "groundset.plans.nested", "groundset.plans.rules", "groundset.plans.build")
 
 
 def queries() -> dict:

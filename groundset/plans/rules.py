@@ -93,7 +93,7 @@ def _mutated_sql() -> str:
     bogus = "CASE WHEN contains(d, '<layer value=\"body\"') THEN replace(d, '<layer value=\"body\"', '<layer value=\"bogus\"') ELSE replace(d, '<list class=\"ordered\"', '<list class=\"bogus\"') END"
     drop = f"CASE WHEN contains(d, '<nl/>') THEN {first('<nl/>', '')} WHEN contains(d, '<ldiv/>') THEN {first('<ldiv/>', '')} ELSE d END"
     made = {
-        "swap_tag": "CASE WHEN contains(d, '<footnote>') THEN replace(replace(d, '<footnote>', '<page_header>'), '</footnote>', '</page_header>') ELSE d END",
+        "swap_tag": "CASE WHEN contains(d, '<footnote>') THEN replace(replace(d, '<footnote>', '<page_header>'), '</footnote>', '</page_header>') ELSE regexp_replace(regexp_replace(d, '<text>', '<footnote>'), '</text>', '</footnote>') END",
         "bogus_value": bogus, "drop_tag": drop, "reorder_head": "replace(d, '<thread thread_id=\"2\"/><layer value=\"body\"/>', '<layer value=\"body\"/><thread thread_id=\"2\"/>')",
         "break_table": first("<ecel/>", ""), "two_links": "replace(d, '<href', '<xref thread_id=\"1\"/><href')",
     }

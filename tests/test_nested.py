@@ -58,3 +58,20 @@ def test_arrays(spark):
     got = sorted((r.node_key, r.parent_key, r.pre, r.post) for r in array_nodes(df, "doc_id", "region_id", "lines", "idx").collect())
     assert got == [("r1", "", 0, 5), ("r1.0", "r1", 1, 2), ("r1.1", "r1", 3, 4), ("r2", "", 0, 1), ("r3", "", 0, 1)]
     assert array_nodes(df.limit(0), "doc_id", "region_id", "lines", "idx").count() == 0
+
+
+def test_texts_no_column_can_hold(spark):
+    """Lone surrogates and numbers of any length are read like the rest, beside sound rows."""
+    rows = [("a", '[{"type": "text", "text": "\\ud800x", "n": 3}]'), ("b", '[{"type": "text", "n": ' + "9" * 5000 + "}]"), ("c", '[{"type": "text", "text": "é"}]')]
+    got = {r.rid: r for r in json_nodes(spark.createDataFrame(rows, "id string, body string"), F.col("id"), ["body"]).collect()}
+    assert got["a"].text == "?x" and len(got["b"].attrs["n"]) >= 5000 and got["c"].text == "é"
+    from groundset.operators.markup import render_document
+
+    assert render_document(None, '[{"type": "text", "body": [{"type": "text_chunk", "text": "\\ud800x"}]}]').endswith("<text>?x</text></doclang>")
+
+
+def test_blank_runs_in_fields_give_nothing():
+    from groundset.operators.markup import render
+
+    blank = {"type": "text_chunk", "text": " "}
+    assert render({"type": "field_region", "body": [blank, {"type": "field_item", "body": [blank, {"type": "key", "body": [blank]}]}]}) == "<field_region><field_item><key><content> </content></key></field_item></field_region>"
