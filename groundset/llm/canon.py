@@ -11,14 +11,17 @@ from __future__ import annotations
 import re
 import unicodedata as U
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from groundset.session import table
+from groundset.functions.text import strip
+from groundset.session import table, written
+
+HOT_ROWS = 5_000  # of one form, above which it is spread over several tasks
 
 #: Letters of other scripts that have the shape of a Latin letter.
 LOOK_ALIKES = {
@@ -136,27 +139,51 @@ def canonical_form(df: DataFrame, text: str, to: str = "canonical") -> DataFrame
     return df.mapInArrow(run, schema)
 
 
-def look_alike_pairs(df: DataFrame, key: str, text: str, salts: int = 16) -> DataFrame:
+def spellings(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, h1, h2, s1, s2): the hash of each text's one form and of its spelling, 96 bits each, so no text is shuffled; written once.
+
+    Null and blank texts and null keys are left out.
+    """
+    rows = canonical_form(df.select(F.col(key).alias("id"), F.col(text).alias("raw")).where(F.col("raw").isNotNull() & F.col("id").isNotNull()), "raw", "form")
+    raw = strip(F.col("raw"))
+    return written(rows.where(F.col("form").isNotNull()).select("id", F.xxhash64("form").alias("h1"), F.hash(F.reverse("form")).alias("h2"), F.xxhash64(raw).alias("s1"), F.hash(F.reverse(raw)).alias("s2")), "spellings")
+
+
+def mixed_forms(rows: DataFrame) -> DataFrame:
+    """(h1, h2, n): forms with at least two spellings, and how many rows have them."""
+    g = rows.groupBy("h1", "h2").agg(F.min("s1").alias("a1"), F.max("s1").alias("z1"), F.min("s2").alias("a2"), F.max("s2").alias("z2"), F.count("*").alias("n"))
+    return g.where("a1 <> z1 OR a2 <> z2").select("h1", "h2", "n")
+
+
+def look_alike_pairs(df: DataFrame, key: str, text: str, hot: int = HOT_ROWS) -> DataFrame:
     """id_a < id_b: rows whose texts look the same but differ in code points.
 
     Null and blank texts pair with nothing; repeated deliveries of a key count once; a key
     with two texts that look alike isn't paired with itself. Exact copies aren't compared
     with each other: the texts are joined spelling by spelling, so the output is the pairs
-    between spellings only. A form that holds a large share of all rows is spread over
-    ``salts`` parts on its left side.
+    between spellings only. A form of more than ``hot`` rows is spread over as many parts as
+    that number goes into its rows; other forms aren't copied.
     """
-    outer = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-    rows = canonical_form(df.select(F.col(key).alias("id"), F.col(text).alias("raw")).where(F.col("raw").isNotNull() & F.col("id").isNotNull()), "raw", "form")
-    rows = rows.where(F.col("form").isNotNull()).select("id", F.xxhash64("form").alias("h1"), F.hash(F.reverse("form")).alias("h2"), F.xxhash64(F.regexp_replace("raw", outer, "")).alias("spelling"))
-    # 96 bits stand for the form and 64 for the spelling, so no text is shuffled; only forms
-    # with at least two spellings go on
-    mixed = rows.groupBy("h1", "h2").agg(F.min("spelling").alias("s0"), F.max("spelling").alias("s1")).where("s0 <> s1").select("h1", "h2")
-    hot = rows.join(mixed, ["h1", "h2"], "left_semi").distinct()
-    left = hot.withColumn("salt", F.pmod(F.hash("id"), F.lit(salts)))
-    right = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    a, b = left.alias("a"), right.alias("b")
-    on = (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.spelling") != F.col("b.spelling")) & (F.col("a.id") < F.col("b.id"))
-    return a.join(b, on).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+    rows = spellings(df, key, text)
+    met = rows.join(mixed_forms(rows), ["h1", "h2"]).distinct().withColumn("parts", F.ceil(F.col("n") / hot).cast("int")).drop("n")
+    a = met.withColumn("salt", F.pmod(F.hash("id"), F.col("parts"))).alias("a")
+    b = met.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).alias("b")
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("h1", "h2", "salt")]
+    differ = (F.col("a.s1") != F.col("b.s1")) | (F.col("a.s2") != F.col("b.s2"))
+    return a.join(b, reduce(Column.__and__, same) & differ & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+
+
+def look_alike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, class_id, links): every row that looks like one of another spelling, the least id of its class, and with how many rows of the class its spelling isn't shared.
+
+    Counts of classes and spellings are aggregates, so the size of a class doesn't matter.
+    """
+    rows = spellings(df, key, text)
+    met = rows.join(mixed_forms(rows).drop("n"), ["h1", "h2"]).distinct()
+    whole = met.groupBy("h1", "h2").agg(F.min("id").alias("class_id"), F.count_distinct("id").alias("n"))
+    own = met.groupBy("h1", "h2", "s1", "s2").agg(F.count("*").alias("m"))
+    out = met.join(own, ["h1", "h2", "s1", "s2"]).join(whole, ["h1", "h2"])
+    return out.groupBy("id", "class_id").agg(F.max(F.col("n") - F.col("m")).alias("links"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,6 +192,13 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one.unionByName(two)
 
 
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each row that looks like one of another spelling, with its class and number of links."""
+    one = look_alike_classes(table(spark, sf_dir, "text_equivs"), "equiv_id", "unicode").withColumn("field", F.lit("TextEquiv.Unicode"))
+    two = look_alike_classes(table(spark, sf_dir, "text_chunks"), "chunk_id", "text").withColumn("field", F.lit("TextChunk.text"))
+    return one.unionByName(two)
+
+
 def p1_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of both tables in its one form, deliveries of a key counted once."""
     one = canonical_form(table(spark, sf_dir, "text_equivs").select(F.lit("TextEquiv.Unicode").alias("field"), F.col("equiv_id").alias("id"), F.col("unicode").alias("text")), "text")
@@ -187,8 +221,10 @@ c AS (SELECT field, id, {strip("t")} AS raw, nullif({strip(f"nfc_normalize({form
 """
 
 
-QUERIES = {"p1_found": p1_found, "p1_canonical": p1_canonical}
+QUERIES = {"p1_found": p1_found, "p1_classes": p1_classes, "p1_canonical": p1_canonical}
 ORACLE = {
     "p1_found": _sql() + "SELECT a.field, a.id AS id_a, b.id AS id_b FROM c a JOIN c b ON a.field = b.field AND a.canonical = b.canonical AND a.id < b.id AND a.raw <> b.raw",
+    "p1_classes": _sql() + """, k AS (SELECT DISTINCT field, id, canonical, raw FROM c WHERE canonical IS NOT NULL), w AS (SELECT field, canonical, min(id) AS class_id, count(DISTINCT id) AS n FROM k GROUP BY ALL HAVING count(DISTINCT raw) > 1),
+m AS (SELECT field, canonical, raw, count(*) AS m FROM k GROUP BY ALL) SELECT k.field, k.id, w.class_id, max(w.n - m.m) AS links FROM k JOIN w ON w.field = k.field AND w.canonical = k.canonical JOIN m ON m.field = k.field AND m.canonical = k.canonical AND m.raw = k.raw GROUP BY ALL""",
     "p1_canonical": _sql() + "SELECT field, id, canonical FROM c",
 }
