@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundset.session import small_rows, table
+from groundset.session import small_rows, table, written
 
 MAX_EDITS = 5
 CHARS_PER_EDIT = 6
 #: Words of courtesy and emphasis that don't change a question.
-COURTESY = "please|kindly|task|now|exactly|genau|bitte|jetzt|aufgabe|exactement|maintenant|tâche|vänligen|exakt|nu|uppgift"
-#: Words the question templates exchange for one another.
-SYNONYMS = (("leaf", "page"), ("rectanglees", "boxes"), ("rectangle", "box"), ("writing", "text"), ("reply in", "answer in"))
+COURTESY = "please|kindly|now|just|simply|exactly|carefully|precisely|task|thanks|thank you|bitte|jetzt|genau|einfach|sorgfältig|aufgabe|danke|exactement|maintenant|simplement|soigneusement|tâche|merci|vänligen|snälla|nu|bara|exakt|noggrant|uppgift|tack"
+#: Words for the same thing in questions about pages.
+SYNONYMS = (("leaf", "page"), ("folio", "page"), ("sheet", "page"), ("bounding box", "box"), ("rectangle", "box"), ("frame", "box"), ("writing", "text"), ("wording", "text"), ("reply in", "answer in"), ("respond in", "answer in"))
 MAX_CONFIGS = 10_000
 
 
@@ -106,44 +106,61 @@ def config_pairs(configs: DataFrame) -> list[tuple[str, str]]:
     return sorted((r[0], r[1]) for r in rows)
 
 
-def cross_split_pairs(records: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(train_id, eval_id): records with image and prompt whose page is the same and whose questions are the same or nearly so.
+def questions(records: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(record_id, data_path, source, cls, page, guard, words, names): the questions under paths of the pairs, written once; equal questions about a page have one cls.
 
-    records: record_id, data_path, image, prompt; other columns don't matter. Rows without
-    an image, a prompt or an id give nothing, nor do blank prompts; repeated rows count once.
-    Copies of a question meet as one class, so only classes are compared; the output lists
-    the record pairs the result is defined on.
+    Rows without an image, a prompt or an id give nothing, nor do blank prompts; repeated rows count once.
     """
-    spark = records.sparkSession
-    if not pairs:
-        return records.sparkSession.createDataFrame([], "train_id long, eval_id long")
-    train_paths, eval_paths = sorted({a for a, _ in pairs}), sorted({b for _, b in pairs})
-    r = records.where(F.col("prompt").isNotNull() & F.col("image").isNotNull() & F.col("data_path").isin(*{*train_paths, *eval_paths}))
-    r = r.select("record_id", "data_path", page_key(F.col("image")).alias("page"), wording(F.col("prompt")).alias("words"), F.xxhash64(protected(F.col("prompt"))).alias("guard"), name_words(F.col("prompt")).alias("names"))
+    paths = sorted({p for pair in pairs for p in pair})
+    wanted = F.broadcast(records.sparkSession.createDataFrame([(p,) for p in paths], "data_path string"))  # at most 2 * MAX_CONFIGS rows
+    r = records.where(F.col("prompt").isNotNull() & F.col("image").isNotNull() & F.col("record_id").isNotNull()).join(wanted, "data_path", "left_semi")
+    r = r.select("record_id", "data_path", (F.col("source") if "source" in records.columns else F.lit(None).cast("string")).alias("source"), page_key(F.col("image")).alias("page"), wording(F.col("prompt")).alias("words"), F.xxhash64(protected(F.col("prompt"))).alias("guard"), name_words(F.col("prompt")).alias("names"))
     r = r.where(F.col("page").isNotNull() & (F.col("words") != ""))
-    links = spark.createDataFrame(pairs, "train_path string, eval_path string")
-
-    # questions of the evaluation side, and those training rows that share page and protected parts with one
-    ev = r.where(F.col("data_path").isin(*eval_paths))
-    ev_keys = ev.select("page", "guard").distinct()
-    tr = r.where(F.col("data_path").isin(*train_paths)).join(ev_keys, ["page", "guard"], "left_semi")
-    cls = ["data_path", "page", "guard", "words", "names"]
-    e = ev.select(*cls).distinct().withColumnsRenamed({"data_path": "eval_path", "words": "ew", "names": "en"})
-    t = tr.select(*cls).distinct().withColumnsRenamed({"data_path": "train_path", "words": "tw", "names": "tn"})
-
-    es = e.select("eval_path", "page", "guard", "ew", "en", F.explode(_eval_segments(F.col("ew"))).alias("s")).select("*", "s.*").drop("s")
-    ts = t.select("train_path", "page", "guard", "tw", "tn", F.explode(_train_segments(F.col("tw"))).alias("s")).select("*", "s.*").drop("s")
-    met = es.join(ts, ["page", "guard", "n", "i", "h"]).join(F.broadcast(links), ["train_path", "eval_path"])  # links: at most MAX_CONFIGS rows
-    met = met.select("train_path", "eval_path", "page", "guard", "ew", "en", "tw", "tn").distinct()
+    return written(r.withColumn("cls", F.struct(F.xxhash64("page", "guard", "words", "names").alias("a"), F.hash("names", "words", "page").alias("b"))), "questions")
+
+
+def linked_classes(r: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(eval_cls, train_cls): classes of questions that are the same or nearly so, about the same page. Only classes are compared, never their copies."""
+    spark = r.sparkSession
+    side = lambda ps: r.join(F.broadcast(spark.createDataFrame([(p,) for p in sorted(ps)], "data_path string")), "data_path", "left_semi").select("cls", "page", "guard", "words", "names").dropDuplicates(["cls"])
+    e = side({b for _, b in pairs}).withColumnsRenamed({"cls": "eval_cls", "words": "ew", "names": "en"})
+    t = side({a for a, _ in pairs}).withColumnsRenamed({"cls": "train_cls", "words": "tw", "names": "tn"})
+    t = t.join(e.select("page", "guard").distinct(), ["page", "guard"], "left_semi")
+    where = F.xxhash64("page", "guard").alias("at")
+    es = e.select("eval_cls", "ew", "en", where, F.explode(_eval_segments(F.col("ew"))).alias("s")).select("*", "s.*").drop("s")
+    ts = t.select("train_cls", "tw", "tn", where, F.explode(_train_segments(F.col("tw"))).alias("s")).select("*", "s.*").drop("s")
+    met = es.join(ts, ["at", "n", "i", "h"]).select("eval_cls", "train_cls", "ew", "en", "tw", "tn").dropDuplicates(["eval_cls", "train_cls"])
     ea, ta = F.split(F.translate("ew", ".,?!:;\"'[]", " " * 10), " +"), F.split(F.translate("tw", ".,?!:;\"'[]", " " * 10), " +")
     changed = F.array_union(F.array_except(ea, ta), F.array_except(ta, ea))
     near = F.levenshtein("ew", "tw", MAX_EDITS)
     ok = met.where((near >= 0) & (near <= edits(F.length("ew"))) & ~F.arrays_overlap(changed, F.concat("en", "tn")))
-    ok = ok.select("train_path", "eval_path", "page", "guard", "ew", "en", "tw", "tn")
+    return ok.select("eval_cls", "train_cls")
+
 
-    te = tr.select(F.col("record_id").alias("train_id"), *[F.col(c).alias(x) for c, x in zip(cls, ("train_path", "page", "guard", "tw", "tn"))])
-    ee = ev.select(F.col("record_id").alias("eval_id"), *[F.col(c).alias(x) for c, x in zip(cls, ("eval_path", "page", "guard", "ew", "en"))])
-    full = ok.join(te, ["train_path", "page", "guard", "tw", "tn"]).join(ee, ["eval_path", "page", "guard", "ew", "en"])
+def cross_split_classes(r: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(eval_path, train_path, eval_cls, train_cls, eval_class, train_class, eval_records, train_records): linked classes of one pair of paths, with the least record id and the number of records of each."""
+    links = F.broadcast(r.sparkSession.createDataFrame(pairs, "train_path string, eval_path string"))  # at most MAX_CONFIGS rows
+    size = r.groupBy("cls", "data_path").agg(F.min("record_id").alias("least"), F.count_distinct("record_id").alias("n"))
+    e = size.withColumnsRenamed({"cls": "eval_cls", "data_path": "eval_path", "least": "eval_class", "n": "eval_records"})
+    t = size.withColumnsRenamed({"cls": "train_cls", "data_path": "train_path", "least": "train_class", "n": "train_records"})
+    return linked_classes(r, pairs).join(e, "eval_cls").join(links, "eval_path").join(t, ["train_cls", "train_path"])
+
+
+def cross_split_pairs(records: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(train_id, eval_id): records with image and prompt whose page is the same and whose questions are the same or nearly so.
+
+    records: record_id, data_path, source, image, prompt; other columns don't matter. The
+    classes of equal questions are compared; the record pairs the result is defined on come
+    from their members.
+    """
+    if not pairs:
+        return records.sparkSession.createDataFrame([], "train_id long, eval_id long")
+    r = questions(records, pairs)
+    links = F.broadcast(records.sparkSession.createDataFrame(pairs, "train_path string, eval_path string"))  # at most MAX_CONFIGS rows
+    member = r.select("cls", "data_path", "record_id").distinct()
+    e = member.select(F.col("cls").alias("eval_cls"), F.col("data_path").alias("eval_path"), F.col("record_id").alias("eval_id"))
+    t = member.select(F.col("cls").alias("train_cls"), F.col("data_path").alias("train_path"), F.col("record_id").alias("train_id"))
+    full = linked_classes(r, pairs).join(e, "eval_cls").join(links, "eval_path").join(t, ["train_cls", "train_path"])
     return full.where("train_id <> eval_id").select("train_id", "eval_id").distinct()
 
 
@@ -152,12 +169,23 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.least("train_id", "eval_id").alias("id_a"), F.greatest("train_id", "eval_id").alias("id_b")).distinct()
 
 
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linked classes of questions by the least record of each, with their sizes."""
+    pairs = config_pairs(table(spark, sf_dir, "run_configs"))
+    if not pairs:
+        return spark.createDataFrame([], "eval_path string, train_path string, eval_class long, train_class long, eval_records long, train_records long")
+    return cross_split_classes(questions(table(spark, sf_dir, "sft_records"), pairs), pairs).drop("eval_cls", "train_cls")
+
+
 def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Overlapping evaluation records and pairs by evaluation path and source ('' where the source is null)."""
-    records = table(spark, sf_dir, "sft_records")
-    found = cross_split_pairs(records, config_pairs(table(spark, sf_dir, "run_configs"))).groupBy(F.col("eval_id").alias("record_id")).agg(F.count("*").alias("n"))
-    meta = records.select("record_id", "data_path", F.coalesce("source", F.lit("")).alias("source")).distinct()
-    return found.join(meta, "record_id").groupBy(F.col("data_path").alias("eval_path"), "source").agg(F.count("*").alias("records"), F.sum("n").alias("pairs"))
+    """Overlapping evaluation records and pairs by evaluation path and source ('' where the source is null), from the sizes of classes alone."""
+    pairs = config_pairs(table(spark, sf_dir, "run_configs"))
+    if not pairs:
+        return spark.createDataFrame([], "eval_path string, source string, records long, pairs long")
+    r = questions(table(spark, sf_dir, "sft_records"), pairs)
+    n = cross_split_classes(r, pairs).groupBy(F.col("eval_cls").alias("cls"), F.col("eval_path").alias("data_path")).agg(F.sum("train_records").alias("n"))
+    e = r.select("cls", "data_path", "record_id", F.coalesce("source", F.lit("")).alias("source")).distinct().join(n, ["cls", "data_path"])
+    return e.groupBy(F.col("data_path").alias("eval_path"), "source").agg(F.count_distinct("record_id").alias("records"), F.sum("n").alias("pairs"))
 
 
 def _sql() -> str:
@@ -183,8 +211,10 @@ hit AS (SELECT DISTINCT t.record_id AS train_id, e.record_id AS eval_id, e.data_
 """
 
 
-QUERIES = {"p3_found": p3_found, "p3_report": p3_report}
+QUERIES = {"p3_found": p3_found, "p3_classes": p3_classes, "p3_report": p3_report}
 ORACLE = {
     "p3_found": _sql() + "SELECT DISTINCT least(train_id, eval_id) AS id_a, greatest(train_id, eval_id) AS id_b FROM hit",
+    "p3_classes": _sql() + """, q AS (SELECT min(record_id) OVER (PARTITION BY page, guard, words, names, data_path) AS rep, * FROM d)
+SELECT e.data_path AS eval_path, t.data_path AS train_path, e.rep AS eval_class, t.rep AS train_class, count(DISTINCT e.record_id) AS eval_records, count(DISTINCT t.record_id) AS train_records FROM hit JOIN q e ON e.record_id = hit.eval_id JOIN q t ON t.record_id = hit.train_id JOIN cfg ON cfg.train_path = t.data_path AND cfg.eval_path = e.data_path GROUP BY ALL""",
     "p3_report": _sql() + "SELECT eval_path, source, count(DISTINCT eval_id) AS records, count(DISTINCT (train_id, eval_id)) AS pairs FROM hit GROUP BY ALL",
 }

@@ -57,3 +57,12 @@ def test_join_loses_nothing(spark):
 def test_hot_question_stays_classes(spark):
     rows = [(i, "tr", "p.png", "Transcribe the whole page.") for i in range(300)] + [(1000, "ev", "p.png", "Transcribe the whole leaf")]
     assert len(pairs(spark, rows)) == 300
+
+
+def test_classes(spark):
+    """Linked classes with their sizes make the same number of pairs as the records themselves."""
+    rows = [(i, "tr", "p.png", "Transcribe the whole page.") for i in range(30)] + [(40, "tr", "p.png", "Transcribe the wohle page"), (50, "ev", "p.png", "transcribe the whole leaf"), (51, "ev", "p.png", "Transcribe the whole page"), (51, "ev", "p.png", "Transcribe the whole page"), (60, "ev", "q.png", "Transcribe the whole page")]
+    df = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
+    c = O.cross_split_classes(O.questions(df, [("tr", "ev")]), [("tr", "ev")]).collect()
+    assert sum(r.eval_records * r.train_records for r in c) == len(pairs(spark, rows)) == 62
+    assert {(r.eval_class, r.train_class, r.eval_records, r.train_records) for r in c} == {(50, 0, 2, 30), (50, 40, 2, 1)}
