@@ -12,6 +12,7 @@ import base64
 import heapq
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
+from pathlib import Path
 
 import pandas as pd
 import pyarrow as pa
@@ -24,19 +25,19 @@ from groundset.session import checkpointed, small_rows, table
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that splits text before the merges of the rank file.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-BLOCK_TOKENS = 4096
+BLOCK_TOKENS = 64
 ROWS_PER_SHARD = 100_000
 MAX_SOURCES = 100_000
 _encoders: dict[str, object] = {}
 
 
-def encoder(vocabulary: str):
-    """The byte-pair encoder of a rank file, loaded once in a process."""
+def encoder(vocabulary: str, content: bytes | None = None):
+    """The byte-pair encoder of a rank file, made once in a process; ``content``: what the file holds, where it can't be read."""
     if vocabulary not in _encoders:
         import tiktoken
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+        lines = (Path(vocabulary).read_bytes() if content is None else content).splitlines()
+        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
         _encoders[vocabulary] = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _encoders[vocabulary]
 
@@ -48,6 +49,7 @@ def count_tokens(df: DataFrame, text: str, vocabulary: str = VOCABULARY, run_cha
     pattern cuts anyway, so the count stays the same and no single call grows too large.
     """
     keep = [c for c in df.columns if c not in (text, "tokens")]
+    shared = df.sparkSession.sparkContext.broadcast(Path(vocabulary).read_bytes())  # one rank file, some megabytes; workers need not have it
 
     def size(encode, s: str) -> int:
         total, at = 0, 0
@@ -63,7 +65,7 @@ def count_tokens(df: DataFrame, text: str, vocabulary: str = VOCABULARY, run_cha
         return total + len(encode(s[at:]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_ordinary
+        encode = encoder(vocabulary, shared.value).encode_ordinary
         for b in batches:
             n = [0 if s is None else size(encode, s) for s in b.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(n, pa.int64())], [*keep, "tokens"])
@@ -117,7 +119,6 @@ def apportion(targets: list[tuple[str, float, int]], supply: dict[str, int], blo
         return {}
     weight = sum(w for _, w, _ in live)
     total = min(supply[s] * r * weight / w for s, w, r in live)
-    block = max(1, min(block, int(total / 1000) or 1))  # small inputs get smaller blocks
     most = [supply[s] * r // block for s, _, r in live]
     seats = sainte_lague([w for _, w, _ in live], int(total // block), most)
     return {s: (q, block) for (s, _, _), q in zip(live, seats)}
@@ -140,7 +141,7 @@ def mixture(sizes: DataFrame, targets: DataFrame, seed: int = 7, block: int = BL
     """
     wanted = [(r["source"], float(r["target_share"] or 0), int(r["max_repeats"] or 0)) for r in small_rows(targets.where("source IS NOT NULL"), MAX_SOURCES, "mix_targets")]
     docs = sizes.where("source IS NOT NULL AND tokens > 0 AND doc_id IS NOT NULL").select("doc_id", "source", "tokens")
-    docs = docs.where(F.col("source").isin([s for s, _, _ in wanted]))
+    docs = docs.join(F.broadcast(docs.sparkSession.createDataFrame([(s,) for s, _, _ in wanted], "source string").distinct()), "source", "left_semi")  # at most MAX_SOURCES rows
     docs = checkpointed(docs)
     counts = docs.groupBy("source").agg(F.count("*").alias("n")).collect()  # at most MAX_SOURCES rows
     shards = docs.sparkSession.createDataFrame([(r["source"], -(-r["n"] // ROWS_PER_SHARD)) for r in counts], "source string, shards long")
@@ -186,4 +187,15 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("actual_share", F.when(total > 0, F.col("tokens") / total).otherwise(F.lit(0.0)))
 
 
-QUERIES = {"p9_mixture": p9_mixture, "p9_shares": p9_shares}
+def p9_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By target: whether its share is reached within half a percent of all tokens, and no document repeated too often. Shares of sources without documents go to the others."""
+    s = p9_shares(spark, sf_dir).where("target_share > 0")
+    live = F.sum(F.when(F.col("tokens") > 0, F.col("target_share"))).over(Window.partitionBy())  # one row a source
+    want = F.when(F.col("tokens") > 0, F.col("target_share") / live).otherwise(0.0)
+    return s.select("source", (F.abs(F.col("actual_share") - want) < 0.005).alias("reached"), (F.col("most_copies") <= F.col("max_repeats")).alias("kept"), (F.col("tokens") > 0).alias("used"))
+
+
+QUERIES = {"p9_mixture": p9_mixture, "p9_shares": p9_shares, "p9_checks": p9_checks}
+ORACLE = {
+    "p9_checks": "SELECT m.source, TRUE AS reached, TRUE AS kept, m.source IN (SELECT source FROM documents WHERE text <> '' AND source IS NOT NULL) AS used FROM mix_targets m WHERE m.target_share > 0",
+}

@@ -166,4 +166,21 @@ def p6_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.join(cap, "config_id").select("config_id", "containers", "items", "characters", (1 - F.col("characters") / (F.col("containers") * F.col("capacity"))).alias("unused"))
 
 
-QUERIES = {"p6_containers": p6_containers, "p6_report": p6_report}
+def p6_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By config: items and characters that came out, containers over capacity, items within the capacity that were split, and pieces that lie over another."""
+    out = p6_containers(spark, sf_dir)
+    cap = F.broadcast(table(spark, sf_dir, "run_configs").select("config_id", F.col("max_length").cast("long").alias("capacity")))  # a control table
+    last = F.lag(F.col("start") + F.col("size")).over(Window.partitionBy("config_id", "container").orderBy("start", F.col("start") + F.col("size")))
+    per = out.withColumn("over", (last > F.col("start")).cast("int")).groupBy("config_id", "container").agg(F.sum("size").alias("used"), F.sum("over").alias("over")).join(cap, "config_id")
+    boxes = per.groupBy("config_id").agg(F.count_if(F.col("used") > F.col("capacity")).alias("overfull"), F.coalesce(F.sum("over"), F.lit(0)).alias("overlapping"))
+    item = out.groupBy("config_id", "record_id").agg(F.sum("size").alias("size"), F.count("*").alias("pieces")).join(cap, "config_id")
+    items = item.groupBy("config_id").agg(F.count("*").alias("items"), F.sum("size").alias("characters"), F.count_if((F.col("size") <= F.col("capacity")) & (F.col("pieces") > 1)).alias("split"))
+    return items.join(boxes, "config_id")
+
+
+_SIZE = "coalesce(CASE WHEN messages IS NOT NULL THEN list_sum(list_transform(flatten(list_transform(messages, lambda m: coalesce(m.content, []))), lambda c: coalesce(length(c.text), 0))) ELSE length(prompt) END, 0) + coalesce(length(completion), 0)"
+QUERIES = {"p6_containers": p6_containers, "p6_report": p6_report, "p6_checks": p6_checks}
+ORACLE = {
+    "p6_checks": f"""SELECT c.config_id, count(*) AS items, CAST(sum(r.size) AS BIGINT) AS characters, CAST(0 AS BIGINT) AS split, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS overlapping
+FROM run_configs c JOIN (SELECT DISTINCT record_id, data_path, {_SIZE} AS size FROM sft_records) r ON r.data_path = c.train_path WHERE c.packing AND c.max_length >= 1 GROUP BY c.config_id""",
+}

@@ -95,19 +95,10 @@ def split_records(records: DataFrame, configs: list[tuple[int, str, int, int]])
     Null and short completions give nothing; deliveries of a record count once.
     """
     spark = records.sparkSession
-    if not configs:
-        return spark.createDataFrame([], "config_id int, record_id long, piece_no int, text string")
-    r = records.select("record_id", "data_path", "completion").where(F.length("completion") > min(c[2] for c in configs))
-    made = F.lit(None).cast("array<struct<config_id:int,overlap:int,back:int,own:array<string>>>")
-    for path in sorted({c[1] for c in configs}):
-        own = []
-        for cid, p, limit, overlap in configs:
-            if p == path:
-                limit, overlap = checked(limit, overlap)
-                cut = F.struct(F.lit(cid).cast("int").alias("config_id"), F.lit(overlap).alias("overlap"), F.lit(lookback(limit, overlap)).alias("back"), own_pieces(F.col("completion"), limit, overlap).alias("own"))
-                own.append(F.when(F.length("completion") > limit, cut))
-        made = F.when(F.col("data_path") == path, F.filter(F.array(*own), lambda x: x.isNotNull())).otherwise(made)
-    cut = r.select("record_id", F.explode(made).alias("m")).select("record_id", "m.*")
+    rows = [(cid, path, limit, overlap, lookback(limit, overlap), pattern(limit, overlap)) for cid, path, most, shared in configs for limit, overlap in (checked(most, shared),)]
+    c = F.broadcast(spark.createDataFrame(rows, "config_id int, data_path string, most int, overlap int, back int, pattern string"))  # at most MAX_CONFIGS rows
+    cut = records.select("record_id", "data_path", "completion").join(c, "data_path").where(F.length("completion") > F.col("most"))
+    cut = cut.select("config_id", "record_id", "overlap", "back", F.explode(F.array(F.regexp_extract_all("completion", F.col("pattern"), F.lit(0)))).alias("own"))
     return cut.select("config_id", "record_id", F.posexplode(with_overlaps(F.col("own"), F.col("overlap"), F.col("back"))).alias("piece_no", "text"))
 
 
@@ -120,8 +111,20 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.where("piece_no = 1 AND text IS NOT NULL").select("config_id", "record_id").distinct()
 
 
-QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces}
+def p7_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pieces of each record make again without their overlaps, and whether all keep the limit and share what they must."""
+    c = table(spark, sf_dir, "run_configs").select("config_id", F.col("max_length").alias("most"), F.least(F.greatest(F.coalesce("chunk_overlap", F.lit(0)), F.lit(0)), F.col("max_length") - 1).alias("overlap"))
+    p = p7_pieces(spark, sf_dir).groupBy("config_id", "record_id").agg(F.array_sort(F.collect_list(F.struct("piece_no", "text"))).alias("ps")).join(F.broadcast(c), "config_id")
+    own = F.array_join(F.transform("ps", lambda x, i: F.when(i == 0, x["text"]).otherwise(F.substring(x["text"], F.col("overlap") + 1, F.length(x["text"])))), "")
+    short = F.forall("ps", lambda x: (F.length(x["text"]) <= F.col("most")) & (F.length(x["text"]) > 0))
+    shared = F.forall(F.transform("ps", lambda x, i: (i == 0) | (F.col("overlap") == 0) | F.endswith(F.get("ps", i - 1)["text"], F.substring(x["text"], F.lit(1), F.col("overlap")))), lambda ok: ok)
+    return p.select("config_id", "record_id", F.md5(own).alias("whole"), (short & shared).alias("kept"))
+
+
+QUERIES = {"p7_found": p7_found, "p7_pieces": p7_pieces, "p7_checks": p7_checks}
 ORACLE = {
+    "p7_checks": """SELECT DISTINCT c.config_id, r.record_id, md5(r.completion) AS whole, TRUE AS kept FROM run_configs c JOIN sft_records r ON r.data_path = c.train_path
+WHERE c.method = 'sft' AND c.max_length IS NOT NULL AND length(r.completion) > c.max_length""",
     "p7_found": """SELECT DISTINCT c.config_id, r.record_id FROM run_configs c JOIN sft_records r ON r.data_path = c.train_path
 WHERE c.method = 'sft' AND c.max_length IS NOT NULL AND length(r.completion) > c.max_length""",
 }
