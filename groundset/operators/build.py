@@ -73,7 +73,7 @@ def build(files: DataFrame, images: DataFrame, mode: str, fmt: str, max_lines: i
     if max_lines is not None and max_lines < 1:
         raise ValueError("max_lines must be at least 1")
     nodes = written(xml.shred(files, "doc_id", "content", xml.ROOTS), "nodes")
-    bad = nodes.where("error IS NOT NULL").select("doc_id", "error")
+    bad = nodes.where("error IS NOT NULL").select("doc_id", "error").unionByName(markup.rejected(nodes))
     rows = (flat_rows if mode in FLAT_MODES else region_rows)(nodes)
     used = rows.select("doc_id").distinct().withColumn("used", F.lit(True))
     first = first_image(images).join(images.select("path", F.col("width").alias("iw"), F.col("height").alias("ih")), "path")

@@ -320,6 +320,14 @@ def violations(nodes: DataFrame, rules: tuple[str, ...] = RULES) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def rejected(nodes: DataFrame) -> DataFrame:
+    """(doc_id, error) of markup documents no text is taken from: an element with some but not four locations, or where it may not stand, spoils the whole file."""
+    n = nodes.where("error IS NULL AND path LIKE '/doclang%'")
+    own, kin = _node_rules(), _family_rules()
+    found = _spread(n, {"allowed_children": own["allowed_children"]}).unionByName(_spread(_families(n), {"four_locations": kin["four_locations"]}))
+    return found.groupBy("doc_id").agg(F.min("rule").alias("error"))
+
+
 def valid_documents(docs: DataFrame, found: DataFrame) -> DataFrame:
     return docs.join(found.select("doc_id"), "doc_id", "left_anti")
 

@@ -104,38 +104,48 @@ def label(part: str, root: object) -> Iterator[tuple]:
     """Node tuples of one value: key, parent's key, type, pre, post, parent's pre, depth, text, attributes.
 
     An element is an object with a non-null ``type``. Objects without one open no element:
-    what they hold belongs to the nearest element around them. Explicit stack, so depth is no limit.
+    what they hold belongs to the nearest element around them. Explicit stack, so depth is no
+    limit. The traversal gives each element its interval; parents come from the intervals.
     """
     counter = 0
     out: list[list] = []
-    stack: list[tuple[object, str, int, bool]] = [(root, part, -1, False)]
+    stack: list[tuple[object, str, int]] = [(root, part, -1)]
     while stack:
-        value, key, owner, leaving = stack.pop()
-        if leaving:
-            out[owner][4] = counter
+        value, key, leaving = stack.pop()
+        if leaving >= 0:
+            out[leaving][4] = counter
             counter += 1
             continue
-        me = owner
         if isinstance(value, dict):
             kind = value.get("type")
             if kind is not None:
-                me = len(out)
-                parent = out[owner] if owner >= 0 else None
                 text = value.get("text")
                 attrs = [(k, v if isinstance(v, str) else json.dumps(v)) for k, v in value.items() if k not in ("type", "text") and v is not None and not isinstance(v, (dict, list))]
-                out.append([key, parent[0] if parent else "", kind if isinstance(kind, str) else json.dumps(kind), counter, None, parent[3] if parent else None, parent[6] + 1 if parent else 0, text if isinstance(text, str) else None, attrs])
+                stack.append((None, key, len(out)))
+                out.append([key, "", kind if isinstance(kind, str) else json.dumps(kind), counter, None, None, 0, text if isinstance(text, str) else None, attrs])
                 counter += 1
-                stack.append((None, key, me, True))
             for k, v in reversed(value.items()):
                 if isinstance(v, (dict, list)):
-                    stack.append((v, f"{key}.{k}", me, False))
+                    stack.append((v, f"{key}.{k}", -1))
         elif isinstance(value, list):
             for i in range(len(value) - 1, -1, -1):
                 if isinstance(value[i], (dict, list)):
-                    stack.append((value[i], f"{key}.{i}", me, False))
+                    stack.append((value[i], f"{key}.{i}", -1))
+    link(out)
     yield from map(tuple, out)
 
 
+def link(nodes: list[list]) -> None:
+    """Set parent's key, parent's pre and depth of nodes in order of pre: the parent is the last opened interval that still contains the node's."""
+    around: list[list] = []
+    for node in nodes:
+        while around and around[-1][4] < node[3]:
+            around.pop()
+        if around:
+            node[1], node[5], node[6] = around[-1][0], around[-1][3], len(around)
+        around.append(node)
+
+
 def json_nodes(df: DataFrame, rid: Column, parts: list[str]) -> DataFrame:
     """The node table of the JSON columns ``parts``.
 

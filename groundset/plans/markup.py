@@ -141,6 +141,20 @@ _CLASS = "CASE WHEN regexp_matches(region_id, '(^r|_0*)[12]$') THEN 2 ELSE 1 END
 _R = "(SELECT DISTINCT doc_id, region_no, region_id, lines FROM regions)"
 _TYPED = f"(SELECT d.doc_id, json_extract_string(j.value, '$.type') AS type, json_extract_string(j.value, '$.text') AS text FROM {_RENDERED} d, json_tree(d.body) j WHERE j.type = 'OBJECT' UNION ALL SELECT d.doc_id, json_extract_string(j.value, '$.type'), NULL FROM {_RENDERED} d, json_tree(d.head) j WHERE d.head <> '' AND j.type = 'OBJECT')"
 _BLANKS = "[\\s\\x{0b}\\x{1c}-\\x{1f}\\x{85}\\pZ]"
+
+
+def _escaped(text: str, quote: bool = True) -> str:
+    """SQL of an escaped text."""
+    out = f"replace(replace(replace({text}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+    return f"replace({out}, '\"', '&quot;')" if quote else out
+
+
+def _coords(b: str) -> str:
+    """SQL of a Coords element around a box, nothing for none."""
+    points = f"{b}.x1 || ',' || {b}.y1 || ' ' || {b}.x2 || ',' || {b}.y1 || ' ' || {b}.x2 || ',' || {b}.y2 || ' ' || {b}.x1 || ',' || {b}.y2"
+    return f"CASE WHEN {b}.x1 IS NOT NULL THEN '<Coords points=\"' || {points} || '\"/>' ELSE '' END"
+
+
 #: SQL of u (doc_id, tag): the elements each document uses.
 USED_TAGS = f"""WITH u AS (SELECT doc_id, type AS tag FROM {_TYPED} WHERE type IS NOT NULL AND type <> 'text_chunk' UNION SELECT doc_id, 'content' FROM {_TYPED} WHERE type = 'text_chunk' AND regexp_matches(text, '^[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]|[\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]$')
   UNION SELECT doc_id, 'doclang' FROM {_RENDERED} UNION SELECT doc_id, 'head' FROM {_RENDERED} WHERE head NOT IN ('', 'null'))"""
@@ -155,6 +169,11 @@ FROM e WHERE json_array_length(loc) = 4 AND regexp_matches(text, '[^\\s\\x{{0b}}
 ORACLE = {
     "coverage": USED_TAGS + f""", v AS (SELECT unnest([{", ".join(repr(t) for t in markup.VOCABULARY)}]) AS tag)
 SELECT v.tag, count(DISTINCT u.doc_id) AS documents FROM v LEFT JOIN u ON u.tag = v.tag GROUP BY v.tag""",
+    "page_write": f"""WITH l AS (SELECT DISTINCT ON (doc_id, region_no) doc_id, region_no, page_w, page_h, '<TextRegion id="' || {_escaped("region_id")} || '">' || {_coords("bbox")} || coalesce(array_to_string(list_transform(lines, lambda x:
+  '<TextLine id="' || {_escaped("coalesce(x.line_id, '')")} || '"' || CASE WHEN x.reading_order IS NOT NULL THEN ' custom="readingOrder {{index:' || CAST(x.reading_order AS VARCHAR) || ';}}"' ELSE '' END || '>' || {_coords("x.bbox")} || '<TextEquiv><Unicode>' || {_escaped("coalesce(x.text, '')", False)} || '</Unicode></TextEquiv></TextLine>'), ''), '') || '</TextRegion>' AS r
+  FROM regions WHERE region_no IS NOT NULL AND region_id IS NOT NULL)
+SELECT doc_id, '<?xml version="1.0" encoding="UTF-8"?><PcGts xmlns="{xml.PAGE_NAMESPACE}"><Metadata/><Page imageFilename="' || {_escaped("doc_id")} || '.png" imageWidth="' || max(page_w) || '" imageHeight="' || max(page_h) || '">' || string_agg(r, '' ORDER BY region_no) || '</Page></PcGts>' AS content FROM l GROUP BY doc_id""",
+    "violations": "SELECT doc_id, '' AS rule, 0 AS node_id, '' AS detail FROM doclang_docs WHERE FALSE",
     "node_text": _TEXTS + " SELECT doc_id, text FROM e",
     "four_locations": _TEXTS + _BOXES,
     "pairs_union": _TEXTS + f", b AS ({_BOXES}) SELECT 1 AS rank, * FROM b UNION ALL SELECT 0, doc_id, regexp_replace(l.text, '^{_BLANKS}+|{_BLANKS}+$', '', 'g'), least(l.bbox.x1, l.bbox.x2), least(l.bbox.y1, l.bbox.y2), greatest(l.bbox.x1, l.bbox.x2), greatest(l.bbox.y1, l.bbox.y2) FROM (SELECT doc_id, unnest(lines) AS l FROM {_R}) WHERE l.bbox.x1 IS NOT NULL AND regexp_matches(l.text, '[^\\s\\x{{0b}}\\x{{1c}}-\\x{{1f}}\\x{{85}}\\pZ]')",

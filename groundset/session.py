@@ -44,7 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
     jsc = sc._jsc.sc()
     if not jsc.getCheckpointDir().isDefined():
         shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not sc.master.startswith("local["):
+        if shared is None and not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix=f"groundset-{os.getpid()}-"))
         made = sc._jvm.org.apache.hadoop.fs.Path(jsc.getCheckpointDir().get())

@@ -32,8 +32,9 @@ LOC = '<location value="1"/><location value="2"/><location value="30"/><location
 FILES = {
     "a.xml": page(NESTED + line(4, 0, "loose")), "b.xml": page("<TextRegion><Coords/>" + line(1, 0, " ") + line(2, 0, "x", points=False) + "</TextRegion>"), "c.xml": "<PcGts><Page>", "d.xml": page(NESTED, size=""), "e.xml": page(NESTED), "f.xml": "<html><body/></html>",
     "g.xml": page(NESTED.replace("<TextEquiv>", '<TextEquiv xmlns="urn:other">')), "m.dclg": f'<doclang xmlns="{M.NAMESPACE}" version="0.7"><head><default_resolution width="100" height="50"/></head><text>{LOC} said <bold>so</bold> </text><text>no box</text></doclang>',
+    "n.dclg": f'<doclang xmlns="{M.NAMESPACE}" version="0.7"><text>{LOC}good</text><text><location value="1"/><location value="2"/><location value="30"/>three</text></doclang>',
 }
-SIZES = {"a.png": (9, 9), "a.jpg": None, "b.png": (9, 9), "c.png": (9, 9), "d.png": (400, 200), "f.png": (9, 9), "g.png": (9, 9), "m.png": (9, 9)}
+SIZES = {"a.png": (9, 9), "a.jpg": None, "b.png": (9, 9), "c.png": (9, 9), "d.png": (400, 200), "f.png": (9, 9), "g.png": (9, 9), "m.png": (9, 9), "n.png": (9, 9)}
 
 
 @pytest.fixture(scope="module")
@@ -51,7 +52,7 @@ def test_line_modes_take_both_kinds_of_files(spark, folders):
     got = {(r.doc_id.rsplit("/", 1)[1], r.completion) for r in b.candidates.collect()}
     assert got == {("a.xml", t) for t in ("one", "two", "three", "loose")} | {("d.xml", t) for t in ("one", "two", "three")} | {("m.dclg", "said so")}
     skips = {r.doc_id.rsplit("/", 1)[1]: r.reason for r in b.skips.collect()}
-    assert skips == {"b.xml": B.UNUSABLE, "c.xml": B.UNREADABLE, "e.xml": B.NO_IMAGE, "f.xml": B.UNREADABLE, "g.xml": B.UNREADABLE}
+    assert skips == {"b.xml": B.UNUSABLE, "c.xml": B.UNREADABLE, "e.xml": B.NO_IMAGE, "f.xml": B.UNREADABLE, "g.xml": B.UNREADABLE, "n.dclg": B.UNREADABLE}
     r = b.records.where(F.col("completion")[0]["content"][0]["text"] == "one").orderBy("images").first()
     assert [x["type"] for x in r.prompt[0].content] == ["image", "text"] and r.images[0].path.endswith("a.jpg")
 
