@@ -2,8 +2,8 @@
 
 Sainte-Laguë apportionment gives each source a whole number of equal blocks of tokens, by
 highest quotients; the blocks of a source are apportioned to its shards the same way. Inside
-a shard the documents stand in a seeded order, and the first so many blocks of that order
-are taken, after as many whole repeats as the quota holds.
+a shard the documents stand in a seeded order, which is cut into blocks; the first so many of
+them are taken, after as many whole repeats as the quota holds.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator, Sequence
-from itertools import accumulate
 from pathlib import Path
 
 import pandas as pd
@@ -124,11 +123,13 @@ def apportion(targets: list[tuple[str, float, int]], supply: dict[str, int], blo
     return {s: (q, block) for (s, _, _), q in zip(live, seats)}
 
 
-def split(total: int, supply: list[int]) -> list[int]:
-    """Whole numbers in proportion to the supply that add up to the total; none is above supply * r if the total is at most sum(supply) * r."""
-    until = [0, *accumulate(supply)]
-    ends = [u * total // until[-1] for u in until]
-    return [b - a for a, b in zip(ends, ends[1:])]
+def shard_quotas(blocks: int, size: int, supply: list[int], repeats: int) -> list[int]:
+    """The tokens each shard of a source gives: whole blocks by highest quotients of the supplies, and never more than a shard has under its repeats.
+
+    A shard may get the block its last tokens only begin, so none of the source's blocks is lost to rounding.
+    """
+    quota = sainte_lague(supply, blocks, [-(-s * repeats // size) for s in supply])
+    return [min(q * size, s * repeats) for q, s in zip(quota, supply)]
 
 
 def mixture(sizes: DataFrame, targets: DataFrame, seed: int = 7, block: int = BLOCK_TOKENS) -> tuple[DataFrame, dict[str, tuple[int, int]]]:
@@ -150,14 +151,15 @@ def mixture(sizes: DataFrame, targets: DataFrame, seed: int = 7, block: int = BL
     per_shard = docs.groupBy("source", "shard").agg(F.sum("tokens").alias("supply"))
     supply = {r["source"]: r["n"] for r in per_shard.groupBy("source").agg(F.sum("supply").alias("n")).collect()}  # at most MAX_SOURCES rows
     blocks = apportion(wanted, supply, block)
+    repeats = {s: r for s, _, r in wanted}
 
     def quotas(pdf: pd.DataFrame) -> pd.DataFrame:
-        """The tokens of one source's blocks for each of its shards, in proportion; its rows are the shards, one for ROWS_PER_SHARD of its documents."""
+        """The tokens of one source's blocks for each of its shards; its rows are the shards, one for ROWS_PER_SHARD of its documents."""
         source = pdf["source"].iloc[0]
         n, size = blocks.get(source, (0, 1))
         pdf = pdf.sort_values("shard")
         have = pdf["supply"].astype(int).tolist()
-        return pd.DataFrame({"source": source, "shard": pdf["shard"], "supply": have, "want": split(n * size, have)})
+        return pd.DataFrame({"source": source, "shard": pdf["shard"], "supply": have, "want": shard_quotas(n, size, have, repeats[source])})
 
     q = per_shard.groupBy("source").applyInPandas(quotas, "source string, shard int, supply long, want long")
     w = Window.partitionBy("source", "shard").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0)

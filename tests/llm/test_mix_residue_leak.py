@@ -49,8 +49,8 @@ def test_shards_place_all_blocks(spark, monkeypatch):
     for _ in range(200):
         supply, r = [rng.randint(1, 90) for _ in range(rng.randint(1, 9))], rng.randint(1, 4)
         total = rng.randint(0, sum(supply) * r)
-        got = X.split(total, supply)
-        assert sum(got) == total and all(0 <= g <= s * r for g, s in zip(got, supply))
+        got = X.shard_quotas(total // 4, 4, supply, r)
+        assert total - 4 - 3 * len(supply) <= sum(got) <= total and all(0 <= g <= s * r for g, s in zip(got, supply))
     monkeypatch.setattr(X, "ROWS_PER_SHARD", 20)
     sizes = spark.createDataFrame([(i, s, rng.randint(1, 60)) for i, s in enumerate(["a"] * 1500 + ["b"] * 100 + ["c"] * 10)], "doc_id long, source string, tokens long")
     targets = spark.createDataFrame([("a", 0.9, 3), ("b", 0.09, 2), ("c", 0.01, 3)], "source string, target_share double, max_repeats int")
