@@ -1,17 +1,17 @@
 """Problem 10: template residue, filler, error pages and script notices.
 
 Character n-gram models are fitted for unfilled placeholders, filler, notices and natural
-prose: seed models from forms of general use and a sample of prose, then models of all texts
-the seeds are sure of. The log ratio of each residue model to prose is summed over windows of
-a text; windows above a threshold localise residue. Filler and notices count by what the
-windows cover, a placeholder by one window that an exact grammar of placeholders confirms.
+prose: seed models from forms of general use and the prose of all whole texts, then models of
+all texts the seeds are sure of. The log ratio of each residue model to prose is summed over
+windows of a text; windows above a threshold localise residue. Filler and notices count by what
+the windows cover, a placeholder by one window that an exact grammar of placeholders confirms.
 """
 
 from __future__ import annotations
 
 import random
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -26,8 +26,6 @@ ORDER = 4
 BITS = 20
 WINDOWS = (12, 24, 24)  # in signs, for each kind
 WINDOW = max(WINDOWS)
-SAMPLE_ROWS = 3000  # rows of natural prose the model is fitted on, drawn by the hash of their id
-SAMPLE_CHARS = 6_000  # of one of these rows
 KINDS = ("placeholder", "filler", "notice")
 SCALE = 16.0
 SHARE = 0.2
@@ -135,6 +133,29 @@ def _counts(texts: list[str]) -> np.ndarray:
     return out
 
 
+def _groups(texts: list[str | None]) -> Iterator[list[str]]:
+    """The texts in groups of some million signs, so that the arrays stay small; a longer text is a group of its own."""
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j] or "") <= 1 << 20):
+            size += len(texts[j] or "")
+            j += 1
+        yield [t or "" for t in texts[i:j]]
+        i = j
+
+
+def _inside(texts: list[str]) -> np.ndarray:
+    """The n-grams inside texts, none of which reaches over an end."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    codes = points("".join(texts))
+    ends = np.cumsum(lengths)
+    whole = np.ones(len(codes), bool)
+    for k in range(1, ORDER):
+        whole[ends[lengths >= k] - k] = False
+    return grams(codes)[whole]
+
+
 def written_out(form: str, rng: random.Random) -> str:
     """A form with one way taken of each bracket of choices, innermost first."""
     out = form.replace("{{", "\x01").replace("}}", "\x02")
@@ -181,16 +202,23 @@ class Residue:
         return cls(np.stack(ratio))
 
     @classmethod
-    def fit(cls, prose: list[str], rounds: int = 2, without: str | None = None) -> Residue:
-        """The seed models: residue from the forms, prose from a sample of texts; what the first models call residue is left out of prose in the next round."""
+    def seeded(cls, prose: Callable[[Residue | None], np.ndarray], rounds: int = 2, without: str | None = None) -> Residue:
+        """The seed models: residue from the forms, prose from the counts of all texts; what the first models call residue is left out of prose in the next round.
+
+        ``prose`` gives the counts of the texts that a model calls no residue, of all texts where there is no model yet.
+        """
         made = {k: [_counts(v)] for k, v in training_residue(without=without).items()}
         model = None
         for _ in range(rounds):
-            kept = prose if model is None else [t for t, kind in zip(prose, model.kinds(prose)[0]) if kind is None]
-            model = cls.of_counts(made, _counts(kept))
+            model = cls.of_counts(made, prose(model))
         assert model is not None
         return model
 
+    @classmethod
+    def fit(cls, prose: list[str], rounds: int = 2, without: str | None = None) -> Residue:
+        """The seed models of texts in memory."""
+        return cls.seeded(lambda model: _counts(prose if model is None else [t for t, kind in zip(prose, model.kinds(prose)[0]) if kind is None]), rounds, without)
+
     def kinds(self, texts: list[str | None], sink: Callable[[np.ndarray, np.ndarray, list, list], None] | None = None) -> tuple[list[str | None], list[float]]:
         """The kind of residue of each text (None for real content) and the share of its signs that residue windows cover.
 
@@ -198,16 +226,10 @@ class Residue:
         """
         kinds: list[str | None] = []
         shares: list[float] = []
-        i = 0
-        while i < len(texts):  # groups of some million signs, so that the arrays stay small; a longer text is a group of its own
-            j, size = i, 0
-            while j < len(texts) and (j == i or size + len(texts[j] or "") <= 1 << 20):
-                size += len(texts[j] or "")
-                j += 1
-            a, b = self._group([t or "" for t in texts[i:j]], sink)
+        for group in _groups(texts):
+            a, b = self._group(group, sink)
             kinds += a
             shares += b
-            i = j
         return kinds, shares
 
     def _group(self, texts: list[str], sink: Callable[[np.ndarray, np.ndarray, list, list], None] | None) -> tuple[list[str | None], list[float]]:
@@ -261,51 +283,57 @@ class Residue:
         return False
 
 
-def sample_prose(docs: DataFrame, key: str, text: str, rows: int = SAMPLE_ROWS) -> list[str]:
-    """At most ``rows`` texts (and those of equal hash), drawn by the hash of their key, for fitting only.
-
-    Only hashes are sorted, so what tasks send to the driver doesn't grow with them but by 8 bytes a row.
-    """
-    d = docs.where(F.col(text).isNotNull()).select(F.xxhash64(key).alias("h"), F.substring(text, 1, SAMPLE_CHARS).alias("t"))
-    last = d.select("h").orderBy("h").limit(rows).agg(F.max("h").alias("h")).collect()[0]["h"]
-    if last is None:
-        return []
-    return [r["t"] for r in d.where(F.col("h") <= last).orderBy("h").limit(2 * rows).collect()]
-
-
-def learned(docs: DataFrame, key: str, text: str) -> Residue:
-    """Models of all texts: the seed models sort every whole text, and the n-grams of what they are sure of are counted over the corpus.
+def corpus_counts(docs: DataFrame, text: str, rules: Sequence[Callable[[str | None, float], bool]], model: Residue | None = None) -> np.ndarray:
+    """The n-grams inside the whole texts of the corpus, counted in a row for each rule: of the texts whose kind and share by the model it takes.
 
-    Texts they cover to CONFIDENT or more are residue to learn from, those they cover to less
-    than DOUBT are prose. What is sent to the driver are at most 2^BITS counts of each kind.
+    Without a model all texts count in every row. What is sent to the driver are at most 2^BITS counts of each row.
     """
-    seed = Residue.fit(sample_prose(docs, key, text))
-    shared = docs.sparkSession.sparkContext.broadcast(seed.tables)  # 3 MB, whatever the data
-    thresholds = seed.thresholds
+    shared = docs.sparkSession.sparkContext.broadcast(model.tables) if model else None  # 3 MB, whatever the data
+    thresholds = model.thresholds if model else ()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Residue(shared.value, thresholds)
-        total = np.zeros((len(KINDS), 1 << BITS), np.int64)  # the first row, of placeholders, holds prose
+        own = Residue(shared.value, thresholds) if shared else None
+        total = np.zeros((len(rules), 1 << BITS), np.int64)
 
         def count(h: np.ndarray, owner: np.ndarray, kinds: list, shares: list) -> None:
-            for row, kind in enumerate((None, "filler", "notice")):
-                sure = np.array([k == kind and (s < DOUBT if kind is None else s >= CONFIDENT) for k, s in zip(kinds, shares)])
-                if sure.any():
-                    total[row] += np.bincount(h[sure[owner]], minlength=1 << BITS)
+            for row, rule in enumerate(rules):
+                taken = np.array([rule(k, s) for k, s in zip(kinds, shares)])
+                if taken.any():
+                    total[row] += np.bincount(h[taken[owner]], minlength=1 << BITS)
 
         for b in batches:
-            model.kinds([t for t in b.column(0).to_pylist() if t], count)
-        for row in range(len(KINDS)):
+            texts = [t for t in b.column(0).to_pylist() if t]
+            if own:
+                own.kinds(texts, count)
+            else:
+                for group in _groups(texts):
+                    total += np.bincount(_inside(group), minlength=1 << BITS)
+        for row in range(len(rules)):
             at = np.flatnonzero(total[row])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), row, np.int32)), pa.array(at.astype(np.int32)), pa.array(total[row][at])], ["row", "gram", "n"])
 
     counted = docs.select(text).mapInArrow(run, "row int, gram int, n long").groupBy("row", "gram").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros((len(KINDS), 1 << BITS), np.float64)
-    total[counted["row"].to_numpy(), counted["gram"].to_numpy()] = counted["n"].to_numpy()
+    out = np.zeros((len(rules), 1 << BITS), np.float64)
+    out[counted["row"].to_numpy(), counted["gram"].to_numpy()] = counted["n"].to_numpy()
+    return out
+
+
+def learned(docs: DataFrame, key: str, text: str) -> Residue:
+    """Models of all texts: the seed models, whose prose is that of all whole texts, sort every whole text, and the n-grams of what they are sure of are counted over the corpus.
+
+    Texts they cover to CONFIDENT or more are residue to learn from, those they cover to less
+    than DOUBT are prose. No text is drawn or cut, so the key isn't needed.
+    """
+    seed = Residue.seeded(lambda model: corpus_counts(docs, text, [lambda kind, share: kind is None], model)[0])
+    prose, filler, notice = corpus_counts(docs, text, [
+        lambda kind, share: kind is None and share < DOUBT,
+        lambda kind, share: kind == "filler" and share >= CONFIDENT,
+        lambda kind, share: kind == "notice" and share >= CONFIDENT,
+    ], seed)
     made = {k: [_counts(v)] for k, v in training_residue().items()}
-    made["filler"].append(total[1])
-    made["notice"].append(total[2])
-    model = Residue.of_counts(made, total[0])
+    made["filler"].append(filler)
+    made["notice"].append(notice)
+    model = Residue.of_counts(made, prose)
     model.thresholds = LEARNED_THRESHOLDS
     return model
 

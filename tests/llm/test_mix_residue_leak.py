@@ -118,6 +118,28 @@ def test_models_of_the_corpus(spark):
     assert R.learned(df.limit(0), "doc_id", "text").kinds(["x"])[0] == [None]
 
 
+def test_seed_models_count_all_whole_texts(spark, monkeypatch):
+    """More rows than 3,000, n-grams that stand only behind sign 6,000: both were outside the sample of prose."""
+    long = " ".join(PROSE) + " Zwyxq vkjorq."
+    texts = [f"{i} {PROSE[i % len(PROSE)][:30]}" for i in range(3100)] + [long] + ["Lorem ipsum dolor sit amet consectetur elit sed do."] * 40 + ["ab", "abc", "abcd", ""]
+    bases, fitted = [], R.Residue.of_counts
+    monkeypatch.setattr(R.Residue, "of_counts", lambda residue, base: bases.append(base) or fitted(residue, base))
+    df = spark.createDataFrame([*enumerate(texts), (9999, None)], "doc_id long, text string")
+    tables = R.learned(df, "doc_id", "text").tables
+
+    def counts(kept):
+        out = R.np.zeros(1 << R.BITS)
+        for t in kept:
+            R.np.add.at(out, R.grams(R.points(t))[: max(0, len(t) - R.ORDER + 1)], 1)
+        return out
+
+    assert (bases[0] == counts(texts)).all()
+    first = fitted({k: [R._counts(v)] for k, v in R.training_residue().items()}, bases[0])
+    kept = [t for t, kind in zip(texts, first.kinds(texts)[0]) if kind is None]
+    assert long in kept and len(kept) == len(texts) - 40 and (bases[1] == counts(kept)).all()
+    assert (R.learned(df.repartition(5), "doc_id", "text").tables == tables).all()
+
+
 def _items(rng, n, vocabulary, words):
     return [[rng.choice(vocabulary) for _ in range(words)] for _ in range(n)]
 
