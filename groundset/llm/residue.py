@@ -9,10 +9,11 @@ the windows cover, a placeholder by one window that an exact grammar of placehol
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +25,14 @@ from groundset.session import table
 
 ORDER = 4
 BITS = 20
+PIECE = 1 << 16  # signs worked on at a time, so that arrays stay in the cache
 WINDOWS = (12, 24, 24)  # in signs, for each kind
 WINDOW = max(WINDOWS)
 KINDS = ("placeholder", "filler", "notice")
 SCALE = 16.0
 SHARE = 0.2
+BLANK = 28  # the class of blanks in the alphabet
+BIAS, FIELD, TOP = 128, 16, 1 << 15  # of packed log ratios
 CONFIDENT = 0.6  # of a text's signs, for what the seed models find to be learned from as residue
 LEARNED_THRESHOLDS = (0.0, 0.4, 0.4)  # mean log ratio of a window, for each kind; models of all texts know the corpus, so they need less than the seeds
 DOUBT = 0.05  # of a text's signs, below which it is learned from as prose
@@ -89,7 +93,7 @@ def alphabet() -> np.ndarray:
     """Code point -> class of 0..63: letters without case and accent, one digit, one blank, each usual sign."""
     import unicodedata
 
-    out = np.full(0x10000, 63, np.int32)
+    out = np.full(0x10000, 63, np.uint32)
     signs = ".,:;!?'\"()[]{}<>/|%$#@_-=&*~"
     for n in range(0x3000):
         ch = unicodedata.normalize("NFD", chr(n).lower())[:1]
@@ -108,11 +112,19 @@ def alphabet() -> np.ndarray:
 
 def grams(codes: np.ndarray) -> np.ndarray:
     """The bucket of the n-gram that starts at each code; the last ones reach over the end."""
-    c = np.concatenate([alphabet()[np.minimum(codes, 0xFFFF)], np.full(ORDER - 1, 28, np.int32)]).astype(np.uint32)
-    h = c[: len(codes)].copy()
-    for k in range(1, ORDER):
-        h = h * np.uint32(64) + c[k : k + len(codes)]
-    return ((h * np.uint32(2654435761)) >> np.uint32(32 - BITS)).astype(np.int64)
+    out = np.empty(len(codes), np.int64)
+    for a in range(0, len(codes), PIECE):
+        c = alphabet().take(codes[a : a + PIECE + ORDER - 1], mode="clip")
+        n = min(PIECE, len(codes) - a)
+        c = np.concatenate([c, np.full(n + ORDER - 1 - len(c), BLANK, np.uint32)])
+        h = c[:n].copy()
+        for k in range(1, ORDER):
+            h *= np.uint32(64)
+            h += c[k : k + n]
+        h *= np.uint32(2654435761)
+        h >>= np.uint32(32 - BITS)
+        out[a : a + n] = h
+    return out
 
 
 def points(text: str) -> np.ndarray:
@@ -219,10 +231,24 @@ class Residue:
         """The seed models of texts in memory."""
         return cls.seeded(lambda model: _counts(prose if model is None else [t for t, kind in zip(prose, model.kinds(prose)[0]) if kind is None]), rounds, without)
 
-    def kinds(self, texts: list[str | None], sink: Callable[[np.ndarray, np.ndarray, list, list], None] | None = None) -> tuple[list[str | None], list[float]]:
+    @cached_property
+    def packed(self) -> np.ndarray:
+        """The log ratios of an n-gram for all kinds as one number of 16 bits for each kind, moved by BIAS so that sums over a window neither carry nor borrow."""
+        return sum((self.tables[k].astype(np.int64) + BIAS) << FIELD * k for k in range(len(KINDS)))
+
+    def _limits(self) -> dict[int, tuple[np.ndarray, int]]:
+        """For each width of a window, by the signs in it: what must be added to its packed sum that the top bit of a field says if the sum is above the threshold; and these bits."""
+        out = {}
+        for width in WINDOWS:
+            mine = [k for k in range(len(KINDS)) if WINDOWS[k] == width]
+            most = lambda k, n: min(max(math.floor(self.thresholds[k] * SCALE * n) + BIAS * n, 0), TOP - 1)
+            out[width] = np.array([sum(TOP - 1 - most(k, n) << FIELD * k for k in mine) for n in range(width + 1)], np.int64), sum(TOP << FIELD * k for k in mine)
+        return out
+
+    def kinds(self, texts: list[str | None], sink: Callable[[np.ndarray, np.ndarray, np.ndarray, list, list], None] | None = None) -> tuple[list[str | None], list[float]]:
         """The kind of residue of each text (None for real content) and the share of its signs that residue windows cover.
 
-        ``sink`` gets, some million signs at a time, the n-grams inside texts, the number of the text of each, and kinds and shares of these texts.
+        ``sink`` gets, some million signs at a time, the n-grams, where in them each text starts and ends, and kinds and shares of these texts.
         """
         kinds: list[str | None] = []
         shares: list[float] = []
@@ -232,47 +258,77 @@ class Residue:
             shares += b
         return kinds, shares
 
-    def _group(self, texts: list[str], sink: Callable[[np.ndarray, np.ndarray, list, list], None] | None) -> tuple[list[str | None], list[float]]:
+    def _group(self, texts: list[str], sink: Callable[[np.ndarray, np.ndarray, np.ndarray, list, list], None] | None) -> tuple[list[str | None], list[float]]:
         lengths = np.array([len(t) for t in texts], np.int64)
         codes = points("".join(texts))
-        n = len(codes)
         kinds: list[str | None] = [None] * len(texts)
         shares = [0.0] * len(texts)
-        if not n:
+        if not len(codes):
             return kinds, shares
         ends = np.cumsum(lengths)
         starts = ends - lengths
-        owner = np.repeat(np.arange(len(texts)), lengths)
         h = grams(codes)
-        at = np.arange(n)
-        ink = alphabet()[np.minimum(codes, 0xFFFF)] != 28
-        all_ink = np.bincount(owner, ink, minlength=len(texts))
-        covered: dict[str, np.ndarray] = {}
-        hits: dict[str, np.ndarray] = {}
-        for k, kind in enumerate(KINDS):
-            lo = np.maximum(at - WINDOWS[k] // 2, starts[owner])
-            hi = np.minimum(at + WINDOWS[k] // 2, ends[owner])
-            total = np.concatenate([[0], np.cumsum(self.tables[k][h], dtype=np.int64)])
-            hit = (total[hi] - total[lo]) > self.thresholds[k] * SCALE * (hi - lo)
-            hits[kind] = hit
-            covered[kind] = np.bincount(owner, hit & ink, minlength=len(texts))
-        any_hit = np.bincount(owner, (hits["filler"] | hits["notice"]) & ink, minlength=len(texts))
-        for i in np.flatnonzero((covered["placeholder"] > 0) | (any_hit > 0)):
-            text, ink_i = texts[i], max(1.0, all_ink[i])
-            share = any_hit[i] / ink_i
-            shares[i] = round(float(share), 4)
-            where = np.flatnonzero(hits["placeholder"][starts[i] : ends[i]])
-            if len(where) and self._confirmed(text, where):
-                kinds[i] = "placeholder"
-            elif covered["filler"][i] >= 60 or covered["filler"][i] >= SHARE * ink_i:
-                kinds[i] = "filler"
-            elif share >= SHARE:
-                kinds[i] = "notice"
+        limits = self._limits()
+        i = 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
+            self._piece(texts, codes, h, starts, ends, i, j, limits, kinds, shares)
+            i = j
         if sink is not None:
-            inside = at + ORDER <= ends[owner]
-            sink(h[inside], owner[inside], kinds, shares)
+            sink(h, starts, ends, kinds, shares)
         return kinds, shares
 
+    def _hits(self, h: np.ndarray, starts: np.ndarray, ends: np.ndarray, limits: dict[int, tuple[np.ndarray, int]]) -> list[np.ndarray]:
+        """For each kind the signs whose window is above the threshold; h are the n-grams of texts that follow one another."""
+        n = len(h)
+        total = np.zeros(n + 1, np.int64)
+        np.cumsum(self.packed[h], out=total[1:])  # may overflow; differences are right all the same
+        out = [np.empty(0, np.int64)] * len(KINDS)
+        for width, (added, tops) in limits.items():
+            half = width // 2
+            above = np.zeros(n, np.int64)
+            if n >= width:
+                inner = above[half : n - half + 1]
+                np.subtract(total[width:], total[:-width], out=inner)
+                inner += added[width]
+                inner &= tops
+            for first, step in ((starts, 1), (ends - 1, -1)):  # windows that the ends of a text cut off
+                at = first[:, None] + step * np.arange(half)
+                inside = (at >= starts[:, None]) & (at < ends[:, None])
+                lo, hi = np.maximum(at - half, starts[:, None])[inside], np.minimum(at + half, ends[:, None])[inside]
+                above[at[inside]] = (total[hi] - total[lo] + added[hi - lo]) & tops
+            at = np.flatnonzero(above != 0)
+            for k in range(len(KINDS)):
+                if WINDOWS[k] == width:
+                    out[k] = at[(above[at] & (TOP << FIELD * k)) != 0]
+        return out
+
+    def _piece(self, texts: list[str], codes: np.ndarray, h: np.ndarray, starts: np.ndarray, ends: np.ndarray, i: int, j: int, limits: dict[int, tuple[np.ndarray, int]], kinds: list[str | None], shares: list[float]) -> None:
+        """Judge the texts i to j."""
+        a, b = int(starts[i]), int(ends[j - 1])
+        placeholder, filler, notice = (a + at for at in self._hits(h[a:b], starts[i:j] - a, ends[i:j] - a, limits))
+        if not (len(placeholder) or len(filler) or len(notice)):
+            return
+        either = np.union1d(filler, notice)
+
+        def covered(at: np.ndarray) -> np.ndarray:
+            ink = at[alphabet().take(codes[at], mode="clip") != BLANK]
+            return np.bincount(np.searchsorted(ends[i:j], ink, "right"), minlength=j - i)
+
+        of_placeholder, of_filler, of_either = covered(placeholder), covered(filler), covered(either)
+        for m in np.flatnonzero((of_placeholder > 0) | (of_either > 0)):
+            t = i + int(m)
+            ink = max(1.0, float(np.count_nonzero(alphabet().take(codes[starts[t] : ends[t]], mode="clip") != BLANK)))
+            share = of_either[m] / ink
+            shares[t] = round(float(share), 4)
+            where = placeholder[slice(*np.searchsorted(placeholder, (starts[t], ends[t])))] - starts[t]
+            if len(where) and self._confirmed(texts[t], where):
+                kinds[t] = "placeholder"
+            elif of_filler[m] >= 60 or of_filler[m] >= SHARE * ink:
+                kinds[t] = "filler"
+            elif share >= SHARE:
+                kinds[t] = "notice"
+
     @staticmethod
     def _confirmed(text: str, where: np.ndarray) -> bool:
         """A placeholder by the grammar, in or next to a window."""
@@ -294,12 +350,18 @@ def corpus_counts(docs: DataFrame, text: str, rules: Sequence[Callable[[str | No
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Residue(shared.value, thresholds) if shared else None
         total = np.zeros((len(rules), 1 << BITS), np.int64)
+        taken: list[list[np.ndarray]] = [[] for _ in rules]  # not yet counted
 
-        def count(h: np.ndarray, owner: np.ndarray, kinds: list, shares: list) -> None:
+        def count(h: np.ndarray, starts: np.ndarray, ends: np.ndarray, kinds: list, shares: list) -> None:
             for row, rule in enumerate(rules):
-                taken = np.array([rule(k, s) for k, s in zip(kinds, shares)])
-                if taken.any():
-                    total[row] += np.bincount(h[taken[owner]], minlength=1 << BITS)
+                taken[row] += [h[a : b - ORDER + 1].copy() for a, b, k, s in zip(starts, ends, kinds, shares) if b - a >= ORDER and rule(k, s)]
+                if sum(map(len, taken[row])) > 1 << 20:
+                    add(row)
+
+        def add(row: int) -> None:
+            if taken[row]:
+                total[row] += np.bincount(np.concatenate(taken[row]), minlength=1 << BITS)
+                taken[row].clear()
 
         for b in batches:
             texts = [t for t in b.column(0).to_pylist() if t]
@@ -309,6 +371,7 @@ def corpus_counts(docs: DataFrame, text: str, rules: Sequence[Callable[[str | No
                 for group in _groups(texts):
                     total += np.bincount(_inside(group), minlength=1 << BITS)
         for row in range(len(rules)):
+            add(row)
             at = np.flatnonzero(total[row])
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), row, np.int32)), pa.array(at.astype(np.int32)), pa.array(total[row][at])], ["row", "gram", "n"])
 
@@ -322,14 +385,17 @@ def learned(docs: DataFrame, key: str, text: str) -> Residue:
     """Models of all texts: the seed models, whose prose is that of all whole texts, sort every whole text, and the n-grams of what they are sure of are counted over the corpus.
 
     Texts they cover to CONFIDENT or more are residue to learn from, those they cover to less
-    than DOUBT are prose. No text is drawn or cut, so the key isn't needed.
+    than DOUBT are prose. No text is drawn or cut, so the key isn't needed. All n-grams are
+    counted once; those of prose are all less those of the few texts that aren't prose.
     """
-    seed = Residue.seeded(lambda model: corpus_counts(docs, text, [lambda kind, share: kind is None], model)[0])
-    prose, filler, notice = corpus_counts(docs, text, [
-        lambda kind, share: kind is None and share < DOUBT,
+    every = corpus_counts(docs, text, [lambda kind, share: True])[0]
+    seed = Residue.seeded(lambda model: every if model is None else every - corpus_counts(docs, text, [lambda kind, share: kind is not None], model)[0])
+    other, filler, notice = corpus_counts(docs, text, [
+        lambda kind, share: kind is not None or share >= DOUBT,
         lambda kind, share: kind == "filler" and share >= CONFIDENT,
         lambda kind, share: kind == "notice" and share >= CONFIDENT,
     ], seed)
+    prose = every - other
     made = {k: [_counts(v)] for k, v in training_residue().items()}
     made["filler"].append(filler)
     made["notice"].append(notice)

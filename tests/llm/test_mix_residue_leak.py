@@ -140,6 +140,53 @@ def test_seed_models_count_all_whole_texts(spark, monkeypatch):
     assert (R.learned(df.repartition(5), "doc_id", "text").tables == tables).all()
 
 
+def test_prose_is_counted_once(spark, monkeypatch):
+    """The passes with a model count the n-grams of what they call residue only; the prose of the models is that of the texts left."""
+    other = R.training_residue(seed=6)["filler"][:9]
+    texts = PROSE * 4 + other + ["ab", "", None]
+    passes, counted, bases, fitted = [], R.corpus_counts, [], R.Residue.of_counts
+    monkeypatch.setattr(R, "corpus_counts", lambda *a: passes.append(counted(*a)) or passes[-1])
+    monkeypatch.setattr(R.Residue, "of_counts", lambda residue, base: bases.append(base) or fitted(residue, base))
+    R.learned(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3), "doc_id", "text")
+    whole = lambda kept: R.np.bincount(R._inside([t for t in kept if t]), minlength=1 << R.BITS)
+    assert len(passes) == 3 and (passes[0][0] == whole(texts)).all()
+    assert all((p[0] == whole(other)).all() for p in passes[1:])
+    assert len(bases) == 3 and (bases[0] == whole(texts)).all() and all((b == whole(PROSE * 4)).all() for b in bases[1:])
+
+
+def test_windows_are_those_of_single_signs(monkeypatch):
+    rng = R.np.random.default_rng(4)
+    text = lambda n: "".join(rng.choice(list("abc éЖ1.{𐍈\n"), n))
+    for thresholds in ((0.0, 1.1, 0.9), R.LEARNED_THRESHOLDS, (-9.0, 0.35, 9.0)):
+        model = R.Residue(rng.integers(-127, 128, (3, 1 << R.BITS)).astype(R.np.int8), thresholds)
+        for n in (1, 2, 5, 11, 12, 13, 23, 24, 25, 26, 90):
+            h, one = R.grams(R.points(text(n))), R.np.array([0, n])
+            got = model._hits(h, one[:1], one[1:], model._limits())
+            for k, w in enumerate(R.WINDOWS):
+                spans = [(max(0, i - w // 2), min(n, i + w // 2)) for i in range(n)]
+                assert got[k].tolist() == [i for i, (a, b) in enumerate(spans) if model.tables[k][h[a:b]].sum(dtype=int) > thresholds[k] * R.SCALE * (b - a)]
+    model = R.Residue.fit(PROSE * 3)
+    mixed = [*RESIDUE, *REAL, *PROSE, " ".join(PROSE), *(text(n) for n in range(60))]
+    want = model.kinds(mixed)
+    for piece in (1, 7, 300, 1 << 20):
+        monkeypatch.setattr(R, "PIECE", piece)
+        assert model.kinds(mixed) == want
+
+
+def test_scoring_needs_little_memory_a_sign():
+    """Scoring works on small pieces; arrays over all signs of a group cost p10_found CPU time."""
+    import tracemalloc
+
+    model = R.Residue.fit(PROSE)
+    texts = PROSE * 90
+    model.kinds(texts[:9])
+    tracemalloc.start()
+    model.kinds(texts)
+    peak = tracemalloc.get_traced_memory()[1] / min(1 << 20, sum(map(len, texts)))
+    tracemalloc.stop()
+    assert peak < 30, peak
+
+
 def _items(rng, n, vocabulary, words):
     return [[rng.choice(vocabulary) for _ in range(words)] for _ in range(n)]
 
