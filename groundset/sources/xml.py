@@ -200,11 +200,15 @@ def baselines(lines: DataFrame) -> DataFrame:
 
 
 def class_polygons(nodes: DataFrame, classes: dict[str, int], of: Column) -> DataFrame:
-    """(doc_id, region_id, class_id, points) of regions whose type is known and whose polygon has three points or more."""
-    region = nodes.where("tag = 'TextRegion'").select("doc_id", F.col("node_id").alias("parent_id"), F.col("attrs")["id"].alias("region_id"), of.alias("kind"))
-    coords = nodes.where("tag = 'Coords'").select("doc_id", "parent_id", G.parse_points(F.col("attrs")["points"]).alias("points"))
-    known = F.create_map(*[F.lit(x) for kv in classes.items() for x in kv])
-    return region.join(coords, ["doc_id", "parent_id"]).select("doc_id", "region_id", F.try_element_at(known, F.col("kind")).alias("class_id"), "points").where("class_id IS NOT NULL AND size(points) >= 3")
+    """(doc_id, region_id, class_id, points) of regions whose type is known and whose polygon has three points or more.
+
+    A region and the Coords in it meet by one grouping of one pass over the nodes, not by a join
+    of two, as the size of nodes is unknown before they are there and a side of them that seems small may be broadcast.
+    """
+    region, known = F.col("tag") == "TextRegion", F.create_map(*[F.lit(x) for kv in classes.items() for x in kv])
+    of_class = nodes.where("tag = 'TextRegion' OR (tag = 'Coords' AND parent_tag = 'TextRegion')").select("doc_id", F.when(region, F.col("node_id")).otherwise(F.col("parent_id")).alias("a"), F.when(region, F.struct(F.col("attrs")["id"].alias("region_id"), F.try_element_at(known, of).alias("class_id"))).alias("r"), F.when(~region, F.col("attrs")["points"]).alias("p"))
+    both = of_class.where("doc_id IS NOT NULL").groupBy("doc_id", "a").agg(F.collect_list("r").alias("r"), F.collect_list("p").alias("p")).select("doc_id", F.explode("r").alias("r"), "p").where("r.class_id IS NOT NULL")
+    return both.select("doc_id", "r.*", F.explode("p").alias("p")).select("doc_id", "region_id", "class_id", G.parse_points(F.col("p")).alias("points")).where("size(points) >= 3")
 
 
 def declared_size(nodes: DataFrame) -> DataFrame:

@@ -112,3 +112,22 @@ def test_pages(spark):
     from pyspark.sql import functions as F
 
     assert class_polygons(n, {"p": 1}, F.lit("p")).count() == 1 and class_polygons(n, {"q": 1}, F.lit("p")).count() == 0
+
+
+def test_class_polygons_grouped(spark):
+    """Regions and their Coords without a join, whose sides' sizes can't be known, in one pass over the nodes; of each region all its polygons, of its lines none."""
+    from pyspark.sql import functions as F
+
+    three, four = "0,0 1,0 1,1", "0,0 2,0 2,2 0,2"
+    line = f'<TextLine id="l"><Coords points="{four}"/></TextLine>'
+    inner = {
+        "one": f'<Coords points="{four}"/>{line}', "two": f'<Coords points="{four}"/><Coords points="{three}"/>', "few": '<Coords points="0,0 1,1"/>', "bare": "<Coords/>", "none": line, "bad": '<Coords points="a,b 1,1 2,2"/>',
+        "other": f'<Coords points="{four}"/>', "nested": f'<Coords points="{three}"/><TextRegion id="one"><Coords points="{four}"/></TextRegion>',
+    }
+    page = "<PcGts><Page>" + f'<Coords points="{four}"/>' + "".join(f'<TextRegion id="{k}">{v}</TextRegion>' for k, v in inner.items()) + f'<TextRegion><Coords points="{three}"/></TextRegion></Page></PcGts>'
+    nodes = shred(spark.createDataFrame([("a", page), ("b", page), ("c", "<PcGts"), (None, page)], "id string, content string"), "id", "content")
+    p = class_polygons(nodes, {"x": 1, "y": 2}, F.when(F.col("attrs")["id"] == "two", "y").when(F.coalesce(F.col("attrs")["id"], F.lit("")) != "other", "x"))
+    plan = p._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("MapInArrow") == 1
+    each = [("", 1, 3), ("nested", 1, 3), ("one", 1, 4), ("one", 1, 4), ("two", 2, 3), ("two", 2, 4)]
+    assert sorted((r.doc_id, r.region_id or "", r.class_id, len(r.points)) for r in p.collect()) == [(d, *x) for d in "ab" for x in each]
